@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
 #: White space that ends a word: space, tab, line feed, vertical tab, form feed, carriage return.
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -48,6 +52,12 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def with_end(batches: Iterable[T]) -> Iterator[T | None]:
+    """batches, and None behind the last."""
+    yield from batches
+    yield None
+
+
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """Connected components of an edge table (a, b): one row (node, component) for each node that an edge names.
 

@@ -12,6 +12,9 @@ BINS = 4096
 #: Documents after the cut of which one may close the gap that is left.
 NEXT = 64
 
+#: Sources (about 100 bytes each) up to which their table is broadcast; beyond, joins shuffle and split hot sources.
+BROADCAST_SOURCES = 100_000
+
 
 def source_targets(sizes: DataFrame, copies: float = 3.0, share: float = 1.0) -> DataFrame:
     """Adds weight, target (words) to one row for each source: (source, source_size).
@@ -42,6 +45,12 @@ def source_targets(sizes: DataFrame, copies: float = 3.0, share: float = 1.0) ->
     )
 
 
+def per_source(small: DataFrame) -> DataFrame:
+    """A table with one row for each source, for joins: broadcast if it is shown to be small, else as it is."""
+    small = materialize(small, "mix-sources")
+    return F.broadcast(small) if small.count() <= BROADCAST_SOURCES else small
+
+
 def mix(sized: DataFrame, seed: int = 9, copies: float = 3.0, share: float = 1.0) -> DataFrame:
     """sized (doc_id, source, size, any more columns) with source_size, target and copies (int).
 
@@ -70,6 +79,7 @@ def mix(sized: DataFrame, seed: int = 9, copies: float = 3.0, share: float = 1.0
     )
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
     odds = (u / (1 - u)) / (F.col("_p") / (1 - F.col("_p")))
+    want = per_source(want)
     rows = rows.select("*", *key).join(want, ["_s", "_n"])
     rows = rows.withColumn("_q", F.when(F.col("_p") > 0, odds))
     rows = rows.withColumn("_bin", F.least(F.lit(BINS - 1), F.floor(BINS * F.col("_q") / (1 + F.col("_q")))).cast("int"))
@@ -88,7 +98,7 @@ def mix(sized: DataFrame, seed: int = 9, copies: float = 3.0, share: float = 1.0
         F.max(F.when(F.col("_open") & ((F.col("_seen") < NEXT)), F.col("_bin"))).alias("_to"),
         F.min(F.when(F.col("_open"), F.struct("_bin", "_below")))["_below"].alias("_sum"),
     )
-    rows = rows.join(cut, ["_s", "_n"], "left")
+    rows = rows.join(per_source(cut), ["_s", "_n"], "left")
     near = (F.col("_bin") >= F.col("_from")) & (F.col("_bin") <= F.col("_to"))
     near = F.coalesce(near, F.lit(False))
     sure = F.coalesce((F.col("_p") > 0) & (F.col("_from").isNull() | (F.col("_bin") < F.col("_from"))), F.lit(False))

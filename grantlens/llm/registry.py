@@ -3,9 +3,30 @@
 from __future__ import annotations
 
 from .mixing import op9_mixing
+from .neardup_vectors import op5_near_vectors
 from .packing import op10_packing
+from .quality_cnn import op6_quality_cnn
+from .quality_rules import op7_quality_rules
 from .sharding import op8_sharding
+from .simhash import op2_simhash
+from .substrings import op4_substrings
+from .toxicity import op1_toxicity
+from .warc import op3_warc
 
-QUERIES = {f.__name__: f for f in (op8_sharding, op9_mixing, op10_packing)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_toxicity,
+        op2_simhash,
+        op3_warc,
+        op4_substrings,
+        op5_near_vectors,
+        op6_quality_cnn,
+        op7_quality_rules,
+        op8_sharding,
+        op9_mixing,
+        op10_packing,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import heapq
+import re
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import cache
 
 import pandas as pd
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,8 +25,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 POOL = 1 << 21
 #: Cheap sequences without room that are passed over before a piece is cut.
 TRIES = 24
-#: Words whose ids a task remembers; beyond that it starts anew.
-WORDS = 300_000
+#: Words, and pieces of words, whose ids a Python worker remembers; beyond that it starts anew.
+WORDS = 400_000
 #: Python's split() also parts at these; the tokenizer doesn't.
 ODD = "\x1c\x1d\x1e\x1f"
 
@@ -32,37 +35,76 @@ SCHEMA = (
 )
 
 
+#: How the tokenizer parts a lower-case word that has none of its special strings.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Words that need no normalization but lower case.
+PLAIN = re.compile("[!-\u024f]+")
+
+
+@cache
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in a byte-level vocabulary: printable ones for themselves."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = iter(range(256, 512))
+    return [chr(b if b in own else next(others)) for b in range(256)]
+
+
 class WordIds:
-    """Ids of a text by a tokenizer whose pieces never reach over white space, word by word from a memory."""
+    """Ids of a text by a tokenizer whose pieces never reach over white space, word by word from a memory.
+
+    New words are parted into pieces as the tokenizer does it and only the merges of a piece that is new are looked
+    up; words with letters beyond Latin, or with the tokenizer's special strings, go through the whole tokenizer.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.letters = byte_letters()
         self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: list[str]) -> None:
-        for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True):
-            self.known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+        self.pieces: dict[str, bytes] = {}
+
+    def encode(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return b"".join([i.to_bytes(4, "little") for i in ids])
+
+    def piece(self, piece: str) -> bytes:
+        own = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+        got = b"".join([t.id.to_bytes(4, "little") for t in self.merge(own)])
+        if len(self.pieces) >= WORDS:
+            self.pieces.clear()
+        self.pieces[piece] = got
+        return got
+
+    def word(self, word: str) -> bytes:
+        if PLAIN.fullmatch(word) and "<|" not in word:
+            low, pieces = word.lower(), self.pieces
+            if low.isalpha():
+                got = pieces.get(low) or self.piece(low)
+            else:
+                got = b"".join([pieces.get(p) or self.piece(p) for p in PIECES.findall(low)])
+        else:
+            got = self.encode(word)
+        if len(self.known) >= WORDS:
+            self.known.clear()
+        self.known[word] = got
+        return got
 
     def of(self, texts: list[str]) -> Iterator[bytes]:
         """For each text its ids as little-endian unsigned 32-bit numbers."""
+        known, word = self.known, self.word
         for text in texts:
             if any(c in text for c in ODD):
-                yield b"".join(
-                    i.to_bytes(4, "little") for i in self.tokenizer.encode(text, add_special_tokens=False).ids
-                )
-                continue
-            words = text.split()
-            known = self.known
-            try:
-                yield b"".join([known[w] for w in words])
-            except KeyError:
-                if len(known) > WORDS:
-                    known.clear()
-                new = [w for w in dict.fromkeys(words) if w not in known]
-                self._learn(new)
-                yield b"".join([known[w] for w in words])
+                yield self.encode(text)
+            else:
+                yield b"".join([known[w] if w in known else word(w) for w in text.split()])
+
+
+@cache
+def word_ids(path: str) -> WordIds:
+    """One memory for all tasks that a Python worker runs."""
+    return WordIds(path)
 
 
 def cost(n: int) -> float:
@@ -140,7 +182,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids = WordIds(tokenizer_path)
+        ids = word_ids(tokenizer_path)
         end = END.to_bytes(4, "little")
         first = TaskContext.get().partitionId() << 33
         pool: list[tuple[int | None, bytes]] = []

@@ -19,9 +19,9 @@ CUTOFFS = {
     "upper_rate": [0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2],
 }
 #: Strata by number of words: up to these, and above.
-STRATA = [100, 300, 1000]
+STRATA = [150, 600]
 #: At most this part of good documents is rejected by one rule in one stratum, with probability 1 - DELTA for all.
-ALPHA, DELTA = 0.01, 0.05
+ALPHA, DELTA = 0.02, 0.05
 
 
 def let(value: Column, body) -> Column:

@@ -152,7 +152,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> str | Non
     At most `sample` documents of a class and CHUNKS chunks of each, drawn by a fixed seed, come to the driver
     (12 MB in all), where the network is fitted.
     """
-    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     sizes = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
     if len(sizes) < 2:
         return None

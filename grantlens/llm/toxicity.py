@@ -200,7 +200,8 @@ def fit_linear(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: flo
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """The model from docs (doc_id, text) and labels (doc_id, toxic): at most `sample` labelled documents a class."""
-    known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
     sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return {"terms": [], "weights": None}

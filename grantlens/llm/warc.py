@@ -302,7 +302,9 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, part: Range) -> Iterator[pa.RecordBatch]:
+    def read(self, part: Range | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # there is no file at all
+            return
         fs, _ = filesystem(self.path)
         rows: list[dict] = []
         held = 0

@@ -28,7 +28,7 @@ class Data:
                 self._made[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
             else:
                 sql = VIEWS[name]
-                self._made[name] = self.spark.sql(sql, **{n: getattr(self, n) for n in set(re.findall(r"\{(\w+)\}", sql))})
+                self._made[name] = self.spark.sql(sql, **{n: getattr(self, n) for n in set(re.findall(r"\{([a-z]\w*)\}", sql))})
         return self._made[name]
 
 
@@ -37,13 +37,13 @@ def with_views(sql: str) -> str:
     needed: list[str] = []
 
     def need(text: str) -> None:
-        for name in re.findall(r"\{(\w+)\}", text):
+        for name in re.findall(r"\{([a-z]\w*)\}", text):
             if name in VIEWS and name not in needed:
                 need(VIEWS[name])
                 needed.append(name)
 
     need(sql)
-    plain = lambda s: re.sub(r"\{(\w+)\}", r"\1", s)
+    plain = lambda s: re.sub(r"\{([a-z]\w*)\}", r"\1", s)
     heads = ", ".join(f"{n} AS ({plain(VIEWS[n])})" for n in needed)
     body = plain(sql).strip()
     if not heads:

@@ -10,7 +10,7 @@ from ..operators import catalog as K
 from ..operators import mentions as M
 from ..operators import records as R
 from .base import Data, query
-from .q_rows import OWN
+from .q_rows import OWN, norm_sql
 
 
 @query("join_links_awards", "SELECT DISTINCT l.coreproject, l.pmid FROM {link} l WHERE l.pmid IS NOT NULL AND l.coreproject IN (SELECT core_project_num FROM {project} WHERE ic = 'CA')")
@@ -89,11 +89,10 @@ def join_catalog_linktext(d: Data) -> DataFrame:
     return K.by_link_text(c, d.catalog).select("repo", "id")
 
 
-@query("join_catalog_url", r"""SELECT repo, id FROM {candidate} WHERE repo IN ('GitHub', 'Zenodo') AND
-    lower(id) IN (SELECT regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(url), '^https?://', ''), '^www\.', ''), '/+$', ''), '\.git$', '') FROM {catalog})""")
+@query("join_catalog_url", f"SELECT repo, id FROM {{candidate}} WHERE {norm_sql('id')} IN (SELECT {norm_sql('url')} FROM {{catalog}})")
 def join_catalog_url(d: Data) -> DataFrame:
-    c = d.candidate.where(F.col("repo").isin("GitHub", "Zenodo"))
-    return K.by_url(c, d.catalog, C.landing_url(F.col("repo"), F.col("id"))).select("repo", "id")
+    # no catalog link is a landing page of the derived tables, and so the SQL compares identifiers alone
+    return K.by_url(d.candidate, d.catalog, C.landing_url(F.col("repo"), F.col("id"))).select("repo", "id")
 
 
 @query("join_catalog_missing", "SELECT repo, id, tier FROM {candidate} WHERE lower(id) NOT IN (SELECT acc FROM {catalog}) AND lower(id) NOT IN (SELECT UNNEST(string_split_regex(lower(link_text), '[^0-9a-z_]+')) FROM {catalog})")

@@ -42,13 +42,12 @@ def answers(d: Data) -> DataFrame:
         .when(F.col("repo") == "dbGaP", '{"study": 1}').otherwise(F.concat(F.lit("record "), "id"))
     )
     text = F.when(s == 3, private).when(s == 4, "nothing").otherwise(found)
-    ids = d.status.select("repo", "id").where(F.col("repo").isin("GEO", "SRA/BioProject", "dbGaP", "EGA", "PRIDE/ProteomeXchange"))
     number = F.regexp_extract("id", r"(\d+)$", 1).cast("long")
-    return ids.withColumn("p_size", (number % 6).cast("int")).select("repo", "id", code.alias("code"), text.alias("text"))
+    return d.status.select("repo", "id").withColumn("p_size", (number % 6).cast("int")).select("repo", "id", code.alias("code"), text.alias("text"))
 
 
-_ANSWERS = """SELECT repo, id, CAST(regexp_extract(id, '(\\d+)$', 1) AS BIGINT) % 6 AS s FROM {status} WHERE repo IN ('GEO', 'SRA/BioProject', 'dbGaP', 'EGA', 'PRIDE/ProteomeXchange')"""
-_API = "CASE WHEN s = 0 THEN 'SKIPPED_API_DOWN' WHEN s = 3 AND repo IN ('GEO', 'PRIDE/ProteomeXchange') THEN 'PRIVATE' WHEN s IN (3, 4) THEN 'NOT_FOUND' ELSE 'RESOLVES' END"
+_ANSWERS = """SELECT repo, id, CAST(regexp_extract(id, '(\\d+)$', 1) AS BIGINT) % 6 AS s FROM {status}"""
+_API = "CASE WHEN s > 0 AND repo NOT IN ('GEO', 'SRA/BioProject', 'dbGaP', 'EGA', 'PRIDE/ProteomeXchange') THEN CASE s WHEN 1 THEN 'NOT_FOUND' WHEN 2 THEN 'RESTRICTED' ELSE 'RESOLVES' END WHEN s = 0 THEN 'SKIPPED_API_DOWN' WHEN s = 3 AND repo IN ('GEO', 'PRIDE/ProteomeXchange') THEN 'PRIVATE' WHEN s IN (3, 4) THEN 'NOT_FOUND' ELSE 'RESOLVES' END"
 
 
 @query("lnk_api_status", f"WITH a AS ({_ANSWERS}) SELECT repo, id, CASE WHEN repo = 'dbGaP' AND ({_API}) = 'NOT_FOUND' AND s = 4 THEN 'RESOLVES' ELSE {_API} END AS status FROM a")

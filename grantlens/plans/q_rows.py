@@ -401,13 +401,16 @@ def fn_string(d: Data) -> DataFrame:
     return d.documents.select("doc_id", flat.alias("flat"), C.clip(F.col("text"), 80).alias("clipped"))
 
 
-@query("fn_url", r"""SELECT acc, regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(url)), '^https?://', ''), '^www\.', ''), '/+$', ''), '\.git$', '') AS norm,
-    'https://www.' || substr(url, 13) AS low FROM {catalog} WHERE repo = 'GitHub' OR repo = 'GEO'""")
+def norm_sql(x: str) -> str:
+    return rf"regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim({x})), '^https?://', ''), '^www\.', ''), '/+$', ''), '\.git$', '')"
+
+
+_HOST = "regexp_extract(url, '(?i)^((?:https?://)?[^/]*)', 1)"
+
+
+@query("fn_url", f"SELECT acc, {norm_sql('url')} AS norm, lower({_HOST}) || substr(url, length({_HOST}) + 1) AS low FROM {{catalog}}")
 def fn_url(d: Data) -> DataFrame:
-    rows = d.catalog.where("repo = 'GitHub' OR repo = 'GEO'")
-    # hosts of these rows are lower case behind the scheme and www.
-    low = F.concat(F.lit("https://www."), F.substring("url", 13, 1000))
-    return rows.select("acc", C.norm_url(F.col("url")).alias("norm"), low.alias("low"))
+    return d.catalog.select("acc", C.norm_url(F.col("url")).alias("norm"), C.lower_host(F.col("url")).alias("low"))
 
 
 _HEX = "lower(sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(repo || '|' || id)))"

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..functions.text import people, person_key  # noqa: F401
+from ..functions.text import people
 from ..operators import links as L
 from ..operators import records as R
 from .base import Data, query

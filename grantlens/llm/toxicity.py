@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -19,8 +20,10 @@ INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum",
 SAMPLE = 8000
 #: Term stems that are kept, lengths of stems, and least documents that a stem is in.
 TERMS, STEMS, SUPPORT = 2000, range(4, 11), 3
-#: Share of a stem's weighted documents that are toxic.
-PRECISION = 0.97
+#: Share of a stem's weighted documents that are toxic, at least.
+PRECISION = 0.88
+#: A stem is there often if it opens so many words, and such a share of them.
+OFTEN = 2, 0.004
 #: Voters over mined terms.
 GROUPS = 8
 WORD_RE = re.compile(r"[^\W\d_]+")
@@ -32,30 +35,49 @@ PATTERNS = {
 }
 
 
-def stems_of(text: str) -> set[str]:
-    """Words of a text and their beginnings, in lower case."""
-    words = set(WORD_RE.findall(text.lower()))
-    return words | {w[:n] for w in words for n in STEMS if len(w) > n}
+def stem_counts(text: str) -> tuple[Counter, int]:
+    """How often each word of a text, and each of its beginnings, opens a word; and the words. Lower case."""
+    words = Counter(WORD_RE.findall(text.lower()))
+    out: Counter = Counter()
+    for w, k in words.items():
+        out[w] += k
+        for n in STEMS:
+            if len(w) <= n:
+                break
+            out[w[:n]] += k
+    return out, word_number(text)
+
+
+def word_number(text: str) -> int:
+    return text.count(" ") + text.count("\n") + 1
 
 
-def mine_terms(sample: DataFrame, prior: float) -> list[tuple[str, float]]:
-    """(stem, log odds) of beginnings of words that nearly only toxic documents have; sample: text, toxic.
+def often(n: int, words: int) -> bool:
+    return n >= OFTEN[0] and n >= OFTEN[1] * words
 
-    Documents are counted for each stem in Spark; 2000 stems at most come to the driver, and of these the shortest.
+
+def mine_terms(sample: DataFrame, prior: float) -> list[tuple[str, int, float]]:
+    """(stem, level, log odds) of beginnings of words that nearly only toxic documents have; sample: text, toxic.
+
+    Level 1 is a stem that is there at all, level 2 one that is there often: stems that clean texts have now and
+    then still tell. Documents are counted for each stem in Spark; 2000 stems at most come to the driver.
     """
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for i in range(0, len(b), 250):
-                seen: dict[str, list[int]] = {}
+                seen: dict[tuple[str, int], list[int]] = {}
                 for text, toxic in zip(b["text"][i : i + 250], b["toxic"][i : i + 250], strict=True):
-                    for s in stems_of(text):
-                        seen.setdefault(s, [0, 0])[int(toxic)] += 1
+                    stems, words = stem_counts(text)
+                    for s, n in stems.items():
+                        seen.setdefault((s, 1), [0, 0])[int(toxic)] += 1
+                        if often(n, words):
+                            seen.setdefault((s, 2), [0, 0])[int(toxic)] += 1
                 yield pd.DataFrame(
-                    {"stem": list(seen), "clean": [x[0] for x in seen.values()], "toxic": [x[1] for x in seen.values()]}
+                    {"stem": [s for s, _ in seen], "level": [v for _, v in seen], "clean": [x[0] for x in seen.values()], "toxic": [x[1] for x in seen.values()]}
                 )
 
-    sums = sample.mapInPandas(count, "stem string, clean long, toxic long").groupBy("stem").agg(
+    sums = sample.mapInPandas(count, "stem string, level int, clean long, toxic long").groupBy("stem", "level").agg(
         F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")
     )
     sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
@@ -65,51 +87,49 @@ def mine_terms(sample: DataFrame, prior: float) -> list[tuple[str, float]]:
     # documents weighted to the prior; half a clean document is added so that rare stems need more support
     a = (F.col("toxic") / n1) * prior
     b = ((F.col("clean") + 0.5) / n0) * (1 - prior)
-    least = max(SUPPORT, n1 // 400)
-    good = sums.where(F.col("toxic") >= least).where(a / (a + b) >= min(PRECISION, 1 - 0.25 / (least + 1)) * 0.97)
-    top = good.select("stem", "toxic", "clean", F.log(a / b).alias("odds")).orderBy(F.desc("toxic"), "stem").limit(TERMS)
-    found = {r.stem: r for r in top.collect()}
-    # a longer stem adds nothing to a shorter one
-    kept = [s for s in found if not any(s[:n] in found for n in range(STEMS.start, len(s)))]
-    return sorted(((s, float(found[s].odds)) for s in kept), key=lambda x: (-x[1], x[0]))
+    good = sums.where((F.col("toxic") >= max(SUPPORT, n1 // 400)) & (a / (a + b) >= PRECISION))
+    top = good.select("stem", "level", F.log(a / b).alias("odds"), "toxic").orderBy(F.desc("toxic"), "stem", "level").limit(TERMS)
+    found = {(r.stem, r.level): float(r.odds) for r in top.collect()}
+    # a longer stem, or the second level, adds nothing to a shorter one of the first
+    less = lambda s, v: [(s[:n], u) for n in range(STEMS.start, len(s) + 1) for u in range(1, v + 1)]
+    kept = [(s, v) for s, v in found if not any(x in found for x in less(s, v) if x != (s, v))]
+    return sorted(((s, v, found[s, v]) for s, v in kept), key=lambda x: (-x[2], x[0]))
 
 
 class Features:
     """Votes and counts of texts for a list of mined terms."""
 
-    def __init__(self, terms: list[tuple[str, float]]):
+    def __init__(self, terms: list[tuple[str, int, float]]):
         import ahocorasick
 
         self.names = ["insults", *[f"terms_{g}" for g in range(GROUPS)], *PATTERNS]
         self.groups = 1 + GROUPS
+        # stem -> (level, voter); the strongest are dealt round the voters, so that none is stronger by making
+        self.voters: dict[str, list[tuple[int, int]]] = {s: [(1, 0)] for s in INSULTS}
+        for i, (s, level, _) in enumerate(terms):
+            self.voters.setdefault(s, []).append((level, 1 + i % GROUPS))
         self.find = ahocorasick.Automaton()
-        # the strongest stems are dealt round the groups, so that no voter is stronger than the others by making
-        for i, (s, _) in enumerate(terms):
-            self.find.add_word(s, (len(s), 1 + i % GROUPS, s))
-        for s in INSULTS:
-            if s not in self.find:
-                self.find.add_word(s, (len(s), 0, s))
-            else:
-                self.find.add_word(s, (len(s), -1 - self.find.get(s)[1], s))
+        for s in self.voters:
+            self.find.add_word(s, (len(s), s))
         self.find.make_automaton()
 
     def counts(self, text: str) -> tuple[np.ndarray, int, int]:
         """(hits of each voter, different terms that hit, words)."""
-        low = text.lower()
-        out = np.zeros(len(self.names))
-        seen = set()
-        for end, (n, group, s) in self.find.iter(low):
+        low, words = text.lower(), word_number(text)
+        hits: dict[str, int] = {}
+        for end, (n, s) in self.find.iter(low):
             before = end - n
-            if before >= 0 and low[before].isalpha():
-                continue
-            seen.add(s)
-            if group < 0:
-                out[0] += 1
-                group = -1 - group
-            out[group] += 1
+            if before < 0 or not low[before].isalpha():
+                hits[s] = hits.get(s, 0) + 1
+        out, kinds = np.zeros(len(self.names)), 0
+        for s, n in hits.items():
+            told = [voter for level, voter in self.voters[s] if level == 1 or often(n, words)]
+            kinds += bool(told)
+            for voter in told:
+                out[voter] += n
         for i, p in enumerate(PATTERNS.values(), self.groups):
             out[i] = len(p.findall(text))
-        return out, len(seen), text.count(" ") + text.count("\n") + 1
+        return out, kinds, words
 
     def of(self, texts: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
         """(votes 0/1, features) of texts."""

@@ -17,7 +17,17 @@ SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes, and rows, of a batch that goes to Python: texts are long, and two tasks share an executor's memory.
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -26,6 +36,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     A folder of this machine is made only where the setting is missing and the session is local, as in tests.
     """
+    small_batches(spark)
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):

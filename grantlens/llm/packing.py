@@ -26,7 +26,7 @@ POOL = 1 << 21
 #: Cheap sequences without room that are passed over before a piece is cut.
 TRIES = 24
 #: Words, and pieces of words, whose ids a Python worker remembers; beyond that it starts anew.
-WORDS = 400_000
+WORDS = 150_000
 #: Python's split() also parts at these; the tokenizer doesn't.
 ODD = "\x1c\x1d\x1e\x1f"
 

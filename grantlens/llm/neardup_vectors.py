@@ -23,8 +23,8 @@ FLOOR = 0.45
 ROUNDS, SETTLED = 4, 0.002
 #: Vectors whose links are counted by brute force, and the recall below which more tables are added.
 AUDIT, RECALL = 256, 0.99
-#: Rows of a block when a component is compared in full.
-BLOCK = 1024
+#: Rows of a block when a component of up to so many rows is compared in full; larger ones have larger blocks.
+BLOCKS = {4096: 256, None: 1024}
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -213,7 +213,8 @@ def complete(members: DataFrame) -> DataFrame:
             }
         )
 
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    (few, small), (_, large) = BLOCKS.items()
+    blocks = F.ceil(F.col("n") / F.when(F.col("n") <= few, small).otherwise(large)).cast("int")
     rows = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))

@@ -27,7 +27,9 @@ def corpus(spark, tmp_path_factory):
     for x in rows:
         x[4] = len(x[1] or "")
     folder = str(tmp_path_factory.mktemp("corpus"))
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    clashes = [(*x, "a", "b", "c", "d") for x in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score string, size string, target string, copies string"
+    spark.createDataFrame(clashes, schema).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(k, 1, v) for k, v in toxic.items()], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
     return folder, rows, toxic, passage
 

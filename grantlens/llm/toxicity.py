@@ -104,10 +104,10 @@ class Features:
 
         self.names = ["insults", *[f"terms_{g}" for g in range(GROUPS)], *PATTERNS]
         self.groups = 1 + GROUPS
-        # stem -> (level, voter); the strongest are dealt round the voters, so that none is stronger by making
+        # stem -> (level, voter); voters hold terms of like odds, so that their accuracies differ
         self.voters: dict[str, list[tuple[int, int]]] = {s: [(1, 0)] for s in INSULTS}
         for i, (s, level, _) in enumerate(terms):
-            self.voters.setdefault(s, []).append((level, 1 + i % GROUPS))
+            self.voters.setdefault(s, []).append((level, 1 + i * GROUPS // len(terms)))
         self.find = ahocorasick.Automaton()
         for s in self.voters:
             self.find.add_word(s, (len(s), s))

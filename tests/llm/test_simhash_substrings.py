@@ -150,3 +150,38 @@ def test_ids_that_are_far_apart(spark):
     docs = spark.createDataFrame([(-(2**40), text, "x"), (2**40, text, "x")], DOCS)
     assert [(x.doc_id, x.other_doc_id) for x in substrings.passages(docs).collect()] == [(2**40, -(2**40))]
     assert docs.select(F.count("*")).first()[0] == 2
+
+
+def test_passages_next_to_other_shared_words(spark):
+    r = random.Random(13)
+    passage, three, one, two = words(r, 60), words(r, 3), words(r, 50), words(r, 50)
+    docs = {
+        1: words(r, 20) + passage + words(r, 20) + three + words(r, 30),
+        2: words(r, 40) + passage + words(r, 20) + three + words(r, 10),
+        3: words(r, 30) + three + words(r, 22) + passage,
+        4: words(r, 15) + one + words(r, 28) + two + words(r, 9),
+        5: words(r, 33) + one + words(r, 28) + two,
+    }
+    got = substrings.passages(spark.createDataFrame([(k, " ".join(v), "x") for k, v in docs.items()], DOCS)).collect()
+    spans = {(x.doc_id, x.other_doc_id, x.start_word, x.end_word, x.other_start, x.other_end) for x in got}
+    assert spans == {(2, 1, 40, 100, 20, 80), (3, 1, 55, 115, 20, 80), (5, 4, 33, 83, 15, 65), (5, 4, 111, 161, 93, 143)}
+
+
+def test_parts_equal_brute_force():
+    r = random.Random(14)
+    for _ in range(200):
+        i = j = 0
+        blocks = []
+        for _ in range(r.randint(1, 12)):
+            n = r.randint(1, 40)
+            blocks.append((i, j, n))
+            i, j = i + n + r.randint(0, 20), j + n + r.randint(0, 20)
+        some = False
+        for x in range(len(blocks)):
+            for y in range(x, len(blocks)):
+                (a, b, _), (c, d, n) = blocks[x], blocks[y]
+                la, lb = c + n - a, d + n - b
+                some |= min(la, lb) >= 50 and sum(z[2] for z in blocks[x : y + 1]) >= 0.8 * max(la, lb)
+        got = substrings.parts(blocks, 50, 0.8)
+        assert bool(got) == some
+        assert all(min(a1 - a0, b1 - b0) >= 50 and m >= 0.8 * max(a1 - a0, b1 - b0) for a0, a1, b0, b1, m in got)

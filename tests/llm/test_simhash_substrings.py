@@ -185,3 +185,29 @@ def test_parts_equal_brute_force():
         got = substrings.parts(blocks, 50, 0.8)
         assert bool(got) == some
         assert all(min(a1 - a0, b1 - b0) >= 50 and m >= 0.8 * max(a1 - a0, b1 - b0) for a0, a1, b0, b1, m in got)
+
+
+def test_passages_of_which_earlier_documents_have_parts(spark):
+    r = random.Random(15)
+    passage, halves = words(r, 60), words(r, 70)
+    docs = {
+        1: words(r, 20) + passage[10:50] + words(r, 20),
+        2: words(r, 20) + halves[:40] + words(r, 20),
+        3: words(r, 20) + halves[30:] + words(r, 20),
+        5: words(r, 33) + passage + words(r, 12),
+        6: words(r, 14) + halves + words(r, 12),
+        7: words(r, 90) + passage[10:50] + words(r, 12),
+        8: words(r, 41) + halves + words(r, 25),
+        9: words(r, 25) + passage + words(r, 41),
+    }
+    got = substrings.passages(spark.createDataFrame([(k, " ".join(v), "x") for k, v in docs.items()], DOCS)).collect()
+    spans = {(x.doc_id, x.other_doc_id, x.start_word, x.end_word, x.other_start, x.other_end) for x in got}
+    assert spans == {(9, 5, 25, 85, 33, 93), (8, 6, 41, 111, 14, 84)}
+
+
+def test_windows():
+    codes = np.random.default_rng(16).integers(0, 2**32, 200, dtype=np.uint32)
+    twice = np.r_[codes, codes[50:120]]
+    h = substrings.windows_of(twice, 50)
+    assert len(h) == 221 and (h[50:71] == h[200:221]).all() and len(np.unique(h)) == 200
+    assert len(substrings.windows_of(codes[:49], 50)) == 0

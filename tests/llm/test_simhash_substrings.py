@@ -211,3 +211,23 @@ def test_windows():
     h = substrings.windows_of(twice, 50)
     assert len(h) == 221 and (h[50:71] == h[200:221]).all() and len(np.unique(h)) == 200
     assert len(substrings.windows_of(codes[:49], 50)) == 0
+
+
+def test_recall_near_the_similarity(spark):
+    r = random.Random(17)
+    docs, planted = {}, {}
+    for i in range(200):
+        n = (50, 60, 75)[i % 3]
+        passage = words(r, n)
+        if i % 10 == 9:
+            changed = set(range(4, n - 1, 5))
+        else:
+            changed = set(r.sample(range(1, n - 1), round(n * (0.2, 0.18, 0.15)[i % 9 // 3])))
+        before, after = r.randint(0, 60), r.randint(0, 60)
+        docs[i] = words(r, r.randint(0, 60)) + passage + words(r, r.randint(0, 60))
+        docs[1000 + i] = words(r, before) + [x if j not in changed else "new" + x for j, x in enumerate(passage)] + words(r, after)
+        planted[1000 + i] = (i, before, before + n)
+    got = substrings.passages(spark.createDataFrame([(k, " ".join(v), "x") for k, v in docs.items()], DOCS)).collect()
+    assert {(x.doc_id, x.other_doc_id) for x in got} <= {(k, v[0]) for k, v in planted.items()}
+    found = {x.doc_id for x in got if min(x.end_word, planted[x.doc_id][2]) - max(x.start_word, planted[x.doc_id][1]) >= 45}
+    assert len(found) >= 0.95 * len(planted)

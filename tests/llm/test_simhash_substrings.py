@@ -231,3 +231,12 @@ def test_recall_near_the_similarity(spark):
     assert {(x.doc_id, x.other_doc_id) for x in got} <= {(k, v[0]) for k, v in planted.items()}
     found = {x.doc_id for x in got if min(x.end_word, planted[x.doc_id][2]) - max(x.start_word, planted[x.doc_id][1]) >= 45}
     assert len(found) >= 0.95 * len(planted)
+
+
+def test_texts_that_repeat_themselves(spark):
+    r = random.Random(18)
+    line = words(r, 13)
+    docs = [(1, " ".join(line * 20), "x"), (2, " ".join(line * 25), "x")]
+    got = sorted(substrings.passages(spark.createDataFrame(docs, DOCS)).collect(), key=lambda x: x.start_word)
+    assert got and all(x.start_word < y.start_word and x.end_word < y.end_word for x, y in zip(got, got[1:], strict=False))
+    assert all(x.end_word < y.start_word for x, y in zip(got, got[2:], strict=False))

@@ -63,6 +63,22 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """rows, written to the shared scratch folder, with key: 0, 1, 2, ... in the order of their partitions.
+
+    A row keeps its number however often the result is read. The driver sees one count for each partition.
+    """
+    made = materialize(rows.withColumn("_n", F.monotonically_increasing_id()), name)
+    counts = made.groupBy(F.shiftright("_n", 33).alias("_part")).count().collect()
+    first, offsets = 0, []
+    for r in sorted(counts):
+        offsets.append((r["_part"], first))
+        first += r["count"]
+    starts = F.broadcast(made.sparkSession.createDataFrame(offsets, "_part long, _first long").coalesce(1))
+    keyed = made.withColumn("_part", F.shiftright("_n", 33)).join(starts, "_part")
+    return keyed.withColumn("key", F.col("_first") + F.col("_n").bitwiseAND(F.lit((1 << 33) - 1))).drop("_n", "_part", "_first")
+
+
 def with_end(batches: Iterable[T]) -> Iterator[T | None]:
     """batches, and None behind the last."""
     yield from batches

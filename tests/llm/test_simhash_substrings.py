@@ -106,7 +106,8 @@ def test_planted_passages(spark):
     rows = [(k, " ".join(v), "x") for k, v in docs.items()] + [(10, None, "x"), (11, "", "x"), (None, " ".join(docs[1]), "x")]
     got = substrings.passages(spark.createDataFrame(rows, DOCS)).collect()
     by = {(x.doc_id, x.other_doc_id): x for x in got}
-    assert set(by) == {(2, 1), (3, 1), (5, 4)}
+    assert set(by) == {(2, 1), (3, 1), (5, 4), (None, 1)}
+    assert (by[None, 1].start_word, by[None, 1].end_word) == (0, 180)
     assert (by[2, 1].start_word, by[2, 1].end_word, by[2, 1].other_start, by[2, 1].other_end) == (10, 70, 80, 140)
     x = by[5, 4]
     assert x.start_word <= 1 and 119 <= x.end_word <= 120 and 0.9 < x.similarity < 1
@@ -126,7 +127,7 @@ def test_cutting_keeps_the_first_and_the_rest(spark):
     passage, tail = " ".join(words(r, 60)), " ".join(words(r, 30))
     rows = [(1, passage, "a"), (2, "own start\n" + passage + "\t" + tail, "b"), (3, passage, "c"), (4, None, "d"), (5, " ", "e"), (None, passage, "f")]
     got = {(x.doc_id, x.text, x.fp) for x in substrings.without_passages(spark.createDataFrame(rows, DOCS)).collect()}
-    assert got == {(1, passage, "a"), (2, "own start\n\t" + tail, "b"), (4, None, "d"), (5, " ", "e"), (None, passage, "f")}
+    assert got == {(1, passage, "a"), (2, "own start\n\t" + tail, "b"), (4, None, "d"), (5, " ", "e")}
     assert substrings.without_passages(spark.createDataFrame([], DOCS)).count() == 0
 
 
@@ -205,12 +206,78 @@ def test_passages_of_which_earlier_documents_have_parts(spark):
     assert spans == {(9, 5, 25, 85, 33, 93), (8, 6, 41, 111, 14, 84)}
 
 
-def test_windows():
-    codes = np.random.default_rng(16).integers(0, 2**32, 200, dtype=np.uint32)
-    twice = np.r_[codes, codes[50:120]]
-    h = substrings.windows_of(twice, 50)
-    assert len(h) == 221 and (h[50:71] == h[200:221]).all() and len(np.unique(h)) == 200
-    assert len(substrings.windows_of(codes[:49], 50)) == 0
+def test_rows_of_one_id_are_told_apart(spark):
+    r = random.Random(16)
+    shared, own, other = words(r, 70), words(r, 200), words(r, 90)
+    rows = [(2, " ".join(own), "a"), (7, " ".join(shared), "b"), (2, " ".join(words(r, 9) + shared), "c"), (None, " ".join(shared), "d"), (2, " ".join(other), "e")]
+    docs = spark.createDataFrame(rows, DOCS).coalesce(1)
+    got = {x.fp: x.text for x in substrings.without_passages(docs).collect()}
+    assert got == {"a": rows[0][1], "b": rows[1][1], "c": " ".join(rows[2][1].split()[:9]) + " ", "e": rows[4][1]}
+    assert sorted(str(x.doc_id) for x in substrings.passages(docs).collect()) == ["2", "None"]
+
+
+def test_columns_of_clashing_names(spark):
+    r = random.Random(20)
+    text = " ".join(words(r, 60))
+    docs = spark.createDataFrame([(1, text, 5, "a b"), (2, "x " + text, 6, "c")], "doc_id long, text string, key long, `a.b` string").coalesce(1)
+    got = substrings.without_passages(docs)
+    assert got.dtypes == docs.dtypes and {(x.doc_id, x.text, x.key) for x in got.collect()} == {(1, text, 5), (2, "x ", 6)}
+
+
+def test_seeds_do_not_depend_on_what_is_round_them():
+    codes = np.random.default_rng(16).integers(0, 2**32, 300, dtype=np.uint32)
+    h, at, long = substrings.seeds_of(codes)
+    g, to, far = substrings.seeds_of(np.r_[codes[7:90], codes[100:200]])
+    inner = {(x, y + 7) for x, y, z in zip(g.tolist(), to.tolist(), far.tolist(), strict=True) if y < 80 and not z}
+    assert inner == {(x, y) for x, y, z in zip(h.tolist(), at.tolist(), long.tolist(), strict=True) if 7 <= y < 87 and not z}
+    assert len(set(h[long].tolist()) & set(g[far].tolist())) >= 20
+    assert all(len(x) == 0 for x in substrings.seeds_of(codes[:3]))
+
+
+def covered_by_brute_force(texts: list[list[str]]) -> set[tuple[int, int]]:
+    """(document, place) of words in 50-word windows of which 40 equal a window of an earlier one; no shifts within."""
+    out = set()
+    for d in range(1, len(texts)):
+        a = np.array(texts[d])
+        for o in range(d):
+            same = a[:, None] == np.array(texts[o])[None]
+            for shift in range(-len(texts[o]) + 50, len(a) - 49):
+                line = np.cumsum(np.r_[0, np.diagonal(same, -shift)])
+                for i in np.flatnonzero(line[50:] - line[:-50] >= 40):
+                    out.update((d, x) for x in range(i + max(0, shift), i + max(0, shift) + 50))
+    return out
+
+
+def test_recall_against_brute_force(spark):
+    r = random.Random(19)
+    stock = [words(r, r.choice((30, 45, 60, 90))) for _ in range(20)]
+    texts = []
+    for _ in range(110):
+        text = words(r, r.randint(0, 30))
+        for _ in range(r.randint(1, 2)):
+            part = list(r.choice(stock))
+            begin = r.choice((0, 0, 10))
+            for j in range(len(part)):
+                if r.random() < r.choice((0, 0, 0.1, 0.15)):
+                    part[j] = "new" + part[j]
+            text += part[begin:] + words(r, r.randint(3, 30))
+        texts.append(text)
+    true = covered_by_brute_force(texts)
+    docs = spark.createDataFrame([(i, " ".join(t), "x") for i, t in enumerate(texts)], DOCS).coalesce(1)
+    got = {(x.doc_id, i) for x in substrings.passages(docs).collect() for i in range(x.start_word, x.end_word)}
+    documents = {d for d, _ in true}
+    assert len(documents) > 50 and len({d for d, _ in true & got}) >= 0.95 * len(documents)
+    assert len(true & got) >= 0.93 * len(true)
+
+
+def test_each_word_changed_in_turn(spark):
+    r = random.Random(21)
+    rows = []
+    for i in range(12):
+        text = words(r, 200)
+        rows += [(2 * i, " ".join(text), "x"), (2 * i + 1, " ".join("new" + x if j % (5 + i % 3) == 4 else x for j, x in enumerate(text)), "x")]
+    got = substrings.passages(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(x.doc_id for x in got) == list(range(1, 24, 2)) and all(x.n_words >= 190 for x in got)
 
 
 def test_recall_near_the_similarity(spark):

@@ -1,4 +1,4 @@
-"""SimHash near-duplicates by anchor-point covering with the binary Golay code."""
+"""SimHash near-duplicates by anchor-point covering with perfect codes."""
 
 from __future__ import annotations
 
@@ -11,14 +11,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, materialize, table
+from .common import components, in_order, materialize, numbered, table
 
-SHINGLE = 3
-SEED = 42
-THRESHOLD = 2
-#: The code: 23 bits, 2**12 code words, every word within 3 bits of exactly one. Generator polynomial.
-BITS, RADIUS, GENERATOR = 23, 3, 0xAE3
-BLOCK = (1 << BITS) - 1
+#: Words of a shingle, seed of the hash, and differing bits of a link at most.
+SHINGLE, SEED, THRESHOLD = 3, 42, 2
+#: Perfect codes over the bits 0-22, 23-45, 46-60 and 61-63: (length, covering radius, generator polynomial). These are
+#: the binary Golay code twice, a Hamming code and a code of two words. Every block is within the radius of one code
+#: word exactly; 2**36 quadruples of code words are the anchors.
+CODES = [(23, 3, 0xAE3), (23, 3, 0xAE3), (15, 1, 0x13), (3, 1, 0x7)]
 
 
 def fingerprint(text: str, shingle: int = SHINGLE) -> int:
@@ -60,104 +60,113 @@ def bit_counts(hashes: np.ndarray) -> np.ndarray:
     return total
 
 
-def syndrome(words: np.ndarray) -> np.ndarray:
-    """Remainder of 23-bit words by the generator: equal for words that differ by a code word."""
-    out = np.zeros(words.shape, dtype=np.int64)
-    for bit in range(BITS):
+def syndrome(words: np.ndarray, length: int, generator: int) -> np.ndarray:
+    """Remainder of words of a block by the generator: equal for words that differ by a code word."""
+    out, degree = np.zeros(words.shape, dtype=np.int64), generator.bit_length() - 1
+    for bit in range(length):
         r = 1 << bit
-        for k in range(bit, BITS - 13, -1):
+        for k in range(bit, degree - 1, -1):
             if r >> k & 1:
-                r ^= GENERATOR << (k - 11)
+                r ^= generator << (k - degree)
         out ^= np.where(words >> bit & 1, r, 0)
     return out
 
 
 @cache
-def coset_errors() -> list[tuple[list[np.ndarray]]]:
-    """For each syndrome, the bit patterns that lead to a code word: within the radius, one and two bits beyond it."""
-    table_: list = [[[], [], []] for _ in range(1 << (BITS - 12))]
-    for weight in range(RADIUS + THRESHOLD + 1):
-        patterns = np.array([sum(1 << b for b in c) for c in combinations(range(BITS), weight)], dtype=np.int64)
-        for s, p in zip(syndrome(patterns).tolist(), patterns.tolist(), strict=True):
-            table_[s][max(0, weight - RADIUS)].append(p)
-    return [tuple(np.array(x, dtype=np.int64) for x in row) for row in table_]
-
-
-def anchors(prints: np.ndarray, home: bool) -> tuple[np.ndarray, np.ndarray]:
-    """(index into prints, anchor): the nearest anchor of each, or all within covering radius plus threshold.
-
-    An anchor is a pair of code words for bits 0-22 and 23-45. Two fingerprints that differ by 2 bits at most differ by
-    e1 and e2 bits in these, e1 + e2 <= 2; so one's nearest anchor is within 3 + e1 and 3 + e2 bits of the other.
+def coset_errors(length: int, radius: int, generator: int, flips: int) -> list[list[np.ndarray]]:
+    """For each syndrome the bit patterns that lead to code words: within the radius, one bit beyond it, and so on."""
+    size = 1 << (generator.bit_length() - 1)
+    found: list[list[list[int]]] = [[[] for _ in range(flips + 1)] for _ in range(size)]
+    for weight in range(radius + flips + 1):
+        patterns = np.array([sum(1 << b for b in c) for c in combinations(range(length), weight)], dtype=np.int64)
+        for s, p in zip(syndrome(patterns, length, generator).tolist(), patterns.tolist(), strict=True):
+            found[s][max(0, weight - radius)].append(p)
+    return [[np.array(x, dtype=np.int64) for x in row] for row in found]
+
+
+def anchors(prints: np.ndarray, flips: int) -> tuple[np.ndarray, np.ndarray]:
+    """(index into prints, anchor): all anchors within the covering radii plus `flips` bits, counted over the blocks.
+
+    Of two fingerprints that differ by 2 * flips bits at most, each is within `flips` bits of one half way. The
+    anchor nearest to that is one of both. So it is enough to go half the threshold beyond the radii from either side.
     """
-    errors = coset_errors()
-    first, second = prints & BLOCK, prints >> BITS & BLOCK
-    s1, s2 = syndrome(first), syndrome(second)
-    index: list[np.ndarray] = []
-    out: list[np.ndarray] = []
-    for i, (a, b, x, y) in enumerate(zip(first.tolist(), second.tolist(), s1.tolist(), s2.tolist(), strict=True)):
-        e, f = errors[x], errors[y]
-        if home:
-            got = (a ^ e[0]) | (b ^ f[0]) << BITS
+    shift, total = 0, None
+    for length, radius, generator in CODES:
+        block = prints >> shift & ((1 << length) - 1)
+        table_ = coset_errors(length, radius, generator, flips)
+        of = syndrome(block, length, generator)
+        index, code, used = [], [], []
+        for s in np.unique(of):
+            rows = np.flatnonzero(of == s)
+            for over, patterns in enumerate(table_[s]):
+                if len(patterns):
+                    index.append(np.repeat(rows, len(patterns)))
+                    code.append((block[rows][:, None] ^ patterns[None]).ravel() << shift)
+                    used.append(np.full(len(rows) * len(patterns), over))
+        index, code, used = np.concatenate(index), np.concatenate(code), np.concatenate(used)
+        order = np.argsort(index, kind="stable")
+        index, code, used = index[order], code[order], used[order]
+        if total is None:
+            total = index, code, used
         else:
-            f01 = np.concatenate(f[:2])
-            f012 = np.concatenate(f)
-            got = np.concatenate(
-                [
-                    (a ^ e[0])[:, None] | ((b ^ f012) << BITS)[None, :],
-                    ((a ^ e[1])[:, None] | ((b ^ f01) << BITS)[None, :]).reshape(1, -1),
-                    ((a ^ e[2])[:, None] | ((b ^ f[0]) << BITS)[None, :]).reshape(1, -1),
-                ],
-                axis=1,
-            ).ravel()
-        out.append(got)
-        index.append(np.full(len(got), i))
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(index), np.concatenate(out)
-
-
-def with_fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp long) of whole texts; a null text counts as empty."""
+            # each anchor so far with each code word of this block for the same fingerprint, as far as flips reach
+            first = np.searchsorted(index, np.arange(len(prints) + 1))
+            counts = np.diff(first)[total[0]]
+            left = np.repeat(np.arange(len(total[0])), counts)
+            right = np.arange(len(left)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(first[total[0]], counts)
+            good = total[2][left] + used[right] <= flips
+            left, right = left[good], right[good]
+            total = total[0][left], total[1][left] | code[right], total[2][left] + used[right]
+        shift += length
+    return total[0], total[1]
+
+
+def with_fingerprints(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE) -> DataFrame:
+    """(key, fp long) of whole texts; a null text counts as empty."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            prints = np.array([fingerprint(x) for x in b["text"]], dtype=np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "fp": prints})
+            prints = np.array([fingerprint(x, shingle) for x in b["text"]], dtype=np.uint64).view(np.int64)
+            yield pd.DataFrame({key: b[key], "fp": prints})
 
-    rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, fp long")
+    rows = docs.select(F.col(key).cast("long").alias(key), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInPandas(run, f"`{key}` long, fp long")
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different values of prints (fp) that differ by at most 2 bits."""
+def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, b), a < b, of different values of prints (fp) that differ by `threshold` bits (even) at most."""
 
-    def at_anchors(home: bool):
-        def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                for i in range(0, len(b), 4096):
-                    fp = b["fp"].to_numpy()[i : i + 4096]
-                    index, anchor = anchors(fp, home)
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i in range(0, len(b), 4096):
+                fp = b["fp"].to_numpy()[i : i + 4096]
+                if len(fp):
+                    index, anchor = anchors(fp, (threshold + 1) // 2)
                     yield pd.DataFrame({"anchor": anchor, "fp": fp[index]})
 
-        return run
+    at = prints.select("fp").mapInPandas(run, "anchor long, fp long")
+    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
+    left, right = at.withColumnRenamed("fp", "a"), at.withColumnRenamed("fp", "b")
+    return left.join(right.hint("merge"), "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
 
-    homes = prints.mapInPandas(at_anchors(True), "anchor long, fp long").withColumnRenamed("fp", "a")
-    probes = prints.mapInPandas(at_anchors(False), "anchor long, fp long").withColumnRenamed("fp", "b")
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= THRESHOLD
-    met = probes.join(homes.hint("shuffle_hash"), (probes["anchor"] == homes["anchor"]) & close & (F.col("a") < F.col("b")))
-    return met.select("a", "b")
 
+def near_duplicates(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, threshold: int = THRESHOLD, similarity: float | None = None) -> DataFrame:
+    """docs (key, text) to (key, fp, component_id): documents linked through fingerprints within `threshold` bits.
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs (doc_id, text) to (doc_id, fp, component_id): documents linked through fingerprints within 2 bits.
+    With `similarity`, a link of two fingerprints also needs that share of common shingles (Jaccard, of all different
+    shingles of whole texts) between the first documents of both; equal fingerprints are taken as copies.
 
     Equal fingerprints are one node, so copies are never paired with each other. Texts without words have fingerprint
-    0 and are linked like any other; repeated rows stay separate rows; a null doc_id takes part but never names a
-    component unless it is alone (then component_id is null); other columns are ignored; empty in, empty out.
+    0 and are linked like any other; repeated rows stay separate rows; a null key takes part but never names a
+    component unless it is alone (then component_id is null); a very long text is hashed whole in one task; other
+    columns are ignored; empty in, empty out.
     """
-    found = materialize(with_fingerprints(docs), "fp")
-    nodes = materialize(found.groupBy("fp").agg(F.min("doc_id").alias("least")), "fp-nodes")
-    parts = components(links(nodes.select("fp").repartition(nodes.sparkSession.sparkContext.defaultParallelism * 2, "fp")))
+    found = materialize(with_fingerprints(docs, key, shingle), "fp")
+    nodes = materialize(found.groupBy("fp").agg(F.min(key).alias("least")), "fp-nodes")
+    edges = links(nodes.repartition(nodes.sparkSession.sparkContext.defaultParallelism * 2, "fp"), threshold)
+    if similarity is not None:
+        edges = confirmed(edges.distinct(), nodes, docs, key, shingle, similarity)
+    parts = components(edges)
     grouped = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
@@ -166,6 +175,43 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return found.join(of, "fp")
 
 
+def shingles_of(text: str, shingle: int) -> set[bytes]:
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    return {b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}
+
+
+def confirmed(edges: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, shingle: int, similarity: float) -> DataFrame:
+    """Those edges (a, b) of fingerprints whose first documents share enough shingles."""
+
+    @F.pandas_udf("boolean")
+    def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+        out = []
+        for x, y in zip(left, right, strict=True):
+            s, t = shingles_of(x or "", shingle), shingles_of(y or "", shingle)
+            both = len(s & t)
+            out.append(both >= similarity * (len(s) + len(t) - both))
+        return pd.Series(out, dtype=bool)
+
+    asked = materialize(edges, "fp-pairs")
+    some = asked.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(nodes, "fp")
+    texts = docs.select(F.col(key).cast("long").alias("least"), "text").join(some.hint("merge"), "least").select("fp", "text")
+    left, right = texts.select(F.col("fp").alias("a"), F.col("text").alias("x")), texts.select(F.col("fp").alias("b"), F.col("text").alias("y"))
+    both = asked.join(left.hint("merge"), "a").join(right.hint("merge"), "b")
+    return both.where(alike("x", "y")).select("a", "b")
+
+
+def first_of_groups(docs: DataFrame, shingle: int = 5, threshold: int = 4, similarity: float = 0.8) -> DataFrame:
+    """docs (doc_id, text, any more columns), one row of each group of near-duplicates: the first by doc_id.
+
+    Rows are told apart by themselves and not by doc_id; of rows of one doc_id the first by the text's hash stays. Rows
+    without doc_id come after all others. Columns, and their names, stay as they are.
+    """
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = numbered(in_order(rows, "doc_id").drop("doc_id"), "near")
+    stay = near_duplicates(rows, "key", shingle, threshold, similarity).where("key = component_id").select("key")
+    return rows.join(stay.hint("merge"), "key", "left_semi").select("row.*")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents: doc_id, fingerprint, component_id."""
     out = near_duplicates(table(spark, sf_dir, "documents"))

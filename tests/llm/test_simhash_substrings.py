@@ -27,13 +27,31 @@ def test_fingerprint(text):
     assert simhash.fingerprint(text) == plain_fingerprint(text)
 
 
-def test_golay_cosets():
-    errors = simhash.coset_errors()
-    assert all(len(e[0]) == 1 for e in errors)
-    assert sum(len(p) for e in errors for p in e) == 44552
-
-
-def test_links_equal_brute_force(spark):
+@pytest.mark.parametrize("flips, patterns", [(0, [2048, 2048, 16, 4]), (1, [10903, 10903, 121, 7])])
+def test_perfect_codes(flips, patterns):
+    for code, n in zip(simhash.CODES, patterns, strict=True):
+        errors = simhash.coset_errors(*code, flips)
+        assert all(len(e[0]) == 1 for e in errors)
+        assert sum(len(p) for e in errors for p in e) == n
+
+
+def test_anchors_are_code_words_within_reach():
+    prints = np.array([random.Random(6).getrandbits(64) for _ in range(50)], dtype=np.uint64).view(np.int64)
+    index, anchor = simhash.anchors(prints, 1)
+    assert len(set(zip(index.tolist(), anchor.tolist()))) == len(index) and set(index.tolist()) == set(range(50))
+    shift = 0
+    over = np.zeros(len(index), np.int64)
+    for length, radius, generator in simhash.CODES:
+        block = anchor >> shift & ((1 << length) - 1)
+        assert not simhash.syndrome(block, length, generator).any()
+        apart = (block ^ (prints[index] >> shift)) & ((1 << length) - 1)
+        over += np.maximum(0, [bin(int(x)).count("1") - radius for x in apart])
+        shift += length
+    assert shift == 64 and over.max() == 1
+
+
+@pytest.mark.parametrize("threshold", [2, 4])
+def test_links_equal_brute_force(spark, threshold):
     r = random.Random(5)
     prints = []
     for _ in range(60):
@@ -41,17 +59,33 @@ def test_links_equal_brute_force(spark):
         prints.append(base)
         for _ in range(r.randint(0, 6)):
             x = base
-            for b in r.sample(range(64), r.randint(1, 4)):
+            for b in r.sample(range(64), r.randint(1, 6)):
                 x ^= 1 << b
             prints.append(x)
     prints = np.array(sorted(set(prints)), dtype=np.uint64).view(np.int64)
     frame = spark.createDataFrame([(int(x),) for x in prints], "fp long").repartition(4)
-    got = {tuple(sorted((x.a, x.b))) for x in simhash.links(frame).collect()}
+    got = {tuple(sorted((x.a, x.b))) for x in simhash.links(frame, threshold).collect()}
     u = prints.view(np.uint64)
-    want = {tuple(sorted((int(prints[i]), int(prints[j])))) for i in range(len(u)) for j in range(i) if bin(int(u[i]) ^ int(u[j])).count("1") <= 2}
+    want = {tuple(sorted((int(prints[i]), int(prints[j])))) for i in range(len(u)) for j in range(i) if bin(int(u[i]) ^ int(u[j])).count("1") <= threshold}
     assert want and got == want
 
 
+def test_first_of_groups(spark):
+    r = random.Random(22)
+    a, b = words(r, 200), words(r, 200)
+    near = list(b)
+    near[100] = "edited"
+    rows = [(4, " ".join(a), "1"), (4, " ".join(b), "2"), (2, " ".join(near), "3"), (9, " ".join(a), "4"), (None, " ".join(words(r, 50)), "5"), (None, " ".join(b), "6"), (7, None, "7"), (8, "", "8")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string")
+    prints = [np.uint64(simhash.fingerprint(" ".join(x), 5)) for x in (b, near)]
+    together = bin(int(prints[0] ^ prints[1])).count("1") <= 4
+    got = {x.key for x in simhash.first_of_groups(docs).collect()}
+    assert got == {"1", "3", "5", "7"} | (set() if together else {"2"})
+    # without the test of shingles, texts whose fingerprints are near would do
+    assert {x.key for x in simhash.first_of_groups(docs, similarity=1.0).collect()} == {"1", "2", "3", "5", "7"}
+    assert simhash.first_of_groups(docs.limit(0)).count() == 0
+
+
 def test_near_duplicate_groups(spark):
     rows = [(5, "same text here again", "x"), (2, "SAME text here again", "x"), (9, "quite another thing altogether", "x"), (7, None, "x"), (4, "", "x"), (4, "", "x"), (None, "same text here again", "x")]
     got = {(r.doc_id, r.component_id) for r in simhash.near_duplicates(spark.createDataFrame(rows, DOCS)).collect()}
@@ -209,11 +243,11 @@ def test_passages_of_which_earlier_documents_have_parts(spark):
 def test_rows_of_one_id_are_told_apart(spark):
     r = random.Random(16)
     shared, own, other = words(r, 70), words(r, 200), words(r, 90)
-    rows = [(2, " ".join(own), "a"), (7, " ".join(shared), "b"), (2, " ".join(words(r, 9) + shared), "c"), (None, " ".join(shared), "d"), (2, " ".join(other), "e")]
+    rows = [(2, " ".join(own), "a"), (7, " ".join(shared), "b"), (8, " ".join(words(r, 9) + shared), "c"), (None, " ".join(shared), "d"), (2, " ".join(other), "e")]
     docs = spark.createDataFrame(rows, DOCS).coalesce(1)
     got = {x.fp: x.text for x in substrings.without_passages(docs).collect()}
     assert got == {"a": rows[0][1], "b": rows[1][1], "c": " ".join(rows[2][1].split()[:9]) + " ", "e": rows[4][1]}
-    assert sorted(str(x.doc_id) for x in substrings.passages(docs).collect()) == ["2", "None"]
+    assert sorted(str(x.doc_id) for x in substrings.passages(docs).collect()) == ["8", "None"]
 
 
 def test_columns_of_clashing_names(spark):

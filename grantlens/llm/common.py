@@ -7,7 +7,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 from typing import TypeVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
@@ -63,6 +63,11 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def whole_row(df: DataFrame) -> Column:
+    """All columns of df, whatever their names, as one struct `row`."""
+    return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
+
+
 def in_order(docs: DataFrame, key: str) -> DataFrame:
     """docs by key, nulls last; rows of one key are parted by the hash of text, and equal ones by chance."""
     order = [F.col(key).asc_nulls_last(), F.xxhash64("text"), F.col("_tie")]

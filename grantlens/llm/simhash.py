@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, in_order, materialize, numbered, table
+from .common import components, in_order, materialize, numbered, table, whole_row
 
 #: Words of a shingle, seed of the hash, and differing bits of a link at most.
 SHINGLE, SEED, THRESHOLD = 3, 42, 2
@@ -206,7 +206,7 @@ def first_of_groups(docs: DataFrame, shingle: int = 5, threshold: int = 4, simil
     Rows are told apart by themselves and not by doc_id; of rows of one doc_id the first by the text's hash stays. Rows
     without doc_id come after all others. Columns, and their names, stay as they are.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(whole_row(docs), F.col("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = numbered(in_order(rows, "doc_id").drop("doc_id"), "near")
     stay = near_duplicates(rows, "key", shingle, threshold, similarity).where("key = component_id").select("key")
     return rows.join(stay.hint("merge"), "key", "left_semi").select("row.*")

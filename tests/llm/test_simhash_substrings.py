@@ -264,7 +264,8 @@ def test_seeds_do_not_depend_on_what_is_round_them():
     g, to, far = substrings.seeds_of(np.r_[codes[7:90], codes[100:200]])
     inner = {(x, y + 7) for x, y, z in zip(g.tolist(), to.tolist(), far.tolist(), strict=True) if y < 80 and not z}
     assert inner == {(x, y) for x, y, z in zip(h.tolist(), at.tolist(), long.tolist(), strict=True) if 7 <= y < 87 and not z}
-    assert len(set(h[long].tolist()) & set(g[far].tolist())) >= 20
+    # 183 shared words, 0.28 / 4 of them begin a long seed, less those that reach over an end
+    assert len(set(h[long].tolist()) & set(g[far].tolist())) >= 8
     assert all(len(x) == 0 for x in substrings.seeds_of(codes[:3]))
 
 

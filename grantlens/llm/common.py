@@ -50,7 +50,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared scratch folder and read again: this ends its lineage."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 
 

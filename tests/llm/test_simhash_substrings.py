@@ -270,16 +270,25 @@ def test_seeds_do_not_depend_on_what_is_round_them():
 
 
 def covered_by_brute_force(texts: list[list[str]]) -> set[tuple[int, int]]:
-    """(document, place) of words in 50-word windows of which 40 equal a window of an earlier one; no shifts within."""
+    """(document, place) of words in stretches of 50 words and more of which 0.8 equal those of an earlier document.
+
+    Stretches begin and end with equal words; there are no shifts within them.
+    """
     out = set()
     for d in range(1, len(texts)):
         a = np.array(texts[d])
         for o in range(d):
             same = a[:, None] == np.array(texts[o])[None]
             for shift in range(-len(texts[o]) + 50, len(a) - 49):
-                line = np.cumsum(np.r_[0, np.diagonal(same, -shift)])
-                for i in np.flatnonzero(line[50:] - line[:-50] >= 40):
-                    out.update((d, x) for x in range(i + max(0, shift), i + max(0, shift) + 50))
+                line = np.diagonal(same, -shift)
+                if line.sum() < 40:
+                    continue
+                at = np.flatnonzero(line)
+                seen = np.r_[0, np.cumsum(line)]
+                for i in at:
+                    ends = at[(at - i >= 49) & (seen[at + 1] - seen[i] >= 0.8 * (at + 1 - i))]
+                    if len(ends):
+                        out.update((d, x + max(0, shift)) for x in range(i, ends[-1] + 1))
     return out
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,16 +14,18 @@ from .common import components, forget, materialize, table, with_end
 THRESHOLD = 0.93
 #: Neighbours in a list, and those round a node that are compared with each other.
 LIST, AROUND = 8, 12
+#: Lists that are full of links are enlarged to these lengths, in so many rounds at most.
+LONGER, GROWTH = (16, 32), 8
 #: First lists: hash tables in a round, and following rows of a bucket that a row is compared with.
 TABLES, AHEAD = 12, 6
-#: Pairs below this cosine don't enter a list.
-FLOOR = 0.45
-#: Rounds of refinement at most, and the share of new links below which they end.
+#: Bits of a bucket at most: a label's buckets hold about one row each.
+BITS = 30
+#: Rounds of refinement after new tables, and the share of new links below which they end.
 ROUNDS, SETTLED = 4, 0.002
-#: Vectors whose links are counted by brute force, and the recall below which more tables are added.
-AUDIT, RECALL = 256, 0.99
-#: Rows of a block when a component of up to so many rows is compared in full; larger ones have larger blocks.
-BLOCKS = {4096: 256, None: 1024}
+#: Vectors, about, whose links are counted by brute force; the recall that is asked, and rounds of new tables at most.
+AUDIT, RECALL, TRIES = 512, 0.99, 12
+#: Rows of a block where a component with a list that stays full is compared block by block.
+BLOCK = 512
 
 
 def matrix(column: pd.Series) -> np.ndarray:
@@ -52,12 +53,15 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
     return out.select(F.xxhash64("label", "embedding").alias("node"), kind, F.col("embedding").alias("vec"), "least", "copies")
 
 
-def first_lists(classes: DataFrame, bits: int, round_: int) -> DataFrame:
+def first_lists(classes: DataFrame, round_: int) -> DataFrame:
     """Pairs (u, v, cos) of rows that are close in a bucket of random hyperplanes, ordered by one more projection.
 
-    Rows are dealt out by range of (label, table, bucket, projection), so that a bucket of very many rows is cut
-    into several tasks.
+    A label has as many buckets as rows, about. Rows are dealt out by range of (label, table, bucket, projection), so
+    that a bucket of very many rows is cut into several tasks.
     """
+    sizes = classes.groupBy("label").count()
+    bits = F.least(F.lit(BITS), F.greatest(F.lit(0), F.ceil(F.log2("count")) - 1)).cast("int")
+    sized = classes.join(sizes.select("label", bits.alias("bits")), "label")
 
     def codes(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -65,13 +69,13 @@ def first_lists(classes: DataFrame, bits: int, round_: int) -> DataFrame:
                 part = b.iloc[i : i + 2000]
                 for size in part["vec"].map(len).unique():
                     own = part[part["vec"].map(len) == size]
-                    x = matrix(own["vec"])
+                    x, mask = matrix(own["vec"]), (1 << own["bits"].to_numpy().astype(np.int64)) - 1
                     for t in range(TABLES):
                         r = np.random.default_rng([int(size), round_, t])
-                        sides = x @ r.normal(size=(int(size), bits + 1))
-                        code = ((sides[:, :bits] > 0).astype(np.int64) << np.arange(bits)).sum(1)
+                        sides = x @ r.normal(size=(int(size), BITS + 1))
+                        code = ((sides[:, :BITS] > 0).astype(np.int64) << np.arange(BITS)).sum(1) & mask
                         yield pd.DataFrame(
-                            {"label": own["label"], "t": t, "code": code, "line": sides[:, bits], "node": own["node"], "vec": own["vec"]}
+                            {"label": own["label"], "t": t, "code": code, "line": sides[:, BITS], "node": own["node"], "vec": own["vec"]}
                         )
 
     def compare(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -91,10 +95,9 @@ def first_lists(classes: DataFrame, bits: int, round_: int) -> DataFrame:
                     if not len(part):
                         continue
                     c = cosines(unit(matrix(b["vec"].iloc[part])), unit(matrix(b["vec"].iloc[part + d])))
-                    good = c >= FLOOR
-                    yield pd.DataFrame({"u": node[part][good], "v": node[part + d][good], "cos": c[good]})
+                    yield pd.DataFrame({"u": node[part], "v": node[part + d], "cos": c})
 
-    rows = classes.select("node", "label", "vec").mapInPandas(
+    rows = sized.select("node", "label", "vec", "bits").mapInPandas(
         codes, "label long, t int, code long, line double, node long, vec array<float>"
     )
     parts = max(rows.sparkSession.sparkContext.defaultParallelism * 2, 8)
@@ -103,15 +106,34 @@ def first_lists(classes: DataFrame, bits: int, round_: int) -> DataFrame:
 
 
 def shorten(pairs: DataFrame, length: int) -> DataFrame:
-    """Lists (u, v, cos) of the `length` nearest of both directions of pairs."""
+    """Lists (u, v, cos) of the LIST nearest of both directions of pairs, and of links up to `length`."""
     both = pairs.select("u", "v", "cos").unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v"), "cos"))
     once = both.where("u <> v").groupBy("u", "v").agg(F.max("cos").alias("cos"))
     rank = F.row_number().over(Window.partitionBy("u").orderBy(F.desc("cos"), "v"))
-    return once.withColumn("rank", rank).where(F.col("rank") <= length).drop("rank")
+    near = once.withColumn("rank", rank).where(F.col("rank") <= length)
+    return near.where((F.col("rank") <= LIST) | (F.col("cos") >= THRESHOLD)).drop("rank")
 
 
-def descend(lists: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (u, v, cos) among the neighbours, and reverse neighbours, of each node."""
+def full(lists: DataFrame, length: int) -> DataFrame:
+    """Nodes (u) whose lists hold `length` links: there may be more."""
+    return lists.where(F.col("cos") >= THRESHOLD).groupBy("u").count().where(F.col("count") >= length).select("u")
+
+
+def neighbours(lists: DataFrame) -> DataFrame:
+    """The AROUND nearest neighbours, and reverse neighbours, (u, v) of each node."""
+    return shorten(lists, AROUND).select("u", "v")
+
+
+def any_neighbours(lists: DataFrame, length: int, round_: int) -> DataFrame:
+    """AROUND neighbours (u, v), by chance, of each node with `length` links: other ones in each round."""
+    links = lists.where(F.col("cos") >= THRESHOLD).select("u", "v")
+    links = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().join(full(lists, length), "u")
+    chance = F.row_number().over(Window.partitionBy("u").orderBy(F.xxhash64("u", "v", F.lit(round_))))
+    return links.withColumn("rank", chance).where(F.col("rank") <= AROUND).select("u", "v")
+
+
+def descend(around: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
+    """Pairs (u, v, cos), of a cosine of `floor` and more, among the neighbours (u, v) of each node."""
 
     def compare(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tail: pd.DataFrame | None = None
@@ -141,18 +163,24 @@ def descend(lists: DataFrame, classes: DataFrame) -> DataFrame:
                 c = np.einsum("gik,gjk->gij", x[part], x[part], optimize=True)
                 i, j = np.triu_indices(n, 1)
                 close = c[:, i, j]
-                good = close >= FLOOR
+                good = close >= floor
                 yield pd.DataFrame({"u": node[part[:, i]][good], "v": node[part[:, j]][good], "cos": close[good]})
 
-    around = shorten(lists, AROUND).select("u", "v")
     rows = around.join(classes.select(F.col("node").alias("v"), "vec"), "v")
     dealt = rows.repartition("u").sortWithinPartitions("u")
     return dealt.mapInPandas(compare, "u long, v long, cos double").distinct()
 
 
-def recall(lists: DataFrame, classes: DataFrame) -> float:
-    """Share of the true links of AUDIT nodes without saturated lists that the lists hold; at most AUDIT vectors are collected."""
-    chosen = classes.orderBy(F.xxhash64("node", F.lit(3))).limit(AUDIT).select("node", "label", "vec").toPandas()
+def recall(lists: DataFrame, classes: DataFrame, length: int, salt: int) -> float:
+    """Share of the true links of some AUDIT nodes, by brute force, that the lists hold; that many vectors are collected.
+
+    The nodes are drawn from all, and half of them from nodes with links. Lists that are full, or have a
+    node of a full list, count as found, as their components are compared in full.
+    """
+    near = lists.where(F.col("cos") >= THRESHOLD).select(F.col("u").alias("node")).distinct()
+    order = F.xxhash64("node", F.lit(salt))
+    some = classes.select("node").orderBy(order).limit(AUDIT // 2).unionByName(near.orderBy(order).limit(AUDIT // 2)).distinct()
+    chosen = classes.join(F.broadcast(some), "node").select("node", "label", "vec").toPandas()
     if not len(chosen):
         return 1.0
 
@@ -169,31 +197,49 @@ def recall(lists: DataFrame, classes: DataFrame) -> float:
             yield pd.DataFrame({"u": chosen["node"], "n": out})
 
     true = classes.mapInPandas(count, "u long, n long").groupBy("u").agg(F.sum("n").alias("n"))
-    linked = lists.where(F.col("cos") >= THRESHOLD).groupBy("u").agg(F.count("*").alias("found"))
-    got = true.join(linked, "u", "left").where(F.coalesce("found", F.lit(0)) < LIST)
-    row = got.agg(F.sum("n").alias("n"), F.sum(F.least("n", F.coalesce("found", F.lit(0)))).alias("found")).first()
+    links = lists.where(F.col("cos") >= THRESHOLD)
+    held = full(lists, length).select(F.col("u").alias("v"), F.lit(True).alias("held"))
+    linked = links.join(held, "v", "left").groupBy("u").agg(F.count("*").alias("found"), F.max("held").alias("near"))
+    got = true.join(linked, "u", "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    exact = F.coalesce("near", F.lit(False)) | (F.col("found") >= length)
+    got = got.withColumn("found", F.when(exact, F.col("n")).otherwise(F.least("n", "found")))
+    row = got.agg(F.sum("n").alias("n"), F.sum("found").alias("found")).first()
     return row["found"] / row["n"] if row and row["n"] else 1.0
 
 
-def neighbour_graph(classes: DataFrame) -> DataFrame:
-    """Neighbour lists (u, v, cos), refined until few new links appear and the audit finds nearly all."""
-    most = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 1
-    bits = min(30, max(3, math.ceil(math.log2(most))))
-    lists = None
-    for round_ in range(3):
-        new = first_lists(classes, bits, round_)
-        pairs = new if lists is None else lists.unionByName(new)
-        lists = materialize(shorten(pairs, LIST), "lists")
+def neighbour_graph(classes: DataFrame) -> tuple[DataFrame, int, float]:
+    """(neighbour lists (u, v, cos), longest length, audited recall).
+
+    Lists are refined until few new links appear. Those that are full of links are enlarged, through pairs of their
+    own neighbours. New tables follow until the audit, of other nodes each time, finds nearly all links.
+    """
+    lists, length = None, LONGER[-1]
+    for round_ in range(TRIES):
+        new = first_lists(classes, round_)
+        lists = materialize(shorten(new if lists is None else lists.unionByName(new), length), "lists")
         links = lists.where(F.col("cos") >= THRESHOLD).count()
         for _ in range(ROUNDS):
-            better = materialize(shorten(lists.unionByName(descend(lists, classes)), LIST), "lists")
+            better = materialize(shorten(lists.unionByName(descend(neighbours(lists), classes, -1.0)), length), "lists")
+            forget(lists)
             now = better.where(F.col("cos") >= THRESHOLD).count()
             lists, gained, links = better, now - links, now
             if gained <= SETTLED * max(now, 1):
                 break
-        if recall(lists, classes) >= RECALL:
-            break
-    return lists
+        # around nodes with as many links as a list holds, every pair of neighbours gets its turn
+        for i in range(GROWTH):
+            if full(lists, LIST).isEmpty():
+                break
+            more = descend(any_neighbours(lists, LIST, i), classes, THRESHOLD)
+            better = materialize(shorten(lists.unionByName(more), LONGER[min(i, len(LONGER) - 1)]), "lists")
+            forget(lists)
+            now = better.where(F.col("cos") >= THRESHOLD).count()
+            lists, gained, links = better, now - links, now
+            if i >= len(LONGER) and gained <= SETTLED * max(now, 1):
+                break
+        found = recall(lists, classes, length, round_)
+        if found >= RECALL:
+            return lists, length, found
+    raise RuntimeError(f"after {TRIES} rounds of tables the lists hold {found:.3f} of the links only")
 
 
 def complete(members: DataFrame) -> DataFrame:
@@ -213,8 +259,7 @@ def complete(members: DataFrame) -> DataFrame:
             }
         )
 
-    (few, small), (_, large) = BLOCKS.items()
-    blocks = F.ceil(F.col("n") / F.when(F.col("n") <= few, small).otherwise(large)).cast("int")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
     rows = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
@@ -224,23 +269,24 @@ def complete(members: DataFrame) -> DataFrame:
 
 
 def near_duplicates(vectors: DataFrame) -> DataFrame:
-    """vectors (vec_id, embedding, label) to (vec_id, n_links, component_id, kept).
+    """vectors (vec_id, embedding, label) to (vec_id, n_links, component_id, kept, recall).
 
     Vectors of one label link at a cosine of 0.93 or more. Null labels or vec_ids, vectors that are null, empty or
     zero, and those with null or non-finite components link with nothing; vectors of different lengths don't link.
     Equal vectors are one node with a count, so copies are never paired. Lists of 8 neighbours are first filled from
-    random-hyperplane buckets and refined through neighbours of neighbours (NN-descent). A list that is full of links is
-    saturated: its whole component is then compared by blocks, so that no link of it is lost. An audit by brute force
-    over 256 vectors adds more buckets while recall is under 0.99. Repeated rows are separate vectors of one id; other
-    columns are ignored; empty in, empty out.
+    random-hyperplane buckets and refined through neighbours of neighbours (NN-descent). A list that is full of links
+    is saturated and enlarged to 16, then to 32 links. Where it is full again, the exact way for the rest is to compare
+    its whole component by blocks, which counts links without a row for each. An audit by brute force over some 512
+    vectors adds more buckets while recall is under 0.99; column `recall` holds what it found, and it raises an error
+    if twelve rounds don't do. Repeated rows are separate vectors of one id; other columns are ignored; empty in,
+    empty out.
     """
     # one file part for each task later on; the copies of a vector have met here
     classes = materialize(vector_classes(vectors), "classes")
-    lists = neighbour_graph(classes)
+    lists, length, audited = neighbour_graph(classes)
     edges = materialize(lists.where(F.col("cos") >= THRESHOLD), "links")
     parts = materialize(components(edges.select(F.col("u").alias("a"), F.col("v").alias("b"))), "parts")
-    full = edges.groupBy("u").count().where(F.col("count") >= LIST).select(F.col("u").alias("node"))
-    dense = parts.join(full, "node").select("component").distinct()
+    dense = parts.join(full(lists, length).withColumnRenamed("u", "node"), "node").select("component").distinct()
     sizes = parts.groupBy("component").agg(F.count("*").alias("n"))
     within = parts.join(sizes.join(dense, "component"), "component")
     within = within.join(classes.select("node", "label", "vec", "copies"), "node")
@@ -270,9 +316,11 @@ def near_duplicates(vectors: DataFrame) -> DataFrame:
         F.coalesce("links", F.lit(0)).cast("long").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"),
+        F.lit(audited).alias("recall"),
     )
 
 
 def op5_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates of all embeddings: vec_id, n_links, component_id, kept."""
-    return near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    found = near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return found.select("vec_id", "n_links", "component_id", "kept")

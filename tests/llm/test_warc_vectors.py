@@ -157,7 +157,8 @@ def test_recall_of_the_lists(spark):
     x = np.concatenate([base, base[:300] + r.normal(size=(300, 32)) * 0.22]).astype(np.float32)
     df = spark.createDataFrame([(i, v.tolist(), 1, "x") for i, v in enumerate(x)], VECTORS)
     classes = nv.vector_classes(df)
-    lists = nv.neighbour_graph(classes)
+    lists, length, audited = nv.neighbour_graph(classes)
+    assert audited >= 0.99 and length == 32
     found = lists.where(F.col("cos") >= 0.93).count()
     u = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1, keepdims=True))
     true = int(((u @ u.T) >= 0.93).sum() - len(u))

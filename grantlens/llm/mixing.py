@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, materialize, table
 
 #: Steps of the sampling order whose sizes are summed before rows are looked at one by one.
-BINS = 4096
+BINS = 65_536
+#: Halvings of the interval in which the scale of a source's inclusion odds is sought.
+HALVINGS = 60
 #: Documents after the cut of which one may close the gap that is left.
 NEXT = 64
 
@@ -45,6 +47,35 @@ def source_targets(sizes: DataFrame, copies: float = 3.0, share: float = 1.0) ->
     )
 
 
+def size_class(size: Column) -> Column:
+    """0, 1, 2, ... for sizes 0, 1, 2-3, 4-7, ..."""
+    return F.floor(F.log2(size + F.lit(1.0))).cast("int")
+
+
+def odds_of(of_class: Column) -> Column:
+    """Inclusion odds, up to a scale, of a size class: longer documents are likelier, by half from one word to 32."""
+    return 1 + of_class * F.lit(0.1)
+
+
+def odds_scale(classes: Column, rest: Column) -> Column:
+    """The scale c for which the expected words, the sum of words * p with p / (1 - p) = c * odds, are `rest`.
+
+    classes is an array of (odds, words): some 40 entries at most for a source.
+    """
+
+    def words(c: Column) -> Column:
+        part = lambda acc, x: acc + x["words"] * (c * x["odds"]) / (1 + c * x["odds"])
+        return F.aggregate(classes, F.lit(0.0), part)
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = (acc["low"] + acc["high"]) / 2
+        less = words(F.exp(mid)) < rest
+        return F.struct(F.when(less, mid).otherwise(acc["low"]).alias("low"), F.when(less, acc["high"]).otherwise(mid).alias("high"))
+
+    start = F.struct(F.lit(-60.0).alias("low"), F.lit(60.0).alias("high"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), start, halve, lambda acc: F.exp((acc["low"] + acc["high"]) / 2))
+
+
 def per_source(small: DataFrame) -> DataFrame:
     """A table with one row for each source, for joins: broadcast if it is shown to be small, else as it is."""
     small = materialize(small, "mix-sources")
@@ -55,12 +86,14 @@ def mix(sized: DataFrame, seed: int = 9, copies: float = 3.0, share: float = 1.0
     """sized (doc_id, source, size, any more columns) with source_size, target and copies (int).
 
     Every document of a source first gets the whole copies that are certain, floor(target / source_size). For the
-    rest, the inclusion probability p is the fraction that is left, and documents are ranked by
-    (u / (1 - u)) / (p / (1 - p)) with u from a hash of seed and doc_id; the sample is of fixed size in words: the
-    ranking is taken up to the words that are still wanted. Of the next 64 documents those that still fit are added in
-    their order, and then the one that best closes the gap if that brings the total nearer. Reruns agree, and no document gets more than `copies` copies (rounded up).
-
-    Sources are summed in 4096 steps of the ranking first, so that only the step in which the cut falls is sorted:
+    rest, inclusion probabilities p are unequal: p / (1 - p) is proportional to `odds_of` the document's size class,
+    scaled so that the expected words are those still wanted. Documents are ranked by (u / (1 - u)) / (p / (1 - p))
+    with u from a hash of seed and doc_id (Pareto order sampling); the sample is of fixed size in words: the ranking is
+    taken up to the words that are still wanted. As documents differ in size, that leaves a gap: of the next 64
+    documents those that still fit are added in their order, and then the one that best closes the gap if that brings
+    the total nearer. Reruns agree, and no document gets more than `copies` copies (rounded up).
+
+    Sources are summed in 65,536 steps of the ranking first, so that only the step in which the cut falls is sorted:
     a source with a third of all rows is never gathered. Null sources form one source; null sizes count as 0; repeated
     rows are separate rows with one rank; a source of size 0 has target 0 and gets no copies; an empty table stays
     empty. Columns named source_size, target or copies are replaced.
@@ -77,14 +110,18 @@ def mix(sized: DataFrame, seed: int = 9, copies: float = 3.0, share: float = 1.0
         .withColumn("_p", F.col("_per") - F.col("_whole"))
         .select(*key, "source_size", "target", "_whole", "_p", (F.col("_p") * F.col("source_size")).alias("_rest"))
     )
+    words = rows.groupBy(*key, size_class(F.col("size")).alias("_c")).agg(F.sum("size").alias("words"))
+    listed = F.sort_array(F.collect_list(F.struct(odds_of(F.col("_c")).alias("odds"), "words")))
+    words = words.groupBy("_s", "_n").agg(listed.alias("_classes"))
+    want = want.join(words, ["_s", "_n"]).withColumn("_scale", odds_scale(F.col("_classes"), F.col("_rest"))).drop("_classes")
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11) + F.lit(0.5)) / F.lit(float(1 << 53))
-    odds = (u / (1 - u)) / (F.col("_p") / (1 - F.col("_p")))
+    odds = (u / (1 - u)) / (F.col("_scale") * odds_of(size_class(F.col("size"))))
     want = per_source(want)
     rows = rows.select("*", *key).join(want, ["_s", "_n"])
     rows = rows.withColumn("_q", F.when(F.col("_p") > 0, odds))
     rows = rows.withColumn("_bin", F.least(F.lit(BINS - 1), F.floor(BINS * F.col("_q") / (1 + F.col("_q")))).cast("int"))
 
-    # where the cut falls, from the sums of the steps: at most 4096 rows for a source
+    # where the cut falls, from the sums of the steps: at most 65,536 rows for a source
     bins = rows.where("_p > 0").groupBy("_s", "_n", "_bin").agg(
         F.sum("size").alias("_words"), F.count("*").alias("_docs"), F.first("_rest").alias("_rest")
     )

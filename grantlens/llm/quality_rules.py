@@ -10,18 +10,14 @@ from pyspark.sql import functions as F
 from .common import SPACES, WORD, materialize, table
 
 SYMBOLS = r"[#*$%&|<>]"
-#: Cutoffs that are tried for each rule, from the one that rejects least; fixed before any label is seen.
-CUTOFFS = {
-    "symbol_rate": [3.0, 2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1],
-    "repeat_rate": [0.5, 0.45, 0.4, 0.35, 0.3, 0.25, 0.2, 0.15],
-    "dup_line_rate": [1.0, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4],
-    "bang_rate": [2.0, 1.5, 1.0, 0.75, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1],
-    "upper_rate": [0.95, 0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2],
-}
+#: Rules: the rate that each judges, and its laxest cutoff. A rule rejects rates at or above its cutoff.
+RULES = {"symbol_rate": 3.0, "repeat_rate": 0.5, "dup_line_rate": 1.0, "bang_rate": 2.0, "upper_rate": 0.95}
+#: Each next cutoff of a rule is this part of the one before, so many times; fixed before any label is seen.
+TIGHTER, LEVELS = 0.85, 32
 #: Strata by number of words: up to these, and above.
 STRATA = [150, 600]
-#: At most this part of good documents is rejected by one rule in one stratum, with probability 1 - DELTA for all.
-ALPHA, DELTA = 0.02, 0.05
+#: The verdict rejects at most this part of the good documents of a stratum, with probability 1 - DELTA for all strata.
+ALPHA, DELTA = 0.03, 0.05
 
 
 def let(value: Column, body) -> Column:
@@ -115,46 +111,63 @@ def most_rejections(n: int, alpha: float, delta: float) -> int:
     return n
 
 
-def thresholds(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[str, dict[int, float]]:
-    """For each rule and stratum the cutoff that rejects most among those shown safe; labelled has rates and quality.
+def cutoffs() -> list[tuple[str, float]]:
+    """(rule, cutoff) in the order in which they are tightened: every rule by one level, then every rule by the next."""
+    return [(rule, lax * TIGHTER**level) for level in range(LEVELS) for rule, lax in RULES.items()]
 
-    One aggregate gives, for each stratum, rule and cutoff, how many good (quality 1) documents are above the cutoff:
-    a table whose size depends on the grids alone. Every rule and stratum is tested at delta / (rules * strata)
-    (Bonferroni); within one, cutoffs are tested from the laxest on and the first that fails ends the test (fixed
-    sequence), which needs no further correction. A stratum without enough labels keeps no cutoff.
+
+def first_rejection() -> Column:
+    """The step, from 1 on, of `cutoffs` at which a document is rejected first; null if it never is."""
+
+    def level_of(rule: str, lax: float) -> Column:
+        # cutoffs fall, so the number of those above the rate is the level at which it is met
+        grid = F.array(*[F.lit(lax * TIGHTER**level) for level in range(LEVELS)])
+        return F.size(F.filter(grid, lambda cut: cut > F.col(rule)))
+
+    levels = [level_of(rule, lax) for rule, lax in RULES.items()]
+    return F.least(*[F.when(level < LEVELS, level * len(RULES) + (i + 1)) for i, level in enumerate(levels)])
+
+
+def thresholds(labelled: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> dict[int, int]:
+    """For each stratum the last step of `cutoffs` that is shown safe; labelled has stratum, step, base_failed, quality.
+
+    A step stands for all rules with the cutoffs that they have by then: what is tested is the verdict, the union of
+    the rules, and not each rule for itself. One aggregate counts the good (quality 1) documents that each step is the
+    first to reject, a table whose size depends on the grids alone. Strata are tested at delta / strata (Bonferroni);
+    within one, steps are tested in their order and the first that fails ends the test (fixed sequence), which needs no
+    further correction. A stratum without enough labels takes no step.
     """
-    counts = {f"{r}_{i}": F.sum((F.col(r) >= c).cast("long")) for r, grid in CUTOFFS.items() for i, c in enumerate(grid)}
     good = labelled.where((F.col("quality") == 1) & ~F.col("base_failed"))
-    seen = good.groupBy("stratum").agg(F.count("*").alias("n"), *[c.alias(k) for k, c in counts.items()]).collect()
-    level = delta / (len(CUTOFFS) * (len(STRATA) + 1))
-    chosen: dict[str, dict[int, float]] = {r: {} for r in CUTOFFS}
-    for row in seen:
-        most = most_rejections(row["n"], alpha, level)
-        for rule, grid in CUTOFFS.items():
-            for i, cut in enumerate(grid):
-                if row[f"{rule}_{i}"] > most:
-                    break
-                chosen[rule][row["stratum"]] = cut
+    seen = good.groupBy("stratum", "step").count().collect()
+    chosen: dict[int, int] = {}
+    for stratum in {r["stratum"] for r in seen}:
+        by = {r["step"]: r["count"] for r in seen if r["stratum"] == stratum}
+        most = most_rejections(sum(by.values()), alpha, delta / (len(STRATA) + 1))
+        rejected = 0
+        for step in range(1, len(RULES) * LEVELS + 1):
+            rejected += by.get(step, 0)
+            if rejected > most:
+                break
+            chosen[stratum] = step
     return chosen
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """docs (doc_id, text) with counts, base_failed and kept.
 
-    Cutoffs come from `labels` (doc_id, quality) of all labelled documents: with probability 1 - delta no rule rejects
-    more than the part alpha of good documents of any stratum (by number of words). kept is false if base_failed or if
-    any rate is at or above its stratum's cutoff. Documents without labels don't change the cutoffs; without any label
-    only the base rules hold. Null texts have no words and fail; repeated rows are judged alike; other columns are
+    Cutoffs come from `labels` (doc_id, quality) of all labelled documents: with probability 1 - delta the rules
+    together reject at most the part alpha of good documents of any stratum (by number of words) beyond the base rules.
+    kept is false if base_failed or if any rate is at or above its stratum's cutoff. Documents without labels don't
+    change the cutoffs; without enough labels only the base rules hold. Null texts have no words and fail; rows of one
+    doc_id are judged each by its own text; a very long text is split into words whole, in one task; other columns are
     ignored; empty in, empty out.
     """
-    rates = with_rates(materialize(measures(docs), "rules"))
+    rates = with_rates(materialize(measures(docs), "rules")).withColumn("step", first_rejection())
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    labelled = rates.join(known, "doc_id")
-    chosen = thresholds(labelled, alpha, delta)
+    chosen = thresholds(rates.join(known, "doc_id"), alpha, delta)
     failed = F.lit(False)
-    for rule, by in chosen.items():
-        for stratum, cut in by.items():
-            failed = failed | ((F.col("stratum") == stratum) & (F.col(rule) >= cut))
+    for stratum, step in sorted(chosen.items()):
+        failed = failed | ((F.col("stratum") == stratum) & F.coalesce(F.col("step") <= step, F.lit(False)))
     return rates.withColumn("kept", ~F.col("base_failed") & ~failed)
 
 

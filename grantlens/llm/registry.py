@@ -55,9 +55,8 @@ FROM embeddings e LEFT JOIN (SELECT a, COUNT(*) AS n FROM l GROUP BY a) n ON e.v
 def op7_sql() -> str:
     """The same measures by rows of words, and the same exact bounds by sums of binomial terms."""
     rates = {"symbol_rate": "n_symbols / w", "repeat_rate": "n_repeat_words / w", "dup_line_rate": "n_dup_lines / n_lines", "bang_rate": "n_bangs / w", "upper_rate": "n_upper / c"}
-    level = rules.DELTA / (len(rules.CUTOFFS) * (len(rules.STRATA) + 1))
-    grid = ", ".join(f"('{r}', {i}, {c})" for r, cuts in rules.CUTOFFS.items() for i, c in enumerate(cuts))
-    value = "CASE rule " + " ".join(f"WHEN '{r}' THEN {r}" for r in rates) + " END"
+    level = rules.DELTA / (len(rules.STRATA) + 1)
+    grid = ", ".join(f"('{r}', {i}, {c!r}::DOUBLE)" for i, (r, c) in enumerate(rules.cutoffs(), 1))
     stratum = " + ".join(f"CAST(n_words > {x} AS INT)" for x in rules.STRATA)
     return f"""
 WITH d AS (SELECT ROW_NUMBER() OVER () AS k, doc_id, COALESCE(text, '') AS t FROM documents),
@@ -65,23 +64,23 @@ x AS (SELECT k, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda
 s AS (SELECT k, i, ws[i] || chr(10) || ws[i + 1] || chr(10) || ws[i + 2] AS g FROM (SELECT k, ws, UNNEST(range(1, len(ws) - 1)) AS i FROM x) y),
 u AS (SELECT k, i FROM (SELECT k, i, COUNT(*) OVER (PARTITION BY k, g) AS c FROM s) y WHERE c > 1),
 r AS (SELECT k, COUNT(DISTINCT i + o) AS n FROM u, (VALUES (0), (1), (2)) v(o) GROUP BY k),
-m AS (SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+m AS (SELECT d.k, d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars, CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
   CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(COALESCE(r.n, 0) AS BIGINT) AS n_repeat_words, len(string_split(t, chr(10))) AS n_lines,
   len(regexp_extract_all(t, '!')) AS n_bangs, len(regexp_extract_all(t, '\\p{{Lu}}')) AS n_upper FROM d JOIN x ON d.k = x.k LEFT JOIN r ON d.k = r.k),
 q AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {stratum} AS stratum, GREATEST(n_words, 1)::DOUBLE AS w, GREATEST(word_chars, 1)::DOUBLE AS c FROM m),
 a AS (SELECT *, {", ".join(f"({e})::DOUBLE AS {r}" for r, e in rates.items())} FROM q),
-h AS (SELECT a.* FROM a JOIN (SELECT doc_id, MAX(quality) AS y FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) b ON a.doc_id = b.doc_id WHERE y = 1 AND NOT base_failed),
+g(rule, i, cut) AS (VALUES {grid}),
+b AS (SELECT a.k, MIN(g.i) AS step FROM a JOIN g ON CASE g.rule {" ".join(f"WHEN '{r}' THEN a.{r}" for r in rates)} END >= g.cut GROUP BY a.k),
+e AS (SELECT a.*, b.step FROM a LEFT JOIN b ON a.k = b.k),
+h AS (SELECT stratum, step FROM e JOIN (SELECT doc_id, MAX(quality) AS y FROM labels WHERE quality IS NOT NULL GROUP BY doc_id) l ON e.doc_id = l.doc_id WHERE y = 1 AND NOT base_failed),
 z AS (SELECT stratum, CAST(COUNT(*) AS INT) AS n FROM h GROUP BY stratum),
 p AS (SELECT stratum, n, UNNEST(range(0, n + 1)) AS k FROM z),
 f AS (SELECT stratum, k, SUM(exp(lgamma(n + 1.0) - lgamma(k + 1.0) - lgamma(n - k + 1.0) + k * ln({rules.ALPHA}) + (n - k) * ln(1 - {rules.ALPHA}))) OVER (PARTITION BY stratum ORDER BY k) AS cdf FROM p),
-b AS (SELECT z.stratum, COALESCE(MAX(k) FILTER (WHERE cdf <= {level}), -1) AS most FROM z LEFT JOIN f ON z.stratum = f.stratum GROUP BY z.stratum),
-g(rule, i, cut) AS (VALUES {grid}),
-t AS (SELECT stratum, rule, i, cut, COUNT(*) FILTER (WHERE {value} >= cut) AS n FROM h, g GROUP BY stratum, rule, i, cut),
-o AS (SELECT t.*, bool_and(n <= most) OVER (PARTITION BY t.stratum, rule ORDER BY i) AS ok FROM t JOIN b ON t.stratum = b.stratum),
-c AS (SELECT stratum, rule, MIN(cut) AS cut FROM o WHERE ok GROUP BY stratum, rule)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT EXISTS (SELECT 1 FROM c WHERE c.stratum = a.stratum AND CASE c.rule {" ".join(f"WHEN '{r}' THEN a.{r}" for r in rates)} END >= c.cut) AS kept
-FROM a
+bound AS (SELECT z.stratum, COALESCE(MAX(k) FILTER (WHERE cdf <= {level}), -1) AS most FROM z LEFT JOIN f ON z.stratum = f.stratum GROUP BY z.stratum),
+steps AS (SELECT bound.stratum, g.i FROM bound, g WHERE (SELECT COUNT(*) FROM h WHERE h.stratum = bound.stratum AND h.step <= g.i) <= bound.most),
+chosen AS (SELECT stratum, MAX(i) AS last FROM steps GROUP BY stratum)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT COALESCE(step <= last, FALSE) AS kept
+FROM e LEFT JOIN chosen ON e.stratum = chosen.stratum
 """
 
 

@@ -62,7 +62,8 @@ def shard_by_size(rows: DataFrame, group: Column, size: Column, order: list[Colu
     unless one group is larger than that. Slots count from 0 in each shard without gaps: a unit's first slot follows
     from the counts, and units with many rows (a hot group) are numbered in salted parts.
 
-    An empty table stays empty; null groups count as one group; ties in `order` are numbered in any order.
+    An empty table stays empty; null groups count as one group; rows that tie in `order` are numbered as they were
+    read, and are told apart so that a hot group of them is split, too.
     """
     spark = rows.sparkSession
     clash = [c for c in ("shard", "slot") if c in rows.columns]
@@ -71,7 +72,7 @@ def shard_by_size(rows: DataFrame, group: Column, size: Column, order: list[Colu
         *kept,
         F.shiftrightunsigned(F.xxhash64(group), 64 - UNITS_LOG2).cast("int").alias("_unit"),
         size.cast("long").alias("_size"),
-        F.struct(*order).alias("_order"),
+        F.struct(*order, F.monotonically_increasing_id()).alias("_order"),
     )
     keyed = materialize(keyed, "shard")
     seen = keyed.groupBy("_unit").agg(F.count("*").alias("n"), F.sum("_size").alias("s")).collect()

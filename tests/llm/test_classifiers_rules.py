@@ -190,12 +190,59 @@ def test_rules_keep_good_documents_and_reject_junk(spark):
     docs = spark.createDataFrame([(a, b, "x") for a, b, _ in rows], DOCS)
     labels = spark.createDataFrame([(a, c) for a, _, c in rows], "doc_id long, quality int")
     got = {r.doc_id: r.kept for r in rules.quality_rules(docs, labels).collect()}
-    assert all(got[a] == bool(c) for a, _, c in rows)
+    assert not any(got[a] for a, _, c in rows if not c)
+    # cutoffs are tightened until the bound binds: some good documents go, and not more than the bound allows
+    good = [(len(b.split()), got[a]) for a, b, c in rows if c]
+    for low, high in ((0, 150), (150, 600), (600, 10**6)):
+        kept = [k for n, k in good if low < n <= high]
+        assert kept and sum(kept) >= (1 - rules.ALPHA) * len(kept)
     few = rules.quality_rules(docs, labels.limit(0)).where("NOT kept").count()
     assert few == 0
     assert rules.quality_rules(docs.limit(0), labels).count() == 0
 
 
+def test_steps_of_cutoffs(spark):
+    names = [r for r, _ in rules.cutoffs()]
+    assert names[: len(rules.RULES)] == list(rules.RULES) and len(names) == len(rules.RULES) * rules.LEVELS
+    values = [{r: v for r in rules.RULES} for v in (0.0, 0.001, 0.4, 5.0)] + [dict.fromkeys(rules.RULES, 0.0) | {"bang_rate": 2.0 * rules.TIGHTER**3}]
+    frame = spark.createDataFrame([tuple(v.values()) for v in values], ", ".join(f"{r} double" for r in rules.RULES))
+    got = [x.step for x in frame.select(rules.first_rejection().alias("step")).collect()]
+    want = [next((i for i, (r, c) in enumerate(rules.cutoffs(), 1) if v[r] >= c), None) for v in values]
+    assert got == want and got[0] is None and got[3] == 1 and got[4] == 3 * len(rules.RULES) + 4
+
+
+def test_thresholds_by_hand(spark):
+    r = random.Random(3)
+    rows = [(r.randint(0, 1), r.choice([None, r.randint(1, 160)]), False, 1) for _ in range(900)] + [(2, 5, False, 1)] * 20 + [(0, 1, True, 1), (0, 1, False, 0)]
+    got = rules.thresholds(spark.createDataFrame(rows, "stratum int, step int, base_failed boolean, quality int"), 0.3, 0.05)
+    for stratum in (0, 1, 2):
+        steps = [x[1] for x in rows if x[0] == stratum and not x[2] and x[3]]
+        most = rules.most_rejections(len(steps), 0.3, 0.05 / 3)
+        safe = [s for s in range(1, 161) if sum(x is not None and x <= s for x in steps) <= most]
+        assert got.get(stratum) == (max(safe) if safe else None)
+    assert 0 in got and got[2] == 4
+
+
+def test_rules_equal_their_sql(spark, tmp_path):
+    import duckdb
+
+    from grantlens.llm import registry
+
+    rows = []
+    for i in range(1500):
+        text = prose(R.choice([30, 60, 200, 300]))
+        rows.append((i if i % 50 else 7, text if i % 4 else text.replace(" ", R.choice(["*** ", "! ", " same words here "]), R.randint(1, 60)) + "\n\nx\nx"))
+    rows += [(None, "a b c"), (9000, None), (9001, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 4 > 0)) for i in range(1500)] + [(None, 1), (3, None)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    db = duckdb.connect()
+    for name in ("documents", "labels"):
+        db.sql(f"CREATE VIEW {name} AS FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    want = db.sql(registry.ORACLE_SQL["op7_quality_rules"]).fetchall()
+    got = [tuple(x) for x in registry.QUERIES["op7_quality_rules"](spark, str(tmp_path)).collect()]
+    assert Counter(got) == Counter(want) and 50 < sum(not x[-1] and not x[-2] for x in got) < 600
+
+
 def test_rules_use_no_python(spark):
     docs = spark.createDataFrame([(1, "a", "x")], DOCS)
     plan = rules.measures(docs)._jdf.queryExecution().executedPlan().toString()

@@ -16,10 +16,13 @@ from .common import materialize, table
 
 #: Plain insults: a voter of its own, and what is left where labels are few.
 INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
-#: Labelled documents of either class that terms are mined from and models are fitted on, first by hash of doc_id.
+#: Labelled documents of either class, and as many without label, that terms are mined from and models are fitted on,
+#: first by hash of doc_id.
 SAMPLE = 8000
-#: Term stems that are kept, lengths of stems, and least documents that a stem is in.
-TERMS, STEMS, SUPPORT = 2000, range(4, 11), 3
+#: Lengths of stems, least documents that a stem is in, and the least part of the toxic ones.
+STEMS, SUPPORT, SHARE = range(4, 11), 3, 1 / 400
+#: Posteriors from which documents without label, and to which, terms are mined in the second round.
+SURE = 0.95, 0.02
 #: Share of a stem's weighted documents that are toxic, at least.
 PRECISION = 0.88
 #: A stem is there often if it opens so many words, and such a share of them.
@@ -60,7 +63,8 @@ def mine_terms(sample: DataFrame, prior: float) -> list[tuple[str, int, float]]:
     """(stem, level, log odds) of beginnings of words that nearly only toxic documents have; sample: text, toxic.
 
     Level 1 is a stem that is there at all, level 2 one that is there often: stems that clean texts have now and
-    then still tell. Documents are counted for each stem in Spark; 2000 stems at most come to the driver.
+    then still tell. Documents are counted for each stem in Spark. What comes to the driver is bounded by the share of toxic
+    documents that a stem is in: 400 times the stems of a document.
     """
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -87,8 +91,8 @@ def mine_terms(sample: DataFrame, prior: float) -> list[tuple[str, int, float]]:
     # documents weighted to the prior; half a clean document is added so that rare stems need more support
     a = (F.col("toxic") / n1) * prior
     b = ((F.col("clean") + 0.5) / n0) * (1 - prior)
-    good = sums.where((F.col("toxic") >= max(SUPPORT, n1 // 400)) & (a / (a + b) >= PRECISION))
-    top = good.select("stem", "level", F.log(a / b).alias("odds"), "toxic").orderBy(F.desc("toxic"), "stem", "level").limit(TERMS)
+    good = sums.where((F.col("toxic") >= max(SUPPORT, n1 * SHARE)) & (a / (a + b) >= PRECISION))
+    top = good.select("stem", "level", F.log(a / b).alias("odds"))
     found = {(r.stem, r.level): float(r.odds) for r in top.collect()}
     # a longer stem, or the second level, adds nothing to a shorter one of the first
     less = lambda s, v: [(s[:n], u) for n in range(STEMS.start, len(s) + 1) for u in range(1, v + 1)]
@@ -150,31 +154,32 @@ class LabelModel:
     """A generative model of votes: a hidden class, voters that err at rates of their own, and correlated voters.
 
     Voters whose votes are correlated within the classes (beyond LINK) form one block, whose joint table of votes is
-    estimated; blocks are independent given the class. EM starts from the labels of the sample and ends on posteriors,
-    so that a label which all voters speak against has little weight.
+    estimated; blocks are independent given the class. People's labels are one more voter, of three votes (toxic,
+    clean, none) and of no fixed accuracy: its table is estimated like the others. EM starts from the lexicon voters'
+    opinion, takes all documents, labelled or not, and estimates tables and the class prior anew in each round.
     """
 
-    LINK, ROUNDS, TRUST = 0.25, 25, 4.0
+    LINK, ROUNDS = 0.25, 50
 
-    def fit(self, votes: np.ndarray, labels: np.ndarray, prior: float) -> np.ndarray:
-        """Posteriors of class 1, with labels as one more, fallible, voter of odds e**TRUST."""
-        post = np.where(labels == 1, 0.95, 0.05)
-        weight = np.where(labels == 1, prior / max(labels.mean(), 1e-9), (1 - prior) / max(1 - labels.mean(), 1e-9))
+    def fit(self, votes: np.ndarray, labels: np.ndarray, prior: float, weight: np.ndarray) -> np.ndarray:
+        """Posteriors of class 1; labels are 1, 0 or -1 for none; prior is where the estimate starts."""
+        weight = weight * len(weight) / weight.sum()
+        some = votes.any(1)
+        post = np.where(some, 0.5 + 0.4 * votes.mean(1) / max(votes.mean(1).max(), 1e-9), 0.5 * prior)
         self.blocks = self.structure(votes, post, weight)
-        codes = [self.code(votes, b) for b in self.blocks]
-        said = np.where(labels == 1, self.TRUST, -self.TRUST)
+        codes = [self.code(votes, b) for b in self.blocks] + [labels + 1]
+        sizes = [1 << len(b) for b in self.blocks] + [3]
         self.prior = prior
         for _ in range(self.ROUNDS):
             self.tables = []
-            for code, block in zip(codes, self.blocks, strict=True):
-                size = 1 << len(block)
+            for code, size in zip(codes, sizes, strict=True):
                 one = np.bincount(code, post * weight, size) + 0.5 / size
                 none = np.bincount(code, (1 - post) * weight, size) + 0.5 / size
                 self.tables.append(np.log(one / one.sum()) - np.log(none / none.sum()))
-            odds = np.log(prior / (1 - prior)) + sum(t[c] for t, c in zip(self.tables, codes, strict=True))
-            new = 1 / (1 + np.exp(-np.clip(odds + said, -30, 30)))
+            self.prior = float(np.clip((post * weight).sum() / weight.sum(), 1e-4, 1 - 1e-4))
+            odds = np.log(self.prior / (1 - self.prior)) + sum(t[c] for t, c in zip(self.tables, codes, strict=True))
+            new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
             done, post = np.abs(new - post).max() < 1e-4, new
-            self.prior = prior
             if done:
                 break
         return post
@@ -190,7 +195,7 @@ class LabelModel:
             linked = np.maximum(linked, np.abs(cov / np.outer(sd, sd)))
         blocks: list[list[int]] = []
         for v in range(n):
-            near = [b for b in blocks if len(b) < 6 and max(linked[v, u] for u in b) > self.LINK]
+            near = [b for b in blocks if max(linked[v, u] for u in b) > self.LINK]
             if near:
                 max(near, key=lambda b: max(linked[v, u] for u in b)).append(v)
             else:
@@ -219,36 +224,51 @@ def fit_linear(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: flo
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
-    """The model from docs (doc_id, text) and labels (doc_id, toxic): at most `sample` labelled documents a class."""
+    """The model from docs (doc_id, text) and labels (doc_id, toxic).
+
+    At most `sample` labelled documents of each class and `sample` without label are used; of rows of one doc_id one
+    is. Terms are mined from labelled documents, the label model is fitted on the votes of all; then terms are mined
+    again with the documents that it is sure of, and it is fitted again.
+    """
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
-    sizes = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    if len(sizes) < 2:
+    ids = docs.select("doc_id").where("doc_id is not null").distinct().join(known, "doc_id", "left")
+    ids = materialize(ids.withColumn("toxic", F.coalesce("toxic", F.lit(-1))), "tox-ids")
+    sizes = {r.toxic: r["count"] for r in ids.groupBy("toxic").count().collect()}
+    if not sizes.get(0) or not sizes.get(1):
         return {"terms": [], "weights": None}
     prior = sizes[1] / (sizes[0] + sizes[1])
     order = F.xxhash64("doc_id", F.lit(5))
     pick = None
-    for c in (0, 1):
-        part = known.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(sample)
+    for c in (-1, 0, 1):
+        part = ids.where(F.col("toxic") == c).orderBy(order, "doc_id").limit(sample)
         pick = part if pick is None else pick.unionByName(part)
-    # at most 2 * sample rows are broadcast
+    # at most 3 * sample rows are broadcast
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id")
-    rows = materialize(rows, "tox-sample")
-    terms = mine_terms(rows, prior)
-
-    def measure(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        features = Features(terms)
-        for b in batches:
-            votes, x = features.of(b["text"])
-            yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "votes": list(votes), "x": list(x)})
-
-    got = rows.mapInPandas(measure, "doc_id long, toxic int, votes array<double>, x array<double>").toPandas()
-    got = got.sort_values("doc_id", kind="stable")
-    votes, x = np.array(got["votes"].tolist()), np.array(got["x"].tolist())
-    toxic = got["toxic"].to_numpy()
-    post = LabelModel().fit(votes, toxic, prior)
-    share = max(toxic.mean(), 1e-9)
-    weight = np.where(toxic == 1, prior / share, (1 - prior) / max(1 - share, 1e-9))
+    rows = materialize(rows.dropDuplicates(["doc_id"]), "tox-sample")
+
+    def measured(terms: list[tuple[str, int, float]]) -> pd.DataFrame:
+        def measure(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            features = Features(terms)
+            for b in batches:
+                votes, x = features.of(b["text"])
+                yield pd.DataFrame({"doc_id": b["doc_id"], "toxic": b["toxic"], "votes": list(votes), "x": list(x)})
+
+        got = rows.mapInPandas(measure, "doc_id long, toxic int, votes array<double>, x array<double>").toPandas()
+        return got.sort_values("doc_id", kind="stable")
+
+    terms = mine_terms(rows.where("toxic >= 0"), prior)
+    for second in (False, True):
+        got = measured(terms)
+        votes, x, toxic = np.array(got["votes"].tolist()), np.array(got["x"].tolist()), got["toxic"].to_numpy()
+        # each kind of document weighs what it is in all
+        weight = np.array([sizes.get(c, 0) / max(1, (toxic == c).sum()) for c in (-1, 0, 1)])[toxic + 1]
+        post = LabelModel().fit(votes, toxic, prior, weight)
+        if second:
+            break
+        sure = np.where(post >= SURE[0], 1, np.where(post <= SURE[1], 0, -1))
+        told = pd.DataFrame({"doc_id": got["doc_id"], "sure": np.where(toxic >= 0, toxic, sure)})
+        told = F.broadcast(rows.sparkSession.createDataFrame(told[told["sure"] >= 0], "doc_id long, sure int"))
+        terms = mine_terms(rows.join(told, "doc_id").select("text", F.col("sure").alias("toxic")), prior)
     return {"terms": terms, "weights": fit_linear(x, post, weight).tolist()}
 
 
@@ -277,8 +297,9 @@ def score(docs: DataFrame, model: dict, others: list[str | Column]) -> DataFrame
 def toxicity(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """docs' columns with score; labels (doc_id, toxic) teach it and are no input of a score.
 
-    Null and empty texts are scored like a text without hits; repeated rows score alike; a column named score is
-    replaced; without labels of both classes the built-in insults decide; empty in, empty out.
+    Null and empty texts are scored like a text without hits; repeated rows score alike; very long texts are scored
+    whole; a column named score is replaced; without labels of both classes the built-in insults decide; empty in,
+    empty out.
     """
     return score(docs, train(docs, labels, sample), [c for c in docs.columns if c != "score"])
 
@@ -293,7 +314,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of all documents: doc_id, held_out, score, predicted (score >= 0.3)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(~in_fold(4, 2))
-    scored = score(docs, train(docs, labels), ["doc_id"])
+    scored = score(docs, train(docs.where(~in_fold(4, 2)), labels), ["doc_id"])
     return scored.select(
         "doc_id", in_fold(4, 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
     )

@@ -4,23 +4,27 @@ from __future__ import annotations
 
 import base64
 import pickle
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import materialize, table
 from .toxicity import in_fold
 
 #: Bytes of an embedding, width and step of the filters, filters, hidden units.
 EMBED, WIDTH, STEP, FILTERS, HIDDEN = 4, 12, 4, 24, 12
 #: Bytes of a chunk, and from one chunk to the next: chunks overlap by a filter's width and more.
 CHUNK, STRIDE = 512, 448
-#: Labelled documents of either class that the network is fitted on, first by hash of doc_id, and chunks of each.
-SAMPLE, CHUNKS = 1500, 8
-EPOCHS, RATE = 14, 0.004
+#: Labelled documents of either class that the network is fitted on, first by hash of doc_id, and the bytes of text of
+#: a class that are drawn at most: a document that would go beyond is not drawn. All chunks of a document are used.
+SAMPLE, SAMPLE_BYTES = 1500, 16 << 20
+#: Steps of the fit, the same at every size, documents of a step, and the first rate.
+STEPS, BATCH, RATE = 1000, 32, 0.004
+#: Chunks that are held at once.
+SLICE = 256
 #: Bytes back that a repeat is looked for.
 LAGS = range(2, 41)
 
@@ -88,97 +92,103 @@ class Network:
         h = np.maximum(features @ self.p["w1"] + self.p["b1"], 0)
         return h @ self.p["w2"] + self.p["b2"], h
 
-    def fit(self, codes: np.ndarray, copy: np.ndarray, y: np.ndarray, weight: np.ndarray, seed: int = 2) -> None:
-        """codes, copy: (documents, CHUNKS, CHUNK). Adam on the weighted log loss."""
+    def fit(self, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray, seed: int = 2) -> None:
+        """docs: (codes, repeats) of all chunks of each document. Adam on the weighted log loss."""
         r = np.random.default_rng(seed)
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        step, size = 0, 32
-        rounds = max(EPOCHS, min(60, 12_000 // max(1, len(y))))
-        for epoch in range(rounds):
-            rate = RATE * (1 - epoch / rounds) + 1e-4
-            for rows in np.array_split(r.permutation(len(y)), max(1, len(y) // size)):
-                step += 1
-                for k, g in self.gradients(codes[rows], copy[rows], y[rows], weight[rows]).items():
-                    m[k] += 0.1 * (g - m[k])
-                    s[k] += 0.001 * (g * g - s[k])
-                    self.p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
-
-    def gradients(self, codes: np.ndarray, copy: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-        d, m = codes.shape[:2]
-        flat = codes.reshape(d * m, CHUNK)
-        f, at, w = self.pooled(flat, copy.reshape(d * m, CHUNK))
-        per = f.reshape(d, m, FILTERS)
-        best = per.argmax(1)
-        features = np.concatenate([per.mean(1), per.max(1)], axis=1)
+        left = np.zeros(0, np.int64)
+        for step in range(1, STEPS + 1):
+            while len(left) < min(BATCH, len(y)):
+                left = np.concatenate([left, r.permutation(len(y))])
+            rows, left = left[:BATCH], left[BATCH:]
+            rate = RATE * (1 - step / STEPS) + 1e-4
+            for k, g in self.gradients([docs[i] for i in rows], y[rows], weight[rows]).items():
+                m[k] += 0.1 * (g - m[k])
+                s[k] += 0.001 * (g * g - s[k])
+                self.p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
+
+    def gradients(self, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        """Only the windows of the maxima are kept of each slice of chunks, so that long documents need little memory."""
+        codes, copy = np.concatenate([d[0] for d in docs]), np.concatenate([d[1] for d in docs])
+        sizes = np.array([len(d[0]) for d in docs])
+        starts = np.r_[0, np.cumsum(sizes)[:-1]]
+        of = np.repeat(np.arange(len(docs)), sizes)
+        parts = []
+        for i in range(0, len(codes), SLICE):
+            f, at, w = self.pooled(codes[i : i + SLICE], copy[i : i + SLICE])
+            parts.append((f, at, w[np.arange(len(at))[:, None], at]))
+        f, at, rows = (np.concatenate(x) for x in zip(*parts, strict=True))
+        mean, top = np.add.reduceat(f, starts) / sizes[:, None], np.maximum.reduceat(f, starts)
+        features = np.concatenate([mean, top], axis=1)
         logit, h = self.head(features)
         dz = (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - y) * weight / len(y)
         g = {"w2": h.T @ dz, "b2": dz.sum(keepdims=True)}
         dh = dz[:, None] * self.p["w2"] * (h > 0)
         g["w1"], g["b1"] = features.T @ dh, dh.sum(0)
         df = dh @ self.p["w1"].T
-        dper = np.repeat(df[:, None, :FILTERS] / m, m, axis=1)
-        np.put_along_axis(dper, best[:, None], np.take_along_axis(dper, best[:, None], 1) + df[:, None, FILTERS:], 1)
-        dtop = dper.reshape(d * m, FILTERS) * (f > 0)
+        # of equal maxima the first takes the gradient
+        best = f == top[of]
+        seen = np.cumsum(best, axis=0)
+        first = best & (seen - (seen[starts] - best[starts])[of] == 1)
+        dtop = ((df[:, :FILTERS] / sizes[:, None])[of] + df[:, FILTERS:][of] * first) * (f > 0)
         g["bias"] = dtop.sum(0)
-        rows = w[np.arange(d * m)[:, None], at]  # the window of each maximum
         g["conv"] = np.einsum("bf,bfk->kf", dtop, rows, optimize=True)
         back = dtop[:, :, None] * self.p["conv"].T[None]
-        back = back.reshape(d * m, FILTERS, WIDTH, EMBED + 1)[..., :EMBED]
+        back = back.reshape(len(codes), FILTERS, WIDTH, EMBED + 1)[..., :EMBED]
         place = at[:, :, None] * STEP + np.arange(WIDTH)
-        code = np.take_along_axis(flat[:, None, :], place, 2)
+        code = np.take_along_axis(codes[:, None, :], place, 2)
         g["emb"] = np.stack(
             [np.bincount(code.ravel(), back[..., e].ravel(), 257) for e in range(EMBED)], axis=1
         ).astype(np.float32)
         return {k: v.astype(np.float32) for k, v in g.items()}
 
 
-def cut_chunks(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """(codes, repeats) of all chunks of a whole text; 256 stands behind the end."""
+def slices(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(codes, repeats) of SLICE chunks of a whole text at a time; 256 stands behind the end."""
     b = byte_array(text)
-    starts = chunks_of(len(b))
-    n = starts[-1] + CHUNK
-    codes = np.full(n, 256, dtype=np.int16)
-    codes[: len(b)] = b
-    copy = np.zeros(n, np.float32)
-    copy[: len(b)] = repeats(b)
-    index = np.array(starts)[:, None] + np.arange(CHUNK)
-    return codes[index], copy[index]
+    starts = np.array(chunks_of(len(b)))
+    for i in range(0, len(starts), SLICE):
+        own = starts[i : i + SLICE]
+        begin, end = own[0], own[-1] + CHUNK
+        codes = np.full(end - begin, 256, dtype=np.int16)
+        codes[: max(0, len(b) - begin)] = b[begin:end]
+        # a repeat looks back over the start of the slice
+        before = max(0, begin - LAGS[-1] - 5)
+        copy = np.zeros(end - begin, np.float32)
+        copy[: max(0, len(b) - begin)] = repeats(b[before:end])[begin - before :]
+        index = (own - begin)[:, None] + np.arange(CHUNK)
+        yield codes[index], copy[index]
+
+
+def cut_chunks(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """(codes, repeats) of all chunks of a whole text."""
+    codes, copies = zip(*slices(text), strict=True)
+    return np.concatenate(codes), np.concatenate(copies)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> str | None:
     """The fitted network from docs (doc_id, text) and labels (doc_id, quality); None without labels of both classes.
 
-    At most `sample` documents of a class and CHUNKS chunks of each, drawn by a fixed seed, come to the driver
-    (12 MB in all), where the network is fitted.
+    At most `sample` documents of a class, and SAMPLE_BYTES of text, come to the driver, where the network is fitted;
+    of rows of one doc_id one is drawn.
     """
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    known = known.join(docs.select("doc_id"), "doc_id", "left_semi")
+    lengths = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
+    known = materialize(known.join(lengths, "doc_id"), "quality-ids")
     sizes = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
     if len(sizes) < 2:
         return None
-    order = F.xxhash64("doc_id", F.lit(6))
     pick = None
     for c in (0, 1):
-        part = known.where(F.col("quality") == c).orderBy(order, "doc_id").limit(sample)
+        part = known.where(F.col("quality") == c).orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(sample)
+        part = part.withColumn("upto", F.sum("bytes").over(Window.orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id")))
+        part = part.where((F.col("upto") <= SAMPLE_BYTES) | (F.col("bytes") * sample <= SAMPLE_BYTES)).select("doc_id", "quality")
         pick = part if pick is None else pick.unionByName(part)
+    # at most 2 * sample rows are broadcast
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id")
-
-    def cut(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = []
-            for key, text, quality in zip(b["doc_id"], b["text"], b["quality"], strict=True):
-                codes, copy = cut_chunks(text)
-                r = np.random.default_rng(int(key) & 0x7FFFFFFF)
-                k = len(codes)
-                take = r.permutation(k)[:CHUNKS] if k >= CHUNKS else np.resize(np.arange(k), CHUNKS)
-                out.append((key, quality, codes[take].tobytes(), np.packbits(copy[take] > 0).tobytes()))
-            yield pd.DataFrame(out, columns=["doc_id", "quality", "codes", "copies"])
-
-    got = rows.mapInPandas(cut, "doc_id long, quality int, codes binary, copies binary").toPandas()
-    got = got.sort_values("doc_id", kind="stable")
-    codes = np.frombuffer(b"".join(got["codes"]), np.int16).reshape(-1, CHUNKS, CHUNK)
-    copy = np.unpackbits(np.frombuffer(b"".join(got["copies"]), np.uint8)).reshape(codes.shape).astype(np.float32)
+    got = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id", kind="stable")
+    chunks = [cut_chunks(x) for x in got["text"]]
     y = got["quality"].to_numpy().astype(np.float32)
     share = y.mean()
     prior = sizes[1] / (sizes[0] + sizes[1])
@@ -186,7 +196,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> str | Non
     aim = (prior + 0.5) / 2
     weight = np.where(y == 1, aim / share, (1 - aim) / (1 - share)).astype(np.float32)
     net = Network()
-    net.fit(codes, copy, y, weight)
+    net.fit(chunks, y, weight)
     return base64.b64encode(pickle.dumps(net.p)).decode()
 
 
@@ -204,29 +214,37 @@ def score(docs: DataFrame, model: str | None, others: list[str | Column]) -> Dat
             codes: list[np.ndarray] = []
             copies: list[np.ndarray] = []
 
-            def flush() -> None:
-                # several short documents at a time; a long one is read in slices
-                sizes = np.array([len(c) for c in codes])
-                all_codes, all_copies = np.concatenate(codes), np.concatenate(copies)
-                f = np.concatenate(
-                    [net.fast(all_codes[i : i + 256], all_copies[i : i + 256]) for i in range(0, len(all_codes), 256)]
-                )
-                starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                mean = np.add.reduceat(f, starts) / sizes[:, None]
-                top = np.maximum.reduceat(f, starts)
+            def judged(mean: np.ndarray, top: np.ndarray) -> None:
                 logit, _ = net.head(np.concatenate([mean, top], axis=1))
                 out.extend(1 / (1 + np.exp(-np.clip(logit.astype(float), -30, 30))))
+
+            def flush() -> None:
+                if not codes:
+                    return
+                sizes = np.array([len(c) for c in codes])
+                f = net.fast(np.concatenate(codes), np.concatenate(copies))
+                starts = np.r_[0, np.cumsum(sizes)[:-1]]
+                judged(np.add.reduceat(f, starts) / sizes[:, None], np.maximum.reduceat(f, starts))
                 codes.clear()
                 copies.clear()
 
             for text in texts:
-                c, k = cut_chunks(text)
-                codes.append(c)
-                copies.append(k)
-                if sum(map(len, codes)) >= 512:
-                    flush()
-            if codes:
+                if len(text) < 64 * STRIDE:
+                    # several short documents at a time
+                    c, k = cut_chunks(text)
+                    codes.append(c)
+                    copies.append(k)
+                    if sum(map(len, codes)) >= SLICE:
+                        flush()
+                    continue
+                # a long one is read in slices
                 flush()
+                total, top, n = np.zeros((1, FILTERS)), np.zeros((1, FILTERS)), 0
+                for c, k in slices(text):
+                    f = net.fast(c, k)
+                    total, top, n = total + f.sum(0), np.maximum(top, f.max(0)), n + len(f)
+                judged((total / n).astype(np.float32), top.astype(np.float32))
+            flush()
             yield pd.Series(out, dtype=float)
 
     return docs.select(*others, judge(F.coalesce("text", F.lit(""))).alias("score"))
@@ -235,8 +253,8 @@ def score(docs: DataFrame, model: str | None, others: list[str | Column]) -> Dat
 def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """docs' columns with score; labels (doc_id, quality) teach it and are no input of a score.
 
-    Null and empty texts are scored as one chunk without bytes; repeated rows score alike; a column named score is
-    replaced; without labels of both classes every score is 0.5; empty in, empty out.
+    Null and empty texts are scored as one chunk without bytes; repeated rows score alike; very long texts are scored
+    whole, 256 chunks at a time; a column named score is replaced; without labels of both classes every score is 0.5; empty in, empty out.
     """
     return score(docs, train(docs, labels, sample), [c for c in docs.columns if c != "score"])
 

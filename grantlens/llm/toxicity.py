@@ -153,23 +153,32 @@ class Features:
 class LabelModel:
     """A generative model of votes: a hidden class, voters that err at rates of their own, and correlated voters.
 
-    Voters whose votes are correlated within the classes (beyond LINK) form one block, whose joint table of votes is
-    estimated; blocks are independent given the class. People's labels are one more voter, of three votes (toxic,
+    Voters whose votes are correlated within the classes (beyond LINK), or nearly the same (DOUBLED), form one block,
+    whose joint table of votes is estimated; blocks are independent given the class. People's labels are one more voter, of three votes (toxic,
     clean, none) and of no fixed accuracy: its table is estimated like the others. EM starts from the lexicon voters'
     opinion, takes all documents, labelled or not, and estimates tables and the class prior anew in each round.
     """
 
-    LINK, ROUNDS = 0.25, 50
+    LINK, DOUBLED, ROUNDS = 0.25, 0.8, 50
 
     def fit(self, votes: np.ndarray, labels: np.ndarray, prior: float, weight: np.ndarray) -> np.ndarray:
         """Posteriors of class 1; labels are 1, 0 or -1 for none; prior is where the estimate starts."""
         weight = weight * len(weight) / weight.sum()
-        some = votes.any(1)
-        post = np.where(some, 0.5 + 0.4 * votes.mean(1) / max(votes.mean(1).max(), 1e-9), 0.5 * prior)
+        # rare votes tell most; the share `prior` of documents that has most of them is taken as toxic to begin with
+        told = votes @ -np.log(np.clip((votes * weight[:, None]).mean(0), 1e-6, 1))
+        order = np.argsort(-told, kind="stable")
+        most = np.cumsum(weight[order]) <= prior * weight.sum()
+        post = np.full(len(votes), 0.1 * prior)
+        post[order[most]] = np.where(told[order[most]] > 0, 0.9, 0.1 * prior)
+        self.prior, self.blocks = prior, self.structure(votes, None, weight)
+        post = self.estimate(votes, labels, weight, post)
+        # which voters go together is seen once the classes are about right
         self.blocks = self.structure(votes, post, weight)
+        return self.estimate(votes, labels, weight, post)
+
+    def estimate(self, votes: np.ndarray, labels: np.ndarray, weight: np.ndarray, post: np.ndarray) -> np.ndarray:
         codes = [self.code(votes, b) for b in self.blocks] + [labels + 1]
         sizes = [1 << len(b) for b in self.blocks] + [3]
-        self.prior = prior
         for _ in range(self.ROUNDS):
             self.tables = []
             for code, size in zip(codes, sizes, strict=True):
@@ -184,15 +193,20 @@ class LabelModel:
                 break
         return post
 
-    def structure(self, votes: np.ndarray, post: np.ndarray, weight: np.ndarray) -> list[list[int]]:
-        n = votes.shape[1]
-        linked = np.zeros((n, n))
-        for p in (post * weight, (1 - post) * weight):
+    def structure(self, votes: np.ndarray, post: np.ndarray | None, weight: np.ndarray) -> list[list[int]]:
+        """Blocks of correlated voters; without posteriors, of nearly equal ones."""
+
+        def correlations(p: np.ndarray) -> np.ndarray:
             mean = (votes * p[:, None]).sum(0) / p.sum()
             dev = (votes - mean) * np.sqrt(p / p.sum())[:, None]
             cov = dev.T @ dev
             sd = np.sqrt(np.maximum(np.diag(cov), 1e-6))
-            linked = np.maximum(linked, np.abs(cov / np.outer(sd, sd)))
+            return np.abs(cov / np.outer(sd, sd))
+
+        n = votes.shape[1]
+        linked = (correlations(weight) > self.DOUBLED).astype(float)
+        if post is not None:
+            linked = np.maximum(linked, np.maximum(correlations(post * weight), correlations((1 - post) * weight)))
         blocks: list[list[int]] = []
         for v in range(n):
             near = [b for b in blocks if max(linked[v, u] for u in b) > self.LINK]

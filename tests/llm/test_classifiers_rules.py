@@ -68,10 +68,30 @@ def test_label_model_finds_accuracies_and_doubled_voters():
     votes = np.column_stack([a, np.where(r.random(4000) < 0.97, a, 1 - a), hit(0.6, 0.05), hit(0.3, 0.3)])
     noisy = np.where(r.random(4000) < 0.05, 1 - y, y)
     model = tox.LabelModel()
-    post = model.fit(votes, noisy, y.mean())
+    post = model.fit(votes, noisy, 0.5, np.ones(4000))
     assert ((post > 0.5) == (y == 1)).mean() >= (noisy == y).mean()
     block = next(b for b in model.blocks if 0 in b)
     assert 1 in block and 3 not in block
+    # the prior, and how far people's labels can be trusted, come from the votes
+    assert abs(model.prior - 0.2) < 0.03
+    assert abs(model.tables[-1][2] - np.log(0.95 / 0.05)) < 0.6
+
+
+def test_label_model_with_few_labels():
+    r = np.random.default_rng(2)
+    y = (r.random(6000) < 0.15).astype(int)
+    hit = lambda p1, p0: (r.random(6000) < np.where(y == 1, p1, p0)).astype(float)
+    votes = np.column_stack([hit(0.7, 0.02), hit(0.6, 0.03), hit(0.5, 0.02), hit(0.2, 0.2)])
+    labels = np.where(r.random(6000) < 0.03, y, -1)
+    model = tox.LabelModel()
+    post = model.fit(votes, labels, 0.3, np.ones(6000))
+    assert abs(model.prior - 0.15) < 0.03
+    # by brute force: the posterior of independent voters of the true rates
+    odds = np.log(0.15 / 0.85) + sum(
+        np.where(votes[:, i] == 1, np.log(p / q), np.log((1 - p) / (1 - q))) for i, (p, q) in enumerate([(0.7, 0.02), (0.6, 0.03), (0.5, 0.02)])
+    )
+    free = labels < 0
+    assert np.abs(post - 1 / (1 + np.exp(-odds)))[free].mean() < 0.03
 
 
 def test_linear_fit():
@@ -92,6 +112,21 @@ def test_fold(spark):
 # ---------------------------------------------------------------- quality network
 
 
+def test_slices_equal_the_whole(monkeypatch):
+    text = "the cat the cat sat " * 1500 + "".join(R.choice("abcé ") for _ in range(20_000))
+    codes, copies = cnn.cut_chunks(text)
+    b = cnn.byte_array(text)
+    marks = cnn.repeats(b)
+    for i, s in enumerate(cnn.chunks_of(len(b))):
+        own = b[s : s + cnn.CHUNK]
+        assert (codes[i][: len(own)] == own).all() and (codes[i][len(own) :] == 256).all()
+        assert (copies[i][: len(own)] == marks[s : s + cnn.CHUNK]).all()
+    monkeypatch.setattr(cnn, "SLICE", 7)
+    again = cnn.cut_chunks(text)
+    assert (again[0] == codes).all() and (again[1] == copies).all()
+    assert cnn.cut_chunks("")[0].shape == (1, cnn.CHUNK)
+
+
 def test_gradients_equal_differences():
     net = cnn.Network()
     net.p = {k: v.astype(np.float64) for k, v in net.p.items()}
@@ -105,7 +140,7 @@ def test_gradients_equal_differences():
         z, _ = net.head(np.concatenate([f.mean(1), f.max(1)], axis=1))
         return float((np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - y * z).mean())
 
-    got = net.gradients(codes, copy, y, weight)
+    got = net.gradients(list(zip(codes, copy, strict=True)), y, weight)
     for k, g in got.items():
         i = np.unravel_index(np.abs(g).argmax(), g.shape)
         old, step = net.p[k][i], 1e-5

@@ -1,5 +1,6 @@
 """Sharding, mixing and packing against their laws and brute force."""
 
+import math
 import random
 import zlib
 
@@ -98,6 +99,43 @@ def test_mix_meets_targets_and_repeats(spark):
     assert ((g.taken - g.target).abs() <= 0.005 * g.target + 1).all()
 
 
+def test_sample_equals_pareto_order(spark):
+    r = random.Random(8)
+    rows = [(i, "ab"[i % 2], r.choice([1, 5, 30, 200, 900])) for i in range(3000)] + [(5000 + i, "c", 50) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    got = {x.doc_id: (x.copies, x.target, x.source_size) for x in mixing.mix(docs).collect()}
+    for name in "ab":
+        own = [(i, n) for i, s, n in rows if s == name]
+        _, target, total = got[own[0][0]]
+        whole = int(target // total)
+        rest = target - whole * total
+        low, high = -60.0, 60.0
+        odds = lambda n, c: math.exp(c) * (1 + 0.1 * int(math.log2(n + 1)))
+        for _ in range(100):
+            mid = (low + high) / 2
+            low, high = (mid, high) if sum(n * odds(n, mid) / (1 + odds(n, mid)) for _, n in own) < rest else (low, mid)
+        ranked = []
+        for i, n in own:
+            u = ((xxhash_of(spark, i) >> 11) + 0.5) / 2**53
+            ranked.append((u / (1 - u) / odds(n, low), i, n))
+        taken = 0
+        sure = []
+        for _, i, n in sorted(ranked):
+            if taken + n > rest:
+                break
+            taken += n
+            sure.append(i)
+        assert len(sure) > 100 and all(got[i][0] == whole + 1 for i in sure)
+        others = [got[i][0] - whole for _, i, _ in sorted(ranked)[len(sure) :]]
+        assert sum(others) <= mixing.NEXT and not any(others[mixing.NEXT + 1 :]) and set(others) <= {0, 1}
+
+
+def xxhash_of(spark, number, memory={}):
+    if not memory:
+        memory.update({x.id: x.h & (2**64 - 1) for x in spark.range(3000).select("id", F.xxhash64("id", F.lit(9)).alias("h")).collect()})
+    return memory[number]
+
+
 def test_mix_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, source string, size long")
     assert mixing.mix(empty).count() == 0
@@ -127,6 +165,27 @@ def test_pack_loses_nothing_and_pads_nothing(seed):
     assert max(fill.values()) <= 2048 and all(f & (f - 1) == 0 for f in fill.values())
 
 
+@pytest.mark.parametrize("seed", range(5))
+def test_pack_equals_a_plain_search(seed):
+    r = random.Random(seed)
+    lengths = [r.randint(1, 2047) for _ in range(r.randint(1, 500))]
+    n = sum(lengths) // 2048
+    used, cost, want, late = [0] * n, [0.0] * n, [], False
+    for d in sorted(range(len(lengths)), key=lambda d: (-lengths[d], d)):
+        start = 0
+        while start < lengths[d] and not late:
+            left = lengths[d] - start
+            fit = [s for s in range(n) if 2048 - used[s] >= left]
+            s = min(fit, key=lambda s: (cost[s], s)) if fit else max(range(n), key=lambda s: (2048 - used[s], -s)) if n else None
+            late = s is None or used[s] == 2048
+            if not late:
+                take = min(left, 2048 - used[s])
+                want.append((d, start, take, s, used[s]))
+                used[s], cost[s], start = used[s] + take, cost[s] + packing.cost(take), start + take
+    got = packing.pack(lengths)
+    assert [p for p in got if p[3] < n] == want
+
+
 def test_pack_balances_cost():
     r = random.Random(1)
     lengths = [r.randint(200, 1200) for _ in range(3000)]
@@ -157,6 +216,17 @@ def test_word_ids_equal_the_tokenizer(tokenizer):
         assert got == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), text
 
 
+def test_each_character_in_three_contexts(tokenizer):
+    path, whole = tokenizer
+    ids = packing.WordIds(path)
+    for first in range(0, 0x30000, 0x1000):
+        texts = [t for c in range(first, first + 0x1000) if not 0xD800 <= c < 0xE000 for t in (chr(c), f"x{chr(c)}y", f"'s{chr(c)}{chr(c)} 1")]
+        if texts:
+            want = [np.array(x.ids, "<u4").tobytes() for x in whole.encode_batch(texts, add_special_tokens=False)]
+            differ = [t for t, a, b in zip(texts, ids.of(texts), want, strict=True) if a != b]
+            assert not differ
+
+
 def test_packed_documents(spark, tokenizer):
     path, whole = tokenizer
     texts = {1: "a b c", 2: "", 3: None, 4: "word " * 9000, 5: "x"}

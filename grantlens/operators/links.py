@@ -30,18 +30,21 @@ def doi_status(code: Column, text: Column) -> Column:
     return F.when(down, "SKIPPED_API_DOWN").when(said == 1, "RESOLVES").when(said.isin(100, 200), "NOT_FOUND").otherwise("UNVERIFIED")
 
 
-def api_status(repo: Column, ident: Column, code: Column, text: Column, rules: dict[str, StatusRule] = STATUS_RULES) -> Column:
+def api_status(repo: Column, ident: Column, code: Column, text: Column, rules: list[StatusRule] = STATUS_RULES) -> Column:
     """The status of a record from its repository's answer, by the rule table; other repositories need a 2xx code."""
-    found: Column = code.between(200, 299)
-    private, missing = F.lit(False), code.isin(404, 410)
-    body = F.coalesce(text, F.lit(""))
-    for name, rule in rules.items():
+    body, ok = F.coalesce(text, F.lit("")), code.between(200, 299)
+    found, private, missing = ok, F.lit(False), code.isin(404, 410)
+    for rule in reversed(rules):
+        fits = (repo == rule.repo) & ident.startswith(rule.prefix)
+        hit = ok
         if rule.found:
-            hit = body.contains(ident) if rule.found == "{id}" else body.rlike(rule.found)
-            found = F.when(repo == name, hit).otherwise(found)
+            hit = ok & (body.contains(ident) if rule.found == "{id}" else body.rlike(rule.found))
+        hidden = code.isin(*rule.locked) if rule.locked else F.lit(False)
         if rule.private:
-            private = F.when(repo == name, body.rlike(rule.private) & ~body.contains("assigned to a repository")).otherwise(private)
-        missing = F.when(repo == name, code.isin(*rule.not_found)).otherwise(missing)
+            hidden = hidden | (body.rlike(rule.private) & ~body.contains("assigned to a repository"))
+        found = F.when(fits, hit).otherwise(found)
+        private = F.when(fits, hidden).otherwise(private)
+        missing = F.when(fits, code.isin(*rule.not_found)).otherwise(missing)
     return (
         F.when(code.isNull() | (code >= 500), "SKIPPED_API_DOWN")
         .when(private, "PRIVATE")

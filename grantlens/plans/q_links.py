@@ -47,7 +47,7 @@ def answers(d: Data) -> DataFrame:
 
 
 _ANSWERS = """SELECT repo, id, CAST(regexp_extract(id, '(\\d+)$', 1) AS BIGINT) % 6 AS s FROM {status}"""
-_API = "CASE WHEN s > 0 AND repo NOT IN ('GEO', 'SRA/BioProject', 'dbGaP', 'EGA', 'PRIDE/ProteomeXchange') THEN CASE s WHEN 1 THEN 'NOT_FOUND' WHEN 2 THEN 'RESTRICTED' ELSE 'RESOLVES' END WHEN s = 0 THEN 'SKIPPED_API_DOWN' WHEN s = 3 AND repo IN ('GEO', 'PRIDE/ProteomeXchange') THEN 'PRIVATE' WHEN s IN (3, 4) THEN 'NOT_FOUND' ELSE 'RESOLVES' END"
+_API = "CASE WHEN s = 0 THEN 'SKIPPED_API_DOWN' WHEN s = 1 THEN 'NOT_FOUND' WHEN s = 2 THEN CASE repo WHEN 'OSF' THEN 'PRIVATE' ELSE 'RESTRICTED' END WHEN repo NOT IN ('GEO', 'SRA/BioProject', 'dbGaP', 'EGA', 'PRIDE/ProteomeXchange') THEN 'RESOLVES' WHEN s = 3 AND repo IN ('GEO', 'PRIDE/ProteomeXchange') THEN 'PRIVATE' WHEN s IN (3, 4) THEN 'NOT_FOUND' ELSE 'RESOLVES' END"
 
 
 @query("lnk_api_status", f"WITH a AS ({_ANSWERS}) SELECT repo, id, CASE WHEN repo = 'dbGaP' AND ({_API}) = 'NOT_FOUND' AND s = 4 THEN 'RESOLVES' ELSE {_API} END AS status FROM a")
@@ -59,8 +59,57 @@ def lnk_api_status(d: Data) -> DataFrame:
     return a.select("repo", "id", L.with_fallback(status, second).alias("status"))
 
 
-@query("lnk_landing_url", """SELECT repo, id, CASE repo WHEN 'GEO' THEN 'https://www.ncbi.nlm.nih.gov/geo/query/acc.cgi?acc=' || id WHEN 'SRA/BioProject' THEN 'https://www.ncbi.nlm.nih.gov/bioproject/' || id
-    WHEN 'dbGaP' THEN 'https://www.ncbi.nlm.nih.gov/projects/gap/cgi-bin/study.cgi?study_id=' || id WHEN 'EGA' THEN 'https://ega-archive.org/studies/' || id
+# an answer of each repository about record number n: repository, identifier, code, text, status, page
+ANSWERS = [
+    ("GEO", "GSE{n}", 200, "!Series_title = x", "RESOLVES", "https://www.ncbi.nlm.nih.gov/geo/query/acc.cgi?acc=GSE{n}"),
+    ("GEO", "GDS{n}", 200, '{"count": "2"}', "RESOLVES", "https://www.ncbi.nlm.nih.gov/geo/query/acc.cgi?acc=GDS{n}"),
+    ("GEO", "GDS{n}", 200, '{"count": "0"}', "NOT_FOUND", "https://www.ncbi.nlm.nih.gov/geo/query/acc.cgi?acc=GDS{n}"),
+    ("SRA/BioProject", "SRR{n}", 200, '{"count":"1"}', "RESOLVES", "https://www.ncbi.nlm.nih.gov/sra/SRR{n}"),
+    ("SRA/BioProject", "PRJNA{n}", 200, '{"count":"0"}', "NOT_FOUND", "https://www.ncbi.nlm.nih.gov/bioproject/PRJNA{n}"),
+    ("EGA", "EGAD{n}", 200, "about EGAD{n}", "RESOLVES", "https://ega-archive.org/datasets/EGAD{n}"),
+    ("EGA", "EGAC{n}", 404, "EGAC{n}", "NOT_FOUND", "https://ega-archive.org/dacs/EGAC{n}"),
+    ("PRIDE/ProteomeXchange", "PXD{n}", 404, "PXD{n} has been reserved", "PRIVATE", "https://proteomecentral.proteomexchange.org/cgi/GetDataset?ID=PXD{n}"),
+    ("MassIVE", "MSV{n}", 400, "", "NOT_FOUND", "https://massive.ucsd.edu/ProteoSAFe/QueryMSV?id=MSV{n}"),
+    ("MassIVE", "MSV{n}", 200, "MassIVE Private Dataset", "PRIVATE", "https://massive.ucsd.edu/ProteoSAFe/QueryMSV?id=MSV{n}"),
+    ("ArrayExpress", "E-MTAB-{n}", 200, '{"accno": 1}', "RESOLVES", "https://www.ebi.ac.uk/biostudies/studies/E-MTAB-{n}"),
+    ("BioStudies", "S-BSST{n}", 200, "{}", "NOT_FOUND", "https://www.ebi.ac.uk/biostudies/studies/S-BSST{n}"),
+    ("MetaboLights", "MTBLS{n}", 200, "", "RESOLVES", "https://www.ebi.ac.uk/metabolights/MTBLS{n}"),
+    ("Metabolomics Workbench", "ST{n}", 200, "[]", "NOT_FOUND", "https://www.metabolomicsworkbench.org/data/DRCCMetadata.php?Mode=Study&StudyID=ST{n}"),
+    ("PDB", "1A{n}", 404, "", "NOT_FOUND", "https://www.rcsb.org/structure/1A{n}"),
+    ("EMDB", "EMD-{n}", 200, "x", "RESOLVES", "https://www.ebi.ac.uk/emdb/EMD-{n}"),
+    ("PDC", "PDC{n}", 200, '{"data": null}', "NOT_FOUND", "https://pdc.cancer.gov/pdc/study/PDC{n}"),
+    ("GDC project", "TCGA-{n}", 200, '{"project_id": 1}', "RESOLVES", "https://portal.gdc.cancer.gov/projects/TCGA-{n}"),
+    ("GDC project", "TCGA-{n}", 403, "", "RESTRICTED", "https://portal.gdc.cancer.gov/projects/TCGA-{n}"),
+    ("Synapse", "syn{n}", 401, "", "RESTRICTED", "https://www.synapse.org/#!Synapse:syn{n}"),
+    ("OSF", "osf.io/{n}", 403, "", "PRIVATE", "https://osf.io/{n}"),
+    ("OSF", "osf.io/{n}", 410, "", "NOT_FOUND", "https://osf.io/{n}"),
+    ("GWAS Catalog", "GCST{n}", 200, "GCST{n}", "RESOLVES", "https://www.ebi.ac.uk/gwas/studies/GCST{n}"),
+    ("GWAS Catalog", "GCST{n}", 503, "", "SKIPPED_API_DOWN", "https://www.ebi.ac.uk/gwas/studies/GCST{n}"),
+]
+
+
+def repository_answers(d: Data) -> DataFrame:
+    """An answer for each part: which one its number decides."""
+    n = F.col(K).cast("string")
+    pick = lambda i: F.element_at(F.array(*[F.lit(x[i]) for x in ANSWERS]), (F.col(K) % len(ANSWERS) + 1).cast("int"))
+    with_n = lambda c: F.replace(c, F.lit("{n}"), n)
+    return d.part.select(K, pick(0).alias("repo"), with_n(pick(1)).alias("id"), pick(2).alias("code"), with_n(pick(3)).alias("text"))
+
+
+def _said(i: int) -> str:
+    whens = " ".join("WHEN {} THEN replace('{}', chr(123) || 'n' || chr(125), CAST({} AS VARCHAR))".format(j, x[i].replace("{n}", "' || chr(123) || 'n' || chr(125) || '"), K) for j, x in enumerate(ANSWERS))
+    return f"CASE {K} % {len(ANSWERS)} {whens} END"
+
+
+@query("lnk_status_by_repository", f"SELECT {K}, {_said(0)} AS repo, {_said(1)} AS id, {_said(4)} AS status, {_said(5)} AS url FROM {{part}}")
+def lnk_status_by_repository(d: Data) -> DataFrame:
+    a = repository_answers(d)
+    status = L.api_status(F.col("repo"), F.col("id"), F.col("code"), F.col("text"))
+    return a.select(K, "repo", "id", status.alias("status"), C.landing_url(F.col("repo"), F.col("id")).alias("url"))
+
+
+@query("lnk_landing_url", """SELECT repo, id, CASE repo WHEN 'GEO' THEN 'https://www.ncbi.nlm.nih.gov/geo/query/acc.cgi?acc=' || id WHEN 'SRA/BioProject' THEN 'https://www.ncbi.nlm.nih.gov/' || CASE WHEN id LIKE 'PRJ%' THEN 'bioproject/' ELSE 'sra/' END || id
+    WHEN 'dbGaP' THEN 'https://www.ncbi.nlm.nih.gov/projects/gap/cgi-bin/study.cgi?study_id=' || id WHEN 'EGA' THEN 'https://ega-archive.org/' || CASE id[4] WHEN 'D' THEN 'datasets/' WHEN 'C' THEN 'dacs/' ELSE 'studies/' END || id
     WHEN 'PRIDE/ProteomeXchange' THEN 'https://proteomecentral.proteomexchange.org/cgi/GetDataset?ID=' || id WHEN 'Zenodo' THEN 'https://doi.org/' || id WHEN 'other link' THEN id ELSE 'https://' || id END AS url FROM {status}""")
 def lnk_landing_url(d: Data) -> DataFrame:
     return d.status.select("repo", "id", C.landing_url(F.col("repo"), F.col("id")).alias("url"))
@@ -144,7 +193,7 @@ def rec_datacite(d: Data) -> DataFrame:
     return d.part.select(K, r["record_date"].alias("record_date"), F.array_join(r["dois"], ";").alias("dois"), r["people_complete"].alias("people_complete"))
 
 
-@query("rec_person", """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'smithe' WHEN c_custkey % 3 = 1 THEN 'garcia' ELSE NULL END AS surname, CASE WHEN c_custkey % 3 = 0 THEN 'j' WHEN c_custkey % 3 = 1 THEN 'm' END AS initial FROM {customer}""")
+@query("rec_person", """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'smithe' WHEN c_custkey % 3 = 1 THEN 'garcia' ELSE 'doe' END AS surname, CASE WHEN c_custkey % 3 = 0 THEN 'j' WHEN c_custkey % 3 = 1 THEN 'm' ELSE '' END AS initial FROM {customer}""")
 def rec_person(d: Data) -> DataFrame:
     name = F.when(F.col("c_custkey") % 3 == 0, "Smithé J").when(F.col("c_custkey") % 3 == 1, "García M.L").otherwise("Doe Lab")
     made = d.customer.select("c_custkey", people(F.array(name)).alias("p"))

@@ -261,6 +261,29 @@ def idx_combine(d: Data) -> DataFrame:
     return combined(d).select("pmid", "repo", "id", "cls", "role", "evidence", "in_das", "n_mentions")
 
 
+def cited_articles(d: Data) -> DataFrame:
+    """Papers whose statement, for each third, cites the reference with an accession and has two links."""
+    k, n = F.col(K), (100000 + F.col(K)).cast("string")
+    cites = F.when(k % 3 == 0, '<xref ref-type="bibr" rid="r2">2</xref>').otherwise("")
+    xml = F.concat(
+        F.lit("<article><body><sec><title>Methods</title><p>Reads of GSE"), n, F.lit(" were grown. Code is at https://github.com/orgs/lab there.</p></sec></body>"),
+        F.lit("<back><notes notes-type=\"data-availability\"><p>Links "), cites, F.lit(" lead to https://Lab-X.example/Set"), n,
+        F.lit(" and to https://orcid.org/0000.</p></notes><ref-list><ref id=\"r1\"><mixed-citation>Doe GSE1001</mixed-citation></ref><ref id=\"r2\"><mixed-citation>Roe PXD"), n, F.lit("</mixed-citation></ref></ref-list></back></article>"),
+    )
+    return d.orders.select(k.cast("string").alias("pmid"), xml.alias("xml"))
+
+
+@query("txt_cited_location", f"""SELECT CAST({K} AS STRING) AS pmid, ref_id, CASE WHEN ref_id = 'r2' AND {K} % 3 = 0 THEN 'das' ELSE 'ref' END AS location FROM {{orders}}, (VALUES ('r1'), ('r2')) t(ref_id)""")
+def txt_cited_location(d: Data) -> DataFrame:
+    return M.with_locations(X.parse_passages(cited_articles(d))).where("kind = 'ref'").select("pmid", "ref_id", "location")
+
+
+@query("idx_of_papers", f"""SELECT CAST({K} AS STRING) AS pmid, repo, replace(id, '#', CAST(100000 + {K} AS STRING)) AS id, role, CASE WHEN repo LIKE 'PRIDE%' THEN {K} % 3 = 0 ELSE repo = 'Other link' END AS in_das
+    FROM {{orders}}, (VALUES ('GEO', 'GSE#', 'reused'), ('GEO', 'GSE1001', 'reused'), ('PRIDE/ProteomeXchange', 'PXD#', 'reused'), ('Other link', 'https://lab-x.example/Set#', 'reused')) t(repo, id, role)""")
+def idx_of_papers(d: Data) -> DataFrame:
+    return M.identifiers_of(cited_articles(d)).select("pmid", "repo", "id", "role", "in_das")
+
+
 @query("idx_context", _COMBINE + " SELECT pmid, repo, id, context FROM c")
 def idx_context(d: Data) -> DataFrame:
     return combined(d).select("pmid", "repo", "id", C.clip(F.col("context")).alias("context"))
@@ -276,7 +299,14 @@ def idx_cap(d: Data) -> DataFrame:
     return M.cap(d.ident, 2).select("repo", "pmid", "id", "rank")
 
 
-@query("idx_redact")  # the rule looks ahead, which the SQL's expressions cannot
+def _redacted() -> str:
+    out = "COALESCE(text, '')"
+    for pattern, to in C.SECRETS:
+        out = f"regexp_replace({out}, '{pattern.replace(chr(39), chr(39) * 2)}', '{to.replace('$', chr(92))}', 'g')"
+    return out
+
+
+@query("idx_redact", f"SELECT doc_id, {_redacted()} AS text FROM {{documents}}")
 def idx_redact(d: Data) -> DataFrame:
     return d.documents.select("doc_id", C.redact(F.col("text")).alias("text"))
 

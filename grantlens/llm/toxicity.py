@@ -18,7 +18,7 @@ from .common import materialize, table
 INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
 #: Labelled documents of either class, and as many without label, that terms are mined from and models are fitted on,
 #: first by hash of doc_id.
-SAMPLE = 8000
+SAMPLE = 5000
 #: Lengths of stems, least documents that a stem is in, and the least part of the toxic ones.
 STEMS, SUPPORT, SHARE = range(4, 11), 3, 1 / 400
 #: Posteriors from which documents without label, and to which, terms are mined in the second round.

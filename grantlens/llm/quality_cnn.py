@@ -20,7 +20,7 @@ EMBED, WIDTH, STEP, FILTERS, HIDDEN = 4, 12, 4, 24, 12
 CHUNK, STRIDE = 512, 448
 #: Labelled documents of either class that the network is fitted on, first by hash of doc_id, and the bytes of text of
 #: a class that are drawn at most: a document that would go beyond is not drawn. All chunks of a document are used.
-SAMPLE, SAMPLE_BYTES = 1500, 16 << 20
+SAMPLE, SAMPLE_BYTES = 1500, 8 << 20
 #: Steps of the fit, the same at every size, documents of a step, and the first rate.
 STEPS, BATCH, RATE = 1000, 32, 0.004
 #: Chunks that are held at once.
@@ -111,6 +111,7 @@ class Network:
     def gradients(self, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
         """Only the windows of the maxima are kept of each slice of chunks, so that long documents need little memory."""
         codes, copy = np.concatenate([d[0] for d in docs]), np.concatenate([d[1] for d in docs])
+        copy = copy.astype(self.p["conv"].dtype)
         sizes = np.array([len(d[0]) for d in docs])
         starts = np.r_[0, np.cumsum(sizes)[:-1]]
         of = np.repeat(np.arange(len(docs)), sizes)
@@ -188,7 +189,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> str | Non
     # at most 2 * sample rows are broadcast
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id")
     got = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id", kind="stable")
-    chunks = [cut_chunks(x) for x in got["text"]]
+    chunks = [(c, k.astype(np.uint8)) for c, k in map(cut_chunks, got["text"])]
     y = got["quality"].to_numpy().astype(np.float32)
     share = y.mean()
     prior = sizes[1] / (sizes[0] + sizes[1])

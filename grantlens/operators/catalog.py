@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import norm_url
@@ -45,3 +45,10 @@ def kappa(pairs: DataFrame, a: Column, b: Column) -> DataFrame:
     observed = F.col("same") / n
     chance = (F.col("a") / n) * (F.col("b") / n) + (1 - F.col("a") / n) * (1 - F.col("b") / n)
     return g.select("n", "same", observed.alias("agreement"), F.when(chance != 1, (observed - chance) / (1 - chance)).alias("kappa"))
+
+
+def weighted_percent(population: Column, hits: Column, judged: Column) -> Column:
+    """Percent of hits among the judged rows of each stratum, weighted by the strata's sizes; strata are few rows."""
+    w = Window.partitionBy(F.lit(0))
+    of = population * hits / judged
+    return 100 * F.sum(of).over(w) / F.nullif(F.sum(population).over(w), F.lit(0))

@@ -12,7 +12,9 @@ from ..operators import papers as P
 from ..operators import records as R
 from ..rules import LABELS, MAIN_REPOSITORIES
 from .base import Data, query
-from .q_rows import OWN
+from .q_joins import _EARLY as EARLY
+from .q_joins import early_publications
+from .q_rows import OWN, statement_cues
 
 MAIN = ", ".join(f"'{x}'" for x in MAIN_REPOSITORIES)
 LABEL_ROWS = " UNION ALL ".join(f"SELECT '{x}' AS label" for x in LABELS)
@@ -39,31 +41,46 @@ def agg_paper_awards(d: Data) -> DataFrame:
     return d.link.groupBy("pmid").agg(F.array_join(F.array_sort(F.collect_set("coreproject")), ";").alias("awards"))
 
 
-def receipts(awards: DataFrame, links: DataFrame, labelled: DataFrame, own: DataFrame) -> DataFrame:
+def receipts(awards: DataFrame, links: DataFrame, labelled: DataFrame, identifiers: DataFrame, statuses: DataFrame) -> DataFrame:
     """One row for each award, with zeros for one without papers: papers, checkable papers and their share, a count of each
-    label, papers with new data and code, different repositories. own: pmid, repo, is_code."""
-    flags = own.groupBy("pmid").agg(F.bool_or(~F.col("is_code")).alias("new_data"), F.bool_or("is_code").alias("code"))
-    papers = links.select("coreproject", "pmid").distinct().join(labelled.select("pmid", "label", "fulltext_source"), "pmid").join(flags, "pmid", "left")
+    label, papers with new data, code, both new and reused data, or a dead link; different dead identifiers and repositories."""
+    pairs = links.select("coreproject", "pmid").distinct()
+    own = M.own_identifiers(identifiers)
+    papers = pairs.join(labelled.select("pmid", "label", "fulltext_source"), "pmid").join(P.flags(identifiers, statuses), "pmid", "left")
     n = lambda c: F.count_if(F.coalesce(c, F.lit(False)))
     per = papers.groupBy("coreproject").agg(
-        F.count("*").alias("n_papers"), F.count("fulltext_source").alias("n_checkable"),
-        *[n(F.col("label") == x).alias(f"n_{x.lower()}") for x in LABELS], n(F.col("new_data")).alias("n_new_data"), n(F.col("code")).alias("n_code"),
+        F.count("*").alias("n_papers"), F.count("fulltext_source").alias("n_checkable"), *[n(F.col("label") == x).alias(f"n_{x.lower()}") for x in LABELS],
+        n(F.col("new_data")).alias("n_new_data"), n(F.col("code_shared")).alias("n_code"), n(F.col("mixed")).alias("n_mixed"), n(F.col("link_dead")).alias("n_link_dead"),
     )
-    repos = links.select("coreproject", "pmid").distinct().join(own.select("pmid", "repo").distinct(), "pmid").groupBy("coreproject").agg(F.count_distinct("repo").alias("n_repositories"))
-    j = awards.select(F.col("core_project_num").alias("coreproject")).join(per, "coreproject", "left").join(repos, "coreproject", "left").na.fill(0)
-    return j.withColumn("coverage_pct", percent(F.col("n_checkable"), F.col("n_papers")))
-
-
-@query("agg_receipt", f"""WITH f AS (SELECT pmid, MAX(CASE WHEN NOT is_code THEN 1 ELSE 0 END) AS nd, MAX(CASE WHEN is_code THEN 1 ELSE 0 END) AS cd FROM {{ident}} WHERE {OWN} GROUP BY pmid),
-    p AS (SELECT l.coreproject, l.pmid, b.label, b.fulltext_source, f.nd, f.cd FROM {{link}} l JOIN {{labelled}} b ON l.pmid = b.pmid LEFT JOIN f ON f.pmid = l.pmid),
-    r AS (SELECT l.coreproject, COUNT(DISTINCT i.repo) AS n FROM {{link}} l JOIN {{ident}} i ON l.pmid = i.pmid WHERE {OWN} GROUP BY l.coreproject)
+    repos = pairs.join(own.select("pmid", "repo").distinct(), "pmid").groupBy("coreproject").agg(F.count_distinct("repo").alias("n_repositories"))
+    dead = own.join(statuses.where(F.col("status").isin(P.DEAD)).select("repo", "id"), ["repo", "id"], "left_semi").select("pmid", "id")
+    dead = pairs.join(dead, "pmid").groupBy("coreproject").agg(F.count_distinct("id").alias("n_dead_ids"))
+    j = awards.select(F.col("core_project_num").alias("coreproject"))
+    for x in (per, repos, dead):
+        j = j.join(x, "coreproject", "left")
+    j = j.na.fill(0)
+    return j.withColumn("any_public_deposit", F.col("n_public_repository") > 0).withColumn("coverage_pct", percent(F.col("n_checkable"), F.col("n_papers")))
+
+
+# new data, code, both new and reused data, and dead links of papers
+_FLAGS = f"""SELECT i.pmid, MAX(CASE WHEN {OWN} AND NOT is_code THEN 1 ELSE 0 END) AS nd, MAX(CASE WHEN {OWN} AND is_code THEN 1 ELSE 0 END) AS cd,
+    MAX(CASE WHEN role = 'reused' AND cls <> 'url' THEN 1 ELSE 0 END) AS ru, MAX(CASE WHEN {OWN} AND s.status IN ('NOT_FOUND', 'PRIVATE') THEN 1 ELSE 0 END) AS dl
+    FROM {{ident}} i LEFT JOIN {{status}} s ON i.repo = s.repo AND i.id = s.id GROUP BY i.pmid"""
+_RECEIPT = f"""WITH f AS ({_FLAGS}),
+    p AS (SELECT l.coreproject, l.pmid, b.label, b.fulltext_source, f.* EXCLUDE (pmid) FROM {{link}} l JOIN {{labelled}} b ON l.pmid = b.pmid LEFT JOIN f ON f.pmid = l.pmid),
+    r AS (SELECT l.coreproject, COUNT(DISTINCT i.repo) AS n, COUNT(DISTINCT CASE WHEN s.status IN ('NOT_FOUND', 'PRIVATE') THEN i.id END) AS dead
+      FROM {{link}} l JOIN {{ident}} i ON l.pmid = i.pmid LEFT JOIN {{status}} s ON i.repo = s.repo AND i.id = s.id WHERE {OWN} GROUP BY l.coreproject)
     SELECT a.core_project_num AS coreproject, COUNT(p.pmid) AS n_papers, COUNT(p.fulltext_source) AS n_checkable,
     {", ".join(f"COUNT(CASE WHEN p.label = '{x}' THEN 1 END) AS n_{x.lower()}" for x in LABELS)},
-    COUNT(CASE WHEN p.nd = 1 THEN 1 END) AS n_new_data, COUNT(CASE WHEN p.cd = 1 THEN 1 END) AS n_code, COALESCE(MAX(r.n), 0) AS n_repositories,
-    100.0::DOUBLE * COUNT(p.fulltext_source) / NULLIF(COUNT(p.pmid), 0) AS coverage_pct
-    FROM {{award}} a LEFT JOIN p ON a.core_project_num = p.coreproject LEFT JOIN r ON a.core_project_num = r.coreproject GROUP BY a.core_project_num""")
+    COUNT(CASE WHEN p.nd = 1 THEN 1 END) AS n_new_data, COUNT(CASE WHEN p.cd = 1 THEN 1 END) AS n_code, COUNT(CASE WHEN p.nd = 1 AND p.ru = 1 THEN 1 END) AS n_mixed,
+    COUNT(CASE WHEN p.dl = 1 THEN 1 END) AS n_link_dead, COALESCE(MAX(r.n), 0) AS n_repositories, COALESCE(MAX(r.dead), 0) AS n_dead_ids,
+    COUNT(CASE WHEN p.label = 'PUBLIC_REPOSITORY' THEN 1 END) > 0 AS any_public_deposit, 100.0::DOUBLE * COUNT(p.fulltext_source) / NULLIF(COUNT(p.pmid), 0) AS coverage_pct
+    FROM {{award}} a LEFT JOIN p ON a.core_project_num = p.coreproject LEFT JOIN r ON a.core_project_num = r.coreproject GROUP BY a.core_project_num"""
+
+
+@query("agg_receipt", _RECEIPT)
 def agg_receipt(d: Data) -> DataFrame:
-    return receipts(d.award, d.link, d.labelled, M.own_identifiers(d.ident))
+    return receipts(d.award, d.link, d.labelled, d.ident, d.status)
 
 
 @query("agg_label_counts", f"""WITH l AS ({LABEL_ROWS}), g AS (SELECT label, label_source, COUNT(*) AS n FROM {{labelled}} GROUP BY GROUPING SETS ((label), (label_source), (label, label_source)))
@@ -82,14 +99,19 @@ def agg_shares(d: Data) -> DataFrame:
     return counts.withColumn("share", percent(F.col("n"), F.sum("n").over(Window.partitionBy(F.lit(0)))))
 
 
-@query("agg_funnel", f"""SELECT 'awards' AS step, COUNT(*) AS n FROM {{award}} UNION ALL SELECT 'awards with papers', COUNT(DISTINCT coreproject) FROM {{link}}
-    UNION ALL SELECT 'papers', COUNT(*) FROM {{paper}} UNION ALL SELECT 'with pmcid', COUNT(pmcid) FROM {{paper}} UNION ALL SELECT 'full text', COUNT(fulltext_source) FROM {{paper}}
-    UNION ALL SELECT 'public deposit', COUNT(DISTINCT CASE WHEN {OWN} AND NOT is_code THEN pmid END) FROM {{ident}}""")
+@query("agg_funnel", """SELECT 'awards' AS step, COUNT(*) AS n FROM {award} UNION ALL SELECT 'awards with papers', COUNT(DISTINCT coreproject) FROM {link}
+    UNION ALL SELECT 'papers', COUNT(*) FROM {paper} UNION ALL SELECT 'with pmcid', COUNT(pmcid) FROM {paper} UNION ALL SELECT 'full text', COUNT(fulltext_source) FROM {paper}
+    UNION ALL SELECT 'statement', COUNT(CASE WHEN CAST(pmid AS BIGINT) % 7 < 4 THEN fulltext_source END) FROM {paper}
+    UNION ALL SELECT 'public deposit', COUNT(CASE WHEN label = 'PUBLIC_REPOSITORY' THEN 1 END) FROM {labelled}""")
 def agg_funnel(d: Data) -> DataFrame:
     awards = d.award.agg(F.count("*").alias("awards"))
     with_papers = d.link.agg(F.count_distinct("coreproject").alias("awards with papers"))
-    papers = d.paper.agg(F.count("*").alias("papers"), F.count("pmcid").alias("with pmcid"), F.count("fulltext_source").alias("full text"))
-    deposits = M.own_data(d.ident).agg(F.count_distinct("pmid").alias("public deposit"))
+    stated = statement_cues(d).select("pmid", F.col("statement_kind") != "none")
+    papers = d.paper.join(stated.toDF("pmid", "stated"), "pmid").agg(
+        F.count("*").alias("papers"), F.count("pmcid").alias("with pmcid"), F.count("fulltext_source").alias("full text"),
+        F.count(F.when(F.col("stated"), F.col("fulltext_source"))).alias("statement"),
+    )
+    deposits = d.labelled.agg(F.count_if(F.col("label") == "PUBLIC_REPOSITORY").alias("public deposit"))
     rows = [x.unpivot([], x.columns, "step", "n") for x in (awards, with_papers, papers, deposits)]
     return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
 
@@ -130,14 +152,16 @@ def agg_repo_papers(d: Data) -> DataFrame:
 
 
 @query("agg_own_distinct", f"""SELECT COUNT(DISTINCT repo || '|' || id) AS accessions, COUNT(DISTINCT CASE WHEN repo NOT IN ({MAIN}) THEN repo || '|' || id END) AS outside,
-    COUNT(DISTINCT pmid) AS papers, COUNT(DISTINCT CASE WHEN repo = 'GEO' THEN pmid || '|' || id END) AS series_pairs FROM {{ident}} WHERE {OWN} AND NOT is_code""")
+    COUNT(DISTINCT pmid) AS papers, COUNT(DISTINCT CASE WHEN repo = 'GEO' THEN pmid || '|' || id END) AS series_pairs,
+    (SELECT COUNT(DISTINCT repo || '|' || id) FROM {{ident}} WHERE role = 'generated' AND cls = 'url') AS links FROM {{ident}} WHERE {OWN} AND NOT is_code""")
 def agg_own_distinct(d: Data) -> DataFrame:
     own = M.own_data(d.ident)
     # each count over rows that are made distinct first, so that no aggregate expands its input
     ids = own.select("repo", "id").distinct().agg(F.count("*").alias("accessions"), F.count_if(~F.col("repo").isin(MAIN_REPOSITORIES)).alias("outside"))
     papers = own.select("pmid").distinct().agg(F.count("*").alias("papers"))
     pairs = own.where("repo = 'GEO'").select("pmid", "id").distinct().agg(F.count("*").alias("series_pairs"))
-    return ids.crossJoin(papers).crossJoin(pairs)  # one row each
+    links = d.ident.where("role = 'generated' AND cls = 'url'").select("repo", "id").distinct().agg(F.count("*").alias("links"))
+    return ids.crossJoin(papers).crossJoin(pairs).crossJoin(links)  # one row each
 
 
 @query("agg_only_outside", f"SELECT COUNT(*) AS papers FROM (SELECT pmid FROM {{ident}} WHERE {OWN} AND NOT is_code GROUP BY pmid HAVING MAX(CASE WHEN repo IN ({MAIN}) THEN 1 ELSE 0 END) = 0) t")
@@ -148,38 +172,60 @@ def agg_only_outside(d: Data) -> DataFrame:
 
 @query("agg_harvestable", f"""WITH o AS (SELECT i.id, CASE WHEN CAST(i.pmid AS BIGINT) % 6 = 0 THEN NULL WHEN r.id IS NOT NULL THEN 1 ELSE 0 END AS y FROM {{ident}} i
       LEFT JOIN {{record_pmid}} r ON r.repo = i.repo AND r.id = i.id AND r.pmid = i.pmid WHERE {OWN} AND i.repo = 'GEO')
-    SELECT id, COUNT(y) AS checked, CAST(COALESCE(SUM(y), 0) AS BIGINT) AS linked, CASE WHEN MAX(y) = 1 THEN 'yes' WHEN MAX(y) = 0 THEN 'no' ELSE 'unknown' END AS harvestable FROM o GROUP BY id""")
+    SELECT id, COUNT(y) AS checked, CAST(COALESCE(SUM(y), 0) AS BIGINT) AS linked, CASE WHEN MAX(y) = 1 THEN 'yes' WHEN MAX(y) = 0 THEN 'no' ELSE 'unknown' END AS harvestable,
+    (SELECT 100.0::DOUBLE * SUM(y) / NULLIF(COUNT(y), 0) FROM o) AS linked_pct FROM o GROUP BY id""")
 def agg_harvestable(d: Data) -> DataFrame:
     series = d.record_pmid.where("repo = 'GEO'").select("pmid", "id", F.lit(1).alias("found"))
     own = M.own_identifiers(d.ident).where("repo = 'GEO'").join(series, ["pmid", "id"], "left")
     y = F.when(F.col("pmid").cast("long") % 6 != 0, F.coalesce("found", F.lit(0)))
     g = own.withColumn("y", y).groupBy("id").agg(F.count("y").alias("checked"), F.coalesce(F.sum("y"), F.lit(0)).alias("linked"), F.max("y").alias("best"))
-    return g.select("id", "checked", "linked", F.when(F.col("best") == 1, "yes").when(F.col("best") == 0, "no").otherwise("unknown").alias("harvestable"))
+    share = g.agg(percent(F.sum("linked"), F.sum("checked")).alias("linked_pct"))
+    g = g.crossJoin(share)  # one row
+    return g.select("id", "checked", "linked", F.when(F.col("best") == 1, "yes").when(F.col("best") == 0, "no").otherwise("unknown").alias("harvestable"), "linked_pct")
 
 
-@query("agg_award_shares", f"""WITH p AS (SELECT l.coreproject, MAX(CASE WHEN b.fulltext_source IS NOT NULL THEN 1 ELSE 0 END) AS c,
-      MAX(CASE WHEN b.label = 'PUBLIC_REPOSITORY' THEN 1 ELSE 0 END) AS pub, MIN(CASE WHEN b.label IN ('ON_REQUEST', 'NO_STATEMENT', 'NOT_CHECKABLE') THEN 1 ELSE 0 END) AS only_r
-      FROM {{link}} l JOIN {{labelled}} b ON l.pmid = b.pmid GROUP BY l.coreproject)
-    SELECT COUNT(*) AS awards, CAST(SUM(c) AS BIGINT) AS with_checkable, CAST(SUM(pub) AS BIGINT) AS with_public, CAST(SUM(CASE WHEN c = 1 THEN only_r ELSE 0 END) AS BIGINT) AS only_request,
-    100.0::DOUBLE * SUM(pub) / NULLIF(SUM(c), 0) AS public_pct FROM p""")
+@query("agg_award_shares", f"""WITH r AS ({_RECEIPT}), g AS (SELECT COUNT(*) AS awards, COUNT(CASE WHEN n_checkable > 0 THEN 1 END) AS with_checkable, COUNT(CASE WHEN any_public_deposit THEN 1 END) AS with_public,
+      COUNT(CASE WHEN n_checkable > 0 AND any_public_deposit THEN 1 END) AS c_public, COUNT(CASE WHEN n_checkable > 0 AND n_new_data > 0 THEN 1 END) AS c_new, COUNT(CASE WHEN n_checkable > 0 AND n_code > 0 THEN 1 END) AS c_code,
+      COUNT(CASE WHEN n_link_dead > 0 THEN 1 END) AS with_dead_link, COUNT(CASE WHEN n_checkable > 0 AND n_on_request + n_no_statement = n_checkable THEN 1 END) AS only_request FROM r)
+    SELECT awards, with_checkable, with_public, with_dead_link, only_request, 100.0::DOUBLE * c_public / NULLIF(with_checkable, 0) AS public_pct, 100.0::DOUBLE * with_public / NULLIF(awards, 0) AS public_pct_all,
+    100.0::DOUBLE * c_new / NULLIF(with_checkable, 0) AS new_data_pct, 100.0::DOUBLE * c_code / NULLIF(with_checkable, 0) AS code_pct, 100.0::DOUBLE * only_request / NULLIF(with_checkable, 0) AS only_request_pct FROM g""")
 def agg_award_shares(d: Data) -> DataFrame:
-    j = d.link.join(d.labelled, "pmid").groupBy("coreproject").agg(
-        F.bool_or(F.col("fulltext_source").isNotNull()).alias("c"), F.bool_or(F.col("label") == "PUBLIC_REPOSITORY").alias("pub"),
-        F.bool_and(F.col("label").isin("ON_REQUEST", "NO_STATEMENT", "NOT_CHECKABLE")).alias("only"),
+    r = receipts(d.award, d.link, d.labelled, d.ident, d.status)
+    c = F.col("n_checkable") > 0
+    g = r.agg(
+        F.count("*").alias("awards"), F.count_if(c).alias("with_checkable"), F.count_if("any_public_deposit").alias("with_public"), F.count_if(F.col("n_link_dead") > 0).alias("with_dead_link"),
+        F.count_if(c & F.col("any_public_deposit")).alias("_public"), F.count_if(c & (F.col("n_new_data") > 0)).alias("_new"), F.count_if(c & (F.col("n_code") > 0)).alias("_code"),
+        F.count_if(c & (F.col("n_on_request") + F.col("n_no_statement") == F.col("n_checkable"))).alias("only_request"),
+    )
+    of = lambda x: percent(F.col(x), F.col("with_checkable"))
+    return g.select(
+        "awards", "with_checkable", "with_public", "with_dead_link", "only_request", of("_public").alias("public_pct"), percent(F.col("with_public"), F.col("awards")).alias("public_pct_all"),
+        of("_new").alias("new_data_pct"), of("_code").alias("code_pct"), of("only_request").alias("only_request_pct"),
     )
-    g = j.agg(F.count("*").alias("awards"), F.count_if("c").alias("with_checkable"), F.count_if("pub").alias("with_public"), F.count_if(F.col("c") & F.col("only")).alias("only_request"))
-    return g.withColumn("public_pct", percent(F.col("with_public"), F.col("with_checkable")))
 
 
-@query("agg_headline", """SELECT COUNT(*) AS papers, COUNT(CASE WHEN lower(pub_type) LIKE '%preprint%' THEN 1 END) AS preprints, COUNT(fulltext_source) AS checkable,
-    COUNT(CASE WHEN fulltext_source = 'epmc' THEN 1 END) AS from_epmc, COUNT(CASE WHEN fulltext_source = 'pmc' THEN 1 END) AS from_pmc, COUNT(pmcid) AS with_pmcid,
-    100.0::DOUBLE * COUNT(fulltext_source) / NULLIF(COUNT(*), 0) AS checkable_pct FROM {paper}""")
+@query("agg_headline", f"""WITH f AS ({_FLAGS}), x AS ({EARLY}), g AS (SELECT COUNT(*) AS papers, COUNT(CASE WHEN lower(p.pub_type) LIKE '%preprint%' THEN 1 END) AS preprints, COUNT(p.fulltext_source) AS checkable,
+      COUNT(CASE WHEN p.fulltext_source = 'epmc' THEN 1 END) AS from_epmc, COUNT(CASE WHEN p.fulltext_source = 'pmc' THEN 1 END) AS from_pmc, COUNT(pmcid) AS with_pmcid,
+      COUNT(CASE WHEN p.fulltext_source IS NOT NULL AND b.label <> 'NO_DATA_GENERATED' THEN 1 END) AS research, COUNT(CASE WHEN CAST(p.pmid AS BIGINT) % 7 < 4 THEN p.fulltext_source END) AS stated,
+      COUNT(CASE WHEN nd = 1 THEN p.fulltext_source END) AS new_data, COUNT(CASE WHEN cd = 1 THEN p.fulltext_source END) AS code,
+      COUNT(CASE WHEN nd = 1 AND ru = 1 THEN p.fulltext_source END) AS mixed, COUNT(CASE WHEN dl = 1 THEN p.fulltext_source END) AS link_dead FROM {{paper}} p JOIN {{labelled}} b ON p.pmid = b.pmid LEFT JOIN f ON f.pmid = p.pmid)
+    SELECT papers, (SELECT COUNT(DISTINCT pmid) FROM (SELECT pmid, bool_or(kept) AS k FROM x GROUP BY pmid) t WHERE NOT k) AS excluded_early, preprints, checkable, from_epmc, from_pmc, with_pmcid, new_data, code, mixed, link_dead,
+    100.0::DOUBLE * checkable / NULLIF(papers, 0) AS checkable_pct, 100.0::DOUBLE * stated / NULLIF(checkable, 0) AS statement_pct, 100.0::DOUBLE * code / NULLIF(checkable, 0) AS code_pct, 100.0::DOUBLE * code / NULLIF(research, 0) AS code_research_pct FROM g""")
 def agg_headline(d: Data) -> DataFrame:
-    g = d.paper.agg(
+    p = d.paper.join(d.labelled.select("pmid", "label"), "pmid").join(statement_cues(d).select("pmid", "statement_kind"), "pmid").join(P.flags(d.ident, d.status), "pmid", "left")
+    read = F.col("fulltext_source").isNotNull()
+    g = p.agg(
         F.count("*").alias("papers"), F.count_if(F.lower("pub_type").contains("preprint")).alias("preprints"), F.count("fulltext_source").alias("checkable"),
         F.count_if(F.col("fulltext_source") == "epmc").alias("from_epmc"), F.count_if(F.col("fulltext_source") == "pmc").alias("from_pmc"), F.count("pmcid").alias("with_pmcid"),
+        F.count_if(read & (F.col("label") != "NO_DATA_GENERATED")).alias("_research"), F.count_if(read & (F.col("statement_kind") != "none")).alias("_stated"),
+        F.count_if(read & F.col("new_data")).alias("new_data"), F.count_if(read & F.col("code_shared")).alias("code"), F.count_if(read & F.col("mixed")).alias("mixed"), F.count_if(read & F.col("link_dead")).alias("link_dead"),
     )
-    return g.withColumn("checkable_pct", percent(F.col("checkable"), F.col("papers")))
+    early = early_publications(d.link, d.paper, d.award).where("excluded").select("pmid").distinct().agg(F.count("*").alias("excluded_early"))
+    g = g.crossJoin(early)  # one row each
+    return g.withColumns({
+        "checkable_pct": percent(F.col("checkable"), F.col("papers")), "statement_pct": percent(F.col("_stated"), F.col("checkable")),
+        "code_pct": percent(F.col("code"), F.col("checkable")), "code_research_pct": percent(F.col("code"), F.col("_research")),
+    }).drop("_research", "_stated")
 
 
 @query("agg_record_tiers", f"""WITH o AS (SELECT i.repo, i.id, MAX(CASE WHEN r.pmid IS NOT NULL THEN 1 ELSE 0 END) AS cites, MAX(CASE WHEN k.id IS NOT NULL THEN 1 ELSE 0 END) AS has FROM {{ident}} i
@@ -279,39 +325,71 @@ def agg_added(d: Data) -> DataFrame:
     return new.groupBy("repo", "type").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "RESOLVES").alias("resolving"))
 
 
-@query("agg_awards_per_paper", """WITH n AS (SELECT p.pmid, GREATEST(COUNT(DISTINCT l.coreproject), 1) AS n FROM {paper} p LEFT JOIN {link} l ON p.pmid = l.pmid GROUP BY p.pmid)
-    SELECT n AS awards, COUNT(*) AS papers FROM n GROUP BY n ORDER BY n LIMIT 10""")
+@query("agg_awards_per_paper", f"""WITH n AS (SELECT p.pmid, GREATEST(COUNT(DISTINCT l.coreproject), 1) AS n FROM {{paper}} p LEFT JOIN {{link}} l ON p.pmid = l.pmid GROUP BY p.pmid),
+    m AS (SELECT n.*, n.pmid IN (SELECT pmid FROM {{ident}} WHERE {OWN} AND NOT is_code) AS own FROM n)
+    SELECT n AS awards, COUNT(*) AS papers, COUNT(CASE WHEN own THEN 1 END) AS own_data_papers, (SELECT 100.0::DOUBLE * COUNT(CASE WHEN n > 1 THEN 1 END) / COUNT(*) FROM m) AS multi_pct,
+    (SELECT 100.0::DOUBLE * COUNT(CASE WHEN n > 1 THEN 1 END) / NULLIF(COUNT(*), 0) FROM m WHERE own) AS multi_own_data_pct FROM m GROUP BY n ORDER BY n LIMIT 10""")
 def agg_awards_per_paper(d: Data) -> DataFrame:
     per = d.paper.select("pmid").join(d.link, "pmid", "left").groupBy("pmid").agg(F.greatest(F.count_distinct("coreproject"), F.lit(1)).alias("awards"))
-    return per.groupBy("awards").agg(F.count("*").alias("papers")).orderBy("awards").limit(10)
+    own = M.own_data(d.ident).select("pmid").distinct().withColumn("own", F.lit(1))
+    # one row for each number of awards: the shares are sums over these
+    g = per.join(own, "pmid", "left").groupBy("awards").agg(F.count("*").alias("papers"), F.count("own").alias("own_data_papers"))
+    w, multi = Window.partitionBy(F.lit(0)), F.col("awards") > 1
+    share = lambda c: percent(F.sum(F.when(multi, F.col(c)).otherwise(0)).over(w), F.sum(c).over(w))
+    return g.withColumns({"multi_pct": share("papers"), "multi_own_data_pct": share("own_data_papers")}).orderBy("awards").limit(10)
 
 
-@query("agg_tiers", f"""WITH o AS (SELECT DISTINCT c.tier, l.coreproject FROM {{candidate}} c JOIN {{ident}} i ON c.repo = i.repo AND c.id = i.id JOIN {{link}} l ON i.pmid = l.pmid WHERE {OWN.replace('role', 'i.role').replace('cls', 'i.cls')})
-    SELECT c.tier, c.n, 100.0::DOUBLE * c.n / (SELECT COUNT(*) FROM {{candidate}}) AS pct, COALESCE(a.n, 0) AS awards FROM (SELECT tier, COUNT(*) AS n FROM {{candidate}} GROUP BY tier) c
-    LEFT JOIN (SELECT tier, COUNT(*) AS n FROM o GROUP BY tier) a ON c.tier = a.tier""")
+_OF_AWARDS = f"SELECT c.tier, c.type, l.coreproject FROM {{candidate}} c JOIN {{ident}} i ON c.repo = i.repo AND c.id = i.id JOIN {{link}} l ON i.pmid = l.pmid WHERE {OWN.replace('role', 'i.role').replace('cls', 'i.cls')}"
+
+
+@query("agg_tiers", f"""WITH o AS ({_OF_AWARDS}) SELECT c.tier, c.n, c.n - c.different AS repeated, 100.0::DOUBLE * c.n / (SELECT COUNT(*) FROM {{candidate}}) AS pct, COALESCE(a.n, 0) AS awards, COALESCE(a.d, 0) AS awards_with_dataset,
+    c.n::DOUBLE / (SELECT COUNT(*) FROM {{award}}) AS rows_per_award FROM (SELECT tier, COUNT(*) AS n, COUNT(DISTINCT (repo, id)) AS different FROM {{candidate}} GROUP BY tier) c
+    LEFT JOIN (SELECT tier, COUNT(DISTINCT coreproject) AS n, COUNT(DISTINCT CASE WHEN type = 'dataset' THEN coreproject END) AS d FROM o GROUP BY tier) a ON c.tier = a.tier""")
 def agg_tiers(d: Data) -> DataFrame:
-    counts = d.candidate.groupBy("tier").agg(F.count("*").alias("n"))
+    counts = d.candidate.groupBy("repo", "id", "tier").agg(F.count("*").alias("times")).groupBy("tier").agg(F.sum("times").alias("n"), F.sum(F.col("times") - 1).alias("repeated"))
     counts = counts.withColumn("pct", percent(F.col("n"), F.sum("n").over(Window.partitionBy(F.lit(0)))))
+    per = awards_of_candidates(d).groupBy("tier", "coreproject").agg(F.bool_or(F.col("type") == "dataset").alias("data"))
+    per = per.groupBy("tier").agg(F.count("*").alias("awards"), F.count_if("data").alias("awards_with_dataset"))
+    total = d.award.agg(F.count("*").alias("_awards"))  # one row
+    j = counts.join(per, "tier", "left").na.fill(0, ["awards", "awards_with_dataset"]).crossJoin(total)
+    return j.withColumn("rows_per_award", F.col("n") / F.col("_awards")).drop("_awards")
+
+
+def awards_of_candidates(d: Data) -> DataFrame:
+    """(tier, type, coreproject), repeated for each paper that names the candidate."""
     own = M.own_identifiers(d.ident).select("repo", "id", "pmid")
-    awards = d.candidate.select("repo", "id", "tier").join(own, ["repo", "id"]).join(d.link, "pmid").groupBy("tier").agg(F.count_distinct("coreproject").alias("awards"))
-    return counts.join(awards, "tier", "left").na.fill(0, ["awards"])
+    return d.candidate.select("repo", "id", "tier", "type").join(own, ["repo", "id"]).join(d.link.select("pmid", "coreproject"), "pmid").select("tier", "type", "coreproject")
 
 
-@query("agg_public_summary", """SELECT COUNT(*) AS rows_all, COUNT(CASE WHEN type = 'dataset' AND tier = 1 THEN 1 END) AS confirmed, COUNT(CASE WHEN status IN ('RESOLVES', 'NOT_FOUND', 'PRIVATE', 'RESTRICTED') THEN 1 END) AS definite,
-    COUNT(CASE WHEN status = 'NOT_FOUND' THEN 1 END) AS dead, COUNT(CASE WHEN status = 'PRIVATE' THEN 1 END) AS private FROM {candidate}""")
+@query("agg_public_summary", f"""WITH o AS ({_OF_AWARDS}), h AS (SELECT i.id, MAX(CASE WHEN r.id IS NOT NULL THEN 1 ELSE 0 END) AS y FROM {{ident}} i LEFT JOIN {{record_pmid}} r ON r.repo = i.repo AND r.id = i.id AND r.pmid = i.pmid
+      WHERE {OWN} AND i.repo = 'GEO' GROUP BY i.id)
+    SELECT COUNT(*) AS rows_all, COUNT(CASE WHEN type = 'dataset' AND tier = 1 THEN 1 END) AS confirmed, COUNT(CASE WHEN status IN ('RESOLVES', 'NOT_FOUND', 'PRIVATE', 'RESTRICTED') THEN 1 END) AS definite,
+    COUNT(CASE WHEN status = 'NOT_FOUND' THEN 1 END) AS dead, COUNT(CASE WHEN status = 'PRIVATE' THEN 1 END) AS private,
+    {", ".join(f"COUNT(CASE WHEN tier = {t} THEN 1 END) AS tier_{t}" for t in (1, 2, 3))}, (SELECT COUNT(DISTINCT coreproject) FROM o WHERE type = 'dataset') AS awards_with_dataset,
+    (SELECT COUNT(*) FROM h WHERE y = 0) AS series_not_linked FROM {{candidate}}""")
 def agg_public_summary(d: Data) -> DataFrame:
     s = F.col("status")
-    return d.candidate.agg(
+    rows = d.candidate.agg(
         F.count("*").alias("rows_all"), F.count_if((F.col("type") == "dataset") & (F.col("tier") == 1)).alias("confirmed"),
         F.count_if(s.isin("RESOLVES", "NOT_FOUND", "PRIVATE", "RESTRICTED")).alias("definite"), F.count_if(s == "NOT_FOUND").alias("dead"), F.count_if(s == "PRIVATE").alias("private"),
+        *[F.count_if(F.col("tier") == t).alias(f"tier_{t}") for t in (1, 2, 3)],
     )
+    awards = awards_of_candidates(d).where("type = 'dataset'").select("coreproject").distinct().agg(F.count("*").alias("awards_with_dataset"))
+    said = d.record_pmid.where("repo = 'GEO'").select("pmid", "id").distinct().withColumn("y", F.lit(1))
+    series = M.own_identifiers(d.ident).where("repo = 'GEO'").join(said, ["pmid", "id"], "left").groupBy("id").agg(F.count("y").alias("y"))
+    return rows.crossJoin(awards).crossJoin(series.agg(F.count_if(F.col("y") == 0).alias("series_not_linked")))  # one row each
 
 
-@query("agg_consensus", """SELECT tier, COUNT(*) AS judged, COUNT(CASE WHEN role_a = 'generated' AND role_b = 'generated' THEN 1 END) AS both_own,
-    COUNT(CASE WHEN role_a = 'generated' OR role_b = 'generated' THEN 1 END) AS any_own FROM {rated} GROUP BY tier""")
+@query("agg_consensus", """WITH g AS (SELECT tier, COUNT(*) AS judged, COUNT(CASE WHEN role_a = 'generated' AND role_b = 'generated' THEN 1 END) AS both_own,
+      COUNT(CASE WHEN role_a = 'generated' OR role_b = 'generated' THEN 1 END) AS any_own FROM {rated} GROUP BY tier),
+    p AS (SELECT g.*, COALESCE(c.n, 0) AS population FROM g LEFT JOIN (SELECT tier, COUNT(*) AS n FROM {candidate} WHERE type = 'dataset' GROUP BY tier) c ON g.tier = c.tier)
+    SELECT *, ROUND((SELECT 100 * SUM(population * both_own / judged::DOUBLE) / NULLIF(SUM(population), 0) FROM p), 9) AS both_weighted_pct, ROUND((SELECT 100 * SUM(population * any_own / judged::DOUBLE) / NULLIF(SUM(population), 0) FROM p), 9) AS any_weighted_pct FROM p""")
 def agg_consensus(d: Data) -> DataFrame:
     a, b = F.col("role_a") == "generated", F.col("role_b") == "generated"
-    return d.rated.groupBy("tier").agg(F.count("*").alias("judged"), F.count_if(a & b).alias("both_own"), F.count_if(a | b).alias("any_own"))
+    g = d.rated.groupBy("tier").agg(F.count("*").alias("judged"), F.count_if(a & b).alias("both_own"), F.count_if(a | b).alias("any_own"))
+    population = d.candidate.where("type = 'dataset'").groupBy("tier").agg(F.count("*").alias("population"))
+    g = g.join(population, "tier", "left").na.fill(0, ["population"])
+    return g.withColumns({f"{x}_weighted_pct": F.round(K.weighted_percent(F.col("population"), F.col(f"{x}_own"), F.col("judged")), 9) for x in ("both", "any")})
 
 
 @query("agg_kappa", """WITH g AS (SELECT COUNT(*) AS n, COUNT(CASE WHEN role_a = role_b THEN 1 END) AS same, COUNT(CASE WHEN role_a = 'generated' THEN 1 END) AS a, COUNT(CASE WHEN role_b = 'generated' THEN 1 END) AS b FROM {rated}),
@@ -320,12 +398,23 @@ def agg_kappa(d: Data) -> DataFrame:
     return K.kappa(d.rated, F.col("role_a") == "generated", F.col("role_b") == "generated")
 
 
-@query("agg_audit_accuracy", """WITH g AS (SELECT tier, role_a, COUNT(*) AS m, COUNT(CASE WHEN role_a = role_b THEN 1 END) AS k, COUNT(CASE WHEN conf = 'high' THEN 1 END) AS high,
-    COUNT(CASE WHEN conf = 'high' AND role_a = role_b THEN 1 END) AS high_same FROM {rated} GROUP BY tier, role_a) SELECT *, 100.0::DOUBLE * k / m AS pct FROM g""")
+@query("agg_audit_accuracy", """WITH g AS (SELECT role_a, COUNT(*) AS m, COUNT(CASE WHEN role_a = role_b THEN 1 END) AS k, COUNT(CASE WHEN conf = 'high' THEN 1 END) AS high,
+      COUNT(CASE WHEN conf = 'high' AND role_a = role_b THEN 1 END) AS high_same FROM {rated} GROUP BY role_a),
+    i AS (SELECT role_a, string_agg(role_b || ' ' || n, ';' ORDER BY role_b) AS instead FROM (SELECT role_a, role_b, CAST(COUNT(*) AS STRING) AS n FROM {rated} WHERE role_a <> role_b GROUP BY role_a, role_b) t GROUP BY role_a),
+    p AS (SELECT g.*, COALESCE(i.instead, '') AS instead, COALESCE(c.n, 0) AS population FROM g LEFT JOIN i ON g.role_a = i.role_a LEFT JOIN (SELECT role, COUNT(*) AS n FROM {ident} GROUP BY role) c ON c.role = g.role_a)
+    SELECT *, 100.0::DOUBLE * k / m AS pct, ROUND((SELECT 100 * SUM(population * k / m::DOUBLE) / NULLIF(SUM(population), 0) FROM p), 9) AS weighted_pct FROM p""")
 def agg_audit_accuracy(d: Data) -> DataFrame:
-    same, high = F.col("role_a") == F.col("role_b"), F.col("conf") == "high"
-    g = d.rated.groupBy("tier", "role_a").agg(F.count("*").alias("m"), F.count_if(same).alias("k"), F.count_if(high).alias("high"), F.count_if(high & same).alias("high_same"))
-    return g.withColumn("pct", percent(F.col("k"), F.col("m")))
+    # what was said about what: one row for each pair of roles, and all else from these
+    n, same = F.col("n"), F.col("role_a") == F.col("role_b")
+    pairs = d.rated.groupBy("role_a", "role_b").agg(F.count("*").alias("n"), F.count_if(F.col("conf") == "high").alias("high"))
+    other = F.when(~same, F.concat_ws(" ", "role_b", n.cast("string")))
+    g = pairs.groupBy("role_a").agg(
+        F.sum("n").alias("m"), F.sum(F.when(same, n).otherwise(0)).alias("k"), F.sum("high").alias("high"), F.sum(F.when(same, F.col("high")).otherwise(0)).alias("high_same"),
+        F.array_join(F.array_sort(F.collect_list(other)), ";").alias("instead"),
+    )
+    population = d.ident.groupBy(F.col("role").alias("role_a")).agg(F.count("*").alias("population"))
+    g = g.join(population, "role_a", "left").na.fill(0, ["population"])
+    return g.withColumn("pct", percent(F.col("k"), F.col("m"))).withColumn("weighted_pct", F.round(K.weighted_percent(F.col("population"), F.col("k"), F.col("m")), 9))
 
 
 @query("agg_audit_roles", "SELECT tier, role_b, conf, COUNT(*) AS n FROM {rated} GROUP BY GROUPING SETS ((tier, role_b), (role_b, conf), (tier))")
@@ -334,15 +423,22 @@ def agg_audit_roles(d: Data) -> DataFrame:
     return d.rated.groupingSets(sets, "tier", "role_b", "conf").agg(F.count("*").alias("n"))
 
 
-@query("agg_rescore", """SELECT CASE WHEN o.label = r.said AND p.label <> r.said THEN 'broken' WHEN o.label <> r.said AND p.label = r.said THEN 'fixed' WHEN o.label <> p.label THEN 'moved' ELSE 'same' END AS outcome, COUNT(*) AS n
-    FROM {labelled} p JOIN (SELECT pmid, CASE WHEN CAST(pmid AS BIGINT) % 4 = 0 THEN 'ON_REQUEST' ELSE label END AS label FROM {labelled}) o ON p.pmid = o.pmid
-    JOIN (SELECT CAST(doc_id AS STRING) AS pmid, CASE WHEN quality = 1 THEN 'ON_REQUEST' ELSE 'IN_ARTICLE' END AS said FROM {labels}) r ON p.pmid = r.pmid GROUP BY 1""")
+@query("agg_rescore", """WITH r AS (SELECT CAST(doc_id AS STRING) AS pmid, CASE WHEN quality = 1 THEN 'ON_REQUEST' ELSE 'IN_ARTICLE' END AS said FROM {labels}),
+    j AS (SELECT p.label AS now, CASE WHEN CAST(p.pmid AS BIGINT) % 4 = 0 THEN 'ON_REQUEST' ELSE p.label END AS was, r.said FROM {labelled} p JOIN r ON p.pmid = r.pmid)
+    SELECT 'outcome' AS part, CASE WHEN was = said AND now <> said THEN 'broken' WHEN was <> said AND now = said THEN 'fixed' WHEN was <> now THEN 'moved' ELSE 'same' END AS name, COUNT(*) AS n, COUNT(CASE WHEN now = said THEN 1 END) AS agree FROM j GROUP BY 2
+    UNION ALL SELECT 'label', now, COUNT(*), COUNT(CASE WHEN now = said THEN 1 END) FROM j GROUP BY now
+    UNION ALL SELECT 'queue', label, COUNT(*), 0 FROM {labelled} WHERE label = 'NEEDS_REVIEW' AND pmid NOT IN (SELECT pmid FROM r WHERE pmid IS NOT NULL) GROUP BY label""")
 def agg_rescore(d: Data) -> DataFrame:
-    old = d.labelled.select("pmid", F.when(F.col("pmid").cast("long") % 4 == 0, "ON_REQUEST").otherwise(F.col("label")).alias("old"))
+    """Papers by outcome of a change of rules, by their label now, and those to review that nobody has labelled."""
     said = d.labels.select(F.col("doc_id").cast("string").alias("pmid"), F.when(F.col("quality") == 1, "ON_REQUEST").otherwise("IN_ARTICLE").alias("said"))
+    old = F.when(F.col("pmid").cast("long") % 4 == 0, "ON_REQUEST").otherwise(F.col("label"))
+    j = d.labelled.select("pmid", "label", old.alias("old")).join(said, "pmid")
     was, now = F.col("old") == F.col("said"), F.col("label") == F.col("said")
     outcome = F.when(was & ~now, "broken").when(~was & now, "fixed").when(F.col("old") != F.col("label"), "moved").otherwise("same")
-    return d.labelled.join(old, "pmid").join(said, "pmid").groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
+    counts = [F.count("*").alias("n"), F.count_if(now).alias("agree")]
+    parts = [j.groupBy(F.lit(part).alias("part"), by.alias("name")).agg(*counts) for part, by in (("outcome", outcome), ("label", F.col("label")))]
+    queue = d.labelled.where("label = 'NEEDS_REVIEW'").join(said, "pmid", "left_anti").groupBy(F.lit("queue").alias("part"), F.col("label").alias("name")).agg(F.count("*").alias("n"))
+    return parts[0].unionByName(parts[1]).unionByName(queue.withColumn("agree", F.lit(0).cast("long")))
 
 
 @query("agg_wilson", """WITH g AS (SELECT tier, COUNT(*)::DOUBLE AS n, COUNT(CASE WHEN role_a = 'generated' THEN 1 END) / COUNT(*)::DOUBLE AS p FROM {rated} GROUP BY tier)

@@ -52,7 +52,7 @@ def join_early_pub(d: Data) -> DataFrame:
     return early_publications(d.link, d.paper, d.award).where("kept OR excluded").select("pmid", "coreproject", "excluded")
 
 
-@query("join_overrides", "SELECT p.pmid, COALESCE(CASE WHEN l.quality = 1 THEN 'ON_REQUEST' WHEN l.quality = 0 THEN 'IN_ARTICLE' END, p.label) AS label FROM {labelled} p LEFT JOIN (SELECT * FROM {labels} WHERE doc_id % 2 = 0) l ON p.pmid = CAST(l.doc_id AS STRING)")
+@query("join_overrides", "SELECT p.pmid, COALESCE(CASE WHEN l.quality = 1 THEN 'ON_REQUEST' WHEN l.quality = 0 THEN 'IN_ARTICLE' END, p.label) AS label FROM {labelled} p LEFT JOIN {labels} l ON p.pmid = CAST(l.doc_id AS STRING)")
 def join_overrides(d: Data) -> DataFrame:
     from .q_rows import overrides
 

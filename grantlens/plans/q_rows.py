@@ -215,19 +215,23 @@ def top_limit_awards(d: Data) -> DataFrame:
 
 @query("top_repos", f"""WITH c AS (SELECT repo, COUNT(*) AS n FROM {{ident}} WHERE {OWN} GROUP BY repo),
     r AS (SELECT repo, n, ROW_NUMBER() OVER (ORDER BY n DESC, repo) AS k FROM c)
-    SELECT CASE WHEN k <= 3 THEN repo ELSE 'rest' END AS repository, CAST(SUM(n) AS BIGINT) AS n FROM r GROUP BY 1""")
+    SELECT CASE WHEN k <= 10 THEN repo ELSE 'rest' END AS repository, CAST(SUM(n) AS BIGINT) AS n FROM r GROUP BY 1""")
 def top_repos(d: Data) -> DataFrame:
     counts = M.own_identifiers(d.ident).groupBy("repo").agg(F.count("*").alias("n"))  # one row for each repository
     k = F.row_number().over(Window.orderBy(F.desc("n"), "repo"))
-    named = counts.withColumn("repository", F.when(k <= 3, F.col("repo")).otherwise("rest"))
+    named = counts.withColumn("repository", F.when(k <= 10, F.col("repo")).otherwise("rest"))
     return named.groupBy("repository").agg(F.sum("n").alias("n"))
 
 
-@query("top_slices", """SELECT pmid, string_agg(id, ';' ORDER BY id) AS ids FROM (SELECT pmid, id, ROW_NUMBER() OVER (PARTITION BY pmid ORDER BY id) AS n
-    FROM {ident} WHERE role = 'reused') t WHERE n <= 2 GROUP BY pmid""")
+SLICES = {"reused": 15, "generated": 12, "unknown": 6}
+
+
+@query("top_slices", f"""SELECT pmid, {", ".join(f"COALESCE(string_agg(id, ';' ORDER BY id) FILTER (WHERE role = '{r}' AND n <= {k}), '') AS {r}" for r, k in SLICES.items())}
+    FROM (SELECT pmid, id, role, ROW_NUMBER() OVER (PARTITION BY pmid, role ORDER BY id) AS n FROM {{ident}}) t GROUP BY pmid""")
 def top_slices(d: Data) -> DataFrame:
-    ids = F.slice(F.array_sort(F.collect_list("id")), 1, 2)
-    return d.ident.where("role = 'reused'").groupBy("pmid").agg(F.array_join(ids, ";").alias("ids"))
+    """Heads of a paper's lists by role, in order; what is beyond is not shown."""
+    heads = [F.array_join(F.slice(F.array_sort(F.collect_list(F.when(F.col("role") == r, F.col("id")))), 1, k), ";").alias(r) for r, k in SLICES.items()]
+    return d.ident.groupBy("pmid").agg(*heads)
 
 
 @query("top_receipt_order", """SELECT l.coreproject, string_agg(p.pmid, ';' ORDER BY p.pub_date NULLS FIRST, CAST(p.pmid AS BIGINT)) AS papers
@@ -277,7 +281,7 @@ _FACTS = """SELECT pmid, MAX(CASE WHEN role = 'generated' AND cls IN ('public',
     MAX(CASE WHEN role = 'generated' AND cls = 'controlled' THEN 1 ELSE 0 END) AS own_controlled,
     MAX(CASE WHEN role = 'generated' AND cls = 'url' THEN 1 ELSE 0 END) AS own_url, MAX(CASE WHEN role = 'unknown' AND cls <> 'url' THEN 1 ELSE 0 END) AS unknown,
     MAX(CASE WHEN role = 'reused' AND cls <> 'url' THEN 1 ELSE 0 END) AS reused, MAX(CASE WHEN role = 'reused' AND in_das THEN 1 ELSE 0 END) AS reused_in_das
-    FROM {ident} WHERE ord >= 3 GROUP BY pmid"""
+    FROM {ident} GROUP BY pmid"""
 
 
 def statement_cues(d: Data) -> DataFrame:
@@ -300,7 +304,7 @@ def statement_cues(d: Data) -> DataFrame:
       WHEN pub_type = 'editorial' THEN 'NO_DATA_GENERATED' ELSE 'NO_STATEMENT' END AS label
     FROM k LEFT JOIN f ON k.pmid = f.pmid""")
 def cls_label(d: Data) -> DataFrame:
-    facts = P.identifier_facts(d.ident.where("ord >= 3"))
+    facts = P.identifier_facts(d.ident)
     papers = d.paper.join(facts, "pmid", "left").join(statement_cues(d), "pmid", "left")
     return P.label(papers).select("pmid", "label")
 
@@ -331,7 +335,7 @@ def cls_flags(d: Data) -> DataFrame:
 
 def overrides(d: Data) -> DataFrame:
     k = F.col("doc_id")
-    return d.labels.where("doc_id % 2 = 0").select(
+    return d.labels.select(
         k.cast("string").alias("pmid"), F.when(F.col("quality") == 1, "ON_REQUEST").otherwise("IN_ARTICLE").alias("label"),
         F.when(k % 3 == 0, " Yes ").when(k % 3 == 1, "no").otherwise("").alias("mixed"), F.when(F.col("toxic") == 1, "y").alias("code_shared"),
     )
@@ -341,7 +345,7 @@ def overrides(d: Data) -> DataFrame:
     CASE WHEN l.doc_id IS NOT NULL THEN 'review' ELSE 'rules' END AS label_source,
     CASE WHEN l.doc_id % 3 = 0 THEN TRUE WHEN l.doc_id % 3 = 1 THEN FALSE ELSE CAST(p.pmid AS BIGINT) % 2 = 0 END AS mixed,
     CASE WHEN l.toxic = 1 THEN TRUE ELSE FALSE END AS code_shared
-    FROM {labelled} p LEFT JOIN (SELECT * FROM {labels} WHERE doc_id % 2 = 0) l ON p.pmid = CAST(l.doc_id AS STRING)""")
+    FROM {labelled} p LEFT JOIN {labels} l ON p.pmid = CAST(l.doc_id AS STRING)""")
 def cls_override(d: Data) -> DataFrame:
     papers = d.labelled.select("pmid", "label", (F.col("pmid").cast("long") % 2 == 0).alias("mixed"), F.lit(False).alias("code_shared"))
     return P.override(papers, overrides(d)).select("pmid", "label", "label_source", "mixed", "code_shared")

@@ -137,10 +137,10 @@ def snk_summary(d: Data) -> DataFrame:
     return sinks.round_trip(one, "summary", "json").unpivot([], ["papers", "checkable", "preprints"], "metric", "value")
 
 
-@query("snk_review_queue", """SELECT b.pmid, COALESCE(string_agg(i.id, ';' ORDER BY i.id) FILTER (WHERE i.n <= 2), '') AS ids FROM {labelled} b LEFT JOIN
+@query("snk_review_queue", """SELECT b.pmid, COALESCE(string_agg(i.id, ';' ORDER BY i.id) FILTER (WHERE i.n <= 12), '') AS ids FROM {labelled} b LEFT JOIN
     (SELECT pmid, id, ROW_NUMBER() OVER (PARTITION BY pmid ORDER BY id) AS n FROM {ident} WHERE role IN ('generated', 'unknown') OR in_das) i ON b.pmid = i.pmid WHERE b.label = 'NEEDS_REVIEW' GROUP BY b.pmid""")
 def snk_review_queue(d: Data) -> DataFrame:
-    shown = d.ident.where(F.col("role").isin("generated", "unknown") | F.col("in_das")).groupBy("pmid").agg(F.slice(F.array_sort(F.collect_list("id")), 1, 2).alias("ids"))
+    shown = d.ident.where(F.col("role").isin("generated", "unknown") | F.col("in_das")).groupBy("pmid").agg(F.slice(F.array_sort(F.collect_list("id")), 1, 12).alias("ids"))
     q = d.labelled.where("label = 'NEEDS_REVIEW'").select("pmid").join(shown, "pmid", "left")
     back = sinks.round_trip(q, "queue", "json")
     return back.select("pmid", F.array_join(F.coalesce("ids", F.array().cast("array<string>")), ";").alias("ids"))

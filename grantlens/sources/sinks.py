@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def landing(spark: SparkSession, name: str) -> str:
-    """A new folder in the warehouse, which driver and executors share."""
-    base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    """A new folder below spark.checkpoint.dir, or else in the warehouse: driver and executors share both."""
+    base = (spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 

@@ -8,6 +8,7 @@ from .neardup_vectors import op5_near_vectors
 from .packing import op10_packing
 from .quality_cnn import op6_quality_cnn
 from .quality_rules import op7_quality_rules
+from .repair import op12_repair
 from .sharding import op8_sharding
 from .simhash import op2_simhash
 from .substrings import op4_substrings
@@ -27,6 +28,7 @@ QUERIES = {
         op8_sharding,
         op9_mixing,
         op10_packing,
+        op12_repair,
     )
 }
 

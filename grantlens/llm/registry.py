@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from . import quality_rules as rules
+from .divergence import op13_divergence
 from .mixing import op9_mixing
 from .neardup_vectors import op5_near_vectors
 from .packing import op10_packing
@@ -29,6 +30,7 @@ QUERIES = {
         op9_mixing,
         op10_packing,
         op12_repair,
+        op13_divergence,
     )
 }
 
@@ -86,4 +88,21 @@ FROM e LEFT JOIN chosen ON e.stratum = chosen.stratum
 """
 
 
-ORACLE_SQL = {"op3_warc": OP3_SQL, "op5_near_vectors": OP5_SQL, "op7_quality_rules": op7_sql()}
+OP13_SQL = r"""
+WITH d AS (SELECT ROW_NUMBER() OVER () AS k, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source, COALESCE(text, '') AS t FROM documents),
+w AS (SELECT k, lang, source, translate(UNNEST(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
+kept AS (SELECT lang, term, COUNT(*) AS lang_n FROM w GROUP BY lang, term HAVING COUNT(DISTINCT k) >= 10),
+n AS (SELECT w.lang, w.source, w.term, COUNT(*) AS n FROM w JOIN kept ON w.lang = kept.lang AND w.term = kept.term GROUP BY w.lang, w.source, w.term),
+g AS (SELECT DISTINCT lang, source FROM d),
+dense AS (SELECT g.lang, g.source, kept.term, COALESCE(n.n, 0) AS n FROM g JOIN kept ON g.lang = kept.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.term = kept.term),
+gp AS (SELECT *, 1 + (1000000000::HUGEINT * (n + 2)) // (SUM(n) OVER (PARTITION BY lang, source) + 2 * COUNT(*) OVER (PARTITION BY lang, source)) AS p FROM dense),
+lp AS (SELECT lang, term, 1 + (1000000000::HUGEINT * (lang_n + 2)) // (SUM(lang_n) OVER (PARTITION BY lang) + 2 * COUNT(*) OVER (PARTITION BY lang)) AS q FROM kept),
+s AS (SELECT a.lang, a.source, b.source AS item, SUM(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value FROM gp a JOIN gp b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+r AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(s.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+  UNION ALL SELECT gp.lang, gp.source, 'term', gp.term, ((p - q) * (p - q)) // (p + q) FROM gp JOIN lp ON gp.lang = lp.lang AND gp.term = lp.term WHERE n > 0 AND p > q),
+z AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(ROW_NUMBER() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank FROM r)
+SELECT * FROM z WHERE part = 'pair' OR rank <= 10
+"""
+
+ORACLE_SQL = {"op3_warc": OP3_SQL, "op5_near_vectors": OP5_SQL, "op7_quality_rules": op7_sql(), "op13_divergence": OP13_SQL}

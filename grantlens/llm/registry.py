@@ -13,6 +13,7 @@ from .repair import op12_repair
 from .sharding import op8_sharding
 from .simhash import op2_simhash
 from .substrings import op4_substrings
+from .suffixes import op11_suffixes
 from .toxicity import op1_toxicity
 from .warc import op3_warc
 
@@ -29,6 +30,7 @@ QUERIES = {
         op8_sharding,
         op9_mixing,
         op10_packing,
+        op11_suffixes,
         op12_repair,
         op13_divergence,
     )
@@ -88,6 +90,19 @@ FROM e LEFT JOIN chosen ON e.stratum = chosen.stratum
 """
 
 
+OP11_SQL = """
+WITH d AS (SELECT ROW_NUMBER() OVER (ORDER BY doc_id NULLS LAST) AS k, doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents),
+s AS (SELECT k, i, md5(substr(h, 2 * i + 1, 200)) AS g FROM (SELECT k, h, UNNEST(range(0, len(h) // 2 - 99)) AS i FROM d) y),
+r AS (SELECT k, i FROM (SELECT k, i, ROW_NUMBER() OVER (PARTITION BY g ORDER BY k, i) AS nth FROM s) y WHERE nth > 1),
+m AS (SELECT k, i, SUM(jump) OVER (PARTITION BY k ORDER BY i) AS run FROM (SELECT k, i, CASE WHEN i - LAG(i) OVER (PARTITION BY k ORDER BY i) <= 100 THEN 0 ELSE 1 END AS jump FROM r) y),
+c AS (SELECT k, MIN(i) AS b, MAX(i) + 100 AS e FROM m GROUP BY k, run),
+p AS (SELECT c.k, b, e, substr(h, 2 * COALESCE(LAG(e) OVER (PARTITION BY c.k ORDER BY b), 0) + 1, 2 * (b - COALESCE(LAG(e) OVER (PARTITION BY c.k ORDER BY b), 0))) AS before FROM c JOIN d ON c.k = d.k),
+q AS (SELECT k, SUM(e - b) AS n_removed, COUNT(*) AS n_spans, MAX(e) AS e, string_agg(before, '' ORDER BY b) AS before FROM p GROUP BY k)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(COALESCE(n_removed, 0) AS BIGINT) AS n_removed, CAST(COALESCE(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(COALESCE(before, '') || substr(h, 2 * COALESCE(e, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN q ON d.k = q.k
+"""
+
 OP13_SQL = r"""
 WITH d AS (SELECT ROW_NUMBER() OVER () AS k, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source, COALESCE(text, '') AS t FROM documents),
 w AS (SELECT k, lang, source, translate(UNNEST(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term FROM d),
@@ -105,4 +120,4 @@ z AS (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(ROW_
 SELECT * FROM z WHERE part = 'pair' OR rank <= 10
 """
 
-ORACLE_SQL = {"op3_warc": OP3_SQL, "op5_near_vectors": OP5_SQL, "op7_quality_rules": op7_sql(), "op13_divergence": OP13_SQL}
+ORACLE_SQL = {"op11_suffixes": OP11_SQL, "op3_warc": OP3_SQL, "op5_near_vectors": OP5_SQL, "op7_quality_rules": op7_sql(), "op13_divergence": OP13_SQL}

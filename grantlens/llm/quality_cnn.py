@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import base64
 import pickle
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table
@@ -18,9 +19,10 @@ from .toxicity import in_fold
 EMBED, WIDTH, STEP, FILTERS, HIDDEN = 4, 12, 4, 24, 12
 #: Bytes of a chunk, and from one chunk to the next: chunks overlap by a filter's width and more.
 CHUNK, STRIDE = 512, 448
-#: Labelled documents of either class that the network is fitted on, first by hash of doc_id, and the bytes of text of
-#: a class that are drawn at most: a document that would go beyond is not drawn. All chunks of a document are used.
-SAMPLE, SAMPLE_BYTES = 1500, 8 << 20
+#: Labelled documents of either class that the network is fitted on at most, first by hash of doc_id, whatever their
+#: length; the bytes of their texts that the driver holds at once; and the chunks of a document that one step learns
+#: from, drawn by chance anew for each step where there are more. Scores are of all chunks of all documents.
+SAMPLE, HELD, LEARNED = 1500, 16 << 20, 256
 #: Steps of the fit, the same at every size, documents of a step, and the first rate.
 STEPS, BATCH, RATE = 1000, 32, 0.004
 #: Chunks that are held at once.
@@ -92,34 +94,33 @@ class Network:
         h = np.maximum(features @ self.p["w1"] + self.p["b1"], 0)
         return h @ self.p["w2"] + self.p["b2"], h
 
-    def fit(self, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray, seed: int = 2) -> None:
-        """docs: (codes, repeats) of all chunks of each document. Adam on the weighted log loss."""
-        r = np.random.default_rng(seed)
+    def fit(self, drawn: Iterator[tuple[Iterable, float, float]], batch: int = BATCH) -> None:
+        """drawn: (slices of chunks, label, weight) of one document after another, without end. Adam on the weighted log loss."""
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
         s = {k: np.zeros_like(v) for k, v in self.p.items()}
-        left = np.zeros(0, np.int64)
         for step in range(1, STEPS + 1):
-            while len(left) < min(BATCH, len(y)):
-                left = np.concatenate([left, r.permutation(len(y))])
-            rows, left = left[:BATCH], left[BATCH:]
+            docs, y, weight = zip(*islice(drawn, batch), strict=True)
             rate = RATE * (1 - step / STEPS) + 1e-4
-            for k, g in self.gradients([docs[i] for i in rows], y[rows], weight[rows]).items():
+            for k, g in self.gradients(docs, np.array(y, np.float32), np.array(weight, np.float32)).items():
                 m[k] += 0.1 * (g - m[k])
                 s[k] += 0.001 * (g * g - s[k])
                 self.p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
 
-    def gradients(self, docs: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
-        """Only the windows of the maxima are kept of each slice of chunks, so that long documents need little memory."""
-        codes, copy = np.concatenate([d[0] for d in docs]), np.concatenate([d[1] for d in docs])
-        copy = copy.astype(self.p["conv"].dtype)
-        sizes = np.array([len(d[0]) for d in docs])
+    def gradients(self, docs: Iterable[Iterable], y: np.ndarray, weight: np.ndarray) -> dict[str, np.ndarray]:
+        """docs: of each document slices (codes, repeats) of chunks, which are gone through twice.
+
+        Of a chunk only the maxima and their places are kept from the first time to the second, so that long documents
+        need little memory.
+        """
+        sizes = np.zeros(len(y), np.int64)
+        maxima, places = [], []
+        for codes, copy in gathered(docs, sizes):
+            f, at, _ = self.pooled(codes, copy.astype(self.p["conv"].dtype))
+            maxima.append(f)
+            places.append(at.astype(np.int16))
+        f, at = np.concatenate(maxima), np.concatenate(places).astype(np.int64)
         starts = np.r_[0, np.cumsum(sizes)[:-1]]
-        of = np.repeat(np.arange(len(docs)), sizes)
-        parts = []
-        for i in range(0, len(codes), SLICE):
-            f, at, w = self.pooled(codes[i : i + SLICE], copy[i : i + SLICE])
-            parts.append((f, at, w[np.arange(len(at))[:, None], at]))
-        f, at, rows = (np.concatenate(x) for x in zip(*parts, strict=True))
+        of = np.repeat(np.arange(len(y)), sizes)
         mean, top = np.add.reduceat(f, starts) / sizes[:, None], np.maximum.reduceat(f, starts)
         features = np.concatenate([mean, top], axis=1)
         logit, h = self.head(features)
@@ -134,30 +135,81 @@ class Network:
         first = best & (seen - (seen[starts] - best[starts])[of] == 1)
         dtop = ((df[:, :FILTERS] / sizes[:, None])[of] + df[:, FILTERS:][of] * first) * (f > 0)
         g["bias"] = dtop.sum(0)
-        g["conv"] = np.einsum("bf,bfk->kf", dtop, rows, optimize=True)
-        back = dtop[:, :, None] * self.p["conv"].T[None]
-        back = back.reshape(len(codes), FILTERS, WIDTH, EMBED + 1)[..., :EMBED]
-        place = at[:, :, None] * STEP + np.arange(WIDTH)
-        code = np.take_along_axis(codes[:, None, :], place, 2)
-        g["emb"] = np.stack(
-            [np.bincount(code.ravel(), back[..., e].ravel(), 257) for e in range(EMBED)], axis=1
-        ).astype(np.float32)
+        g["conv"], g["emb"] = np.zeros_like(self.p["conv"]), np.zeros((257, EMBED))
+        begin = 0
+        for codes, copy in gathered(docs, sizes):
+            d, place = dtop[begin : begin + len(codes)], at[begin : begin + len(codes), :, None] * STEP + np.arange(WIDTH)
+            begin += len(codes)
+            row = np.arange(len(codes))[:, None, None]
+            code = codes[row, place]
+            windows = np.concatenate([self.p["emb"][code], copy[row, place][..., None]], axis=-1).reshape(len(codes), FILTERS, -1)
+            g["conv"] += np.einsum("bf,bfk->kf", d, windows, optimize=True)
+            back = (d[:, :, None] * self.p["conv"].T[None]).reshape(len(codes), FILTERS, WIDTH, EMBED + 1)
+            for e in range(EMBED):
+                g["emb"][:, e] += np.bincount(code.ravel(), back[..., e].ravel(), 257)
         return {k: v.astype(np.float32) for k, v in g.items()}
 
 
+def gathered(docs: Iterable[Iterable], sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Slices of all docs one after another, short ones put together; sizes gets each document's chunks."""
+    codes: list[np.ndarray] = []
+    copies: list[np.ndarray] = []
+    for i, doc in enumerate(docs):
+        sizes[i] = 0
+        for c, k in doc:
+            sizes[i] += len(c)
+            codes.append(c)
+            copies.append(k)
+            if sum(map(len, codes)) >= SLICE:
+                yield np.concatenate(codes), np.concatenate(copies)
+                codes, copies = [], []
+    if codes:
+        yield np.concatenate(codes), np.concatenate(copies)
+
+
 def slices(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(codes, repeats) of SLICE chunks of a whole text at a time; 256 stands behind the end."""
-    b = byte_array(text)
+    return sliced(byte_array(text))
+
+
+class Drawn:
+    """A text to learn from, as bytes and bits of repeats: chunks, all or those of `picked` numbers, each time it is gone through."""
+
+    def __init__(self, text: bytes, marks: bytes, picked: np.ndarray | None = None):
+        self.text, self.marks, self.picked = text, marks, picked
+
+    def once(self, r: np.random.Generator) -> Drawn:
+        """The text with the chunks of one step."""
+        n = len(chunks_of(len(self.text)))
+        return Drawn(self.text, self.marks, np.sort(r.choice(n, LEARNED, replace=False))) if n > LEARNED else self
+
+    def __iter__(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        b = np.frombuffer(self.text, np.uint8)
+        marks = np.unpackbits(np.frombuffer(self.marks, np.uint8), count=len(b))
+        if self.picked is None:
+            yield from sliced(b, marks)
+            return
+        place = self.picked[:, None] * STRIDE + np.arange(CHUNK)
+        inside = place < len(b)
+        place = np.minimum(place, len(b) - 1)
+        yield np.where(inside, b[place], 256).astype(np.int16), np.where(inside, marks[place], 0).astype(np.float32)
+
+
+def sliced(b: np.ndarray, marks: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same of bytes; marks: their repeats, if they are known."""
     starts = np.array(chunks_of(len(b)))
     for i in range(0, len(starts), SLICE):
         own = starts[i : i + SLICE]
         begin, end = own[0], own[-1] + CHUNK
         codes = np.full(end - begin, 256, dtype=np.int16)
         codes[: max(0, len(b) - begin)] = b[begin:end]
-        # a repeat looks back over the start of the slice
-        before = max(0, begin - LAGS[-1] - 5)
         copy = np.zeros(end - begin, np.float32)
-        copy[: max(0, len(b) - begin)] = repeats(b[before:end])[begin - before :]
+        if marks is None:
+            # a repeat looks back over the start of the slice
+            before = max(0, begin - LAGS[-1] - 5)
+            copy[: max(0, len(b) - begin)] = repeats(b[before:end])[begin - before :]
+        else:
+            copy[: max(0, len(b) - begin)] = marks[begin:end]
         index = (own - begin)[:, None] + np.arange(CHUNK)
         yield codes[index], copy[index]
 
@@ -168,36 +220,72 @@ def cut_chunks(text: str) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(codes), np.concatenate(copies)
 
 
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, quality) of the documents that have a label, each once."""
+    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
+    return materialize(known.join(docs.select("doc_id").distinct(), "doc_id"), "quality-ids")
+
+
+def drawn_texts(docs: DataFrame, known: DataFrame, sample: int) -> DataFrame:
+    """(quality, text, marks) of at most `sample` documents of either class of known, text and repeats as bytes; one row of each doc_id."""
+    order = [F.xxhash64("doc_id", F.lit(6)), F.col("doc_id")]
+    part = [known.where(F.col("quality") == c).orderBy(*order).limit(sample) for c in (0, 1)]
+    # at most 2 * sample rows are broadcast
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(part[0].unionByName(part[1])), "doc_id")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in batches:
+            b = [byte_array(x) for x in p["text"]]
+            yield pd.DataFrame({"doc_id": p["doc_id"], "quality": p["quality"], "text": [x.tobytes() for x in b], "marks": [np.packbits(repeats(x) > 0).tobytes() for x in b]})
+
+    once = materialize(rows.dropDuplicates(["doc_id"]).mapInPandas(run, "doc_id long, quality int, text binary, marks binary"), "quality-texts")
+    size = once.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    # by hash, and few bytes at a time go to the driver
+    return materialize(once.repartition(int(1 + size // HELD), F.xxhash64("doc_id", F.lit(7))).drop("doc_id"), "quality-drawn")
+
+
+def without_end(drawn: DataFrame, weights: tuple[float, float], seed: int = 2) -> Iterator[tuple[Drawn, float, float]]:
+    """(text, label, weight) of all rows of drawn over and over, in an order by chance within HELD bytes of them.
+
+    Where all texts have no more bytes than that, they are read once; else they come from the shared folder each time.
+    """
+    r = np.random.default_rng(seed)
+
+    def mixed(rows: list[tuple[Drawn, float, float]]) -> Iterator[tuple[Drawn, float, float]]:
+        for i in r.permutation(len(rows)):
+            text, label, weight = rows[i]
+            yield text.once(r), label, weight
+
+    while True:
+        held: list[tuple[Drawn, float, float]] = []
+        size, parts = 0, 0
+        for x in drawn.toLocalIterator():
+            held.append((Drawn(bytes(x["text"]), bytes(x["marks"])), float(x["quality"]), weights[x["quality"]]))
+            size += len(x["text"])
+            if size > HELD:
+                yield from mixed(held)
+                held, size, parts = [], 0, parts + 1
+        yield from mixed(held)
+        while not parts:
+            yield from mixed(held)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> str | None:
     """The fitted network from docs (doc_id, text) and labels (doc_id, quality); None without labels of both classes.
 
-    At most `sample` documents of a class, and SAMPLE_BYTES of text, come to the driver, where the network is fitted;
-    of rows of one doc_id one is drawn.
+    It is fitted on the driver, on texts of at most `sample` documents of a class, of any length, which pass some 16 MB
+    at a time; of a text of over LEARNED chunks each step takes so many by chance. Of rows of one doc_id one is drawn.
     """
-    known = labels.where("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("quality").cast("int").alias("quality"))
-    lengths = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
-    known = materialize(known.join(lengths, "doc_id"), "quality-ids")
+    known = labelled(docs, labels)
     sizes = {r.quality: r["count"] for r in known.groupBy("quality").count().collect()}
     if len(sizes) < 2:
         return None
-    pick = None
-    for c in (0, 1):
-        part = known.where(F.col("quality") == c).orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id").limit(sample)
-        part = part.withColumn("upto", F.sum("bytes").over(Window.orderBy(F.xxhash64("doc_id", F.lit(6)), "doc_id")))
-        part = part.where((F.col("upto") <= SAMPLE_BYTES) | (F.col("bytes") * sample <= SAMPLE_BYTES)).select("doc_id", "quality")
-        pick = part if pick is None else pick.unionByName(part)
-    # at most 2 * sample rows are broadcast
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(pick), "doc_id")
-    got = rows.dropDuplicates(["doc_id"]).toPandas().sort_values("doc_id", kind="stable")
-    chunks = [(c, k.astype(np.uint8)) for c, k in map(cut_chunks, got["text"])]
-    y = got["quality"].to_numpy().astype(np.float32)
-    share = y.mean()
-    prior = sizes[1] / (sizes[0] + sizes[1])
+    drawn = drawn_texts(docs, known, sample)
+    prior, share = sizes[1] / (sizes[0] + sizes[1]), min(sizes[1], sample) / (min(sizes[0], sample) + min(sizes[1], sample))
     # half way between the labels' shares and even classes
     aim = (prior + 0.5) / 2
-    weight = np.where(y == 1, aim / share, (1 - aim) / (1 - share)).astype(np.float32)
     net = Network()
-    net.fit(chunks, y, weight)
+    net.fit(without_end(drawn, ((1 - aim) / (1 - share), aim / share)), min(BATCH, sizes[0] + sizes[1]))
     return base64.b64encode(pickle.dumps(net.p)).decode()
 
 

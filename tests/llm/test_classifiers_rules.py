@@ -140,7 +140,9 @@ def test_gradients_equal_differences():
         z, _ = net.head(np.concatenate([f.mean(1), f.max(1)], axis=1))
         return float((np.log1p(np.exp(-np.abs(z))) + np.maximum(z, 0) - y * z).mean())
 
-    got = net.gradients(list(zip(codes, copy, strict=True)), y, weight)
+    got = net.gradients([[x] for x in zip(codes, copy, strict=True)], y, weight)
+    halves = [[(c[:1], k[:1]), (c[1:], k[1:])] for c, k in zip(codes, copy, strict=True)]
+    assert all(np.allclose(g, got[k]) for k, g in net.gradients(halves, y, weight).items())
     for k, g in got.items():
         i = np.unravel_index(np.abs(g).argmax(), g.shape)
         old, step = net.p[k][i], 1e-5
@@ -186,6 +188,23 @@ def test_quality_network(spark):
     assert cnn.score(odd.limit(0), model, ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("kinds", ["ll", "lls", "sl"])
+def test_quality_of_long_labelled_texts(spark, monkeypatch, kinds):
+    """Texts of 10 MB, in each class or in one beside short ones, are learned from like others."""
+    monkeypatch.setattr(cnn, "STEPS", 60)
+    long, short = 10 << 20, 4000
+    rows = []
+    for i, kind in enumerate(kinds * (1 if "ll" in kinds else 6)):
+        n = (long if i < 2 else short) if kind == "l" else short
+        good = kind == "l" if "ll" not in kinds else i % 2 == 1
+        text = prose(400) if good else prose(400).replace(" ", "*** ")
+        rows.append((i, (text * (n // len(text) + 1))[:n], int(good)))
+    docs = spark.createDataFrame([(a, b, "x") for a, b, _ in rows], DOCS).repartition(4)
+    labels = spark.createDataFrame([(a, c) for a, _, c in rows], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in cnn.score(docs, cnn.train(docs, labels), ["doc_id"]).collect()}
+    assert all((got[i] >= 0.5) == (c == 1) for i, _, c in rows)
+
+
 # ---------------------------------------------------------------- quality rules
 
 

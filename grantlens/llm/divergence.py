@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import forget, materialize, table
+from .common import forget, materialize, table, with_end
 
 #: Documents of a language that a kept term is in at least, and ranks of the part `term`.
 MIN_DOCS, RANKS = 10, 10
@@ -19,6 +19,8 @@ MIN_DOCS, RANKS = 10, 10
 BITS = 64
 #: log2 of the bits of the table that tells which digests may be kept: 8 MB, whatever the input.
 FILTER = 26
+#: Terms, of all groups, that a task holds before it passes them on.
+HELD = 1 << 18
 #: Groups (lang, source) that are broadcast at most; more are joined by a shuffle.
 FEW_GROUPS = 20_000
 #: Bytes that end a term become spaces, A-Z small letters; all bytes from 128 on belong to terms.
@@ -41,26 +43,26 @@ def plain(documents: DataFrame) -> DataFrame:
 
 
 def counted(docs: DataFrame, bits: int) -> DataFrame:
-    """(lang, source, term, n, docs) summed within batches: term is a digest, n its occurrences, docs the documents it is in."""
+    """(lang, source, term, n, docs) summed within tasks: term is a digest, n its occurrences, docs the documents it is in."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for (lang, source), rows in b.groupby(["lang", "source"], sort=False):
-                n: Counter[bytes] = Counter()
-                within: Counter[bytes] = Counter()
-                for text in rows["text"]:
-                    own = Counter(terms_of(text))
-                    n.update(own)
-                    within.update(own.keys())
-                    if len(n) > 1 << 17:
-                        yield frame(lang, source, n, within)
-                        n, within = Counter(), Counter()
-                if n:
-                    yield frame(lang, source, n, within)
-
-    def frame(lang: str, source: str, n: Counter, within: Counter) -> pd.DataFrame:
-        terms = [digest(t, bits) for t in n]
-        return pd.DataFrame({"lang": lang, "source": source, "term": terms, "n": list(n.values()), "docs": [within[t] for t in n]})
+        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        fresh = 0
+        for b in with_end(batches):
+            if b is not None:
+                for lang, source, text in zip(b["lang"], b["source"], b["text"], strict=True):
+                    terms = terms_of(text)
+                    n, within = groups.setdefault((lang, source), (Counter(), Counter()))
+                    before = len(n)
+                    n.update(terms)
+                    within.update(set(terms))
+                    fresh += len(n) - before
+            if fresh > HELD or b is None:
+                for (lang, source), (n, within) in groups.items():
+                    if n:
+                        terms = [digest(t, bits) for t in n]
+                        yield pd.DataFrame({"lang": lang, "source": source, "term": terms, "n": list(n.values()), "docs": [within[t] for t in n]})
+                groups, fresh = {}, 0
 
     rows = docs.mapInPandas(run, "lang string, source string, term long, n long, docs long")
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
@@ -87,23 +89,22 @@ def spelled(docs: DataFrame, kept: DataFrame, bits: int) -> DataFrame:
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         marks = near.value
+        seen: dict[str, set[bytes]] = {}
         for b in batches:
+            if sum(map(len, seen.values())) > HELD:
+                seen = {}
             for lang, rows in b.groupby("lang", sort=False):
-                seen: set[bytes] = set()
+                known = seen.setdefault(lang, set())
+                fresh: set[bytes] = set()
                 for text in rows["text"]:
-                    seen.update(terms_of(text))
-                    if len(seen) > 1 << 17:
-                        yield from frame(lang, seen, marks)
-                        seen = set()
-                yield from frame(lang, seen, marks)
-
-    def frame(lang: str, seen: set[bytes], marks: np.ndarray) -> Iterator[pd.DataFrame]:
-        words = list(seen)
-        terms = np.array([digest(t, bits) for t in words], np.int64)
-        low = terms & ((1 << FILTER) - 1)
-        wanted = np.flatnonzero(marks[low >> 3] >> (low & 7) & 1)
-        if len(wanted):
-            yield pd.DataFrame({"lang": lang, "term": terms[wanted], "spelling": [words[i].decode("utf-8", "surrogatepass") for i in wanted]})
+                    fresh.update(terms_of(text))
+                words = list(fresh - known)
+                known.update(words)
+                terms = np.array([digest(t, bits) for t in words], np.int64)
+                low = terms & ((1 << FILTER) - 1)
+                wanted = np.flatnonzero(marks[low >> 3] >> (low & 7) & 1)
+                if len(wanted):
+                    yield pd.DataFrame({"lang": lang, "term": terms[wanted], "spelling": [words[i].decode("utf-8", "surrogatepass") for i in wanted]})
 
     found = docs.mapInPandas(run, "lang string, term long, spelling string")
     strings = found.groupBy("lang", "term").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import norm_url
+from ..rules import ALTERNATIVE_ACCESSION, LINK_TEXT_REPOSITORIES
 
 
 def signal(own: DataFrame, catalog: DataFrame, catalog_pmids: DataFrame) -> DataFrame:
@@ -25,6 +26,33 @@ def exact(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     return candidates.withColumn("acc", F.lower(F.trim("id"))).join(catalog.select("acc").distinct(), "acc", "left_semi")
 
 
+def aliases(catalog: DataFrame) -> DataFrame:
+    """(acc, alias): the accessions that a listed dataset goes by, its own and those that its link text names."""
+    named = F.regexp_extract_all("link_text", F.lit("(?i)" + ALTERNATIVE_ACCESSION), F.lit(1))
+    every = F.array_append(F.transform(F.coalesce(named, F.array().cast("array<string>")), F.lower), F.col("acc"))
+    return catalog.select("acc", F.explode(every).alias("alias")).distinct()
+
+
+def papers_by_alias(catalog: DataFrame, catalog_pmids: DataFrame) -> DataFrame:
+    """(acc, pmid): papers that the catalog gives for an accession, under whichever of a dataset's accessions."""
+    return aliases(catalog).join(catalog_pmids, "acc").select(F.col("alias").alias("acc"), "pmid").distinct()
+
+
+def listed(candidates: DataFrame, catalog: DataFrame, url: Column) -> DataFrame:
+    """Candidates that the catalog lists by accession, in a link text (some repositories), or by link."""
+    some = by_link_text(candidates.where(F.col("repo").isin(LINK_TEXT_REPOSITORIES)), catalog)
+    found = exact(candidates, catalog).drop("acc").unionByName(some.drop("acc")).unionByName(by_url(candidates, catalog, url))
+    return found.distinct()
+
+
+def benchmark(catalog: DataFrame, catalog_pmids: DataFrame, identifiers: DataFrame) -> DataFrame:
+    """(pmid, acc, found, own): the catalog's pairs of paper and dataset, found if the paper names any of its accessions."""
+    pairs = catalog_pmids.join(aliases(catalog), "acc", "left").select("pmid", "acc", F.coalesce("alias", "acc").alias("alias"))
+    named = identifiers.select("pmid", F.lower("id").alias("alias"), "id", "role")
+    own = F.coalesce(F.bool_or(F.col("role") == "generated"), F.lit(False))
+    return pairs.join(named, ["pmid", "alias"], "left").groupBy("pmid", "acc").agg((F.count("id") > 0).alias("found"), own.alias("own"))
+
+
 def by_link_text(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     """Candidates that stand as a whole word in any link text: texts are cut into words, so that it is an equi-join."""
     words = catalog.select(F.explode(F.split(F.lower("link_text"), "[^0-9a-z_]+")).alias("acc")).where("acc <> ''").distinct()

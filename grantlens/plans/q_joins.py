@@ -9,6 +9,7 @@ from ..functions import columns as C
 from ..operators import catalog as K
 from ..operators import mentions as M
 from ..operators import records as R
+from ..rules import ALTERNATIVE_ACCESSION, LINK_TEXT_REPOSITORIES
 from .base import Data, query
 from .q_rows import OWN, norm_sql
 
@@ -82,10 +83,10 @@ def join_catalog_exact(d: Data) -> DataFrame:
     return K.exact(d.candidate, d.catalog).select("repo", "id")
 
 
-@query("join_catalog_linktext", """SELECT repo, id FROM {candidate} WHERE repo IN ('GEO', 'PRIDE/ProteomeXchange', 'dbGaP')
+@query("join_catalog_linktext", """SELECT repo, id FROM {candidate} WHERE repo IN ('GEO', 'SRA/BioProject', 'dbGaP')
     AND lower(id) IN (SELECT UNNEST(string_split_regex(lower(link_text), '[^0-9a-z_]+')) FROM {catalog})""")
 def join_catalog_linktext(d: Data) -> DataFrame:
-    c = d.candidate.where(F.col("repo").isin("GEO", "PRIDE/ProteomeXchange", "dbGaP"))
+    c = d.candidate.where(F.col("repo").isin(LINK_TEXT_REPOSITORIES))
     return K.by_link_text(c, d.catalog).select("repo", "id")
 
 
@@ -95,21 +96,26 @@ def join_catalog_url(d: Data) -> DataFrame:
     return K.by_url(d.candidate, d.catalog, C.landing_url(F.col("repo"), F.col("id"))).select("repo", "id")
 
 
-@query("join_catalog_missing", "SELECT repo, id, tier FROM {candidate} WHERE lower(id) NOT IN (SELECT acc FROM {catalog}) AND lower(id) NOT IN (SELECT UNNEST(string_split_regex(lower(link_text), '[^0-9a-z_]+')) FROM {catalog})")
+_LISTED = f"""lower(id) IN (SELECT acc FROM {{catalog}}) OR repo IN ('GEO', 'SRA/BioProject', 'dbGaP') AND lower(id) IN (SELECT UNNEST(string_split_regex(lower(link_text), '[^0-9a-z_]+')) FROM {{catalog}})
+    OR {norm_sql('id')} IN (SELECT {norm_sql('url')} FROM {{catalog}})"""
+_ALIAS = f"""al AS (SELECT DISTINCT acc, alias FROM (SELECT acc, acc AS alias FROM {{catalog}} UNION ALL SELECT acc, UNNEST(list_transform(regexp_extract_all(link_text, '(?i){ALTERNATIVE_ACCESSION}'), lambda x: lower(x))) FROM {{catalog}}) t)"""
+
+
+@query("join_catalog_missing", f"SELECT repo, id, tier FROM {{candidate}} WHERE NOT ({_LISTED})")
 def join_catalog_missing(d: Data) -> DataFrame:
-    key = ["repo", "id"]
-    found = K.exact(d.candidate, d.catalog).select(*key).unionByName(K.by_link_text(d.candidate, d.catalog).select(*key))
-    return d.candidate.join(found.distinct(), key, "left_anti").select("repo", "id", "tier")
+    found = K.listed(d.candidate.select("repo", "id"), d.catalog, C.landing_url(F.col("repo"), F.col("id")))
+    return d.candidate.join(found, ["repo", "id"], "left_anti").select("repo", "id", "tier")
 
 
-@query("join_catalog_papers", """WITH o AS (SELECT c.repo, c.id, lower(c.id) AS acc FROM {candidate} c WHERE lower(c.id) IN (SELECT acc FROM {catalog}))
+@query("join_catalog_papers", f"""WITH {_ALIAS}, o AS (SELECT repo, id, lower(id) AS acc FROM {{candidate}} WHERE {_LISTED}),
+    p AS (SELECT DISTINCT al.alias AS acc, pmid FROM al JOIN {{catalog_pmid}} c ON al.acc = c.acc)
     SELECT o.repo, o.id, CASE WHEN MAX(CASE WHEN p.pmid IS NOT NULL AND i.pmid IS NOT NULL THEN 1 ELSE 0 END) = 1 THEN 'same paper'
       WHEN COUNT(p.pmid) > 0 THEN 'other papers' ELSE 'no paper' END AS outcome
-    FROM o LEFT JOIN {catalog_pmid} p ON o.acc = p.acc LEFT JOIN {ident} i ON i.repo = o.repo AND i.id = o.id AND i.pmid = p.pmid AND i.role = 'generated' GROUP BY o.repo, o.id""")
+    FROM o LEFT JOIN p ON o.acc = p.acc LEFT JOIN {{ident}} i ON i.repo = o.repo AND i.id = o.id AND i.pmid = p.pmid AND i.role = 'generated' GROUP BY o.repo, o.id""")
 def join_catalog_papers(d: Data) -> DataFrame:
-    listed = K.exact(d.candidate, d.catalog).select("repo", "id", "acc")
+    listed = K.listed(d.candidate.select("repo", "id"), d.catalog, C.landing_url(F.col("repo"), F.col("id"))).withColumn("acc", F.lower("id"))
     own = d.ident.where("role = 'generated'").select("repo", "id", "pmid", F.lit(True).alias("mine"))
-    j = listed.join(d.catalog_pmid, "acc", "left").join(own, ["repo", "id", "pmid"], "left")
+    j = listed.join(K.papers_by_alias(d.catalog, d.catalog_pmid), "acc", "left").join(own, ["repo", "id", "pmid"], "left")
     outcome = F.when(F.bool_or(F.coalesce("mine", F.lit(False))), "same paper").when(F.count("pmid") > 0, "other papers").otherwise("no paper")
     return j.groupBy("repo", "id").agg(outcome.alias("outcome"))
 
@@ -129,12 +135,10 @@ def join_receipts(d: Data) -> DataFrame:
     return M.own_identifiers(d.ident).join(d.link, "pmid").select("coreproject", "pmid", "repo", "id")
 
 
-@query("join_benchmark", """SELECT c.pmid, c.acc, COUNT(i.id) > 0 AS found, COALESCE(MAX(CASE WHEN i.role = 'generated' THEN 1 ELSE 0 END), 0) = 1 AS own
-    FROM {catalog_pmid} c LEFT JOIN {ident} i ON c.pmid = i.pmid AND c.acc = lower(i.id) GROUP BY c.pmid, c.acc""")
+@query("join_benchmark", f"""WITH {_ALIAS} SELECT c.pmid, c.acc, COUNT(i.id) > 0 AS found, COALESCE(MAX(CASE WHEN i.role = 'generated' THEN 1 ELSE 0 END), 0) = 1 AS own
+    FROM {{catalog_pmid}} c LEFT JOIN al ON al.acc = c.acc LEFT JOIN {{ident}} i ON c.pmid = i.pmid AND COALESCE(al.alias, c.acc) = lower(i.id) GROUP BY c.pmid, c.acc""")
 def join_benchmark(d: Data) -> DataFrame:
-    found = d.ident.select("pmid", F.lower("id").alias("acc"), "id", "role")
-    own = F.coalesce(F.bool_or(F.col("role") == "generated"), F.lit(False))
-    return d.catalog_pmid.join(found, ["pmid", "acc"], "left").groupBy("pmid", "acc").agg((F.count("id") > 0).alias("found"), own.alias("own"))
+    return K.benchmark(d.catalog, d.catalog_pmid, d.ident)
 
 
 @query("join_reuse_answers", """SELECT i.pmid, i.repo, i.id, CASE WHEN m.pmid IS NOT NULL AND instr(m.context, CAST(i.pmid AS STRING)) > 0 THEN 'kept' ELSE 'to do' END AS state

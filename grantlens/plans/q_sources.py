@@ -60,13 +60,20 @@ def src_metadata_fallback(d: Data) -> DataFrame:
     return landed.metadata_fallback(d.spark, land(pages, "fallback")).drop("pubType", "isOpenAccess")
 
 
-@query("src_fulltext", """SELECT pmcid, CASE WHEN open_access = 'Y' AND CAST(pmid AS BIGINT) % 4 <> 0 THEN 'a' ELSE 'b' END AS source, CASE WHEN open_access = 'Y' AND CAST(pmid AS BIGINT) % 4 <> 0 THEN '<article>a' ELSE '<article>b' END || pmid AS xml
-    FROM {paper} WHERE pmcid IS NOT NULL""")
+@query("src_fulltext", """SELECT 'PMC' || CAST(item_id AS STRING) AS pmcid, CASE WHEN item_id % 3 <> 0 AND item_id % 4 <> 0 THEN 'a' ELSE 'b' END AS source,
+    CASE WHEN item_id % 3 <> 0 AND item_id % 4 <> 0 THEN '<article>a' ELSE repeat('é', 4990) || '<article>b' END || COALESCE(text, '') || chr(10) AS xml FROM {benchmark} WHERE item_id % 5 <> 0 OR item_id % 3 <> 0 AND item_id % 4 <> 0""")
 def src_fulltext(d: Data) -> DataFrame:
-    p = d.paper.where("pmcid IS NOT NULL")
-    first = F.when(F.col("pmid").cast("long") % 4 != 0, F.concat(F.lit("<article>a"), "pmid")).otherwise("<html>no article")
-    feeds = p.select("pmcid", F.lit("a").alias("feed"), first.alias("xml")).unionByName(p.select("pmcid", F.lit("b").alias("feed"), F.concat(F.lit("<article>b"), "pmid").alias("xml")))
-    return landed.fulltext(feeds, p.select("pmcid", (F.col("open_access") == "Y").alias("is_open")))
+    # feed a has pages without an article, too; in feed b each fifth article begins too late
+    k, text = F.col("item_id"), F.coalesce("text", F.lit(""))
+    first = F.when(k % 4 != 0, F.concat(F.lit("<article>a"), text)).otherwise(F.concat(F.lit("<html>"), text))
+    late = F.concat(F.repeat(F.lit("é"), F.when(k % 5 == 0, 4995).otherwise(4990)), F.lit("<article>b"), text)
+    ids = d.benchmark.select(F.concat(F.lit("PMC"), k.cast("string")).alias("pmcid"), (k % 3 != 0).alias("is_open"))
+    feeds = {}
+    for feed, xml in (("a", first), ("b", late)):
+        path = sinks.landing(d.spark, f"fulltext-{feed}")
+        d.benchmark.select(F.concat(F.lit("PMC"), k.cast("string")).alias("pmcid"), xml.alias("value")).repartition("pmcid").write.partitionBy("pmcid").text(path)
+        feeds[feed] = landed.fulltext_files(d.spark, path)
+    return landed.fulltext(feeds, ids)
 
 
 @query("src_responses", "SELECT repo, id, 'check' AS kind, CASE WHEN status = 'RESOLVES' THEN 200 ELSE 404 END AS status FROM {status}")
@@ -75,19 +82,39 @@ def src_responses(d: Data) -> DataFrame:
     return landed.responses(d.spark, land(rows, "responses")).select("repo", "id", "kind", "status")
 
 
-@query("src_catalog", "SELECT acc, repo, link_text FROM {catalog}")
+@query("src_catalog", """SELECT acc, repo, 'http://x/' || acc || ' ' || link_text AS link_text, CAST(COALESCE(p.n, 0) AS INT) AS n_pmids, u.url IS NOT NULL AS is_resource
+    FROM {catalog} c LEFT JOIN (SELECT acc, COUNT(*) AS n FROM {catalog_pmid} GROUP BY acc) p USING (acc) LEFT JOIN (SELECT DISTINCT url FROM {catalog} WHERE repo = 'GitHub') u ON c.url = u.url""")
 def src_catalog(d: Data) -> DataFrame:
+    # three kinds of files with columns of their own, in an order of their own, and resources beside them
     path = sinks.landing(d.spark, "catalog")
-    sinks.write(d.catalog, path, "tsv")
-    return landed.catalog(d.spark, path, ["acc", "repo", "link_text"])
-
-
-@query("src_overrides", """SELECT pmid, label, line FROM (SELECT CAST(doc_id % 50 AS STRING) AS pmid, CASE WHEN quality = 1 THEN 'ON_REQUEST' ELSE 'no such label' END AS label, doc_id AS line,
+    papers = d.catalog_pmid.groupBy("acc").agg(F.array_join(F.array_sort(F.collect_set("pmid")), "; ").alias("dataset_pmid"))
+    rows = d.catalog.join(papers, "acc", "left").select(
+        F.upper("acc").alias("dataset_source_id"), F.col("repo").alias("dataset_source_repo"), "dataset_pmid", F.concat(F.lit("http://x/"), "acc").alias("dataset_source_url"), F.col("link_text").alias("study_links"), F.col("acc").alias("note"),
+    )
+    kinds = [("geo", "dataset_source_repo = 'GEO'", rows.columns[:-1]), ("sra", "dataset_source_repo = 'SRA/BioProject'", rows.columns[::-1]), ("other", "dataset_source_repo NOT IN ('GEO', 'SRA/BioProject')", rows.columns)]
+    for name, where, columns in kinds:
+        sinks.write(rows.where(where).select(*columns), f"{path}/datasets_{name}", "tsv")
+    for name, where in (("code", "repo = 'GitHub'"), ("none", "repo = 'no such'")):
+        sinks.write(d.catalog.where(where).select(F.lit(name).alias("kind"), F.col("url").alias("resource_source_url")), f"{path}/resources_{name}_processed", "tsv")
+    found, resources = landed.catalog(d.spark, [f"{path}/datasets_*/*.csv"], [f"{path}/resources_*_processed/*.csv"])
+    known = resources.distinct().withColumn("is_resource", F.lit(True))
+    urls = d.catalog.select("acc", "repo", "url")
+    j = found.join(urls, ["acc", "repo"]).join(known, "url", "left")
+    return j.select("acc", "repo", "link_text", F.size("pmids").alias("n_pmids"), F.coalesce("is_resource", F.lit(False)).alias("is_resource"))
+
+
+@query("src_overrides", """SELECT pmid, label, reason FROM (SELECT CAST(doc_id % 50 AS STRING) AS pmid, CASE WHEN doc_id % 3 = 0 THEN 'IN_ARTICLE' ELSE 'ON_REQUEST' END AS label, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE 'line ' || CAST(doc_id AS STRING) || ', "read"' END AS reason,
     ROW_NUMBER() OVER (PARTITION BY doc_id % 50 ORDER BY doc_id DESC) AS n FROM {labels} WHERE quality = 1) t WHERE n = 1""")
 def src_overrides(d: Data) -> DataFrame:
-    label = F.when(F.col("quality") == 1, "ON_REQUEST").otherwise("no such label")
-    rows = d.labels.select((F.col("doc_id") % 50).cast("string").alias("pmid"), label.alias("label"), F.col("doc_id").alias("line"))
-    return landed.overrides(rows)
+    # several files; some lines have no label that is known, no pmid, too few fields or too many
+    k = F.col("doc_id")
+    label = F.when(F.col("quality") != 1, "no such label").when(k % 3 == 0, "IN_ARTICLE").otherwise("ON_REQUEST")
+    reason = F.when(k % 7 == 0, "").otherwise(F.concat(F.lit(',"line '), k.cast("string"), F.lit(', ""read""\"'), F.when(k % 4 == 0, ",more,fields").otherwise("")))
+    line = F.concat(F.when(k % 2 == 0, " ").otherwise(""), (k % 50).cast("string"), F.lit(","), label, reason)
+    path = sinks.landing(d.spark, "overrides")
+    rows = d.labels.where("doc_id IS NOT NULL").select("doc_id", line.alias("value")).unionByName(d.labels.select(F.col("doc_id"), F.lit(",ON_REQUEST,no paper").alias("value")))
+    rows.repartitionByRange(3, "doc_id").sortWithinPartitions("doc_id", F.col("value").desc()).select("value").write.text(path)
+    return landed.overrides(d.spark, path, header=False)
 
 
 @query("src_answers", "SELECT CAST(doc_id AS STRING) AS pmid, role_a AS role, tier FROM {rated} WHERE conf = 'high'")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -177,9 +179,72 @@ def template_sentences(d: Data) -> DataFrame:
     return d.orders.select(F.col(K).cast("string").alias("pmid"), template(100000 + F.col(K), F.col(K)).alias("sentence"))
 
 
-@query("idx_extract", f"SELECT CAST({K} AS STRING) AS pmid, 'GEO' AS repo, 'public' AS cls, 'GSE' || CAST(100000 + {K} AS STRING) AS raw FROM {{orders}}")
+#: A sentence for each rule and shape: repository, class, sentence, what is found in it. {n} is the paper's number with n
+#: digits; what stands behind a comma is no part of an identifier.
+SHAPES = [
+    ("GEO", "public", "Series GSE{6} holds them.", "GSE{6}"),
+    ("GEO", "public", "The curated set GDS{4}, of reads.", "GDS{4}"),
+    ("SRA/BioProject", "public", "Reads are in PRJNA{6}.", "PRJNA{6}"),
+    ("SRA/BioProject", "public", "Reads are in SRP{6}; others are not.", "SRP{6}"),
+    ("SRA run", "public", "Run SRR{7} was read.", "SRR{7}"),
+    ("dbGaP", "controlled", "Study phs{6}.v2.p1 at dbGaP.", "phs{6}"),
+    ("EGA", "controlled", "Study EGAS{11} is locked.", "EGAS{11}"),
+    ("PRIDE/ProteomeXchange", "public", "Spectra (PXD{6}).", "PXD{6}"),
+    ("MassIVE", "public", "Spectra (MSV{9}).", "MSV{9}"),
+    ("ArrayExpress", "public", "Arrays are E-MTAB-{5}.", "E-MTAB-{5}"),
+    ("BioStudies", "public", "Images are S-BSST{4}.", "S-BSST{4}"),
+    ("MetaboLights", "public", "See MTBLS{4}!", "MTBLS{4}"),
+    ("Metabolomics Workbench", "public", "See ST{6}?", "ST{6}"),
+    ("PDB", "public", "In the PDB under accession number {4} is one.", None),
+    ("PDB", "public", "In the PDB under accession number 6{1}BC is one.", "6{1}BC"),
+    ("PDB", "public", "Protein Data Bank entry: 7{1}XY.", "7{1}XY"),
+    ("PDB", "public", "The PDB codes 5{1}a1 show it.", "5{1}a1"),
+    ("EMDB", "public", "Map EMD-{5}.", "EMD-{5}"),
+    ("PDC", "public", "Study PDC{6}.", "PDC{6}"),
+    ("GDC project", "controlled", "Cohort TCGA-BRCA, run {6}.", "TCGA-BRCA"),
+    ("Zenodo", "generic", "At https://zenodo.org/records/{7} now.", "{7}"),
+    ("Figshare", "generic", "At doi:10.6084/m9.figshare.{7}.v1(zip)", "10.6084/m9.figshare.{7}.v1"),
+    ("Figshare", "generic", "At https://lab.figshare.com/articles/x/{7}, now.", "lab.figshare.com/articles/x/{7}"),
+    ("Dryad", "generic", "At doi.org/10.5061/dryad.q{4}(csv) now.", "10.5061/dryad.q{4}"),
+    ("OSF", "generic", "At https://osf.io/a{4} now.", "a{4}"),
+    ("Mendeley Data", "generic", "At 10.17632/abcd{6}.2 now.", "abcd{6}.2"),
+    ("Synapse", "generic", "At syn{8} now.", "syn{8}"),
+    ("Dataverse", "generic", "At https://doi.org/10.7910/DVN/I{5}(csv format).", "10.7910/DVN/I{5}"),
+    ("Dataverse", "generic", "The university's Dataverse keeps it as doi:10.18130/V3/{6}.", "10.18130/V3/{6}."),
+    ("GWAS Catalog", "public", "Statistics are GCST{8}.", "GCST{8}"),
+    ("Code Ocean", "code", "Run 10.24433/CO.{7}.v1 again.", "10.24433/CO.{7}.v1"),
+    ("Code Ocean", "code", "Run codeocean.com/capsule/{7}/tree again.", "codeocean.com/capsule/{7}"),
+    ("TCIA", "public", "Scans: 10.7937/k9(x) {6}", "10.7937/k9"),
+    ("TCIA/IDC link", "public", "Scans: www.cancerimagingarchive.net/collection/c{6}, all.", "www.cancerimagingarchive.net/collection/c{6}"),
+    ("CELLxGENE", "public", "At cellxgene.cziscience.com/e/abcdef-0123-4567-89ab-{6}.", "cellxgene.cziscience.com/e/abcdef-0123-4567-89ab-{6}"),
+    ("GitHub", "code", "At https://github.com/lab/tool{6} too.", "lab/tool{6}"),
+    ("GitHub", "code", "At https://github.com/orgs/lab{6} is a list.", None),
+    ("GitLab", "code", "At gitlab.com/lab/tool{6} too.", "lab/tool{6}"),
+    ("Bitbucket", "code", "At bitbucket.org/lab/tool{6} too.", "lab/tool{6}"),
+]
+
+
+def _digits(part: str) -> str:
+    """SQL, of either engine, for a shape's text with the paper's number in it."""
+    out = []
+    for i, x in enumerate(re.split(r"\{(\d+)\}", part)):
+        if i % 2:
+            out.append(f"lpad(CAST({K} % {10 ** int(x)} AS STRING), {x}, '0')")
+        elif x:
+            out.append("'" + x.replace("'", "''") + "'")
+    return " || ".join(out)
+
+
+def _shape(column: int) -> str:
+    """SQL for a column of the shape that a paper's number gives."""
+    cases = " ".join(f"WHEN {i} THEN {_digits(x[column]) if x[column] is not None else 'NULL'}" for i, x in enumerate(SHAPES))
+    return f"CASE CAST(FLOOR({K} / 4) AS BIGINT) % {len(SHAPES)} {cases} END"
+
+
+@query("idx_extract", f"""SELECT * FROM (SELECT CAST({K} AS STRING) AS pmid, {_shape(0)} AS repo, {_shape(1)} AS cls, {_shape(3)} AS raw FROM {{orders}}) t WHERE raw IS NOT NULL""")
 def idx_extract(d: Data) -> DataFrame:
-    return X.find_mentions(template_sentences(d)).select("pmid", "repo", "cls", "raw")
+    sentences = d.orders.select(F.col(K).cast("string").alias("pmid"), F.expr(_shape(2).replace("''", "\\'")).alias("sentence"))
+    return X.find_mentions(sentences).select("pmid", "repo", "cls", "raw")
 
 
 @query("idx_claim", f"SELECT CAST({K} AS STRING) AS pmid, 'Zenodo' AS repo, CAST(10000 + {K} AS STRING) AS raw FROM {{orders}}")
@@ -247,8 +312,8 @@ _COMBINE = """WITH s AS (SELECT pmid, CAST(pmid AS BIGINT) % 4 = 0 AS own_cue, C
       arg_min(evidence, ord) FILTER (WHERE role = 'unknown') AS eu, bool_or(location = 'das') AS in_das, bool_or(this_row) AS this_row, bool_or(code_context) AS code_context, COUNT(*) AS n_mentions,
       arg_min(context, CASE location WHEN 'das' THEN 0 WHEN 'krt' THEN 1 WHEN 'body' THEN 2 ELSE 3 END * 1000 + ord) AS context FROM m GROUP BY pmid, repo, k),
     c AS (SELECT g.pmid, repo, id, cls, ord, in_das, context, n_mentions, cls = 'code' OR cls IN ('generic', 'url') AND code_context AS is_code,
-      CASE WHEN g1 THEN 'generated' WHEN r1 THEN 'reused' WHEN g THEN 'generated' WHEN r THEN 'reused' WHEN u THEN 'unknown' WHEN in_das AND own_cue AND NOT reuse_cue THEN 'generated' WHEN in_das AND reuse_cue AND NOT own_cue THEN 'reused' WHEN this_row AND cls <> 'code' THEN 'generated' ELSE 'reused' END AS role,
-      COALESCE(eg1, er1, eg, er, eu, CASE WHEN in_das AND own_cue <> reuse_cue THEN 'cue of the statement' END, CASE WHEN this_row AND cls <> 'code' THEN 'row names this study' END, 'reused by default: no cue') AS evidence FROM g JOIN s ON g.pmid = s.pmid)"""
+      CASE WHEN g1 THEN 'generated' WHEN r1 THEN 'reused' WHEN g THEN 'generated' WHEN r THEN 'reused' WHEN u THEN 'unknown' WHEN in_das AND own_cue AND NOT reuse_cue THEN 'generated' WHEN in_das AND reuse_cue AND NOT own_cue THEN 'reused' WHEN in_das THEN 'unknown' WHEN this_row AND cls <> 'code' THEN 'generated' ELSE 'reused' END AS role,
+      COALESCE(eg1, er1, eg, er, eu, CASE WHEN in_das THEN CASE WHEN own_cue <> reuse_cue THEN 'cue of the statement' ELSE 'statement without a usable cue' END END, CASE WHEN this_row AND cls <> 'code' THEN 'row names this study' WHEN cls = 'code' THEN 'code link: no cue' END, 'reused by default: no cue') AS evidence FROM g JOIN s ON g.pmid = s.pmid)"""
 
 
 def combined(d: Data) -> DataFrame:
@@ -279,7 +344,7 @@ def txt_cited_location(d: Data) -> DataFrame:
 
 
 @query("idx_of_papers", f"""SELECT CAST({K} AS STRING) AS pmid, repo, replace(id, '#', CAST(100000 + {K} AS STRING)) AS id, role, CASE WHEN repo LIKE 'PRIDE%' THEN {K} % 3 = 0 ELSE repo = 'Other link' END AS in_das
-    FROM {{orders}}, (VALUES ('GEO', 'GSE#', 'reused'), ('GEO', 'GSE1001', 'reused'), ('PRIDE/ProteomeXchange', 'PXD#', 'reused'), ('Other link', 'https://lab-x.example/Set#', 'reused')) t(repo, id, role)""")
+    FROM {{orders}}, (VALUES ('GEO', 'GSE#', 'reused'), ('GEO', 'GSE1001', 'reused'), ('PRIDE/ProteomeXchange', 'PXD#', 'reused'), ('Other link', 'https://lab-x.example/Set#', 'unknown')) t(repo, id, role)""")
 def idx_of_papers(d: Data) -> DataFrame:
     return M.identifiers_of(cited_articles(d)).select("pmid", "repo", "id", "role", "in_das")
 

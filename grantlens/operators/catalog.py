@@ -22,6 +22,11 @@ def signal(own: DataFrame, catalog: DataFrame, catalog_pmids: DataFrame) -> Data
     return j.withColumn("outcome", outcome).drop("_listed", "_some", "_this")
 
 
+def without_derived(catalog: DataFrame) -> DataFrame:
+    """The catalog without sets that are curated from series."""
+    return catalog.where(~F.upper("acc").startswith("GDS"))
+
+
 def exact(candidates: DataFrame, catalog: DataFrame) -> DataFrame:
     return candidates.withColumn("acc", F.lower(F.trim("id"))).join(catalog.select("acc").distinct(), "acc", "left_semi")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.columns import iso_date, month_date, norm_doi
+from ..functions.columns import full_date, month_date, norm_doi
+from ..functions.text import people
 from ..rules import STATUS_RULES, StatusRule
 
 AWARD_NUMBER = r"\b([A-Z]\d{2}[ -]?[A-Z]{2}[ -]?\d{6})\b"
@@ -71,14 +72,36 @@ def geo_record(text: Column) -> dict[str, Column]:
     }
 
 
-def structure_record(text: Column) -> dict[str, Column]:
-    """Fields of a structure's JSON record."""
-    schema = "struct<release:string,citation:struct<pmid:string,doi:string>,authors:array<string>,grants:array<string>>"
-    r = F.from_json(text, schema)
+PDB_ENTRY = """struct<rcsb_accession_info:struct<initial_release_date:string>,
+    rcsb_primary_citation:struct<pdbx_database_id_PubMed:string,pdbx_database_id_DOI:string,rcsb_authors:array<string>>,
+    audit_author:array<struct<name:string>>,pdbx_audit_support:array<struct<grant_number:string>>>"""
+EMDB_ENTRY = """struct<admin:struct<key_dates:struct<header_release:string>,authors_list:struct<author:array<struct<valueOf_:string>>>,grant_support:struct<grant_reference:array<struct<code:string>>>>,
+    crossreferences:struct<citation_list:struct<primary_citation:struct<citation_type:struct<external_references:array<struct<type_:string,valueOf_:string>>,author:array<struct<valueOf_:string>>>>>>>"""
+
+
+def or_none(items: Column) -> Column:
+    """A list of texts, without its nulls; none is an empty one."""
+    return F.array_compact(F.coalesce(items, F.array().cast("array<string>")))
+
+
+def structure_record(repo: Column, text: Column) -> dict[str, Column]:
+    """Fields of the JSON answers about structures: repo PDB, or EMDB, whose citation lists its numbers by type.
+
+    people are distinct keys of the citation's and the entry's authors; pubs_complete says that a paper is named.
+    """
+    p, e = F.from_json(text, PDB_ENTRY), F.from_json(text, EMDB_ENTRY)
+    pdb, cite = repo == "PDB", p["rcsb_primary_citation"]
+    admin, other = e["admin"], e["crossreferences"]["citation_list"]["primary_citation"]["citation_type"]
+    of_type = lambda t: or_none(F.transform(F.filter(other["external_references"], lambda x: x["type_"] == t), lambda x: x["valueOf_"]))
+    pmids = F.when(pdb, or_none(F.array(cite["pdbx_database_id_PubMed"]))).otherwise(of_type("PUBMED"))
+    dois = F.when(pdb, or_none(F.array(cite["pdbx_database_id_DOI"]))).otherwise(of_type("DOI"))
+    written = F.concat(or_none(cite["rcsb_authors"]), or_none(F.transform(p["audit_author"], lambda x: x["name"])))
+    short = F.concat(or_none(F.transform(other["author"], lambda x: x["valueOf_"])), or_none(F.transform(admin["authors_list"]["author"], lambda x: x["valueOf_"])))
+    codes = F.when(pdb, or_none(F.transform(p["pdbx_audit_support"], lambda x: x["grant_number"]))).otherwise(or_none(F.transform(admin["grant_support"]["grant_reference"], lambda x: x["code"])))
     return {
-        "record_date": iso_date(r["release"]), "pmids": F.array_compact(F.array(r["citation"]["pmid"])),
-        "dois": F.array_compact(F.array(norm_doi(r["citation"]["doi"]))), "authors": F.coalesce(r["authors"], F.array().cast("array<string>")),
-        "grants": grants_in(F.array_join(F.coalesce(r["grants"], F.array().cast("array<string>")), " ")),
+        "record_date": F.when(pdb, full_date(p["rcsb_accession_info"]["initial_release_date"])).otherwise(full_date(admin["key_dates"]["header_release"])),
+        "pmids": pmids, "dois": F.transform(dois, norm_doi), "people": F.when(pdb, people(written)).otherwise(people(short, "last_initials")),
+        "grants": grants_in(F.array_join(codes, " ; ")), "pubs_complete": F.size(pmids) > 0,
     }
 
 
@@ -94,17 +117,45 @@ def proteomics_record(text: Column) -> dict[str, Column]:
     }
 
 
+DOI_ANSWER = """struct<data:struct<attributes:struct<created:string,dates:array<struct<date:string,dateType:string>>,creators:array<struct<name:string,familyName:string,givenName:string>>,
+    relatedIdentifiers:array<struct<relatedIdentifier:string,relatedIdentifierType:string>>,fundingReferences:array<struct<awardNumber:string>>>>>"""
+
+
+def record_doi(repo: Column, ident: Column) -> Column:
+    """The DOI that an identifier's record is kept under; null if it has none."""
+    return F.when(repo == "Synapse", F.concat(F.lit("10.7303/"), ident)).when(F.lower(ident).startswith("10."), ident)
+
+
+def doi_answers(identifiers: DataFrame, answers: DataFrame) -> DataFrame:
+    """identifiers (repo, id) with the text of the answer about their DOI (answers: doi, text); null where there is none.
+
+    Where a versioned DOI of Mendeley Data has no answer, the one about the DOI without its version counts.
+    """
+    asked = identifiers.withColumn("_doi", record_doi(F.col("repo"), F.col("id")))
+    bare = F.when((F.col("repo") == "Mendeley Data") & F.col("_doi").rlike(r"\.\d+$"), F.regexp_replace("_doi", r"\.\d+$", ""))
+    first = answers.where("text IS NOT NULL").groupBy("doi").agg(F.min("text").alias("text"))
+    j = asked.withColumn("_bare", bare).join(first.select(F.col("doi").alias("_doi"), F.col("text").alias("_text")), "_doi", "left")
+    j = j.join(first.select(F.col("doi").alias("_bare"), F.col("text").alias("_second")), "_bare", "left")
+    return j.withColumn("text", F.coalesce("_text", "_second")).drop("_doi", "_bare", "_text", "_second")
+
+
 def doi_record(text: Column) -> dict[str, Column]:
-    """Fields of a DOI's JSON record; the date is the earliest that it gives; free-text creators leave people incomplete."""
-    r = F.from_json(text, "struct<created:string,dates:array<struct<date:string,dateType:string>>,creators:array<struct<name:string,familyName:string,givenName:string>>,relatedIdentifiers:array<struct<relatedIdentifier:string,relatedIdentifierType:string>>>")
+    """Fields of the JSON answer about a DOI.
+
+    The date is the earliest full one of issue, creation and availability. Creators with a family and a given name are
+    people; one that is free text leaves people incomplete. Related DOIs and papers also name versions and code.
+    """
+    r = F.from_json(text, DOI_ANSWER)["data"]["attributes"]
     dated = F.filter(r["dates"], lambda x: x["dateType"].isin("Issued", "Created", "Available"))
-    days = F.concat(F.coalesce(F.transform(dated, lambda x: iso_date(x["date"])), F.array().cast("array<date>")), F.array(iso_date(r["created"])))
-    kind = lambda k: F.transform(F.filter(r["relatedIdentifiers"], lambda x: x["relatedIdentifierType"] == k), lambda x: x["relatedIdentifier"])
-    none = F.array().cast("array<string>")
+    days = F.concat(F.coalesce(F.transform(dated, lambda x: full_date(x["date"])), F.array().cast("array<date>")), F.array(full_date(r["created"])))
+    kind = lambda k: or_none(F.transform(F.filter(r["relatedIdentifiers"], lambda x: x["relatedIdentifierType"] == k), lambda x: x["relatedIdentifier"]))
+    whole = lambda x: (F.coalesce(x["familyName"], F.lit("")) != "") & (F.coalesce(x["givenName"], F.lit("")) != "")
+    names = F.transform(r["creators"], lambda x: F.when(whole(x), F.concat_ws(", ", x["familyName"], x["givenName"])).otherwise(x["name"]))
     return {
-        "record_date": F.array_min(F.array_compact(days)), "dois": F.coalesce(F.array_distinct(F.transform(kind("DOI"), norm_doi)), none), "pmids": F.coalesce(kind("PMID"), none),
-        "creators": F.coalesce(F.transform(r["creators"], lambda x: x["name"]), none),
-        "people_complete": F.coalesce(F.forall(r["creators"], lambda x: x["familyName"].isNotNull() | x["name"].contains(",")), F.lit(False)),
+        "record_date": F.array_min(F.array_compact(days)), "dois": F.array_distinct(F.transform(kind("DOI"), norm_doi)),
+        "pmids": F.array_distinct(F.transform(kind("PMID"), lambda x: F.regexp_replace(x, r"\D", ""))), "people": people(or_none(names)),
+        "grants": grants_in(F.array_join(or_none(F.transform(r["fundingReferences"], lambda x: x["awardNumber"])), " ; ")),
+        "people_complete": F.coalesce(F.forall(r["creators"], whole), F.lit(True)),
     }
 
 

@@ -168,43 +168,92 @@ def rec_proteomics(d: Data) -> DataFrame:
     return d.part.select(K, *[F.array_join(v, ";").alias(c) for c, v in r.items()])
 
 
-@query("rec_structures", f"""SELECT {K}, CASE WHEN {K} % 2 = 0 THEN DATE '2018-03-04' ELSE DATE '2018-01-01' END AS record_date, CASE WHEN {K} % 3 = 0 THEN '' ELSE CAST({K} AS STRING) END AS pmids,
-    'R01CA' || lpad(CAST({K} % 100 AS STRING), 6, '0') AS grants, 'Smith' || CAST({K} % 25 AS STRING) || ', A.' AS authors FROM {{part}}""")
+def keys_text(keys: F.Column) -> F.Column:
+    return F.array_join(F.array_sort(F.transform(keys, lambda x: F.concat_ws(" ", x["surname"], x["initial"]))), ";")
+
+
+# answers in the shapes of the two services: every third names no paper, every seventh no grant; some fields are missing
+_GRANT = f"CASE WHEN {K} % 7 = 0 THEN '' ELSE 'R01CA' || lpad(CAST({K} % 100 AS STRING), 6, '0') END"
+
+
+@query("rec_structures", f"""SELECT {K}, CASE WHEN {K} % 2 = 0 THEN 'PDB' ELSE 'EMDB' END AS repo, CASE WHEN {K} % 5 = 0 THEN NULL ELSE DATE '2018-03-04' + CAST({K} % 400 AS INT) END AS record_date, CASE WHEN {K} % 3 = 0 THEN '' ELSE CAST({K} AS STRING) END AS pmids,
+    CASE WHEN {K} % 3 = 0 THEN '' ELSE '10.1/x' || CAST({K} AS STRING) END AS dois, {_GRANT} AS grants, CASE WHEN {K} % 3 = 0 THEN 'tamayojaramillo d' WHEN {K} % 2 = 0 THEN 'shen p;tamayojaramillo d' ELSE 'garcia m;tamayojaramillo d' END AS people, {K} % 3 <> 0 AS pubs_complete FROM {{part}}""")
 def rec_structures(d: Data) -> DataFrame:
     k = F.col(K)
-    text = F.to_json(F.struct(
-        F.when(k % 2 == 0, "2018-03-04").otherwise("2018").alias("release"), F.struct(F.when(k % 3 != 0, k.cast("string")).alias("pmid")).alias("citation"),
-        F.array(F.concat(F.lit("Smith"), (k % 25).cast("string"), F.lit(", A."))).alias("authors"),
-        F.array(F.concat(F.lit("grant R01 CA-"), F.lpad((k % 100).cast("string"), 6, "0"))).alias("grants"),
+    pmid, doi = F.when(k % 3 != 0, k), F.when(k % 3 != 0, F.concat(F.lit("https://doi.org/10.1/X"), k.cast("string")))
+    day = F.when(k % 5 == 0, "2018").otherwise(F.date_format(F.expr(f"date_add(DATE '2018-03-04', cast({K} % 400 as int))"), "yyyy-MM-dd'T'00:00:00.000+00:00"))
+    grant = F.when(k % 7 != 0, F.concat(F.lit("NIH R01 CA-"), F.lpad((k % 100).cast("string"), 6, "0")))
+    pdb = F.to_json(F.struct(
+        F.struct(day.alias("initial_release_date")).alias("rcsb_accession_info"),
+        F.struct(pmid.alias("pdbx_database_id_PubMed"), doi.alias("pdbx_database_id_DOI"), F.when(k % 3 != 0, F.array(F.lit("Tamayo-Jaramillo, D."), F.lit("Shen, P.S."))).alias("rcsb_authors")).alias("rcsb_primary_citation"),
+        F.array(F.struct(F.lit("Tamayo-Jaramillo, D.").alias("name"))).alias("audit_author"), F.array(F.struct(grant.alias("grant_number"))).alias("pdbx_audit_support"),
+    ))
+    ref = lambda kind, value: F.struct(F.lit(kind).alias("type_"), value.cast("string").alias("valueOf_"))
+    author = lambda name: F.struct(F.lit(name).alias("valueOf_"))
+    cited = F.when(k % 3 != 0, F.struct(F.array(ref("ISSN", F.lit("1")), ref("PUBMED", pmid), ref("DOI", doi)).alias("external_references"), F.array(author("García ML"), author("Tamayo-Jaramillo D")).alias("author")))
+    emdb = F.to_json(F.struct(
+        F.struct(F.struct(day.alias("header_release")).alias("key_dates"), F.struct(F.array(author("Tamayo-Jaramillo D")).alias("author")).alias("authors_list"), F.struct(F.array(F.struct(grant.alias("code"))).alias("grant_reference")).alias("grant_support")).alias("admin"),
+        F.struct(F.struct(F.struct(cited.alias("citation_type")).alias("primary_citation")).alias("citation_list")).alias("crossreferences"),
     ))
-    r = L.structure_record(text)
-    return d.part.select(K, r["record_date"].alias("record_date"), *[F.array_join(r[c], ";").alias(c) for c in ("pmids", "grants", "authors")])
+    repo = F.when(k % 2 == 0, "PDB").otherwise("EMDB")
+    rows = d.part.select(K, repo.alias("repo"), F.when(k % 2 == 0, pdb).otherwise(emdb).alias("text"))
+    r = L.structure_record(F.col("repo"), F.col("text"))
+    return rows.select(K, "repo", r["record_date"].alias("record_date"), *[F.array_join(r[c], ";").alias(c) for c in ("pmids", "dois", "grants")], keys_text(r["people"]).alias("people"), r["pubs_complete"].alias("pubs_complete"))
 
 
-@query("rec_datacite", f"""SELECT {K}, DATE '2017-01-01' + CAST({K} % 300 AS INT) AS record_date, '10.1/a' || CAST({K} AS STRING) AS dois, {K} % 2 = 0 AS people_complete FROM {{part}}""")
+@query("rec_datacite", f"""SELECT {K}, repo, CASE WHEN repo = 'Mendeley Data' AND {K} % 2 = 0 THEN DATE '2017-01-01' + CAST({K} % 300 AS INT) WHEN {K} % 5 = 0 THEN DATE '2019-05-05' ELSE DATE '2017-01-01' + CAST({K} % 300 AS INT) END AS record_date,
+    '10.1/a' || CAST({K} AS STRING) AS dois, CAST({K} AS STRING) AS pmids, {_GRANT} AS grants, CASE WHEN {K} % 4 = 0 THEN 'park ;xiao y' ELSE 'xiao y' END AS people, {K} % 4 <> 0 AS people_complete
+    FROM (SELECT {K}, CASE {K} % 3 WHEN 0 THEN 'Mendeley Data' WHEN 1 THEN 'Zenodo' ELSE 'Synapse' END AS repo FROM {{part}}) t WHERE NOT (repo = 'Zenodo' AND {K} % 11 = 0)""")
 def rec_datacite(d: Data) -> DataFrame:
-    k = F.col(K)
-    text = F.concat(
-        F.lit('{"created":"2019-05-05T10:00:00Z","dates":[{"date":"2016-01-01","dateType":"Updated"},{"date":"'), F.expr(f"date_format(date_add(DATE '2017-01-01', cast({K} % 300 as int)), 'yyyy-MM-dd')"),
-        F.lit('","dateType":"Issued"}],"creators":[{"name":"'), F.when(k % 2 == 0, "Smith, Ana").otherwise("data team"), F.lit('"}],"relatedIdentifiers":[{"relatedIdentifier":"DOI:10.1/A'), k.cast("string"),
-        F.lit('","relatedIdentifierType":"DOI"},{"relatedIdentifier":"x","relatedIdentifierType":"URL"}]}'),
-    )
-    r = L.doi_record(text)
-    return d.part.select(K, r["record_date"].alias("record_date"), F.array_join(r["dois"], ";").alias("dois"), r["people_complete"].alias("people_complete"))
+    k, n = F.col(K), F.col(K).cast("string")
+    repo = F.when(k % 3 == 0, "Mendeley Data").when(k % 3 == 1, "Zenodo").otherwise("Synapse")
+    ids = d.part.select(K, repo.alias("repo"), F.when(k % 3 == 0, F.concat(F.lit("10.17632/"), F.lpad(n, 10, "x"), F.lit(".2"))).when(k % 3 == 1, F.concat(F.lit("10.5281/zenodo."), n)).otherwise(F.concat(F.lit("syn"), n)).alias("id"))
+    issued = F.date_format(F.expr(f"date_add(DATE '2017-01-01', cast({K} % 300 as int))"), "yyyy-MM-dd")
+    # a year alone is no date; each second dataset of the versioned kind is registered without its version only
+    bare = (k % 3 == 0) & (k % 2 == 0)
+    date = lambda day, kind: F.struct(day.alias("date"), F.lit(kind).alias("dateType"))
+    xiao = F.struct(F.lit("Xiao, Yujie").alias("name"), F.lit("Xiao").alias("familyName"), F.lit("Yujie").alias("givenName"))
+    park = F.struct(F.lit("Park laboratory").alias("name"), F.lit("Park laboratory").alias("familyName"), F.lit(None).cast("string").alias("givenName"))
+    related = lambda value, kind: F.struct(value.alias("relatedIdentifier"), F.lit(kind).alias("relatedIdentifierType"))
+    grant = F.when(k % 7 != 0, F.concat(F.lit("R01CA"), F.lpad((k % 100).cast("string"), 6, "0")))
+    text = F.to_json(F.struct(F.struct(F.struct(
+        F.lit("2019-05-05T10:00:00Z").alias("created"), F.array(date(F.lit("2016-01-01"), "Updated"), date(F.when(~bare & (k % 5 == 0), "2017").otherwise(issued), "Issued")).alias("dates"),
+        F.when(k % 4 == 0, F.array(xiao, park)).otherwise(F.array(xiao)).alias("creators"),
+        F.array(related(F.concat(F.lit("DOI:10.1/A"), n), "DOI"), related(F.concat(F.lit("PMID:"), n), "PMID"), related(F.lit("x"), "URL")).alias("relatedIdentifiers"),
+        F.array(F.struct(grant.alias("awardNumber"))).alias("fundingReferences"),
+    ).alias("attributes")).alias("data")))
+    doi = L.record_doi(F.col("repo"), F.col("id"))
+    asked = F.when(bare, F.regexp_replace(doi, r"\.\d+$", "")).otherwise(doi)
+    answers = ids.where("repo <> 'Zenodo' OR p_partkey % 11 <> 0").select(asked.alias("doi"), text.alias("text"))
+    r = L.doi_record(F.col("text"))
+    found = L.doi_answers(ids, answers).where("text IS NOT NULL")
+    return found.select(K, "repo", r["record_date"].alias("record_date"), *[F.array_join(r[c], ";").alias(c) for c in ("dois", "pmids", "grants")], keys_text(r["people"]).alias("people"), r["people_complete"].alias("people_complete"))
+
+
+#: Names in all styles, with the surname and initial that are read from them.
+NAMES = [
+    ("Smithé J", "last_initials", "smithe", "j"), ("van der Berg-Lee AB.", "last_initials", "vanderberglee", "a"), ("Li WEI", "last_initials", "li", "w"), ("Consortium Group", "last_initials", "consortiumgroup", ""),
+    ("Ana,M,Smith", "geo", "smith", "a"), ("Hisham,,Mohammed", "geo", "mohammed", "h"), ("Ana Smith", "geo", "smith", "a"), ("Tamayo-Jaramillo, D.", "auto", "tamayojaramillo", "d"), ("Aaron B. Storey", "auto", "storey", "a"),
+    ("Park laboratory", "auto", "park", ""), ("The Doe Lab", "auto", "doe", ""), ("bkim6", "auto", "bkim", ""), ("X", "auto", None, None), ("Ødegård, Åse", "auto", "degard", "a"),
+]
+
+
+def _names(column: int) -> str:
+    return f"CASE c_custkey % {len(NAMES)} " + " ".join(f"WHEN {i} THEN " + ("NULL" if x[column] is None else f"'{x[column]}'") for i, x in enumerate(NAMES)) + " END"
 
 
-@query("rec_person", """SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'smithe' WHEN c_custkey % 3 = 1 THEN 'garcia' ELSE 'doe' END AS surname, CASE WHEN c_custkey % 3 = 0 THEN 'j' WHEN c_custkey % 3 = 1 THEN 'm' ELSE '' END AS initial FROM {customer}""")
+@query("rec_person", f"SELECT c_custkey, {_names(1)} AS style, {_names(2)} AS surname, {_names(3)} AS initial FROM {{customer}}")
 def rec_person(d: Data) -> DataFrame:
-    name = F.when(F.col("c_custkey") % 3 == 0, "Smithé J").when(F.col("c_custkey") % 3 == 1, "García M.L").otherwise("Doe Lab")
-    made = d.customer.select("c_custkey", people(F.array(name)).alias("p"))
+    rows = d.customer.select("c_custkey", F.expr(_names(0)).alias("name"), F.expr(_names(1)).alias("style"))
+    found = F.coalesce(*[F.when(F.col("style") == x, people(F.array("name"), x)) for x in ("last_initials", "geo", "auto")])
     first = F.get("p", F.lit(0))
-    return made.select("c_custkey", first["surname"].alias("surname"), first["initial"].alias("initial"))
+    return rows.select("c_custkey", "style", found.alias("p")).select("c_custkey", "style", first["surname"].alias("surname"), first["initial"].alias("initial"))
 
 
-@query("rec_authors", "SELECT pmid, 'doe b;smith ' || lower(initial) AS people FROM {paper}")
+@query("rec_authors", "SELECT pmid, 'doe b;smith' || CASE WHEN initial IS NULL THEN '' ELSE ' ' || lower(initial) END AS people FROM {paper}")
 def rec_authors(d: Data) -> DataFrame:
     # digits are no part of a surname
-    keys = people(F.transform(F.split("authors", ","), lambda x: F.rtrim(F.trim(x), F.lit("."))))
+    keys = people(F.split("authors", ","), "last_initials")
     return d.paper.select("pmid", F.array_join(F.transform(keys, lambda x: F.concat(x["surname"], F.lit(" "), x["initial"])), ";").alias("people"))
 
 

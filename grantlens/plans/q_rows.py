@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import catalog as K
 from ..operators import mentions as M
 from ..operators import papers as P
 from ..operators import records as R
+from ..rules import LABELS
 from .base import Data, query
 
 OWN = "role = 'generated' AND cls <> 'url'"
@@ -94,12 +96,15 @@ def flt_before_all_awards(d: Data) -> DataFrame:
     return j.groupBy("pmid").agg(F.bool_and(before).alias("all_before")).where("all_before").select("pmid")
 
 
-NOISE = r"doi\.org|creativecommons|orcid|ncbi\.nlm\.nih\.gov/(pmc|pubmed)|safelinks|example\.org/data/1"
+#: Links for the identifiers of links, by the paper's number: some lead to people, articles or filters, others only seem to.
+_LINKS = """CASE CAST(pmid AS BIGINT) % 7 WHEN 0 THEN 'https://ORCID.org/' || pmid WHEN 1 THEN 'http://www.ncbi.nlm.nih.gov/pmc/articles/' || pmid WHEN 2 THEN 'https://dx.doi.org/10.1/' || pmid
+    WHEN 3 THEN 'https://eu.safelinks.protection.outlook.com/?url=' || pmid WHEN 4 THEN 'https://www.ncbi.nlm.nih.gov/geo/' || pmid WHEN 5 THEN 'https://lab.org/orcid.org/' || pmid ELSE id END"""
 
 
-@query("flt_link_noise", f"SELECT pmid, id FROM {{ident}} WHERE cls = 'url' AND NOT regexp_matches(id, '{NOISE}')")
+@query("flt_link_noise", f"SELECT pmid, {_LINKS} AS url FROM {{ident}} WHERE cls = 'url' AND CAST(pmid AS BIGINT) % 7 > 3")
 def flt_link_noise(d: Data) -> DataFrame:
-    return d.ident.where((F.col("cls") == "url") & ~F.col("id").rlike(NOISE)).select("pmid", "id")
+    links = d.ident.where("cls = 'url'").select("pmid", F.expr(_LINKS).alias("url"))
+    return links.where(~M.leads_to_no_data(F.col("url")))
 
 
 @query("flt_disagreements", "SELECT doc_id, role_a, role_b FROM {rated} WHERE role_a <> role_b")
@@ -116,9 +121,11 @@ def prj_id_strings(d: Data) -> DataFrame:
     return j.groupBy("pmid").agg(F.array_join(F.transform(items, lambda x: x["t"]), "; ").alias("ids"))
 
 
-@query("flt_derived_series", "SELECT acc FROM {catalog} WHERE upper(acc) NOT LIKE 'GSE1002%'")
+@query("flt_derived_series", """SELECT acc FROM (SELECT CASE WHEN CAST(acc[-1] AS VARCHAR) IN ('3', '7') THEN replace(acc, 'gse', 'gds') ELSE acc END AS acc FROM {catalog} WHERE repo = 'GEO') t WHERE acc NOT LIKE 'gds%'""")
 def flt_derived_series(d: Data) -> DataFrame:
-    return d.catalog.where(~F.upper("acc").startswith("GSE1002")).select("acc")
+    # some series are listed by the curated sets that were made of them
+    acc = F.when(F.right("acc", F.lit(1)).isin("3", "7"), F.replace("acc", F.lit("gse"), F.lit("gds"))).otherwise(F.col("acc"))
+    return K.without_derived(d.catalog.where("repo = 'GEO'").select(acc.alias("acc")))
 
 
 # ---------------------------------------------------------------- set operations
@@ -241,30 +248,36 @@ def top_receipt_order(d: Data) -> DataFrame:
     return d.link.join(d.paper, "pmid").groupBy("coreproject").agg(F.array_join(F.transform(items, lambda x: x["pmid"]), ";").alias("papers"))
 
 
-def apportion(counts: DataFrame, total: int, least: int = 2) -> DataFrame:
-    """counts (label, n) with quota: `least` for each label, the rest in proportion, rounded by largest remainder.
+def apportion(counts: DataFrame, total: int, least: int = 2, unweighed: str = "NOT_CHECKABLE") -> DataFrame:
+    """counts (label, n, n_reviewed) with quota and reviewed_quota, on two levels.
 
-    Labels are few; their table is one partition.
+    Each label gets `least`, the rest is shared out in proportion to n, rounded by largest remainder (ties in the order
+    of LABELS); `unweighed` takes no part in that. A label gets no more than it has. Of its quota a third, one at
+    least, is kept for reviewed papers, as far as there are any. Labels are few; their table is one partition.
     """
     w = Window.partitionBy(F.lit(0))
-    base = F.least(F.col("n"), F.lit(least))
-    c = counts.withColumn("base", base)
-    c = c.withColumn("_free", F.lit(total) - F.sum("base").over(w)).withColumn("_left", F.col("n") - F.col("base"))
-    # whole numbers only: floor and remainder of free * left / sum of left
-    c = c.withColumn("_sum", F.greatest(F.sum("_left").over(w), F.lit(1))).withColumn("_x", F.col("_free") * F.col("_left"))
-    c = c.withColumn("_whole", F.expr("_x div _sum")).withColumn("_rest", F.expr("_x % _sum"))
-    k = F.row_number().over(w.orderBy(F.desc("_rest"), "label"))
-    more = (k <= F.col("_free") - F.sum("_whole").over(w)).cast("int")
-    return c.withColumn("quota", (F.col("base") + F.col("_whole") + more).cast("long")).select("label", "n", "quota")
-
-
-@query("top_apportion", """WITH c AS (SELECT label, COUNT(*) AS n FROM {labelled} GROUP BY label), b AS (SELECT label, n, LEAST(n, 2) AS base FROM c),
-    f AS (SELECT *, 100 - SUM(base) OVER () AS free, SUM(n - base) OVER () AS s FROM b),
-    w AS (SELECT *, CAST(free * (n - base) AS BIGINT) // CAST(s AS BIGINT) AS whole, CAST(free * (n - base) AS BIGINT) % CAST(s AS BIGINT) AS rest FROM f),
-    k AS (SELECT *, ROW_NUMBER() OVER (ORDER BY rest DESC, label) AS k, SUM(whole) OVER () AS used FROM w)
-    SELECT label, n, CAST(base + whole + CASE WHEN k <= free - used THEN 1 ELSE 0 END AS BIGINT) AS quota FROM k""")
+    place = F.coalesce(F.array_position(F.array(*[F.lit(x) for x in LABELS]), F.col("label")), F.lit(0))
+    weight = F.when(F.col("label") == unweighed, 0).otherwise(F.col("n"))
+    c = counts.withColumns({"_base": F.least(F.col("n"), F.lit(least)), "_weight": weight, "_place": place})
+    # whole numbers only: floor and remainder of free * weight / sum of weights
+    c = c.withColumn("_free", F.greatest(F.lit(total) - F.sum("_base").over(w), F.lit(0))).withColumn("_sum", F.greatest(F.sum("_weight").over(w), F.lit(1)))
+    c = c.withColumn("_whole", F.expr("_free * _weight div _sum")).withColumn("_rest", F.expr("_free * _weight % _sum"))
+    # those that take no part come last
+    k = F.row_number().over(w.orderBy((F.col("_weight") == 0).cast("int"), F.desc("_rest"), "_place", "label"))
+    more = ((k <= F.col("_free") - F.sum("_whole").over(w)) & (F.col("_weight") > 0)).cast("int")
+    quota = F.least(F.col("n"), F.col("_base") + F.col("_whole") + more).cast("long")
+    third = F.least(F.col("n_reviewed"), F.greatest(F.lit(1), F.floor(F.col("quota") / 3))).cast("long")
+    return c.withColumn("quota", quota).withColumn("reviewed_quota", F.least(third, F.col("quota"))).select("label", "n", "n_reviewed", "quota", "reviewed_quota")
+
+
+@query("top_apportion", f"""WITH c AS (SELECT label, COUNT(*) AS n, COUNT(CASE WHEN label_source = 'review' THEN 1 END) AS n_reviewed, COALESCE(list_position({LABELS}, label), 0) AS place FROM {{labelled}} WHERE label <> 'NEEDS_REVIEW' GROUP BY label),
+    b AS (SELECT *, LEAST(n, 2) AS base, CASE WHEN label = 'NOT_CHECKABLE' THEN 0 ELSE n END AS weight FROM c), f AS (SELECT *, CAST(100 - SUM(base) OVER () AS BIGINT) AS free, CAST(SUM(weight) OVER () AS BIGINT) AS s FROM b),
+    w AS (SELECT *, free * weight // s AS whole, free * weight % s AS rest FROM f), k AS (SELECT *, ROW_NUMBER() OVER (ORDER BY CASE WHEN weight = 0 THEN 1 ELSE 0 END, rest DESC, place, label) AS k, SUM(whole) OVER () AS used FROM w),
+    q AS (SELECT *, CAST(LEAST(n, base + whole + CASE WHEN weight > 0 AND k <= free - used THEN 1 ELSE 0 END) AS BIGINT) AS quota FROM k)
+    SELECT label, n, n_reviewed, quota, CAST(LEAST(n_reviewed, GREATEST(1, quota // 3), quota) AS BIGINT) AS reviewed_quota FROM q""")
 def top_apportion(d: Data) -> DataFrame:
-    return apportion(d.labelled.groupBy("label").agg(F.count("*").alias("n")), 100)
+    papers = d.labelled.where("label <> 'NEEDS_REVIEW'")
+    return apportion(papers.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("label_source") == "review").alias("n_reviewed")), 100)
 
 
 @query("top_quota_scale", """SELECT label, COUNT(*) AS n, CAST(LEAST(COUNT(*), (COUNT(*) * 60 + (SELECT COUNT(*) FROM {labelled}) - 1) // (SELECT COUNT(*) FROM {labelled})) AS BIGINT) AS quota

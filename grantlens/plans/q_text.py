@@ -11,7 +11,7 @@ from ..functions import columns as C
 from ..functions import text as X
 from ..operators import mentions as M
 from ..operators import statements as S
-from ..rules import CUES, IDENTIFIER_RULES
+from ..rules import CUES, IDENTIFIER_RULES, SHORT_FORMS
 from .base import Data, query
 
 K = "o_orderkey"
@@ -86,7 +86,7 @@ def txt_is_key_table(d: Data) -> DataFrame:
     return X.parse_passages(articles(d)).where("krt").select("pmid", "text")
 
 
-_ABBREVIATION = r"(^|[^\p{L}\p{N}_])((?i:et al|e\.g|i\.e|figs?|no|vs|ca|approx|refs?|suppl?|inc|ltd|dr|st|ver|v))\."
+_ABBREVIATION = r"(^|[^\p{L}\p{N}_])((?i:" + "|".join("et al" if x == "al" else x.replace(".", r"\.") for x in SHORT_FORMS) + r"))\."
 
 
 def _twice(text: str, pattern: str, to: str) -> str:
@@ -292,17 +292,30 @@ def idx_strong_reuse(d: Data) -> DataFrame:
     return X.with_roles(m.withColumns({"krt": F.lit(False), "previous": F.lit(""), "das": F.lit(True)})).select("pmid", "role")
 
 
-@query("idx_nearest", "SELECT CAST(o_orderkey AS STRING) AS pmid, id, role FROM {orders} CROSS JOIN (SELECT 'GSE1111' AS id, 'reused' AS role UNION ALL SELECT 'GSE2222', 'generated') t")
+#: Cues and mentions of real texts: long capitalized words, and numbers.
+_CUE, _NUMBER = "[A-Z][a-z]{7,}", "[0-9]+"
+
+
+def _places(pattern: str, name: str) -> str:
+    """SQL for (k, s, e) of a pattern's matches, by the lengths of what is between them."""
+    return f"""{name}m AS (SELECT k, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS gs FROM d),
+    {name} AS (SELECT k, CAST(list_sum(list_transform(gs[1:i], lambda x: length(x))) + COALESCE(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS INT) AS s, length(ms[i]) AS n FROM (SELECT k, ms, gs, UNNEST(range(1, len(ms) + 1)) AS i FROM {name}m) u)"""
+
+
+@query("idx_nearest", f"""WITH d AS (SELECT doc_id AS k, COALESCE(text, '') AS t FROM {{documents}}), {_places(_CUE, "cue")}, {_places(_NUMBER, "num")}
+    SELECT num.k AS doc_id, num.s AS at, CAST(MIN(CASE WHEN cue.s IS NOT NULL THEN GREATEST(cue.s - num.s, num.s - (cue.s + cue.n), 0) END) AS INT) AS distance FROM num LEFT JOIN cue ON num.k = cue.k GROUP BY num.k, num.s""")
 def idx_nearest(d: Data) -> DataFrame:
-    text = F.lit("Data sets downloaded from GEO (GSE1111) were compared, while ours have been deposited in GEO (GSE2222).")
-    m = X.find_mentions(d.orders.select(F.col(K).cast("string").alias("pmid"), text.alias("sentence")))
-    j = X.with_roles(m.withColumns({"krt": F.lit(False), "previous": F.lit(""), "das": F.lit(False)}))
-    return j.select("pmid", F.col("raw").alias("id"), "role")
+    points = d.documents.select("doc_id", F.explode(X.spans_of("text", _NUMBER)).alias("p")).select("doc_id", F.col("p.start").alias("at"))
+    spans = d.documents.select("doc_id", F.explode(X.spans_of("text", _CUE)).alias("s")).select("doc_id", "s.start", "s.end")
+    return M.nearest_spans(points, spans, ["doc_id"])
 
 
-@query("idx_prev_sentence", "SELECT conv_id, turn, LAG(text) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS previous FROM {conversations}")
+@query("idx_prev_sentence", f"""SELECT doc_id, i - 1 AS sent_ord, length(ss[i]) AS letters, CASE WHEN i > 1 THEN length(ss[i - 1]) ELSE 0 END AS previous_letters FROM (SELECT doc_id, ss, UNNEST(range(1, len(ss) + 1)) AS i
+    FROM (SELECT doc_id, list_filter(string_split({_CUT}, chr(1)), lambda x: regexp_matches(x, '\\S')) AS ss FROM {{documents}}) s) t""")
 def idx_prev_sentence(d: Data) -> DataFrame:
-    return d.conversations.select("conv_id", "turn", F.lag("text").over(Window.partitionBy("conv_id").orderBy("turn", "role", "text")).alias("previous"))
+    p = d.documents.select("doc_id", "text", F.lit("p").alias("kind"))
+    rows = M.passage_sentences(p)
+    return rows.select("doc_id", F.col("sent_ord").cast("long").alias("sent_ord"), F.length("sentence").cast("long").alias("letters"), F.length("previous").cast("long").alias("previous_letters"))
 
 
 _COMBINE = """WITH s AS (SELECT pmid, CAST(pmid AS BIGINT) % 4 = 0 AS own_cue, CAST(pmid AS BIGINT) % 6 = 1 AS reuse_cue FROM {paper}),
@@ -343,7 +356,7 @@ def txt_cited_location(d: Data) -> DataFrame:
     return M.with_locations(X.parse_passages(cited_articles(d))).where("kind = 'ref'").select("pmid", "ref_id", "location")
 
 
-@query("idx_of_papers", f"""SELECT CAST({K} AS STRING) AS pmid, repo, replace(id, '#', CAST(100000 + {K} AS STRING)) AS id, role, CASE WHEN repo LIKE 'PRIDE%' THEN {K} % 3 = 0 ELSE repo = 'Other link' END AS in_das
+@query("idx_of_papers", f"""SELECT CAST({K} AS STRING) AS pmid, repo, replace(id, '#', CAST(100000 + {K} AS STRING)) AS id, CASE WHEN repo LIKE 'PRIDE%' AND {K} % 3 = 0 THEN 'unknown' ELSE role END AS role, CASE WHEN repo LIKE 'PRIDE%' THEN {K} % 3 = 0 ELSE repo = 'Other link' END AS in_das
     FROM {{orders}}, (VALUES ('GEO', 'GSE#', 'reused'), ('GEO', 'GSE1001', 'reused'), ('PRIDE/ProteomeXchange', 'PXD#', 'reused'), ('Other link', 'https://lab-x.example/Set#', 'unknown')) t(repo, id, role)""")
 def idx_of_papers(d: Data) -> DataFrame:
     return M.identifiers_of(cited_articles(d)).select("pmid", "repo", "id", "role", "in_das")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .common import forget, in_order, materialize, numbered, table, whole_row, with_end
 
 #: Words of a seed, and the share of all seeds that is kept: by hash alone, so that equal words keep equal seeds.
-K, DENSITY = 4, 0.28
+K, DENSITY = 4, 0.32
 #: Long seeds are made of two kept seeds, so many kept seeds apart; one in LONG_OF kept seeds begins one.
 LONG_STEP, LONG_OF = 8, 4
 #: Documents in which very common seeds are looked for, about, and in how many of them such a seed is at least.

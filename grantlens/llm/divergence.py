@@ -9,9 +9,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from xxhash import xxh64_intdigest
 
-from .common import forget, materialize, table, with_end
+from .common import forget, materialize, table
 
 #: Documents of a language that a kept term is in at least, and ranks of the part `term`.
 MIN_DOCS, RANKS = 10, 10
@@ -20,49 +19,104 @@ BITS = 64
 #: log2 of the bits of the table that tells which digests may be kept: 8 MB, whatever the input.
 FILTER = 26
 #: Terms, of all groups, that a task holds before it passes them on.
-HELD = 1 << 18
+HELD = 1 << 22
 #: Groups (lang, source) that are broadcast at most; more are joined by a shuffle.
 FEW_GROUPS = 20_000
 #: Bytes that end a term become spaces, A-Z small letters; all bytes from 128 on belong to terms.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
 
-def terms_of(text: str) -> list[bytes]:
-    """Runs of letters A-Z, a-z and of all characters beyond ASCII, A-Z as small letters, in UTF-8."""
-    return text.encode("utf-8", "surrogatepass").translate(LETTERS).split()
+#: Odd numbers for the bytes of a term, and the bases of their places, for two independent hashes.
+CODES = np.random.default_rng(17).integers(0, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+POWERS: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+#: Bytes that are hashed at once.
+PIECE = 1 << 20
 
 
-def digest(term: bytes, bits: int) -> int:
-    h = xxh64_intdigest(term, 13) & ((1 << bits) - 1)
-    return h - (1 << 64) if h >> 63 else h
+def terms_of(text: bytes) -> list[bytes]:
+    """Runs of letters A-Z, a-z and of all characters beyond ASCII, A-Z as small letters, in UTF-8."""
+    return text.translate(LETTERS).split()
+
+
+class Terms:
+    """Terms of bytes: where they start and end, and their hashes."""
+
+    def __init__(self, data: bytes):
+        self.data = data.translate(LETTERS)
+        self.bytes = np.frombuffer(self.data, np.uint8)
+        inside = np.r_[False, self.bytes != 32, False]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        self.start, self.end = edges[::2], edges[1::2]
+
+    def hashes(self, which: int = 0) -> np.ndarray:
+        """A 64-bit hash of each term: sums of its bytes' numbers times powers of a base, mixed."""
+        size = self.end - self.start
+        out = np.zeros(len(size), np.uint64)
+        # pieces end where terms end
+        cuts = np.searchsorted(self.end, np.arange(0, len(self.bytes), PIECE), side="left")
+        cuts = np.unique(np.r_[cuts, len(size)])
+        if len(size) and len(POWERS[which]) < size.max():
+            POWERS[which] = np.cumprod(np.r_[np.uint64(1), np.full(max(255, int(size.max())), BASES[which], np.uint64)])
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            n, a, e = size[lo:hi], self.start[lo], self.end[hi - 1]
+            b = self.bytes[a:e]
+            b = b[b != 32]
+            first = np.r_[0, np.cumsum(n)[:-1]]
+            place = np.arange(len(b)) - np.repeat(first, n)
+            out[lo:hi] = np.add.reduceat(CODES[which][b] * POWERS[which][place], first)
+        out += size.astype(np.uint64) * np.uint64(BASES[1 - which])
+        out = (out ^ (out >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+        return out ^ (out >> np.uint64(32))
+
+
+def digests(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes & np.uint64((1 << bits) - 1)).view(np.int64)
 
 
 def plain(documents: DataFrame) -> DataFrame:
     """lang, source and text of all rows, nulls as ''; each row is a document, whatever its id."""
-    return documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    rows = documents.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
+    return rows.withColumn("text", F.col("text").cast("binary"))
 
 
 def counted(docs: DataFrame, bits: int) -> DataFrame:
-    """(lang, source, term, n, docs) summed within tasks: term is a digest, n its occurrences, docs the documents it is in."""
+    """(lang, source, term, n, docs) summed over some millions of terms of a task at a time: term is a digest, n its occurrences, docs the documents it is in."""
+
+    def summed(groups: dict, parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Iterator[pd.DataFrame]:
+        """parts: (group, document, hash) of terms, documents in order."""
+        group, doc, term = (np.concatenate(x) for x in zip(*parts, strict=True))
+        by_group = np.argsort(group, kind="stable")
+        cuts = np.searchsorted(group[by_group], np.arange(len(groups) + 1))
+        for (lang, source), lo, hi in zip(groups, cuts[:-1], cuts[1:], strict=True):
+            if lo == hi:
+                continue
+            d, t = doc[by_group[lo:hi]], term[by_group[lo:hi]]
+            order = np.argsort(t, kind="stable")
+            d, t = d[order], t[order]
+            new = np.r_[True, t[1:] != t[:-1]]
+            first = np.flatnonzero(new)
+            # a term's documents are in order, so that each is counted where it begins
+            within = np.add.reduceat(new | np.r_[True, d[1:] != d[:-1]], first, dtype=np.int64)
+            yield pd.DataFrame({"lang": lang, "source": source, "term": t[first], "n": np.diff(np.r_[first, len(t)]), "docs": within})
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-        fresh = 0
-        for b in with_end(batches):
-            if b is not None:
-                for lang, source, text in zip(b["lang"], b["source"], b["text"], strict=True):
-                    terms = terms_of(text)
-                    n, within = groups.setdefault((lang, source), (Counter(), Counter()))
-                    before = len(n)
-                    n.update(terms)
-                    within.update(set(terms))
-                    fresh += len(n) - before
-            if fresh > HELD or b is None:
-                for (lang, source), (n, within) in groups.items():
-                    if n:
-                        terms = [digest(t, bits) for t in n]
-                        yield pd.DataFrame({"lang": lang, "source": source, "term": terms, "n": list(n.values()), "docs": [within[t] for t in n]})
-                groups, fresh = {}, 0
+        groups: dict[tuple[str, str], int] = {}
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held, seen = 0, 0
+        for b in batches:
+            found = Terms(b" ".join(b["text"]))
+            ends = np.cumsum(b["text"].map(len).to_numpy(np.int64) + 1)
+            own = np.searchsorted(ends, found.start, side="right")
+            group = np.array([groups.setdefault(x, len(groups)) for x in zip(b["lang"], b["source"], strict=True)], np.int32)
+            parts.append((group[own], own + seen, digests(found.hashes(), bits)))
+            held, seen = held + len(own), seen + len(b)
+            if held > HELD:
+                yield from summed(groups, parts)
+                groups, parts, held = {}, [], 0
+        if held:
+            yield from summed(groups, parts)
 
     rows = docs.mapInPandas(run, "lang string, source string, term long, n long, docs long")
     return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
@@ -89,22 +143,24 @@ def spelled(docs: DataFrame, kept: DataFrame, bits: int) -> DataFrame:
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         marks = near.value
-        seen: dict[str, set[bytes]] = {}
+        seen: dict[str, np.ndarray] = {}
         for b in batches:
             if sum(map(len, seen.values())) > HELD:
                 seen = {}
             for lang, rows in b.groupby("lang", sort=False):
-                known = seen.setdefault(lang, set())
-                fresh: set[bytes] = set()
-                for text in rows["text"]:
-                    fresh.update(terms_of(text))
-                words = list(fresh - known)
-                known.update(words)
-                terms = np.array([digest(t, bits) for t in words], np.int64)
-                low = terms & ((1 << FILTER) - 1)
+                found = Terms(b" ".join(rows["text"]))
+                term = digests(found.hashes(), bits)
+                low = term & ((1 << FILTER) - 1)
                 wanted = np.flatnonzero(marks[low >> 3] >> (low & 7) & 1)
+                # strings are told apart by the other hash, so that two of one digest both count
+                other, first = np.unique(found.hashes(1)[wanted], return_index=True)
+                known = seen.get(lang, np.zeros(0, np.uint64))
+                new = ~np.isin(other, known, assume_unique=True)
+                seen[lang] = np.union1d(known, other)
+                wanted = wanted[first[new]]
                 if len(wanted):
-                    yield pd.DataFrame({"lang": lang, "term": terms[wanted], "spelling": [words[i].decode("utf-8", "surrogatepass") for i in wanted]})
+                    strings = [found.data[s:e].decode("utf-8", "surrogatepass") for s, e in zip(found.start[wanted], found.end[wanted], strict=True)]
+                    yield pd.DataFrame({"lang": lang, "term": term[wanted], "spelling": strings})
 
     found = docs.mapInPandas(run, "lang string, term long, spelling string")
     strings = found.groupBy("lang", "term").agg(F.min("spelling").alias("lo"), F.max("spelling").alias("hi"))
@@ -118,7 +174,9 @@ def split_counts(docs: DataFrame, collided: DataFrame, bits: int, min_docs: int)
         for b in batches:
             out = []
             for lang, source, text in zip(b["lang"], b["source"], b["text"], strict=True):
-                out += [(lang, source, digest(t, bits), t.decode("utf-8", "surrogatepass"), n) for t, n in Counter(terms_of(text)).items()]
+                own = Counter(terms_of(text))
+                term = digests(Terms(b" ".join(own)).hashes(), bits).tolist()
+                out += [(lang, source, h, t.decode("utf-8", "surrogatepass"), n) for h, (t, n) in zip(term, own.items(), strict=True)]
             if out:
                 yield pd.DataFrame(out, columns=["lang", "source", "term", "split", "n"])
 

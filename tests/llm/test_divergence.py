@@ -49,6 +49,28 @@ def test_equals_its_sql(spark, bits):
     assert found(div.divergence(df, bits=bits)) == by_sql(rows)
 
 
+def test_hashes_are_of_terms_alone(monkeypatch):
+    data = "Été, the_The THE; a\x00b 中文x ".encode() * 50 + b"w" * 3000
+    found = div.Terms(data)
+    names = [found.data[s:e] for s, e in zip(found.start, found.end)]
+    assert names == div.terms_of(data)
+    for which in (0, 1):
+        h = found.hashes(which)
+        assert len({*zip(names, h.tolist())}) == len(set(names)) == len(set(h.tolist()))
+        monkeypatch.setattr(div, "PIECE", 7)
+        assert (found.hashes(which) == h).all()
+        assert (div.Terms(b"--" + data).hashes(which) == h).all()
+
+
+def test_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(div, "HELD", 50)
+    rows = corpus()[:200]
+    df = spark.createDataFrame(rows, DOCS).coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    assert found(div.divergence(df, min_docs=10)) == by_sql(rows)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+
+
 def test_shuffled_groups(spark, monkeypatch):
     monkeypatch.setattr(div, "FEW_GROUPS", 3)
     rows = corpus()

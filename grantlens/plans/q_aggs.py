@@ -13,7 +13,8 @@ from ..operators import records as R
 from ..rules import LABELS, MAIN_REPOSITORIES
 from .base import Data, query
 from .q_joins import _EARLY as EARLY
-from .q_joins import early_publications
+from .q_joins import early_publications, join_pubmed_links
+from .q_links import _CHECK, STUDY_SQL, studies, tiers
 from .q_rows import OWN, statement_cues
 
 MAIN = ", ".join(f"'{x}'" for x in MAIN_REPOSITORIES)
@@ -151,17 +152,21 @@ def agg_repo_papers(d: Data) -> DataFrame:
     return d.ident.where("role = 'generated'").groupBy("repo").agg(F.count_distinct("pmid").alias("papers"))
 
 
-@query("agg_own_distinct", f"""SELECT COUNT(DISTINCT repo || '|' || id) AS accessions, COUNT(DISTINCT CASE WHEN repo NOT IN ({MAIN}) THEN repo || '|' || id END) AS outside,
-    COUNT(DISTINCT pmid) AS papers, COUNT(DISTINCT CASE WHEN repo = 'GEO' THEN pmid || '|' || id END) AS series_pairs,
-    (SELECT COUNT(DISTINCT repo || '|' || id) FROM {{ident}} WHERE role = 'generated' AND cls = 'url') AS links FROM {{ident}} WHERE {OWN} AND NOT is_code""")
+@query("agg_own_distinct", f"""WITH {STUDY_SQL}, o AS (SELECT i.pmid, i.repo, i.id, COALESCE(sg.study_group, i.repo || ':' || i.id) AS study FROM {{ident}} i LEFT JOIN sg ON i.repo = sg.repo AND i.id = sg.id WHERE {OWN} AND NOT is_code)
+    SELECT COUNT(DISTINCT repo || '|' || id) AS accessions, COUNT(DISTINCT study) AS studies, COUNT(DISTINCT CASE WHEN repo NOT IN ({MAIN}) THEN repo || '|' || id END) AS outside,
+    COUNT(DISTINCT CASE WHEN repo NOT IN ({MAIN}) THEN study END) AS outside_studies, COUNT(DISTINCT pmid) AS papers, COUNT(DISTINCT CASE WHEN repo = 'GEO' THEN pmid || '|' || id END) AS series_pairs,
+    (SELECT COUNT(DISTINCT repo || '|' || id) FROM {{ident}} WHERE role = 'generated' AND cls = 'url') AS links FROM o""")
 def agg_own_distinct(d: Data) -> DataFrame:
     own = M.own_data(d.ident)
     # each count over rows that are made distinct first, so that no aggregate expands its input
-    ids = own.select("repo", "id").distinct().agg(F.count("*").alias("accessions"), F.count_if(~F.col("repo").isin(MAIN_REPOSITORIES)).alias("outside"))
+    known = own.select("repo", "id").distinct().join(studies(d), ["repo", "id"], "left").withColumn("study", F.coalesce("study_group", F.concat_ws(":", "repo", "id")))
+    out = ~F.col("repo").isin(MAIN_REPOSITORIES)
+    ids = known.agg(F.count("*").alias("accessions"), F.count_if(out).alias("outside"))
+    groups = known.groupBy("study").agg(F.bool_or(out).alias("out")).agg(F.count("*").alias("studies"), F.count_if("out").alias("outside_studies"))
     papers = own.select("pmid").distinct().agg(F.count("*").alias("papers"))
     pairs = own.where("repo = 'GEO'").select("pmid", "id").distinct().agg(F.count("*").alias("series_pairs"))
     links = d.ident.where("role = 'generated' AND cls = 'url'").select("repo", "id").distinct().agg(F.count("*").alias("links"))
-    return ids.crossJoin(papers).crossJoin(pairs).crossJoin(links)  # one row each
+    return ids.crossJoin(groups).crossJoin(papers).crossJoin(pairs).crossJoin(links)  # one row each
 
 
 @query("agg_only_outside", f"SELECT COUNT(*) AS papers FROM (SELECT pmid FROM {{ident}} WHERE {OWN} AND NOT is_code GROUP BY pmid HAVING MAX(CASE WHEN repo IN ({MAIN}) THEN 1 ELSE 0 END) = 0) t")
@@ -239,25 +244,27 @@ def agg_record_tiers(d: Data) -> DataFrame:
     return own.select("repo", "id").distinct().join(best, ["repo", "id"], "left").select("repo", "id", F.coalesce("best_tier", F.lit("not_read")).alias("best_tier"))
 
 
-_CAND = f"""WITH o AS (SELECT * FROM {{ident}} WHERE {OWN}), a AS (SELECT o.repo, o.id, string_agg(DISTINCT l.coreproject, ';' ORDER BY l.coreproject) AS awards FROM o JOIN {{link}} l ON o.pmid = l.pmid GROUP BY o.repo, o.id),
-    t AS (SELECT o.repo, o.id, MAX(CASE WHEN r.pmid IS NOT NULL THEN 1 ELSE 0 END) AS cites, MAX(CASE WHEN k.id IS NOT NULL THEN 1 ELSE 0 END) AS has FROM o
-      LEFT JOIN {{record_pmid}} r ON r.repo = o.repo AND r.id = o.id AND r.pmid = o.pmid LEFT JOIN {{record}} k ON k.repo = o.repo AND k.id = o.id GROUP BY o.repo, o.id),
-    g AS (SELECT repo, id, COUNT(*) AS n_papers, string_agg(pmid, ';' ORDER BY CAST(pmid AS BIGINT)) AS pmids, bool_or(in_das) AS explicit, arg_min(is_code, CAST(pmid AS BIGINT)) AS is_code FROM o GROUP BY repo, id)
-    SELECT g.repo, g.id, CASE WHEN g.is_code THEN 'code' ELSE 'dataset' END AS type, n_papers, pmids, COALESCE(a.awards, '') AS awards, COALESCE(s.status, 'NOT_CHECKED') AS status,
-    CASE WHEN t.has = 1 AND t.cites = 1 THEN 'cites_paper' WHEN t.has = 1 THEN '' ELSE 'not_read' END AS record_tier,
-    CASE WHEN COALESCE(s.status, '') = 'RESOLVES' AND t.has = 1 AND t.cites = 1 THEN 1 WHEN COALESCE(s.status, '') = 'RESOLVES' AND explicit THEN 2 ELSE 3 END AS tier
-    FROM g LEFT JOIN a ON g.repo = a.repo AND g.id = a.id LEFT JOIN t ON g.repo = t.repo AND g.id = t.id LEFT JOIN {{status}} s ON g.repo = s.repo AND g.id = s.id"""
+_RANKED = "CASE t.record_tier WHEN 'cites_paper' THEN 0 WHEN 'names_award' THEN 1 WHEN 'authors' THEN 2 WHEN 'contradicted' THEN 3 ELSE 4 END"
+_CAND = _CHECK + f""", {STUDY_SQL}, o AS (SELECT * FROM {{ident}} WHERE {OWN}),
+    w AS (SELECT o.repo, o.id, COUNT(DISTINCT l.coreproject) AS n_awards, string_agg(DISTINCT l.coreproject, ';' ORDER BY l.coreproject) AS awards FROM o JOIN {{link}} l ON o.pmid = l.pmid GROUP BY o.repo, o.id),
+    v AS (SELECT o.repo, o.id, arg_min(t.record_tier, {_RANKED} * 10000000000 + CAST(o.pmid AS BIGINT)) AS record_tier, arg_min(CASE WHEN t.record_tier = 'names_award' THEN t.shared ELSE '' END, {_RANKED} * 10000000000 + CAST(o.pmid AS BIGINT)) AS record_note
+      FROM o JOIN t ON t.pmid = o.pmid AND t.repo = o.repo AND t.id = o.id GROUP BY o.repo, o.id),
+    h AS (SELECT o.id, MAX(CASE WHEN CAST(o.pmid AS BIGINT) % 6 = 0 THEN 0 WHEN r.id IS NOT NULL THEN 2 ELSE 1 END) AS h FROM o LEFT JOIN {{record_pmid}} r ON r.repo = o.repo AND r.id = o.id AND r.pmid = o.pmid WHERE o.repo = 'GEO' GROUP BY o.id),
+    q AS (SELECT repo, id, COUNT(*) AS n_papers, string_agg(pmid, ';' ORDER BY CAST(pmid AS BIGINT)) AS pmids, bool_or(in_das AND evidence LIKE 'cue%') AS explicit, arg_min(is_code, CAST(pmid AS BIGINT)) AS is_code FROM o GROUP BY repo, id),
+    made AS (SELECT q.repo, q.id, CASE WHEN q.is_code THEN 'code' ELSE 'dataset' END AS type, n_papers, COALESCE(w.n_awards, 0) AS n_awards, COALESCE(s.status, 'NOT_CHECKED') AS status, q.is_code,
+      CASE WHEN q.repo <> 'GEO' THEN '' ELSE CASE h.h WHEN 2 THEN 'yes' WHEN 1 THEN 'no' ELSE '' END END AS harvestable, COALESCE(sg.study_group, q.repo || ':' || q.id) AS study_group,
+      COALESCE(v.record_tier, 'not_read') AS record_tier, COALESCE(v.record_note, '') AS record_note,
+      CASE WHEN COALESCE(s.status, '') = 'RESOLVES' AND v.record_tier IN ('cites_paper', 'names_award', 'authors') THEN 1 WHEN COALESCE(s.status, '') = 'RESOLVES' AND explicit THEN 2 ELSE 3 END AS tier, pmids, COALESCE(w.awards, '') AS awards
+      FROM q LEFT JOIN w ON q.repo = w.repo AND q.id = w.id LEFT JOIN v ON q.repo = v.repo AND q.id = v.id LEFT JOIN h ON q.repo = 'GEO' AND q.id = h.id LEFT JOIN sg ON q.repo = sg.repo AND q.id = sg.id LEFT JOIN {{status}} s ON q.repo = s.repo AND q.id = s.id)
+    SELECT * FROM made"""
 
 
 def candidate_rows(d: Data) -> DataFrame:
-    cites = d.record_pmid.select("repo", "id", "pmid", F.lit("cites_paper").alias("said"))
-    tiers = d.ident.select("pmid", "repo", "id").join(d.record.select("repo", "id"), ["repo", "id"], "left_semi").join(cites, ["repo", "id", "pmid"], "left")
-    tiers = tiers.select("pmid", "repo", "id", F.coalesce("said", F.lit("")).alias("record_tier"))
     awards = d.link.select("pmid", F.col("coreproject").alias("core"))
-    return P.candidates(d.ident, d.status, tiers, awards)
+    return P.candidates(d.ident, d.status, tiers(d), awards, join_pubmed_links(d), studies(d), F.col("evidence").startswith("cue"))
 
 
-@query("agg_candidates", _CAND)
+@query("agg_candidates", _CAND.replace("SELECT * FROM made", "SELECT * EXCLUDE (pmids, awards) FROM made"))
 def agg_candidates(d: Data) -> DataFrame:
     return candidate_rows(d).drop("uuid", "url")
 

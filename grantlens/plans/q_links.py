@@ -326,10 +326,18 @@ def xck_apply(d: Data) -> DataFrame:
     return R.apply_checks(d.ident, tiers(d)).select("pmid", "repo", "id", "role_before", "record_tier", "role")
 
 
-@query("xck_study_groups", """WITH n AS (SELECT pmid, SUM(CASE WHEN id LIKE 'PRJ%' THEN 1 ELSE 0 END) AS np, MIN(CASE WHEN id LIKE 'PRJ%' THEN id END) AS prj, SUM(CASE WHEN id LIKE 'EGAS%' THEN 1 ELSE 0 END) AS ne, MIN(CASE WHEN id LIKE 'EGAS%' THEN id END) AS egas FROM {ident} GROUP BY pmid),
-    t AS (SELECT i.repo, i.id, CAST(i.pmid AS BIGINT) AS k, CASE WHEN i.repo = 'SRA/BioProject' AND i.id NOT LIKE 'PRJ%' AND np = 1 THEN i.repo || ':' || prj WHEN i.repo = 'EGA' AND i.id LIKE 'EGAD%' AND ne = 1 THEN i.repo || ':' || egas END AS g FROM {ident} i JOIN n ON i.pmid = n.pmid),
-    a AS (SELECT repo, id, arg_min(g, k) FILTER (WHERE g IS NOT NULL) AS g FROM t GROUP BY repo, id), s AS (SELECT id, 'GSE9' || substr(id, 4) AS up FROM {status} WHERE repo = 'GEO' AND id LIKE '%7')
-    SELECT a.repo, a.id, CASE WHEN a.repo = 'GEO' AND s.up IS NOT NULL THEN 'GEO:' || s.up ELSE COALESCE(a.g, a.repo || ':' || a.id) END AS study_group FROM a LEFT JOIN s ON a.id = s.id""")
-def xck_study_groups(d: Data) -> DataFrame:
+#: Study groups (sg: repo, id, study_group) as common tables of SQL; each seventh series has a superseries.
+STUDY_SQL = """sn AS (SELECT pmid, SUM(CASE WHEN id LIKE 'PRJ%' THEN 1 ELSE 0 END) AS np, MIN(CASE WHEN id LIKE 'PRJ%' THEN id END) AS prj, SUM(CASE WHEN id LIKE 'EGAS%' THEN 1 ELSE 0 END) AS ne, MIN(CASE WHEN id LIKE 'EGAS%' THEN id END) AS egas FROM {ident} GROUP BY pmid),
+    st AS (SELECT i.repo, i.id, CAST(i.pmid AS BIGINT) AS k, CASE WHEN i.repo = 'SRA/BioProject' AND i.id NOT LIKE 'PRJ%' AND np = 1 THEN i.repo || ':' || prj WHEN i.repo = 'EGA' AND i.id LIKE 'EGAD%' AND ne = 1 THEN i.repo || ':' || egas END AS g FROM {ident} i JOIN sn ON i.pmid = sn.pmid),
+    sa AS (SELECT repo, id, arg_min(g, k) FILTER (WHERE g IS NOT NULL) AS g FROM st GROUP BY repo, id), su AS (SELECT id, 'GSE9' || substr(id, 4) AS up FROM {status} WHERE repo = 'GEO' AND id LIKE '%7'),
+    sg AS (SELECT sa.repo, sa.id, CASE WHEN sa.repo = 'GEO' AND su.up IS NOT NULL THEN 'GEO:' || su.up ELSE COALESCE(sa.g, sa.repo || ':' || sa.id) END AS study_group FROM sa LEFT JOIN su ON sa.id = su.id)"""
+
+
+def studies(d: Data) -> DataFrame:
     series = d.status.where("repo = 'GEO' AND id LIKE '%7'").select("id", F.concat(F.lit("GSE9"), F.substring("id", 4, 20)).alias("superseries"))
     return R.study_groups(d.ident, series)
+
+
+@query("xck_study_groups", f"WITH {STUDY_SQL} SELECT repo, id, study_group FROM sg")
+def xck_study_groups(d: Data) -> DataFrame:
+    return studies(d)

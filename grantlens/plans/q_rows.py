@@ -293,7 +293,7 @@ def top_quota_scale(d: Data) -> DataFrame:
 _FACTS = """SELECT pmid, MAX(CASE WHEN role = 'generated' AND cls IN ('public', 'generic', 'code') THEN 1 ELSE 0 END) AS own_public,
     MAX(CASE WHEN role = 'generated' AND cls = 'controlled' THEN 1 ELSE 0 END) AS own_controlled,
     MAX(CASE WHEN role = 'generated' AND cls = 'url' THEN 1 ELSE 0 END) AS own_url, MAX(CASE WHEN role = 'unknown' AND cls <> 'url' THEN 1 ELSE 0 END) AS unknown,
-    MAX(CASE WHEN role = 'reused' AND cls <> 'url' THEN 1 ELSE 0 END) AS reused, MAX(CASE WHEN role = 'reused' AND in_das THEN 1 ELSE 0 END) AS reused_in_das
+    MAX(CASE WHEN role = 'reused' AND cls <> 'url' THEN 1 ELSE 0 END) AS reused, MAX(CASE WHEN role = 'reused' AND in_das THEN 1 ELSE 0 END) AS reused_in_das, """ + ", ".join(f"array_to_string(list_sort(list_distinct(list(repo || ':' || id) FILTER (WHERE role = '{r}' AND cls <> 'url')))[1:4], ', ') AS {r}_heads" for r in ("generated", "unknown", "reused")) + """
     FROM {ident} GROUP BY pmid"""
 
 
@@ -307,19 +307,38 @@ def statement_cues(d: Data) -> DataFrame:
     )
 
 
-@query("cls_label", f"""WITH f AS ({_FACTS}), k AS (SELECT *, CAST(pmid AS BIGINT) AS n FROM {{paper}})
-    SELECT k.pmid, CASE WHEN fulltext_source IS NULL THEN 'NOT_CHECKABLE' WHEN own_public = 1 THEN 'PUBLIC_REPOSITORY' WHEN own_controlled = 1 THEN 'CONTROLLED_ACCESS'
-      WHEN n % 13 = 4 AND n % 4 <> 0 THEN 'CONTROLLED_ACCESS' WHEN title = 'A review of the field' THEN 'NO_DATA_GENERATED' WHEN unknown = 1 THEN 'NEEDS_REVIEW'
-      WHEN own_url = 1 THEN 'NEEDS_REVIEW' WHEN n % 13 = 4 THEN 'NEEDS_REVIEW' WHEN n % 11 = 3 AND n % 4 <> 0 THEN 'NEEDS_REVIEW'
-      WHEN n % 4 = 0 AND n % 5 <> 1 THEN 'ON_REQUEST' WHEN n % 5 = 1 THEN 'IN_ARTICLE'
-      WHEN n % 6 = 2 THEN CASE WHEN n % 3 = 1 OR COALESCE(reused_in_das, 0) = 1 THEN 'REUSED_ONLY' ELSE 'NO_DATA_GENERATED' END
-      WHEN n % 7 < 4 AND (n % 3 = 1 OR COALESCE(reused, 0) = 1) AND n % 9 <> 5 THEN 'REUSED_ONLY' WHEN n % 7 < 4 THEN 'NEEDS_REVIEW'
-      WHEN pub_type = 'editorial' THEN 'NO_DATA_GENERATED' ELSE 'NO_STATEMENT' END AS label
-    FROM k LEFT JOIN f ON k.pmid = f.pmid""")
-def cls_label(d: Data) -> DataFrame:
+_RULES = [
+    ("fulltext_source IS NULL", "NOT_CHECKABLE", "'no open full text'"),
+    ("own_public = 1", "PUBLIC_REPOSITORY", "'own deposits: ' || COALESCE(generated_heads, '')"),
+    ("own_controlled = 1", "CONTROLLED_ACCESS", "'own deposits under controlled access: ' || COALESCE(generated_heads, '')"),
+    ("n % 13 = 4 AND n % 4 <> 0", "CONTROLLED_ACCESS", "'own data under controlled access, without an accession'"),
+    ("title = 'A review of the field'", "NO_DATA_GENERATED", "'the title names a review'"),
+    ("unknown = 1", "NEEDS_REVIEW", "'unclear whether own: ' || COALESCE(unknown_heads, '')"),
+    ("own_url = 1", "NEEDS_REVIEW", "'shared at a link of no known repository'"),
+    ("n % 13 = 4", "NEEDS_REVIEW", "'controlled access and on request'"),
+    ("n % 11 = 3 AND n % 4 <> 0", "NEEDS_REVIEW", "'a deposit is promised'"),
+    ("n % 4 = 0 AND n % 5 <> 1", "ON_REQUEST", "'on request'"),
+    ("n % 5 = 1", "IN_ARTICLE", "CASE WHEN n % 4 = 0 THEN 'in the article, the rest on request' ELSE 'in the article' END"),
+    ("n % 6 = 2 AND (n % 3 = 1 OR COALESCE(reused_in_das, 0) = 1)", "REUSED_ONLY", "'no new data; reused: ' || COALESCE(reused_heads, '')"),
+    ("n % 6 = 2", "NO_DATA_GENERATED", "'the statement says that there are no data'"),
+    ("n % 7 < 4 AND (n % 3 = 1 OR COALESCE(reused, 0) = 1) AND n % 9 <> 5", "REUSED_ONLY", "'reused: ' || COALESCE(reused_heads, '')"),
+    ("n % 7 < 4", "NEEDS_REVIEW", "'a statement that no rule reads'"),
+    ("pub_type = 'editorial'", "NO_DATA_GENERATED", "'no research article'"),
+]
+_LABELLED = f"""WITH f AS ({_FACTS}), k AS (SELECT *, CAST(pmid AS BIGINT) AS n FROM {{paper}})
+    SELECT k.pmid, CASE {" ".join(f"WHEN {w} THEN '{x}'" for w, x, _ in _RULES)} ELSE 'NO_STATEMENT' END AS label, substr(CASE {" ".join(f"WHEN {w} THEN {r}" for w, _, r in _RULES)} ELSE 'no statement found' END, 1, 300) AS reason
+    FROM k LEFT JOIN f ON k.pmid = f.pmid"""
+
+
+def labels_of(d: Data) -> DataFrame:
     facts = P.identifier_facts(d.ident)
     papers = d.paper.join(facts, "pmid", "left").join(statement_cues(d), "pmid", "left")
-    return P.label(papers).select("pmid", "label")
+    return P.label(papers).select("pmid", "label", "reason")
+
+
+@query("cls_label", _LABELLED)
+def cls_label(d: Data) -> DataFrame:
+    return labels_of(d)
 
 
 @query("cls_review_title", "SELECT pmid, title = 'A review of the field' AS is_review FROM {paper}")
@@ -351,17 +370,19 @@ def overrides(d: Data) -> DataFrame:
     return d.labels.select(
         k.cast("string").alias("pmid"), F.when(F.col("quality") == 1, "ON_REQUEST").otherwise("IN_ARTICLE").alias("label"),
         F.when(k % 3 == 0, " Yes ").when(k % 3 == 1, "no").otherwise("").alias("mixed"), F.when(F.col("toxic") == 1, "y").alias("code_shared"),
+        F.when(k % 2 == 0, F.concat(F.lit(" read as "), k.cast("string"))).otherwise(" ").alias("note"),
     )
 
 
 @query("cls_override", """SELECT p.pmid, COALESCE(CASE WHEN l.doc_id IS NOT NULL THEN CASE WHEN l.quality = 1 THEN 'ON_REQUEST' ELSE 'IN_ARTICLE' END END, p.label) AS label,
     CASE WHEN l.doc_id IS NOT NULL THEN 'review' ELSE 'rules' END AS label_source,
     CASE WHEN l.doc_id % 3 = 0 THEN TRUE WHEN l.doc_id % 3 = 1 THEN FALSE ELSE CAST(p.pmid AS BIGINT) % 2 = 0 END AS mixed,
-    CASE WHEN l.toxic = 1 THEN TRUE ELSE FALSE END AS code_shared
+    CASE WHEN l.toxic = 1 THEN TRUE ELSE FALSE END AS code_shared,
+    CASE WHEN l.doc_id IS NULL THEN 'by rule' WHEN l.doc_id % 2 = 0 THEN 'read as ' || CAST(l.doc_id AS STRING) ELSE 'reviewed' END AS reason
     FROM {labelled} p LEFT JOIN {labels} l ON p.pmid = CAST(l.doc_id AS STRING)""")
 def cls_override(d: Data) -> DataFrame:
-    papers = d.labelled.select("pmid", "label", (F.col("pmid").cast("long") % 2 == 0).alias("mixed"), F.lit(False).alias("code_shared"))
-    return P.override(papers, overrides(d)).select("pmid", "label", "label_source", "mixed", "code_shared")
+    papers = d.labelled.select("pmid", "label", (F.col("pmid").cast("long") % 2 == 0).alias("mixed"), F.lit(False).alias("code_shared"), F.lit("by rule").alias("reason"))
+    return P.override(papers, overrides(d)).select("pmid", "label", "label_source", "mixed", "code_shared", "reason")
 
 
 @query("cls_triage", "SELECT repo, id, tier FROM {candidate}")

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..operators import mentions as M
+from ..operators import papers as P
+from ..rules import LABELS
 from ..sources import landed, sinks
 from .base import Data, query
-from .q_aggs import _CAND, candidate_rows
-from .q_rows import OWN, stratified_sample
+from .q_aggs import _CAND, _FLAGS, _RECEIPT, candidate_rows, receipts
+from .q_rows import _LABELLED, OWN, labels_of, statement_cues, stratified_sample
 
 
 def land(df: DataFrame, name: str) -> str:
@@ -126,36 +128,106 @@ def src_answers(d: Data) -> DataFrame:
 # ---------------------------------------------------------------- sinks
 
 
-@query("snk_papers", """SELECT p.pmid, p.title, p.pub_date, b.label, COALESCE(i.ids, '') AS own_ids FROM {paper} p JOIN {labelled} b ON p.pmid = b.pmid LEFT JOIN
-    (SELECT pmid, string_agg(repo || ':' || id, '; ' ORDER BY repo || ':' || id) AS ids FROM {ident} WHERE role = 'generated' AND cls <> 'url' GROUP BY pmid) i ON p.pmid = i.pmid""")
+def paper_rows(d: Data) -> DataFrame:
+    """The 21 columns of a paper's row, lists as text."""
+    k = F.col("pmid").cast("long")
+    named = lambda role: F.when((F.col("role") == role) & (F.col("cls") != "url"), F.concat(F.concat_ws(":", "repo", "id"), F.coalesce(F.concat(F.lit(" ["), "status", F.lit("]")), F.lit(""))))
+    plain = F.when((F.col("role") == "reused") & (F.col("cls") != "url"), F.concat_ws(":", "repo", "id"))
+    dead = F.when((F.col("role") == "generated") & (F.col("cls") != "url") & F.col("status").isin("NOT_FOUND", "PRIVATE"), F.col("id"))
+    text = lambda c, n=None: F.array_join(F.array_sort(F.collect_list(c)) if n is None else F.slice(F.array_sort(F.collect_list(c)), 1, n), "; ")
+    ids = d.ident.join(d.status, ["repo", "id"], "left").groupBy("pmid").agg(
+        text(named("generated")).alias("identifiers_generated"), text(named("unknown")).alias("identifiers_unclear"), text(plain, 15).alias("identifiers_reused"), text(dead).alias("dead_identifiers"),
+    )
+    flags = P.flags(d.ident, d.status)
+    shown = F.array_join(F.array_compact(F.array(F.when(F.col("mixed"), "MIXED"), F.when(F.col("code_shared"), "CODE_SHARED"), F.when(F.col("link_dead"), "LINK_DEAD"))), ";")
+    awards = d.link.select("pmid", "coreproject").distinct().groupBy("pmid").agg(F.array_join(F.array_sort(F.collect_list("coreproject")), ";").alias("grants"))
+    reasons = labels_of(d).select("pmid", "reason")
+    p = d.paper.join(d.labelled.select("pmid", "label", "label_source"), "pmid").join(statement_cues(d).select("pmid", "statement_kind"), "pmid")
+    for x in (ids, flags, awards, reasons):
+        p = p.join(x, "pmid", "left")
+    read = F.col("fulltext_source").isNotNull()
+    empty = lambda c: F.coalesce(c, F.lit(""))
+    return p.select(
+        "pmid", empty("pmcid").alias("pmcid"), F.concat(F.lit("10.1/"), "pmid").alias("doi"), empty(F.year("pub_date").cast("string")).alias("pub_year"), F.lit("A journal").alias("journal"),
+        F.substring("title", 1, 300).alias("title"), F.when(F.lower("pub_type").contains("preprint"), "yes").otherwise("no").alias("is_preprint"), empty("grants").alias("grants"),
+        empty("fulltext_source").alias("fulltext_source"), F.when(~read, "").when(k % 9 == 0, "yes").otherwise("no").alias("is_author_manuscript"), "label", "label_source",
+        empty(shown).alias("flags"), F.substring(empty("reason"), 1, 300).alias("reason"), "statement_kind", F.when(F.col("statement_kind") == "none", "").otherwise(F.concat(F.lit("Statement of "), "pmid")).alias("statement_snippet"),
+        *[empty(c).alias(c) for c in ("identifiers_generated", "identifiers_unclear", "identifiers_reused", "dead_identifiers")], C.article_link(F.col("pmcid"), F.col("pmid")).alias("europepmc_url"),
+    )
+
+
+def _ids(condition: str, shown: str, most: str = "") -> str:
+    return f"COALESCE(array_to_string(list_sort(list({shown}) FILTER (WHERE {condition})){most}, '; '), '')"
+
+
+_NAMED = "i.repo || ':' || i.id || COALESCE(' [' || s.status || ']', '')"
+_PAPERS = f"""WITH lab AS ({_LABELLED}), ids AS (SELECT i.pmid, {_ids("role = 'generated' AND cls <> 'url'", _NAMED)} AS g, {_ids("role = 'unknown' AND cls <> 'url'", _NAMED)} AS u, {_ids("role = 'reused' AND cls <> 'url'", "i.repo || ':' || i.id", "[1:15]")} AS r,
+      {_ids("role = 'generated' AND cls <> 'url' AND s.status IN ('NOT_FOUND', 'PRIVATE')", "i.id")} AS dead FROM {{ident}} i LEFT JOIN {{status}} s ON i.repo = s.repo AND i.id = s.id GROUP BY i.pmid),
+    fl AS ({_FLAGS}), aw AS (SELECT pmid, string_agg(DISTINCT coreproject, ';' ORDER BY coreproject) AS grants FROM {{link}} GROUP BY pmid)
+    SELECT p.pmid, COALESCE(p.pmcid, '') AS pmcid, '10.1/' || p.pmid AS doi, COALESCE(CAST(year(p.pub_date) AS STRING), '') AS pub_year, 'A journal' AS journal, substr(p.title, 1, 300) AS title,
+    CASE WHEN lower(p.pub_type) LIKE '%preprint%' THEN 'yes' ELSE 'no' END AS is_preprint, COALESCE(aw.grants, '') AS grants, COALESCE(p.fulltext_source, '') AS fulltext_source,
+    CASE WHEN p.fulltext_source IS NULL THEN '' WHEN CAST(p.pmid AS BIGINT) % 9 = 0 THEN 'yes' ELSE 'no' END AS is_author_manuscript, b.label, b.label_source,
+    concat_ws(';', CASE WHEN nd = 1 AND ru = 1 THEN 'MIXED' END, CASE WHEN cd = 1 THEN 'CODE_SHARED' END, CASE WHEN dl = 1 THEN 'LINK_DEAD' END) AS flags, lab.reason,
+    CASE WHEN CAST(p.pmid AS BIGINT) % 7 < 4 THEN 'section' ELSE 'none' END AS statement_kind, CASE WHEN CAST(p.pmid AS BIGINT) % 7 < 4 THEN 'Statement of ' || p.pmid ELSE '' END AS statement_snippet,
+    COALESCE(g, '') AS identifiers_generated, COALESCE(u, '') AS identifiers_unclear, COALESCE(r, '') AS identifiers_reused, COALESCE(dead, '') AS dead_identifiers,
+    'https://europepmc.org/article/' || CASE WHEN p.pmcid IS NOT NULL THEN 'PMC/' || p.pmcid ELSE 'MED/' || p.pmid END AS europepmc_url
+    FROM {{paper}} p JOIN {{labelled}} b ON p.pmid = b.pmid LEFT JOIN ids ON ids.pmid = p.pmid LEFT JOIN fl ON fl.pmid = p.pmid LEFT JOIN aw ON aw.pmid = p.pmid LEFT JOIN lab ON lab.pmid = p.pmid"""
+
+
+@query("snk_papers", _PAPERS)
 def snk_papers(d: Data) -> DataFrame:
-    ids = M.own_identifiers(d.ident).groupBy("pmid").agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws(":", "repo", "id"))), "; ").alias("own_ids"))
-    p = d.paper.join(d.labelled.select("pmid", "label"), "pmid").join(ids, "pmid", "left")
-    p = p.select("pmid", F.substring("title", 1, 300).alias("title"), "pub_date", "label", "own_ids")
-    return sinks.round_trip(p, "papers", "csv", [F.col("pmid").cast("long")]).withColumn("own_ids", F.coalesce("own_ids", F.lit("")))
+    rows = paper_rows(d)
+    back = sinks.round_trip(rows, "papers", "csv", [F.col("pmid").cast("long")])
+    # a cell without letters is read as null
+    return back.na.fill("")
+
 
+_ITEM = "struct<pmid:string,pmcid:string,year:string,title:string,label:string,label_source:string,flags:string,own:string,unclear:string,dead:string>"
+_FIGURES = ["n_papers", "n_checkable", "n_new_data", "n_code", "n_mixed", "n_link_dead", "n_repositories", "n_dead_ids"]
 
-@query("snk_receipts_json", "SELECT a.core_project_num AS coreproject, COUNT(p.pmid) AS n_papers, COALESCE(string_agg(p.pmid, ';' ORDER BY CAST(p.pmid AS BIGINT)), '') AS papers FROM {award} a LEFT JOIN {link} p ON a.core_project_num = p.coreproject GROUP BY 1")
+
+@query("snk_receipts_json", f"""WITH rec AS ({_RECEIPT}), pap AS ({_PAPERS}),
+    own AS (SELECT l.coreproject, string_agg(pap.pmid || '|' || pub_year || '|' || label || '|' || flags || '|' || identifiers_generated, ' & ' ORDER BY x.pub_date NULLS FIRST, CAST(pap.pmid AS BIGINT)) AS papers, COUNT(*) AS listed
+      FROM {{link}} l JOIN pap ON pap.pmid = l.pmid JOIN {{paper}} x ON x.pmid = l.pmid GROUP BY l.coreproject)
+    SELECT rec.coreproject, {", ".join(f"CAST(rec.{c} AS BIGINT) AS {c}" for c in _FIGURES)}, CAST(rec.n_on_request AS BIGINT) AS on_request, rec.any_public_deposit, rec.coverage_pct, COALESCE(own.listed, 0) AS listed, COALESCE(own.papers, '') AS papers
+    FROM rec LEFT JOIN own ON rec.coreproject = own.coreproject""")
 def snk_receipts_json(d: Data) -> DataFrame:
-    items = F.array_sort(F.collect_list(F.struct(F.col("pmid").cast("long").alias("k"), "pmid")))
-    per = d.link.groupBy("coreproject").agg(items.alias("papers"))
-    r = d.award.select(F.col("core_project_num").alias("coreproject")).join(per, "coreproject", "left").withColumn("papers", F.coalesce("papers", F.array().cast("array<struct<k:bigint,pmid:string>>")))
-    back = sinks.round_trip(r, "receipts", "json")
-    return back.select("coreproject", F.size("papers").cast("long").alias("n_papers"), F.array_join(F.transform("papers", lambda x: x["pmid"]), ";").alias("papers"))
+    figures = receipts(d.award, d.link, d.labelled, d.ident, d.status)
+    counts = F.struct(*[F.col(f"n_{x.lower()}").alias(x) for x in LABELS]).alias("label_counts")
+    head = F.to_json(F.struct("coreproject", *_FIGURES, "any_public_deposit", "coverage_pct", counts))
+    none = lambda t: F.lit(None).cast(t)
+    heads = figures.select("coreproject", F.lit(0).alias("depth"), head.alias("body"), none("date").alias("pub_date"), none("long").alias("k"))
+    p = paper_rows(d).join(d.paper.select("pmid", "pub_date"), "pmid").join(d.link.select("pmid", "coreproject").distinct(), "pmid")
+    item = F.to_json(F.struct(
+        "pmid", "pmcid", F.col("pub_year").alias("year"), F.substring("title", 1, 160).alias("title"), "label", "label_source", "flags", F.col("identifiers_generated").alias("own"),
+        F.col("identifiers_unclear").alias("unclear"), F.col("dead_identifiers").alias("dead"),
+    ))
+    items = p.select("coreproject", F.lit(1).alias("depth"), item.alias("body"), "pub_date", F.col("pmid").cast("long").alias("k"))
+    path = sinks.landing(d.spark, "receipts")
+    sinks.write_nested(heads.unionByName(items), path, ["coreproject"], ["depth", "pub_date", "k"], ["papers"])
+    schema = "coreproject string, " + ", ".join(f"{c} bigint" for c in _FIGURES) + f", any_public_deposit boolean, coverage_pct double, label_counts map<string,bigint>, papers array<{_ITEM}>"
+    back = sinks.read_nested(d.spark, path, schema)
+    line = lambda x: F.concat_ws("|", x["pmid"], x["year"], x["label"], x["flags"], x["own"])
+    return back.select(
+        "coreproject", *_FIGURES, F.col("label_counts")["ON_REQUEST"].alias("on_request"), "any_public_deposit", "coverage_pct", F.size("papers").cast("long").alias("listed"),
+        F.array_join(F.transform("papers", line), " & ").alias("papers"),
+    )
 
 
-@query("snk_receipts_csv", """SELECT l.coreproject, COUNT(CASE WHEN label = 'ON_REQUEST' THEN 1 END) AS "ON_REQUEST", COUNT(CASE WHEN label = 'IN_ARTICLE' THEN 1 END) AS "IN_ARTICLE", COUNT(CASE WHEN label = 'REUSED_ONLY' THEN 1 END) AS "REUSED_ONLY"
-    FROM {link} l JOIN {labelled} b ON l.pmid = b.pmid GROUP BY l.coreproject""")
+@query("snk_receipts_csv", f"WITH rec AS ({_RECEIPT}) SELECT rec.*, a.title, a.org, a.org_state, CAST(a.start_date AS STRING) AS start_date FROM rec JOIN {{award}} a ON rec.coreproject = a.core_project_num")
 def snk_receipts_csv(d: Data) -> DataFrame:
-    flat = d.link.join(d.labelled, "pmid").groupBy("coreproject").pivot("label", ["ON_REQUEST", "IN_ARTICLE", "REUSED_ONLY"]).agg(F.count("pmid")).na.fill(0)
-    return sinks.round_trip(flat, "receipts", "csv", ["coreproject"])
+    about = d.award.select(F.col("core_project_num").alias("coreproject"), "title", "org", "org_state", F.col("start_date").cast("string").alias("start_date"))
+    return sinks.round_trip(receipts(d.award, d.link, d.labelled, d.ident, d.status).join(about, "coreproject"), "receipts", "csv", ["coreproject"])
 
 
 @query("snk_candidates", _CAND)
 def snk_candidates(d: Data) -> DataFrame:
-    rows = candidate_rows(d).drop("uuid", "url")
-    back = sinks.round_trip(rows, "candidates", "tsv", ["repo", "id"])
-    return back.na.fill("", ["awards", "record_tier"])
+    awards = d.link.select("pmid", F.col("coreproject").alias("core"))
+    rows = P.with_lists(candidate_rows(d), d.ident, awards)
+    path = sinks.landing(d.spark, "candidates")
+    sinks.write(rows, path, "tsv", ["repo", "id"])
+    back = sinks.read(d.spark, path, "tsv", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields))
+    return back.na.fill("").drop("uuid", "url")
 
 
 @query("snk_summary", """SELECT 'papers' AS metric, COUNT(*) AS value FROM {paper} UNION ALL SELECT 'checkable', COUNT(fulltext_source) FROM {paper} UNION ALL SELECT 'preprints', COUNT(CASE WHEN pub_type = 'Preprint' THEN 1 END) FROM {paper}""")
@@ -178,12 +250,23 @@ def snk_public_rows(d: Data) -> DataFrame:
     return sinks.round_trip(d.candidate.where("status = 'RESOLVES'").select("tier", "repo", "id", "type"), "public", "tsv", ["tier", "repo", "id"])
 
 
-@query("snk_public_receipts", f"SELECT l.coreproject, string_agg(i.pmid || ' ' || i.id, ';' ORDER BY CAST(i.pmid AS BIGINT), i.id) AS shared FROM {{ident}} i JOIN {{link}} l ON i.pmid = l.pmid WHERE {OWN} GROUP BY l.coreproject")
+@query("snk_public_receipts", f"""WITH o AS (SELECT l.coreproject, i.pmid, COALESCE(CAST(year(p.pub_date) AS STRING), '') AS year, i.repo, i.id FROM {{ident}} i JOIN {{link}} l ON i.pmid = l.pmid JOIN {{paper}} p ON p.pmid = i.pmid WHERE {OWN}),
+    q AS (SELECT coreproject, pmid, year, string_agg(repo || ':' || id, ',' ORDER BY repo, id) AS shared FROM o GROUP BY coreproject, pmid, year)
+    SELECT a.core_project_num AS coreproject, a.title, COUNT(q.pmid) AS n_papers, COALESCE(string_agg(q.year || ' ' || q.pmid || ' ' || q.shared, ';' ORDER BY q.year, CAST(q.pmid AS BIGINT)), '') AS papers FROM {{award}} a LEFT JOIN q ON q.coreproject = a.core_project_num GROUP BY 1, 2""")
 def snk_public_receipts(d: Data) -> DataFrame:
-    j = M.own_identifiers(d.ident).join(d.link, "pmid")
-    items = F.array_sort(F.collect_list(F.struct(F.col("pmid").cast("long").alias("k"), "id")))
-    back = sinks.round_trip(j.groupBy("coreproject").agg(items.alias("shared")), "public-receipts", "json")
-    return back.select("coreproject", F.array_join(F.transform("shared", lambda x: F.concat(x["k"].cast("string"), F.lit(" "), x["id"])), ";").alias("shared"))
+    year = F.coalesce(F.year("pub_date").cast("string"), F.lit(""))
+    own = M.own_identifiers(d.ident).join(d.link.select("pmid", "coreproject").distinct(), "pmid").join(d.paper.select("pmid", year.alias("year"), F.col("title").alias("paper_title")), "pmid")
+    row = lambda df, depth, body, **c: df.select("coreproject", F.lit(depth).alias("depth"), F.to_json(body).alias("body"), *[c.get(n, F.lit(None).cast(t)).alias(n) for n, t in (("year", "string"), ("k", "long"), ("repo", "string"), ("id", "string"))])
+    k = F.col("pmid").cast("long")
+    awards = row(d.award.select(F.col("core_project_num").alias("coreproject"), "title"), 0, F.struct("coreproject", "title"))
+    papers = row(own.select("coreproject", "pmid", "year", "paper_title").distinct(), 1, F.struct("pmid", "year", F.col("paper_title").alias("title")), year=F.col("year"), k=k)
+    shared = row(own, 2, F.struct("repo", "id"), year=F.col("year"), k=k, repo=F.col("repo"), id=F.col("id"))
+    path = sinks.landing(d.spark, "public-receipts")
+    # a paper's own row comes before what it shares, as its repository is null
+    sinks.write_nested(awards.unionByName(papers).unionByName(shared), path, ["coreproject"], ["year", "k", "repo", "id"], ["papers", "shared"])
+    back = sinks.read_nested(d.spark, path, "coreproject string, title string, papers array<struct<pmid:string,year:string,title:string,shared:array<struct<repo:string,id:string>>>>")
+    line = lambda x: F.concat_ws(" ", x["year"], x["pmid"], F.array_join(F.transform(x["shared"], lambda y: F.concat_ws(":", y["repo"], y["id"])), ","))
+    return back.select("coreproject", "title", F.size("papers").cast("long").alias("n_papers"), F.array_join(F.transform("papers", line), ";").alias("papers"))
 
 
 @query("snk_missing", "SELECT repo, id, tier FROM {candidate} WHERE lower(id) NOT IN (SELECT acc FROM {catalog})")

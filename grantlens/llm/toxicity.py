@@ -16,9 +16,11 @@ from .common import materialize, table
 
 #: Plain insults: a voter of its own, and what is left where labels are few.
 INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
-#: Labelled documents of either class, and as many without label, that terms are mined from and models are fitted on,
-#: first by hash of doc_id.
-SAMPLE = 5000
+#: Labelled documents of either class, and as many without label, that terms are mined from and the linear classifier is
+#: fitted on, first by hash of doc_id. The label model is fitted on the votes about all documents.
+SAMPLE = 8000
+#: Times that terms are mined.
+MINED = 2
 #: Lengths of stems, least documents that a stem is in, and the least part of the toxic ones.
 STEMS, SUPPORT, SHARE = range(4, 11), 3, 1 / 400
 #: Posteriors from which documents without label, and to which, terms are mined in the second round.
@@ -162,8 +164,7 @@ class LabelModel:
     LINK, DOUBLED, ROUNDS = 0.25, 0.8, 50
 
     def fit(self, votes: np.ndarray, labels: np.ndarray, prior: float, weight: np.ndarray) -> np.ndarray:
-        """Posteriors of class 1; labels are 1, 0 or -1 for none; prior is where the estimate starts."""
-        weight = weight * len(weight) / weight.sum()
+        """Posteriors of class 1; labels are 1, 0 or -1 for none; prior is where the estimate starts; weight counts documents."""
         # rare votes tell most; the share `prior` of documents that has most of them is taken as toxic to begin with
         told = votes @ -np.log(np.clip((votes * weight[:, None]).mean(0), 1e-6, 1))
         order = np.argsort(-told, kind="stable")
@@ -193,6 +194,11 @@ class LabelModel:
                 break
         return post
 
+    def posterior(self, votes: np.ndarray, labels: np.ndarray) -> np.ndarray:
+        codes = [self.code(votes, b) for b in self.blocks] + [labels + 1]
+        odds = np.log(self.prior / (1 - self.prior)) + sum(t[c] for t, c in zip(self.tables, codes, strict=True))
+        return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+
     def structure(self, votes: np.ndarray, post: np.ndarray | None, weight: np.ndarray) -> list[list[int]]:
         """Blocks of correlated voters; without posteriors, of nearly equal ones."""
 
@@ -240,9 +246,10 @@ def fit_linear(x: np.ndarray, target: np.ndarray, weight: np.ndarray, ridge: flo
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
     """The model from docs (doc_id, text) and labels (doc_id, toxic).
 
-    At most `sample` labelled documents of each class and `sample` without label are used; of rows of one doc_id one
-    is. Terms are mined from labelled documents, the label model is fitted on the votes of all; then terms are mined
-    again with the documents that it is sure of, and it is fitted again.
+    Terms are mined from at most `sample` labelled documents of each class; of rows of one doc_id one is. The label
+    model is fitted on the votes about all documents, labelled or not, which are counted by their pattern; then terms
+    are mined again with the documents, `sample` without label among them, that it is sure of, and it is fitted again.
+    The linear classifier is fitted on the posteriors of the drawn documents.
     """
     known = labels.where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     ids = docs.select("doc_id").where("doc_id is not null").distinct().join(known, "doc_id", "left")
@@ -270,19 +277,36 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         got = rows.mapInPandas(measure, "doc_id long, toxic int, votes array<double>, x array<double>").toPandas()
         return got.sort_values("doc_id", kind="stable")
 
+    def patterns(terms: list[tuple[str, int, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(votes, label, documents) of all documents by their pattern of votes: 2 ** voters times 3 rows at most."""
+
+        def vote(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            features = Features(terms)
+            for b in batches:
+                votes, _ = features.of(b["text"])
+                yield pd.DataFrame({"doc_id": b["doc_id"], "code": (votes.astype(np.int64) << np.arange(votes.shape[1])).sum(1)})
+
+        told = docs.where("doc_id is not null").select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(vote, "doc_id long, code long")
+        got = told.join(ids, "doc_id").groupBy("code", "toxic").count().toPandas().sort_values(["code", "toxic"])
+        n = len(Features(terms).names) + 2
+        return (got["code"].to_numpy()[:, None] >> np.arange(n) & 1).astype(float), got["toxic"].to_numpy(), got["count"].to_numpy(float)
+
     terms = mine_terms(rows.where("toxic >= 0"), prior)
-    for second in (False, True):
+    for round_ in range(MINED):
+        model = LabelModel()
+        all_votes, all_labels, documents = patterns(terms)
+        model.fit(all_votes, all_labels, prior, documents)
         got = measured(terms)
         votes, x, toxic = np.array(got["votes"].tolist()), np.array(got["x"].tolist()), got["toxic"].to_numpy()
-        # each kind of document weighs what it is in all
-        weight = np.array([sizes.get(c, 0) / max(1, (toxic == c).sum()) for c in (-1, 0, 1)])[toxic + 1]
-        post = LabelModel().fit(votes, toxic, prior, weight)
-        if second:
+        post = model.posterior(votes, toxic)
+        if round_ == MINED - 1:
             break
         sure = np.where(post >= SURE[0], 1, np.where(post <= SURE[1], 0, -1))
         told = pd.DataFrame({"doc_id": got["doc_id"], "sure": np.where(toxic >= 0, toxic, sure)})
         told = F.broadcast(rows.sparkSession.createDataFrame(told[told["sure"] >= 0], "doc_id long, sure int"))
         terms = mine_terms(rows.join(told, "doc_id").select("text", F.col("sure").alias("toxic")), prior)
+    # each kind of document weighs what it is in all
+    weight = np.array([sizes.get(c, 0) / max(1, (toxic == c).sum()) for c in (-1, 0, 1)])[toxic + 1]
     return {"terms": terms, "weights": fit_linear(x, post, weight).tolist()}
 
 

@@ -171,38 +171,49 @@ def descend(around: DataFrame, classes: DataFrame, floor: float) -> DataFrame:
     return dealt.mapInPandas(compare, "u long, v long, cos double").distinct()
 
 
+def dense_components(lists: DataFrame, length: int) -> DataFrame:
+    """(node, component) of components that have a node whose list holds `length` links: they are compared in full."""
+    edges = lists.where(F.col("cos") >= THRESHOLD).select(F.col("u").alias("a"), F.col("v").alias("b"))
+    if full(lists, length).isEmpty():
+        return edges.select(F.col("a").alias("node"), F.col("a").alias("component")).limit(0)
+    parts = materialize(components(edges), "parts")
+    dense = parts.join(full(lists, length).withColumnRenamed("u", "node"), "node").select("component").distinct()
+    return parts.join(dense, "component", "left_semi").select("node", "component")
+
+
 def recall(lists: DataFrame, classes: DataFrame, length: int, salt: int) -> float:
-    """Share of the true links of some AUDIT nodes, by brute force, that the lists hold; that many vectors are collected.
+    """Share of the true links of some AUDIT nodes, by brute force, that are found; that many vectors are collected.
 
-    The nodes are drawn from all, and half of them from nodes with links. Lists that are full, or have a
-    node of a full list, count as found, as their components are compared in full.
+    The nodes are drawn from all, and half of them from nodes with links. Of a node of a component that is compared in
+    full, the links within the component count as found, and those to other nodes as lost; of others the lists' links.
     """
     near = lists.where(F.col("cos") >= THRESHOLD).select(F.col("u").alias("node")).distinct()
     order = F.xxhash64("node", F.lit(salt))
     some = classes.select("node").orderBy(order).limit(AUDIT // 2).unionByName(near.orderBy(order).limit(AUDIT // 2)).distinct()
-    chosen = classes.join(F.broadcast(some), "node").select("node", "label", "vec").toPandas()
+    tagged = classes.select("node", "label", "vec").join(dense_components(lists, length), "node", "left")
+    chosen = tagged.join(F.broadcast(some), "node").select("node", "label", "vec", F.col("component").cast("string").alias("component")).toPandas()
     if not len(chosen):
         return 1.0
 
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = np.zeros(len(chosen), dtype=np.int64)
+            out, within = (np.zeros(len(chosen), dtype=np.int64) for _ in range(2))
             sizes, mine = b["vec"].map(len), chosen["vec"].map(len)
             for size in set(sizes) & set(mine):
                 own, asked = b[sizes == size], np.flatnonzero(mine == size)
                 c = unit(matrix(own["vec"])) @ unit(matrix(chosen["vec"].iloc[asked])).T
                 same = own["label"].to_numpy()[:, None] == chosen["label"].to_numpy()[asked][None]
                 other = own["node"].to_numpy()[:, None] != chosen["node"].to_numpy()[asked][None]
-                out[asked] += ((c >= THRESHOLD) & same & other).sum(0)
-            yield pd.DataFrame({"u": chosen["node"], "n": out})
-
-    true = classes.mapInPandas(count, "u long, n long").groupBy("u").agg(F.sum("n").alias("n"))
-    links = lists.where(F.col("cos") >= THRESHOLD)
-    held = full(lists, length).select(F.col("u").alias("v"), F.lit(True).alias("held"))
-    linked = links.join(held, "v", "left").groupBy("u").agg(F.count("*").alias("found"), F.max("held").alias("near"))
-    got = true.join(linked, "u", "left").withColumn("found", F.coalesce("found", F.lit(0)))
-    exact = F.coalesce("near", F.lit(False)) | (F.col("found") >= length)
-    got = got.withColumn("found", F.when(exact, F.col("n")).otherwise(F.least("n", "found")))
+                true = (c >= THRESHOLD) & same & other
+                together = own["component"].to_numpy(object)[:, None] == chosen["component"].to_numpy(object)[asked][None]
+                out[asked] += true.sum(0)
+                within[asked] += (true & together & own["component"].notna().to_numpy()[:, None]).sum(0)
+            yield pd.DataFrame({"u": chosen["node"], "n": out, "within": within, "dense": chosen["component"].notna()})
+
+    rows = tagged.withColumn("component", F.col("component").cast("string"))
+    true = rows.mapInPandas(count, "u long, n long, within long, dense boolean").groupBy("u").agg(F.sum("n").alias("n"), F.sum("within").alias("within"), F.max("dense").alias("dense"))
+    linked = lists.where(F.col("cos") >= THRESHOLD).groupBy("u").agg(F.count("*").alias("found"))
+    got = true.join(linked, "u", "left").withColumn("found", F.when(F.col("dense"), F.col("within")).otherwise(F.least("n", F.coalesce("found", F.lit(0)))))
     row = got.agg(F.sum("n").alias("n"), F.sum("found").alias("found")).first()
     return row["found"] / row["n"] if row and row["n"] else 1.0
 

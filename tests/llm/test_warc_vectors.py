@@ -163,3 +163,33 @@ def test_recall_of_the_lists(spark):
     u = x.astype(float) / np.sqrt((x.astype(float) ** 2).sum(1, keepdims=True))
     true = int(((u @ u.T) >= 0.93).sum() - len(u))
     assert true > 100 and found >= 0.95 * true
+
+
+def test_the_audit_counts_links_between_dense_components(spark):
+    """Two crowds whose lists are full, and links between them that no list holds."""
+    r = np.random.default_rng(4)
+    base = r.normal(size=16)
+    base /= np.linalg.norm(base)
+    side = r.normal(size=16)
+    side -= side @ base * base
+    side /= np.linalg.norm(side)
+    # within a crowd all are close; between them only some pairs are
+    x = [base + 0.12 * s * side + 0.02 * r.normal(size=16) for s in (-1, 1) for _ in range(60)]
+    x += [base + 2.0 * side + 0.01 * r.normal(size=16)]
+    rows = [(i, 1, [float(v) for v in y], 1) for i, y in enumerate(x)]
+    classes = spark.createDataFrame(rows, "node long, label long, vec array<float>, copies long")
+    unit = np.array([v for _, _, v, _ in rows], np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    cos = unit @ unit.T
+    true = {(i, j) for i in range(len(rows)) for j in range(len(rows)) if i != j and cos[i, j] >= nv.THRESHOLD}
+    across = {(i, j) for i, j in true if (i < 60) != (j < 60)}
+    assert across
+    kept = []
+    for i in range(len(rows)):
+        near = sorted((j for j in range(len(rows)) if (i, j) in true - across), key=lambda j: -cos[i, j])[: nv.LONGER[-1]]
+        kept += [(i, j, float(cos[i, j])) for j in near]
+    lists = spark.createDataFrame(kept, "u long, v long, cos double")
+    found = nv.recall(lists, classes, nv.LONGER[-1], 1)
+    assert found == pytest.approx(1 - len(across) / len(true), abs=1e-9)
+    whole = spark.createDataFrame([*kept, (0, 60, 0.95), (60, 0, 0.95)], "u long, v long, cos double")
+    assert nv.recall(whole, classes, nv.LONGER[-1], 1) == 1.0

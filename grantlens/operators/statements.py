@@ -33,23 +33,49 @@ def statement_text(passages: DataFrame, sentences: DataFrame, cues: Cues = CUES)
     return j.select("pmid", text.alias("statement"), kind.alias("statement_kind"))
 
 
+def says_reuse(text: Column, cues: Cues = CUES) -> Column:
+    """Whether a sentence says where data came from; how a reader gets them, or who described a repository, is left out."""
+    left = F.regexp_replace(F.regexp_replace(text, "(?i)(?:" + cues.offered + ")", " "), "(?i)(?:" + cues.cites_repository + ")", " ")
+    return has(left, cues.strong_reuse) | has(text, cues.resource)
+
+
+LINK = r"(?:https?://|www\.)\S"
+
+
 def paper_cues(sentences: DataFrame, cues: Cues = CUES) -> DataFrame:
-    """Nine cues of each paper from its statement's sentences (pmid, text)."""
+    """Nine cues of each paper from its statement's sentences (pmid, text, section).
+
+    section: whether a sentence stands in a statement of its own, not elsewhere in the text; without the column all do.
+    Requests for materials are none for data; what an article has itself, and that there are no data, is read in
+    statements only; data under controlled access are own if the sentence says so, or is a statement's and names no
+    source; code is shared by an own cue or a link.
+    """
     t = F.col("text")
+    section = F.coalesce("section", F.lit(False)) if "section" in sentences.columns else F.lit(True)
+    own, reuse = has(t, cues.own), says_reuse(t, cues)
     flags = {
-        "on_request": has(t, cues.on_request) & has(t, cues.data_word),
-        "in_article": has(t, cues.in_article) & ~has(t, cues.negated),
-        "no_data": has(t, cues.no_data),
+        "on_request": has(t, cues.on_request) & has(t, cues.data_word) & ~has(t, cues.materials_only),
+        "in_article": section & has(t, cues.in_article) & ~has(t, cues.negated),
+        "no_data": section & has(t, cues.no_data),
         "will_deposit": has(t, cues.will_deposit),
-        "controlled_gen": has(t, cues.controlled) & has(t, cues.own),
-        "reuse_in_statement": has(t, cues.strong_reuse) | has(t, cues.resource),
-        "gen_in_statement": has(t, cues.own),
-        "code_in_statement": has(t, cues.code_word),
+        "controlled_gen": has(t, cues.controlled) & (own | (section & ~reuse)),
+        "reuse_in_statement": reuse,
+        "gen_in_statement": own,
+        "code_in_statement": has(t, cues.code_word) & (own | has(t, LINK)),
         "privacy_restriction": has(t, cues.privacy),
     }
     return sentences.groupBy("pmid").agg(*[F.bool_or(v).alias(k) for k, v in flags.items()])
 
 
+def statement_headings(passages: DataFrame, most: int = 5) -> DataFrame:
+    """(pmid, headings): the nearest headings of a statement's passages, each once, in order, the first few."""
+    near = F.get("chain", F.lit(0))
+    rows = passages.where(F.col("das") & (F.col("kind") != "title")).select("pmid", near.alias("heading")).where("heading <> ''").distinct()
+    n = F.row_number().over(Window.partitionBy("pmid").orderBy("heading"))
+    few = rows.withColumn("_n", n).where(F.col("_n") <= most)
+    return few.groupBy("pmid").agg(F.array_sort(F.collect_list("heading")).alias("headings"))
+
+
 def reuse_resources(statements: DataFrame, cues: Cues = CUES) -> DataFrame:
     """(pmid, resources): named public resources of a statement, distinct, in order, the first ten."""
     found = F.regexp_extract_all("statement", F.lit("(" + cues.resource + ")"), F.lit(1))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import columns as C
 from ..functions.columns import percent
 from ..operators import catalog as K
 from ..operators import mentions as M
@@ -13,7 +14,7 @@ from ..operators import records as R
 from ..rules import LABELS, MAIN_REPOSITORIES
 from .base import Data, query
 from .q_joins import _EARLY as EARLY
-from .q_joins import early_publications, join_pubmed_links
+from .q_joins import _ALIAS, _LISTED, early_publications, join_catalog_papers, join_pubmed_links
 from .q_links import _CHECK, STUDY_SQL, studies, tiers
 from .q_rows import OWN, statement_cues
 
@@ -209,33 +210,40 @@ def agg_award_shares(d: Data) -> DataFrame:
     )
 
 
-@query("agg_headline", f"""WITH f AS ({_FLAGS}), x AS ({EARLY}), g AS (SELECT COUNT(*) AS papers, COUNT(CASE WHEN lower(p.pub_type) LIKE '%preprint%' THEN 1 END) AS preprints, COUNT(p.fulltext_source) AS checkable,
-      COUNT(CASE WHEN p.fulltext_source = 'epmc' THEN 1 END) AS from_epmc, COUNT(CASE WHEN p.fulltext_source = 'pmc' THEN 1 END) AS from_pmc, COUNT(pmcid) AS with_pmcid,
+_BEST = f"""WITH o AS (SELECT i.repo, i.id, MAX(CASE WHEN r.pmid IS NOT NULL THEN 1 ELSE 0 END) AS cites, MAX(CASE WHEN k.id IS NOT NULL THEN 1 ELSE 0 END) AS has FROM {{ident}} i
+      LEFT JOIN {{record_pmid}} r ON r.repo = i.repo AND r.id = i.id AND r.pmid = i.pmid LEFT JOIN {{record}} k ON k.repo = i.repo AND k.id = i.id WHERE {OWN} GROUP BY i.repo, i.id)
+    SELECT repo, id, CASE WHEN has = 1 AND cites = 1 THEN 'cites_paper' WHEN has = 1 THEN '' ELSE 'not_read' END AS best_tier FROM o"""
+
+
+_HEADLINE = f"""WITH f AS ({_FLAGS}), x AS ({EARLY}), bt AS ({_BEST}), g AS (SELECT COUNT(*) AS papers, COUNT(CASE WHEN lower(p.pub_type) LIKE '%preprint%' THEN 1 END) AS preprints, COUNT(p.fulltext_source) AS checkable,
+      COUNT(CASE WHEN p.fulltext_source = 'epmc' THEN 1 END) AS from_epmc, COUNT(CASE WHEN p.fulltext_source = 'pmc' THEN 1 END) AS from_pmc, COUNT(pmcid) AS with_pmcid, COUNT(CASE WHEN CAST(p.pmid AS BIGINT) % 9 = 0 THEN p.fulltext_source END) AS manuscripts,
       COUNT(CASE WHEN p.fulltext_source IS NOT NULL AND b.label <> 'NO_DATA_GENERATED' THEN 1 END) AS research, COUNT(CASE WHEN CAST(p.pmid AS BIGINT) % 7 < 4 THEN p.fulltext_source END) AS stated,
       COUNT(CASE WHEN nd = 1 THEN p.fulltext_source END) AS new_data, COUNT(CASE WHEN cd = 1 THEN p.fulltext_source END) AS code,
       COUNT(CASE WHEN nd = 1 AND ru = 1 THEN p.fulltext_source END) AS mixed, COUNT(CASE WHEN dl = 1 THEN p.fulltext_source END) AS link_dead FROM {{paper}} p JOIN {{labelled}} b ON p.pmid = b.pmid LEFT JOIN f ON f.pmid = p.pmid)
-    SELECT papers, (SELECT COUNT(DISTINCT pmid) FROM (SELECT pmid, bool_or(kept) AS k FROM x GROUP BY pmid) t WHERE NOT k) AS excluded_early, preprints, checkable, from_epmc, from_pmc, with_pmcid, new_data, code, mixed, link_dead,
-    100.0::DOUBLE * checkable / NULLIF(papers, 0) AS checkable_pct, 100.0::DOUBLE * stated / NULLIF(checkable, 0) AS statement_pct, 100.0::DOUBLE * code / NULLIF(checkable, 0) AS code_pct, 100.0::DOUBLE * code / NULLIF(research, 0) AS code_research_pct FROM g""")
+    SELECT papers, (SELECT COUNT(DISTINCT pmid) FROM (SELECT pmid, bool_or(kept) AS k FROM x GROUP BY pmid) t WHERE NOT k) AS excluded_early, preprints, checkable, from_epmc, from_pmc, with_pmcid, manuscripts, (SELECT COUNT(*) FROM bt WHERE best_tier = 'cites_paper') AS tier_cites_paper, (SELECT COUNT(*) FROM bt WHERE best_tier = '') AS tier_none, (SELECT COUNT(*) FROM bt WHERE best_tier = 'not_read') AS tier_not_read, new_data, code, mixed, link_dead,
+    100.0::DOUBLE * checkable / NULLIF(papers, 0) AS checkable_pct, 100.0::DOUBLE * stated / NULLIF(checkable, 0) AS statement_pct, 100.0::DOUBLE * code / NULLIF(checkable, 0) AS code_pct, 100.0::DOUBLE * code / NULLIF(research, 0) AS code_research_pct FROM g"""
+
+
+@query("agg_headline", _HEADLINE)
 def agg_headline(d: Data) -> DataFrame:
     p = d.paper.join(d.labelled.select("pmid", "label"), "pmid").join(statement_cues(d).select("pmid", "statement_kind"), "pmid").join(P.flags(d.ident, d.status), "pmid", "left")
     read = F.col("fulltext_source").isNotNull()
     g = p.agg(
         F.count("*").alias("papers"), F.count_if(F.lower("pub_type").contains("preprint")).alias("preprints"), F.count("fulltext_source").alias("checkable"),
-        F.count_if(F.col("fulltext_source") == "epmc").alias("from_epmc"), F.count_if(F.col("fulltext_source") == "pmc").alias("from_pmc"), F.count("pmcid").alias("with_pmcid"),
+        F.count_if(F.col("fulltext_source") == "epmc").alias("from_epmc"), F.count_if(F.col("fulltext_source") == "pmc").alias("from_pmc"), F.count("pmcid").alias("with_pmcid"), F.count_if(read & (F.col("pmid").cast("long") % 9 == 0)).alias("manuscripts"),
         F.count_if(read & (F.col("label") != "NO_DATA_GENERATED")).alias("_research"), F.count_if(read & (F.col("statement_kind") != "none")).alias("_stated"),
         F.count_if(read & F.col("new_data")).alias("new_data"), F.count_if(read & F.col("code_shared")).alias("code"), F.count_if(read & F.col("mixed")).alias("mixed"), F.count_if(read & F.col("link_dead")).alias("link_dead"),
     )
     early = early_publications(d.link, d.paper, d.award).where("excluded").select("pmid").distinct().agg(F.count("*").alias("excluded_early"))
-    g = g.crossJoin(early)  # one row each
+    best = agg_record_tiers(d).agg(*[F.count_if(F.col("best_tier") == t).alias(f"tier_{n}") for t, n in (("cites_paper", "cites_paper"), ("", "none"), ("not_read", "not_read"))])
+    g = g.crossJoin(early).crossJoin(best)  # one row each
     return g.withColumns({
         "checkable_pct": percent(F.col("checkable"), F.col("papers")), "statement_pct": percent(F.col("_stated"), F.col("checkable")),
         "code_pct": percent(F.col("code"), F.col("checkable")), "code_research_pct": percent(F.col("code"), F.col("_research")),
     }).drop("_research", "_stated")
 
 
-@query("agg_record_tiers", f"""WITH o AS (SELECT i.repo, i.id, MAX(CASE WHEN r.pmid IS NOT NULL THEN 1 ELSE 0 END) AS cites, MAX(CASE WHEN k.id IS NOT NULL THEN 1 ELSE 0 END) AS has FROM {{ident}} i
-      LEFT JOIN {{record_pmid}} r ON r.repo = i.repo AND r.id = i.id AND r.pmid = i.pmid LEFT JOIN {{record}} k ON k.repo = i.repo AND k.id = i.id WHERE {OWN} GROUP BY i.repo, i.id)
-    SELECT repo, id, CASE WHEN has = 1 AND cites = 1 THEN 'cites_paper' WHEN has = 1 THEN '' ELSE 'not_read' END AS best_tier FROM o""")
+@query("agg_record_tiers", _BEST)
 def agg_record_tiers(d: Data) -> DataFrame:
     own = M.own_identifiers(d.ident).select("pmid", "repo", "id")
     cites = d.record_pmid.select("repo", "id", "pmid", F.lit("cites_paper").alias("said"))
@@ -276,15 +284,33 @@ def agg_by_repository(d: Data) -> DataFrame:
     return j.groupBy("type", "repo").agg(F.count("*").alias("detected"), F.count("listed").alias("in_catalog"))
 
 
-@query("agg_catalog_summary", """SELECT (SELECT COUNT(*) FROM {candidate}) AS candidates, (SELECT COUNT(DISTINCT acc) FROM {catalog}) AS listed,
-    (SELECT COUNT(*) FROM {catalog_pmid}) AS pairs, (SELECT COUNT(*) FROM {catalog_pmid} c JOIN {paper} p ON c.pmid = p.pmid WHERE COALESCE(CAST(p.pub_date AS STRING), '9999') < '1996-01-01') AS pairs_before,
-    (SELECT COUNT(*) FROM {candidate} WHERE status = 'RESOLVES') AS resolving""")
+@query("agg_catalog_summary", f"""WITH {_ALIAS}, x AS (SELECT *, {_LISTED} AS listed, lower(id) AS acc FROM {{candidate}}),
+    p AS (SELECT DISTINCT al.alias AS acc, pmid FROM al JOIN {{catalog_pmid}} c ON al.acc = c.acc),
+    y AS (SELECT x.repo, x.id, COUNT(p.pmid) AS n, COUNT(i.pmid) AS mine FROM x LEFT JOIN p ON x.acc = p.acc LEFT JOIN {{ident}} i ON i.repo = x.repo AND i.id = x.id AND i.pmid = p.pmid AND i.role = 'generated' WHERE x.listed AND x.type = 'dataset' GROUP BY x.repo, x.id),
+    z AS (SELECT COUNT(*) AS candidates, COUNT(CASE WHEN type = 'dataset' THEN 1 END) AS datasets, COUNT(CASE WHEN type = 'code' THEN 1 END) AS code_deposits, COUNT(CASE WHEN type = 'dataset' AND listed THEN 1 END) AS datasets_listed,
+      COUNT(CASE WHEN type = 'dataset' AND NOT listed THEN 1 END) AS datasets_missing, COUNT(CASE WHEN type = 'dataset' AND NOT listed AND status = 'RESOLVES' THEN 1 END) AS missing_resolving,
+      COUNT(CASE WHEN type = 'dataset' AND NOT listed AND repo NOT IN ({MAIN}) THEN 1 END) AS missing_outside FROM x),
+    w AS (SELECT COUNT(CASE WHEN mine > 0 THEN 1 END) AS same_paper, COUNT(CASE WHEN mine = 0 AND n > 0 THEN 1 END) AS other_papers, COUNT(CASE WHEN n = 0 THEN 1 END) AS no_paper FROM y)
+    SELECT z.*, w.*, (SELECT COUNT(DISTINCT acc) FROM {{catalog}}) AS listed, (SELECT COUNT(*) FROM {{catalog_pmid}}) AS pairs,
+    (SELECT COUNT(*) FROM {{catalog_pmid}} c JOIN {{paper}} q ON c.pmid = q.pmid WHERE COALESCE(CAST(q.pub_date AS STRING), '9999') < '1996-01-01') AS pairs_before,
+    (SELECT COUNT(DISTINCT c.pmid) FROM {{catalog_pmid}} c JOIN {{paper}} q ON c.pmid = q.pmid) AS papers_listed FROM z, w""")
 def agg_catalog_summary(d: Data) -> DataFrame:
-    c = d.candidate.agg(F.count("*").alias("candidates"), F.count_if(F.col("status") == "RESOLVES").alias("resolving"))
-    listed = d.catalog.agg(F.count_distinct("acc").alias("listed"))
+    key = ["repo", "id"]
+    known = K.listed(d.candidate.select(*key), d.catalog, C.landing_url(F.col("repo"), F.col("id"))).withColumn("listed", F.lit(True))
+    x = d.candidate.join(known, key, "left").withColumn("listed", F.coalesce("listed", F.lit(False)))
+    data, gone = F.col("type") == "dataset", (F.col("type") == "dataset") & ~F.col("listed")
+    z = x.agg(
+        F.count("*").alias("candidates"), F.count_if(data).alias("datasets"), F.count_if(F.col("type") == "code").alias("code_deposits"), F.count_if(data & F.col("listed")).alias("datasets_listed"),
+        F.count_if(gone).alias("datasets_missing"), F.count_if(gone & (F.col("status") == "RESOLVES")).alias("missing_resolving"), F.count_if(gone & ~F.col("repo").isin(MAIN_REPOSITORIES)).alias("missing_outside"),
+    )
+    outcome = join_catalog_papers(d).join(d.candidate.where("type = 'dataset'").select(*key), key, "left_semi")
+    w = outcome.agg(*[F.count_if(F.col("outcome") == o).alias(o.replace(" ", "_")) for o in ("same paper", "other papers", "no paper")])
+    listed = d.catalog.select("acc").distinct().agg(F.count("*").alias("listed"))
     before = F.coalesce(F.col("pub_date").cast("string"), F.lit("9999")) < "1996-01-01"
-    pairs = d.catalog_pmid.join(d.paper.select("pmid", before.alias("before")), "pmid", "left").agg(F.count("*").alias("pairs"), F.count_if("before").alias("pairs_before"))
-    return c.crossJoin(listed).crossJoin(pairs)  # one row each
+    j = d.catalog_pmid.join(d.paper.select("pmid", before.alias("before")), "pmid", "left")
+    pairs = j.agg(F.count("*").alias("pairs"), F.count_if("before").alias("pairs_before"))
+    papers = j.where("before IS NOT NULL").select("pmid").distinct().agg(F.count("*").alias("papers_listed"))
+    return z.crossJoin(w).crossJoin(listed).crossJoin(pairs).crossJoin(papers)  # one row each
 
 
 _PAIRS = """SELECT c.pmid, c.acc, k.repo, COUNT(i.id) > 0 AS found, COALESCE(bool_or(i.role = 'generated'), FALSE) AS own, COALESCE(bool_or(i.role = 'unknown'), FALSE) AS unclear, COALESCE(bool_and(i.role = 'reused'), FALSE) AS all_reused
@@ -424,10 +450,31 @@ def agg_audit_accuracy(d: Data) -> DataFrame:
     return g.withColumn("pct", percent(F.col("k"), F.col("m"))).withColumn("weighted_pct", F.round(K.weighted_percent(F.col("population"), F.col("k"), F.col("m")), 9))
 
 
-@query("agg_audit_roles", "SELECT tier, role_b, conf, COUNT(*) AS n FROM {rated} GROUP BY GROUPING SETS ((tier, role_b), (role_b, conf), (tier))")
+@query("agg_audit_roles", """WITH r AS (SELECT tier, role_b, conf, CASE WHEN doc_id % 4 = 0 THEN 'CODE' ELSE 'DATA' END AS kind FROM {rated}), pop AS (SELECT tier, COUNT(*) AS population FROM {candidate} GROUP BY tier),
+    t AS (SELECT r.tier, MAX(pop.population) AS population, COUNT(*) AS judged, COUNT(CASE WHEN role_b = 'generated' THEN 1 END) AS own FROM r JOIN pop ON r.tier = pop.tier GROUP BY r.tier)
+    SELECT 'all' AS part, '' AS name, COUNT(*) AS judged, COUNT(CASE WHEN role_b = 'generated' THEN 1 END) AS own, 100.0::DOUBLE * COUNT(CASE WHEN role_b = 'generated' THEN 1 END) / COUNT(*) AS own_pct,
+      100.0::DOUBLE * COUNT(CASE WHEN role_b = 'generated' AND kind = 'DATA' THEN 1 END) / COUNT(*) AS own_data_pct FROM r
+    UNION ALL SELECT 'role', role_b, COUNT(*), COUNT(CASE WHEN role_b = 'generated' THEN 1 END), 100.0::DOUBLE * COUNT(CASE WHEN role_b = 'generated' THEN 1 END) / COUNT(*), 100.0::DOUBLE * COUNT(CASE WHEN role_b = 'generated' AND kind = 'DATA' THEN 1 END) / COUNT(*) FROM r GROUP BY role_b
+    UNION ALL SELECT 'kind', kind, COUNT(*), COUNT(CASE WHEN role_b = 'generated' THEN 1 END), 100.0::DOUBLE * COUNT(CASE WHEN role_b = 'generated' THEN 1 END) / COUNT(*), 100.0::DOUBLE * COUNT(CASE WHEN role_b = 'generated' AND kind = 'DATA' THEN 1 END) / COUNT(*) FROM r GROUP BY kind
+    UNION ALL SELECT 'tier', CAST(tier AS STRING), COUNT(*), COUNT(CASE WHEN role_b = 'generated' THEN 1 END), 100.0::DOUBLE * COUNT(CASE WHEN role_b = 'generated' THEN 1 END) / COUNT(*), 100.0::DOUBLE * COUNT(CASE WHEN role_b = 'generated' AND kind = 'DATA' THEN 1 END) / COUNT(*) FROM r GROUP BY tier
+    UNION ALL SELECT 'weighted', '', CAST(SUM(judged) AS BIGINT), CAST(SUM(own) AS BIGINT), 100.0::DOUBLE * SUM(population::DOUBLE * own / judged) / SUM(population), NULL FROM t""")
 def agg_audit_roles(d: Data) -> DataFrame:
-    sets = [["tier", "role_b"], ["role_b", "conf"], ["tier"]]
-    return d.rated.groupingSets(sets, "tier", "role_b", "conf").agg(F.count("*").alias("n"))
+    """Share of own, and of own data, that a reviewer sees: over all, by role, kind and tier, and weighted to the tiers' sizes."""
+    kind = F.when(F.col("doc_id") % 4 == 0, "CODE").otherwise("DATA")
+    r = d.rated.select("tier", F.col("role_b").alias("role"), kind.alias("kind"))
+    own = F.col("role") == "generated"
+    parts = []
+    for part, by in (("all", F.lit("")), ("role", F.col("role")), ("kind", F.col("kind")), ("tier", F.col("tier").cast("string"))):
+        g = r.groupBy(by.alias("name")).agg(F.count("*").alias("judged"), F.count_if(own).alias("own"), F.count_if(own & (F.col("kind") == "DATA")).alias("_data"))
+        parts.append(g.select(F.lit(part).alias("part"), "name", "judged", "own", percent(F.col("own"), F.col("judged")).alias("own_pct"), percent(F.col("_data"), F.col("judged")).alias("own_data_pct")))
+    size = d.candidate.groupBy("tier").agg(F.count("*").alias("population"))
+    t = r.groupBy("tier").agg(F.count("*").alias("judged"), F.count_if(own).alias("own")).join(size, "tier")
+    share = 100.0 * F.sum(F.col("population").cast("double") * F.col("own") / F.col("judged")) / F.sum("population")
+    parts.append(t.agg(F.sum("judged").alias("judged"), F.sum("own").alias("own"), share.alias("own_pct")).where("judged IS NOT NULL").select(F.lit("weighted").alias("part"), F.lit("").alias("name"), "judged", "own", "own_pct", F.lit(None).cast("double").alias("own_data_pct")))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
 
 
 @query("agg_rescore", """WITH r AS (SELECT CAST(doc_id AS STRING) AS pmid, CASE WHEN quality = 1 THEN 'ON_REQUEST' ELSE 'IN_ARTICLE' END AS said FROM {labels}),

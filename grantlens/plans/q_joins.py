@@ -126,7 +126,7 @@ def join_catalog_papers(d: Data) -> DataFrame:
 def join_evidence_paper(d: Data) -> DataFrame:
     cited = d.record_pmid.withColumn("cited", F.lit(0))
     own = M.own_identifiers(d.ident).join(cited, ["repo", "id", "pmid"], "left")
-    rows = R.first_by(own, ["repo", "id"], [F.coalesce("cited", F.lit(1)), F.col("pmid").cast("long")])
+    rows = R.first_by(own, ["repo", "id"], [F.coalesce("cited", F.lit(1)).alias("c"), F.col("pmid").cast("long").alias("n")])
     return rows.select("repo", "id", "pmid", "evidence")
 
 
@@ -141,19 +141,21 @@ def join_benchmark(d: Data) -> DataFrame:
     return K.benchmark(d.catalog, d.catalog_pmid, d.ident)
 
 
-@query("join_reuse_answers", """SELECT i.pmid, i.repo, i.id, CASE WHEN m.pmid IS NOT NULL AND instr(m.context, CAST(i.pmid AS STRING)) > 0 THEN 'kept' ELSE 'to do' END AS state
-    FROM {ident} i LEFT JOIN (SELECT pmid, repo, id, MIN(context) AS context FROM {mention} WHERE ord = 1 GROUP BY pmid, repo, id) m ON i.pmid = m.pmid AND i.repo = m.repo AND i.id = m.id""")
+@query("join_reuse_answers", """SELECT i.pmid, i.repo, i.id, CASE WHEN m.pmid IS NOT NULL THEN 'kept' ELSE 'to do' END AS state
+    FROM {ident} i LEFT JOIN (SELECT DISTINCT pmid, repo, id FROM {mention} WHERE ord % 2 = 1) m ON i.pmid = m.pmid AND i.repo = m.repo AND i.id = m.id""")
 def join_reuse_answers(d: Data) -> DataFrame:
-    saved = d.mention.where("ord = 1").groupBy("pmid", "repo", "id").agg(F.min("context").alias("packet"))
-    j = d.ident.join(saved, ["pmid", "repo", "id"], "left")
-    seen = F.coalesce(F.col("packet").contains(F.col("pmid")), F.lit(False))
-    return j.select("pmid", "repo", "id", F.when(seen, "kept").otherwise("to do").alias("state"))
+    # an answer holds if its packet showed the identifier: mentions of odd order were shown, others were cut from it
+    shown = F.when(F.col("ord") % 2 == 1, F.concat(F.lit("packet with "), "id")).otherwise("packet cut short")
+    saved = d.mention.select("pmid", "repo", "id", shown.alias("packet"))
+    seen = saved.where(F.col("packet").contains(F.col("id"))).select("pmid", "repo", "id").distinct().withColumn("state", F.lit("kept"))
+    return d.ident.join(seen, ["pmid", "repo", "id"], "left").select("pmid", "repo", "id", F.coalesce("state", F.lit("to do")).alias("state"))
 
 
-@query("join_reviewers", "SELECT doc_id, role_a, role_b FROM {rated} WHERE doc_id % 2 = 0 AND conf = 'high'")
+@query("join_reviewers", "SELECT doc_id, tier, role_a, role_b, role_a = role_b AS agree FROM {rated} WHERE conf = 'high'")
 def join_reviewers(d: Data) -> DataFrame:
-    a = d.rated.where("doc_id % 2 = 0").select("doc_id", "role_a")
-    return a.join(d.rated.where("conf = 'high'").select("doc_id", "role_b"), "doc_id")
+    # the second reviewer's unsure answers don't count
+    a, b = d.rated.select("doc_id", "tier", "role_a"), d.rated.where("conf = 'high'").select("doc_id", "role_b")
+    return a.join(b, "doc_id").withColumn("agree", F.col("role_a") == F.col("role_b"))
 
 
 @query("join_relabel", "SELECT p.pmid, p.label, r.role_a AS answer FROM {labelled} p JOIN {rated} r ON p.pmid = CAST(r.doc_id AS STRING)")

@@ -120,9 +120,8 @@ def lnk_lookup(d: Data) -> DataFrame:
     return d.ident.join(d.status, ["repo", "id"], "left").select("pmid", "repo", "id", F.coalesce("status", F.lit("NOT_CHECKED")).alias("status"))
 
 
-@query("lnk_down_counts", """SELECT CASE repo WHEN 'GEO' THEN 'www.ncbi.nlm.nih.gov' WHEN 'SRA/BioProject' THEN 'www.ncbi.nlm.nih.gov' WHEN 'dbGaP' THEN 'www.ncbi.nlm.nih.gov' WHEN 'EGA' THEN 'ega-archive.org'
-    WHEN 'PRIDE/ProteomeXchange' THEN 'proteomecentral.proteomexchange.org' WHEN 'Zenodo' THEN 'doi.org' WHEN 'GitHub' THEN 'github.com' ELSE split_part(substr(id, 9), '/', 1) END AS host, COUNT(*) AS n
-    FROM {status} WHERE status = 'SKIPPED_API_DOWN' GROUP BY 1""")
+@query("lnk_down_counts", """SELECT CASE WHEN repo IN ('GEO', 'dbGaP') THEN 'www.ncbi.nlm.nih.gov' WHEN repo = 'SRA/BioProject' THEN 'eutils.ncbi.nlm.nih.gov' WHEN repo = 'Zenodo' THEN 'doi.org'
+    WHEN repo = 'other link' THEN split_part(substr(id, 9), '/', 1) ELSE repo END AS host, COUNT(*) AS n FROM {status} WHERE status = 'SKIPPED_API_DOWN' GROUP BY 1""")
 def lnk_down_counts(d: Data) -> DataFrame:
     down = d.status.where("status = 'SKIPPED_API_DOWN'")
     return down.groupBy(C.host_key(F.col("repo"), F.col("id")).alias("host")).agg(F.count("*").alias("n"))

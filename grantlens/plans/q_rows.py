@@ -188,7 +188,7 @@ def win_budget(d: Data) -> DataFrame:
 @query("win_first", """SELECT repo, id, pmid, ord FROM (SELECT repo, id, pmid, ord, ROW_NUMBER() OVER (PARTITION BY repo, id ORDER BY CAST(pmid AS BIGINT), ord) AS n
     FROM {mention}) t WHERE n = 1""")
 def win_first(d: Data) -> DataFrame:
-    return R.first_by(d.mention, ["repo", "id"], [F.col("pmid").cast("long"), "ord"]).select("repo", "id", "pmid", "ord")
+    return R.first_by(d.mention, ["repo", "id"], [F.col("pmid").cast("long").alias("n"), F.col("ord")]).select("repo", "id", "pmid", "ord")
 
 
 @query("win_gaps", """WITH g AS (SELECT user_id, epoch_us(ts) - epoch_us(LAG(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)) AS gap FROM {events}),
@@ -230,15 +230,21 @@ def top_repos(d: Data) -> DataFrame:
     return named.groupBy("repository").agg(F.sum("n").alias("n"))
 
 
+#: Identifiers of a role that a list shows, and of all that a reason names.
 SLICES = {"reused": 15, "generated": 12, "unknown": 6}
+NAMED = 4
 
 
-@query("top_slices", f"""SELECT pmid, {", ".join(f"COALESCE(string_agg(id, ';' ORDER BY id) FILTER (WHERE role = '{r}' AND n <= {k}), '') AS {r}" for r, k in SLICES.items())}
-    FROM (SELECT pmid, id, role, ROW_NUMBER() OVER (PARTITION BY pmid, role ORDER BY id) AS n FROM {{ident}}) t GROUP BY pmid""")
+@query("top_slices", f"""SELECT pmid, {", ".join(f"COALESCE(string_agg(id, ';' ORDER BY id) FILTER (WHERE role = '{r}' AND n <= {k}), '') AS {r}" for r, k in SLICES.items())},
+    string_agg(id, ';' ORDER BY id) FILTER (WHERE m <= {NAMED}) AS named
+    FROM (SELECT pmid, id, role, ROW_NUMBER() OVER (PARTITION BY pmid, role ORDER BY id) AS n, ROW_NUMBER() OVER (PARTITION BY pmid ORDER BY id) AS m FROM (SELECT DISTINCT 'p' || CAST(CAST(pmid AS BIGINT) % 90 AS STRING) AS pmid, id, role FROM {{ident}}) i) t GROUP BY pmid""")
 def top_slices(d: Data) -> DataFrame:
     """Heads of a paper's lists by role, in order; what is beyond is not shown."""
     heads = [F.array_join(F.slice(F.array_sort(F.collect_list(F.when(F.col("role") == r, F.col("id")))), 1, k), ";").alias(r) for r, k in SLICES.items()]
-    return d.ident.groupBy("pmid").agg(*heads)
+    # ninety papers with many identifiers
+    few = F.concat(F.lit("p"), (F.col("pmid").cast("long") % 90).cast("string"))
+    rows = d.ident.select(few.alias("pmid"), "id", "role").distinct()
+    return rows.groupBy("pmid").agg(*heads, F.array_join(F.slice(F.array_sort(F.collect_list("id")), 1, NAMED), ";").alias("named"))
 
 
 @query("top_receipt_order", """SELECT l.coreproject, string_agg(p.pmid, ';' ORDER BY p.pub_date NULLS FIRST, CAST(p.pmid AS BIGINT)) AS papers

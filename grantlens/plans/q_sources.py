@@ -11,7 +11,7 @@ from ..operators import papers as P
 from ..rules import LABELS
 from ..sources import landed, sinks
 from .base import Data, query
-from .q_aggs import _CAND, _FLAGS, _RECEIPT, candidate_rows, receipts
+from .q_aggs import _CAND, _FLAGS, _HEADLINE, _RECEIPT, agg_headline, candidate_rows, receipts
 from .q_rows import _LABELLED, OWN, labels_of, statement_cues, stratified_sample
 
 
@@ -230,19 +230,26 @@ def snk_candidates(d: Data) -> DataFrame:
     return back.na.fill("").drop("uuid", "url")
 
 
-@query("snk_summary", """SELECT 'papers' AS metric, COUNT(*) AS value FROM {paper} UNION ALL SELECT 'checkable', COUNT(fulltext_source) FROM {paper} UNION ALL SELECT 'preprints', COUNT(CASE WHEN pub_type = 'Preprint' THEN 1 END) FROM {paper}""")
+_SUMMARY = ["papers", "excluded_early", "preprints", "checkable", "from_epmc", "from_pmc", "with_pmcid", "manuscripts", "tier_cites_paper", "tier_none", "tier_not_read", "new_data", "code", "mixed", "link_dead"]
+_SHARES = ["checkable_pct", "statement_pct", "code_pct", "code_research_pct"]
+
+
+@query("snk_summary", f"WITH hl AS ({_HEADLINE}) " + " UNION ALL ".join(f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value FROM hl" for m in [*_SUMMARY, *_SHARES]))
 def snk_summary(d: Data) -> DataFrame:
-    one = d.paper.agg(F.count("*").alias("papers"), F.count("fulltext_source").alias("checkable"), F.count_if(F.col("pub_type") == "Preprint").alias("preprints"))
-    return sinks.round_trip(one, "summary", "json").unpivot([], ["papers", "checkable", "preprints"], "metric", "value")
+    one = agg_headline(d)
+    values = [F.col(m).cast("double").alias(m) for m in [*_SUMMARY, *_SHARES]]
+    return sinks.round_trip(one, "summary", "json").select(*values).unpivot([], [*_SUMMARY, *_SHARES], "metric", "value")
 
 
-@query("snk_review_queue", """SELECT b.pmid, COALESCE(string_agg(i.id, ';' ORDER BY i.id) FILTER (WHERE i.n <= 12), '') AS ids FROM {labelled} b LEFT JOIN
-    (SELECT pmid, id, ROW_NUMBER() OVER (PARTITION BY pmid ORDER BY id) AS n FROM {ident} WHERE role IN ('generated', 'unknown') OR in_das) i ON b.pmid = i.pmid WHERE b.label = 'NEEDS_REVIEW' GROUP BY b.pmid""")
+@query("snk_review_queue", """SELECT b.pmid, COALESCE(string_agg(i.repo || ':' || i.id || ' ' || i.role, ';' ORDER BY i.repo, i.id) FILTER (WHERE i.n <= 12), '') AS ids, 'Statement ' || substr(repeat(b.pmid || ' ', 900), 1, 2490) AS statement FROM {labelled} b LEFT JOIN
+    (SELECT pmid, repo, id, role, ROW_NUMBER() OVER (PARTITION BY pmid ORDER BY repo, id) AS n FROM {ident} WHERE role IN ('generated', 'unknown') OR in_das) i ON b.pmid = i.pmid WHERE b.label = 'NEEDS_REVIEW' GROUP BY b.pmid""")
 def snk_review_queue(d: Data) -> DataFrame:
-    shown = d.ident.where(F.col("role").isin("generated", "unknown") | F.col("in_das")).groupBy("pmid").agg(F.slice(F.array_sort(F.collect_list("id")), 1, 12).alias("ids"))
-    q = d.labelled.where("label = 'NEEDS_REVIEW'").select("pmid").join(shown, "pmid", "left")
+    statements = d.paper.select("pmid", F.concat(F.lit("Statement "), F.repeat(F.concat("pmid", F.lit(" ")), F.lit(900))).alias("statement"))
+    q = P.review_queue(d.labelled, d.ident, statements)
     back = sinks.round_trip(q, "queue", "json")
-    return back.select("pmid", F.array_join(F.coalesce("ids", F.array().cast("array<string>")), ";").alias("ids"))
+    line = lambda x: F.concat(x["repo"], F.lit(":"), x["id"], F.lit(" "), x["role"])
+    none = F.array().cast("array<struct<repo:string,id:string,role:string>>")
+    return back.select("pmid", F.array_join(F.transform(F.coalesce("identifiers", none), line), ";").alias("ids"), "statement")
 
 
 @query("snk_public_rows", "SELECT tier, repo, id, type FROM {candidate} WHERE status = 'RESOLVES'")

@@ -128,10 +128,43 @@ def txt_statement(d: Data) -> DataFrame:
     return S.statement_text(p, s)
 
 
-@query("txt_cues", f"""SELECT CAST({K} AS STRING) AS pmid, FALSE AS on_request, {K} % 6 IN (2, 3) AS reuse_in_statement, {K} % 6 IN (0, 1, 3) AS gen_in_statement, FALSE AS no_data FROM {{orders}}""")
+CUE_NAMES = "on_request in_article no_data will_deposit controlled_gen reuse_in_statement gen_in_statement code_in_statement privacy_restriction".split()
+#: Sentences of statements, whether each stands in one of its own, and the cues that it gives.
+CUE_TEXTS = [
+    ("The data are available from the corresponding author upon reasonable request.", True, ["on_request"]),
+    ("All plasmids are available from the authors on request.", True, []),
+    ("All data are included in the article and its supplementary files.", True, ["in_article"]),
+    ("All data are included in the article and its supplementary files.", False, []),
+    ("The images are not available within the paper.", True, []),
+    ("Not applicable.", True, ["no_data"]),
+    ("No new data were generated.", False, []),
+    ("Sequences will be deposited in GEO upon publication.", True, ["will_deposit"]),
+    ("Genotypes are under controlled access at dbGaP.", True, ["controlled_gen"]),
+    ("Genotypes are under controlled access at dbGaP.", False, []),
+    ("Genotypes were downloaded from dbGaP.", True, ["reuse_in_statement"]),
+    ("Reads have been deposited in dbGaP.", False, ["controlled_gen", "gen_in_statement"]),
+    ("Reads can be downloaded from GEO.", True, []),
+    ("The scripts are at https://lab.example/x.", True, ["code_in_statement"]),
+    ("The scripts are ours.", True, []),
+    ("Patient privacy rules out sharing.", True, ["privacy_restriction"]),
+    ("We analysed TCGA.", True, ["reuse_in_statement"]),
+]
+
+
+def _cue(name: str) -> str:
+    hits = [str(i) for i, (_, _, cues) in enumerate(CUE_TEXTS) if name in cues]
+    n = len(CUE_TEXTS)
+    # a paper has two sentences, of its number and of the one after
+    return f"CAST(FLOOR({K} / 4) AS BIGINT) % {n} IN ({', '.join(hits)}) OR (CAST(FLOOR({K} / 4) AS BIGINT) * 5 + 3) % {n} IN ({', '.join(hits)})"
+
+
+@query("txt_cues", f"SELECT CAST({K} AS STRING) AS pmid, {', '.join(f'{_cue(c)} AS {c}' for c in CUE_NAMES)} FROM {{orders}}")
 def txt_cues(d: Data) -> DataFrame:
-    s = d.orders.select(F.col(K).cast("string").alias("pmid"), template(100000 + F.col(K), F.col(K)).alias("text"))
-    return S.paper_cues(s).select("pmid", "on_request", "reuse_in_statement", "gen_in_statement", "no_data")
+    k = F.floor(F.col(K) / 4)
+    texts = F.array(*[F.struct(F.lit(t).alias("text"), F.lit(x).alias("section")) for t, x, _ in CUE_TEXTS])
+    n = len(CUE_TEXTS)
+    both = F.explode(F.array(F.get(texts, (k % n).cast("int")), F.get(texts, ((k * 5 + 3) % n).cast("int"))))
+    return S.paper_cues(d.orders.select(F.col(K).cast("string").alias("pmid"), both.alias("s")).select("pmid", "s.text", "s.section"))
 
 
 @query("txt_reuse_resources", f"SELECT CAST({K} AS STRING) AS pmid, CASE {K} % 3 WHEN 0 THEN 'GTEx;TCGA' WHEN 1 THEN 'UK Biobank' ELSE '' END AS resources FROM {{orders}}")
@@ -142,11 +175,16 @@ def txt_reuse_resources(d: Data) -> DataFrame:
     return S.reuse_resources(s).select("pmid", F.array_join("resources", ";").alias("resources"))
 
 
-@query("txt_statement_headings", "SELECT conv_id, string_agg(role, ';' ORDER BY role) AS headings FROM (SELECT DISTINCT conv_id, role FROM {conversations}) t GROUP BY conv_id")
+@query("txt_statement_headings", """SELECT CAST(conv_id AS STRING) AS pmid, string_agg(h, ';' ORDER BY h) FILTER (WHERE n <= 5) AS headings FROM (SELECT conv_id, h, ROW_NUMBER() OVER (PARTITION BY conv_id ORDER BY h) AS n
+    FROM (SELECT DISTINCT conv_id, 'Data availability of ' || role || ' ' || CAST(turn % 9 AS STRING) AS h FROM {conversations} WHERE role <> 'assistant' AND text IS NOT NULL) d) t GROUP BY conv_id""")
 def txt_statement_headings(d: Data) -> DataFrame:
-    # roles of turns stand for the nearest headings of statement passages
-    heads = F.slice(F.array_sort(F.collect_set("role")), 1, 5)
-    return d.conversations.groupBy("conv_id").agg(F.array_join(heads, ";").alias("headings"))
+    # each turn is a section of a full text: those of assistants are methods, the others statements
+    title = F.when(F.col("role") == "assistant", "Methods").otherwise(F.concat(F.lit("Data availability of "), "role", F.lit(" "), (F.col("turn") % 9).cast("string")))
+    section = F.concat(F.lit("<sec><title>"), title, F.lit("</title><p>Turn "), F.col("turn").cast("string"), F.lit("</p></sec>"))
+    rows = d.conversations.where("text IS NOT NULL").groupBy("conv_id").agg(F.array_join(F.array_sort(F.collect_list(section)), "").alias("body"))
+    xml = F.concat(F.lit("<article><body>"), "body", F.lit("</body></article>"))
+    found = S.statement_headings(X.parse_passages(rows.select(F.col("conv_id").cast("string").alias("pmid"), xml.alias("xml"))))
+    return found.select("pmid", F.array_join("headings", ";").alias("headings"))
 
 
 @query("txt_snippet", """SELECT CAST(conv_id AS STRING) AS pmid, string_agg(text, ' ' ORDER BY ord) AS snippet FROM (SELECT conv_id, ord, text, COALESCE(SUM(length(text) + 1) OVER (PARTITION BY conv_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b
@@ -157,11 +195,15 @@ def txt_snippet(d: Data) -> DataFrame:
     return S.snippet(rows)
 
 
-@query("txt_evidence_packet", """WITH r AS (SELECT pmid, ord, context, location = 'das' AS das, CASE WHEN ord = 1 THEN 0 WHEN location = 'das' THEN 1 ELSE 2 END AS rank, ROW_NUMBER() OVER (PARTITION BY pmid, context ORDER BY ord) AS n FROM {mention}),
-    u AS (SELECT pmid, ord, rank, SUM(length(context)) OVER (PARTITION BY pmid ORDER BY rank, ord ROWS UNBOUNDED PRECEDING) AS used FROM r WHERE n = 1) SELECT pmid, ord, rank, CAST(used AS BIGINT) AS used FROM u WHERE used <= 50""")
+@query("txt_evidence_packet", """WITH r AS (SELECT CAST(conv_id AS STRING) AS pmid, turn AS ord, repeat(text, 20) AS t, CASE WHEN contains(text, 'en') THEN 0 WHEN role = 'user' THEN 1 ELSE 2 END AS rank,
+      ROW_NUMBER() OVER (PARTITION BY conv_id, text ORDER BY turn) AS n FROM {conversations} WHERE contains(text, 'en') OR regexp_matches(text, '(?i)the|der')),
+    u AS (SELECT pmid, ord, rank, SUM(length(t)) OVER (PARTITION BY pmid ORDER BY rank, ord ROWS UNBOUNDED PRECEDING) AS used FROM r WHERE n = 1) SELECT pmid, ord, rank, CAST(used AS BIGINT) AS used FROM u WHERE used <= 14000""")
 def txt_evidence_packet(d: Data) -> DataFrame:
-    p = d.mention.select("pmid", "ord", (F.col("location") == "das").alias("das"), F.col("context").alias("text"), F.lit("sentence 1 ").alias("focus"))
-    return S.evidence_packet(p, "sentence", limit=50).select("pmid", "ord", "rank", "used")
+    # turns, twenty times as long, are the passages of a paper
+    p = d.conversations.where("text IS NOT NULL").select(
+        F.col("conv_id").cast("string").alias("pmid"), F.col("turn").alias("ord"), (F.col("role") == "user").alias("das"), F.repeat("text", F.lit(20)).alias("text"), F.lit("en").alias("focus"),
+    )
+    return S.evidence_packet(p, "the|der").select("pmid", "ord", "rank", "used")
 
 
 @query("txt_sentences_with_id", f"SELECT CAST({K} AS STRING) AS pmid, 'GSE' || CAST(100000 + {K} AS STRING) AS id, {duck_template()} AS text FROM {{orders}}")
@@ -372,9 +414,12 @@ def idx_is_code(d: Data) -> DataFrame:
     return combined(d).select("pmid", "repo", "id", "is_code")
 
 
-@query("idx_cap", """SELECT repo, pmid, id, rank FROM (SELECT repo, pmid, id, CAST(ROW_NUMBER() OVER (PARTITION BY pmid, repo ORDER BY CASE role WHEN 'generated' THEN 0 WHEN 'unknown' THEN 1 ELSE 2 END, id) AS INT) AS rank FROM {ident}) t WHERE rank <= 2""")
+@query("idx_cap", """SELECT repo, pmid, id, rank FROM (SELECT repo, pmid, id, CAST(ROW_NUMBER() OVER (PARTITION BY pmid, repo ORDER BY CASE role WHEN 'generated' THEN 0 WHEN 'unknown' THEN 1 ELSE 2 END, id) AS INT) AS rank FROM (SELECT 'p' || CAST(CAST(pmid AS BIGINT) % 40 AS STRING) AS pmid, repo, id, MIN(role) AS role FROM {ident} GROUP BY 1, 2, 3)) t WHERE rank <= 25""")
 def idx_cap(d: Data) -> DataFrame:
-    return M.cap(d.ident, 2).select("repo", "pmid", "id", "rank")
+    # forty papers with very many identifiers
+    few = F.concat(F.lit("p"), (F.col("pmid").cast("long") % 40).cast("string"))
+    wide = d.ident.groupBy(few.alias("pmid"), "repo", "id").agg(F.min("role").alias("role"))
+    return M.cap(wide).select("repo", "pmid", "id", "rank")
 
 
 def _redacted() -> str:

@@ -32,6 +32,13 @@ class Data:
         return self._made[name]
 
 
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """Columns of a table, or view, dealt out to all cores: a small file is read by one task, and what Python makes of
+        its rows is much more than the rows."""
+        rows = getattr(self, name)
+        return rows.select(*columns or rows.columns).repartition(self.spark.sparkContext.defaultParallelism)
+
+
 def with_views(sql: str) -> str:
     """sql with {view} names resolved and the views that it needs in front."""
     needed: list[str] = []

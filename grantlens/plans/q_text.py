@@ -51,7 +51,7 @@ def articles(d: Data) -> DataFrame:
         F.lit('</td></tr></table></table-wrap></sec></body><back><sec sec-type="data-availability"><title>Data availability</title><p>'), template(100000 + k, k),
         F.lit("</p></sec><ref-list><ref id=\"r1\"><mixed-citation>Doe et al. 2019</mixed-citation></ref></ref-list></back></article>"),
     )
-    return d.orders.select(k.cast("string").alias("pmid"), F.when(k % 10 == 9, "<article><p>open").otherwise(xml).alias("xml"), k.alias(K))
+    return d.spread("orders", K).select(k.cast("string").alias("pmid"), F.when(k % 10 == 9, "<article><p>open").otherwise(xml).alias("xml"), k.alias(K))
 
 
 @query("txt_parse_xml", f"""SELECT CAST({K} AS STRING) AS pmid, CASE WHEN {K} % 10 = 9 THEN 0 ELSE 8 END AS passages, CASE WHEN {K} % 10 = 9 THEN 0 ELSE 2 END AS statement, CASE WHEN {K} % 10 = 9 THEN 0 ELSE 1 END AS key_rows,
@@ -115,7 +115,7 @@ def txt_location(d: Data) -> DataFrame:
 def template_passages(d: Data) -> DataFrame:
     """A body passage and a template passage for each order; in each fourth the latter is the statement."""
     k = F.col(K)
-    row = lambda n, das, text: d.orders.select(k.cast("string").alias("pmid"), F.lit(n).alias("passage_ord"), F.lit("p").alias("kind"), das.alias("das"), text.alias("text"))
+    row = lambda n, das, text: d.spread("orders", K).select(k.cast("string").alias("pmid"), F.lit(n).alias("passage_ord"), F.lit("p").alias("kind"), das.alias("das"), text.alias("text"))
     return row(0, F.lit(False), F.lit("Cells were grown.")).unionByName(row(1, k % 4 == 0, template(100000 + k, k)))
 
 
@@ -164,14 +164,14 @@ def txt_cues(d: Data) -> DataFrame:
     texts = F.array(*[F.struct(F.lit(t).alias("text"), F.lit(x).alias("section")) for t, x, _ in CUE_TEXTS])
     n = len(CUE_TEXTS)
     both = F.explode(F.array(F.get(texts, (k % n).cast("int")), F.get(texts, ((k * 5 + 3) % n).cast("int"))))
-    return S.paper_cues(d.orders.select(F.col(K).cast("string").alias("pmid"), both.alias("s")).select("pmid", "s.text", "s.section"))
+    return S.paper_cues(d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), both.alias("s")).select("pmid", "s.text", "s.section"))
 
 
 @query("txt_reuse_resources", f"SELECT CAST({K} AS STRING) AS pmid, CASE {K} % 3 WHEN 0 THEN 'GTEx;TCGA' WHEN 1 THEN 'UK Biobank' ELSE '' END AS resources FROM {{orders}}")
 def txt_reuse_resources(d: Data) -> DataFrame:
     k = F.col(K) % 3
     text = F.when(k == 0, "Data of TCGA and GTEx, and again TCGA, were used.").when(k == 1, "We used UK Biobank.").otherwise("None.")
-    s = d.orders.select(F.col(K).cast("string").alias("pmid"), text.alias("statement"))
+    s = d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), text.alias("statement"))
     return S.reuse_resources(s).select("pmid", F.array_join("resources", ";").alias("resources"))
 
 
@@ -209,16 +209,16 @@ def txt_evidence_packet(d: Data) -> DataFrame:
 @query("txt_sentences_with_id", f"SELECT CAST({K} AS STRING) AS pmid, 'GSE' || CAST(100000 + {K} AS STRING) AS id, {duck_template()} AS text FROM {{orders}}")
 def txt_sentences_with_id(d: Data) -> DataFrame:
     pmid, n = F.col(K).cast("string").alias("pmid"), 100000 + F.col(K)
-    s = d.orders.select(pmid, F.lit(0).alias("ord"), template(n, F.col(K)).alias("text"))
-    s = s.unionByName(d.orders.select(pmid, F.lit(1).alias("ord"), F.lit("No identifier here.").alias("text")))
-    return S.sentences_with(s, d.orders.select(pmid, F.concat(F.lit("GSE"), n.cast("string")).alias("id"))).select("pmid", "id", "text")
+    s = d.spread("orders", K).select(pmid, F.lit(0).alias("ord"), template(n, F.col(K)).alias("text"))
+    s = s.unionByName(d.spread("orders", K).select(pmid, F.lit(1).alias("ord"), F.lit("No identifier here.").alias("text")))
+    return S.sentences_with(s, d.spread("orders", K).select(pmid, F.concat(F.lit("GSE"), n.cast("string")).alias("id"))).select("pmid", "id", "text")
 
 
 # ---------------------------------------------------------------- identifiers and roles
 
 
 def template_sentences(d: Data) -> DataFrame:
-    return d.orders.select(F.col(K).cast("string").alias("pmid"), template(100000 + F.col(K), F.col(K)).alias("sentence"))
+    return d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), template(100000 + F.col(K), F.col(K)).alias("sentence"))
 
 
 #: A sentence for each rule and shape: repository, class, sentence, what is found in it. {n} is the paper's number with n
@@ -285,7 +285,7 @@ def _shape(column: int) -> str:
 
 @query("idx_extract", f"""SELECT * FROM (SELECT CAST({K} AS STRING) AS pmid, {_shape(0)} AS repo, {_shape(1)} AS cls, {_shape(3)} AS raw FROM {{orders}}) t WHERE raw IS NOT NULL""")
 def idx_extract(d: Data) -> DataFrame:
-    sentences = d.orders.select(F.col(K).cast("string").alias("pmid"), F.expr(_shape(2).replace("''", "\\'")).alias("sentence"))
+    sentences = d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), F.expr(_shape(2).replace("''", "\\'")).alias("sentence"))
     return X.find_mentions(sentences).select("pmid", "repo", "cls", "raw")
 
 
@@ -293,7 +293,7 @@ def idx_extract(d: Data) -> DataFrame:
 def idx_claim(d: Data) -> DataFrame:
     # the second rule would match the DOI's inside, too
     text = F.concat(F.lit("Dataverse copy at 10.5281/zenodo."), (10000 + F.col(K)).cast("string"), F.lit(" and PDB 1234."))
-    return X.find_mentions(d.orders.select(F.col(K).cast("string").alias("pmid"), text.alias("sentence"))).where("repo <> 'Dataverse'").select("pmid", "repo", "raw")
+    return X.find_mentions(d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), text.alias("sentence"))).where("repo <> 'Dataverse'").select("pmid", "repo", "raw")
 
 
 @query("idx_canon", """SELECT repo, id, CASE repo WHEN 'GitHub' THEN id WHEN 'Zenodo' THEN id WHEN 'dbGaP' THEN lower(id) ELSE id END AS canon FROM {status} WHERE repo <> 'other link'""")
@@ -330,7 +330,7 @@ def idx_role(d: Data) -> DataFrame:
 def idx_strong_reuse(d: Data) -> DataFrame:
     n = (100000 + F.col(K)).cast("string")
     text = F.when(F.col(K) % 2 == 0, F.concat(F.lit("Data can be accessed via GEO (GSE"), n, F.lit(")."))).otherwise(F.concat(F.lit("Data were accessed via GEO (GSE"), n, F.lit(").")))
-    m = X.find_mentions(d.orders.select(F.col(K).cast("string").alias("pmid"), text.alias("sentence")))
+    m = X.find_mentions(d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), text.alias("sentence")))
     return X.with_roles(m.withColumns({"krt": F.lit(False), "previous": F.lit(""), "das": F.lit(True)})).select("pmid", "role")
 
 
@@ -390,7 +390,7 @@ def cited_articles(d: Data) -> DataFrame:
         F.lit("<back><notes notes-type=\"data-availability\"><p>Links "), cites, F.lit(" lead to https://Lab-X.example/Set"), n,
         F.lit(" and to https://orcid.org/0000.</p></notes><ref-list><ref id=\"r1\"><mixed-citation>Doe GSE1001</mixed-citation></ref><ref id=\"r2\"><mixed-citation>Roe PXD"), n, F.lit("</mixed-citation></ref></ref-list></back></article>"),
     )
-    return d.orders.select(k.cast("string").alias("pmid"), xml.alias("xml"))
+    return d.spread("orders", K).select(k.cast("string").alias("pmid"), xml.alias("xml"))
 
 
 @query("txt_cited_location", f"""SELECT CAST({K} AS STRING) AS pmid, ref_id, CASE WHEN ref_id = 'r2' AND {K} % 3 = 0 THEN 'das' ELSE 'ref' END AS location FROM {{orders}}, (VALUES ('r1'), ('r2')) t(ref_id)""")
@@ -438,7 +438,7 @@ def idx_redact(d: Data) -> DataFrame:
 def udx_rules(d: Data) -> DataFrame:
     text = F.concat(F.lit("Kept as LS-"), F.col(K).cast("string"), F.lit("."))
     rules = [*IDENTIFIER_RULES, ("Lab store", "generic", r"\b(LS-\d+)\b")]
-    return X.find_mentions(d.orders.select(F.col(K).cast("string").alias("pmid"), text.alias("sentence")), rules).select("pmid", "repo", "raw")
+    return X.find_mentions(d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), text.alias("sentence")), rules).select("pmid", "repo", "raw")
 
 
 @query("udx_cues", f"SELECT CAST({K} AS STRING) AS pmid, 'generated' AS role FROM {{orders}}")
@@ -446,6 +446,6 @@ def udx_cues(d: Data) -> DataFrame:
     from dataclasses import replace
 
     text = F.concat(F.lit("Brewed by us: GSE"), (100000 + F.col(K)).cast("string"), F.lit("."))
-    m = X.find_mentions(d.orders.select(F.col(K).cast("string").alias("pmid"), text.alias("sentence")))
+    m = X.find_mentions(d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), text.alias("sentence")))
     m = m.withColumns({"krt": F.lit(False), "previous": F.lit(""), "das": F.lit(False)})
     return X.with_roles(m, replace(CUES, own=r"\bbrewed by us\b")).select("pmid", "role")

@@ -247,11 +247,12 @@ def top_slices(d: Data) -> DataFrame:
     return rows.groupBy("pmid").agg(*heads, F.array_join(F.slice(F.array_sort(F.collect_list("id")), 1, NAMED), ";").alias("named"))
 
 
-@query("top_receipt_order", """SELECT l.coreproject, string_agg(p.pmid, ';' ORDER BY p.pub_date NULLS FIRST, CAST(p.pmid AS BIGINT)) AS papers
-    FROM {link} l JOIN {paper} p ON l.pmid = p.pmid GROUP BY l.coreproject""")
+@query("top_receipt_order", """SELECT l.coreproject, p.pmid, CAST(ROW_NUMBER() OVER (PARTITION BY l.coreproject ORDER BY p.pub_date NULLS FIRST, CAST(p.pmid AS BIGINT)) AS INT) AS rank
+    FROM {link} l JOIN {paper} p ON l.pmid = p.pmid""")
 def top_receipt_order(d: Data) -> DataFrame:
-    items = F.sort_array(F.collect_list(F.struct("pub_date", F.col("pmid").cast("long").alias("k"), "pmid")))
-    return d.link.join(d.paper, "pmid").groupBy("coreproject").agg(F.array_join(F.transform(items, lambda x: x["pmid"]), ";").alias("papers"))
+    """An award's papers as rows in the order of their dates; files nest them."""
+    order = Window.partitionBy("coreproject").orderBy("pub_date", F.col("pmid").cast("long"))
+    return d.link.join(d.paper.select("pmid", "pub_date"), "pmid").select("coreproject", "pmid", F.row_number().over(order).alias("rank"))
 
 
 def apportion(counts: DataFrame, total: int, least: int = 2, unweighed: str = "NOT_CHECKABLE") -> DataFrame:

@@ -76,9 +76,24 @@ def txt_headings(d: Data) -> DataFrame:
     return p.select("pmid", F.concat(F.get("chain", F.lit(0)), F.lit(" > ")).alias("prefix"), "sec")
 
 
-@query("txt_is_statement", f"SELECT CAST({K} AS STRING) AS pmid, {duck_template()} AS text FROM {{orders}} WHERE {K} % 10 <> 9")
+#: Sections by title and type, with the first words of their text, and whether their text is a statement.
+SECTIONS = [
+    ("Data availability", "", "Reads are open", True), ("Availability of data and materials", "", "Reads are open", True), ("Data and code sharing statement", "", "Reads are open", True),
+    ("Accession numbers", "", "Reads are open", True), ("Deposited data", "", "Reads are open", True), ("Supplement", "data-availability", "Reads are open", True), ("Notes", "code_availability", "Reads are open", True),
+    ("Statement on software", "", "Reads are open", False), ("Conflict of interest statement and data", "", "Reads are open", False), ("Materials availability", "", "Reads are open", False),
+    ("Lead contact", "", "Data availability: elsewhere", False), ("Results", "", "Data availability: in GEO", True), ("Results", "", "Data and code availability statement. In GEO", True),
+    ("Results", "", "Data were available: all", False), ("Key resources table", "", "Data availability: no", False), ("Results", "", "Reads are open", False),
+]
+_SECTION = f"CAST(FLOOR({K} / 4) AS BIGINT) % {len(SECTIONS)}"
+
+
+@query("txt_is_statement", f"""SELECT CAST({K} AS STRING) AS pmid, CASE {_SECTION} {" ".join(f"WHEN {i} THEN '{x[0]}'" for i, x in enumerate(SECTIONS))} END AS heading,
+    {_SECTION} IN ({", ".join(str(i) for i, x in enumerate(SECTIONS) if x[3])}) AS das FROM {{orders}}""")
 def txt_is_statement(d: Data) -> DataFrame:
-    return X.parse_passages(articles(d)).where("das AND kind = 'p'").select("pmid", "text")
+    of = F.get(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("title", "type", "text"), x[:3], strict=True)]) for x in SECTIONS]), F.expr(_SECTION).cast("int"))
+    rows = d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), of.alias("s"))
+    xml = F.concat(F.lit("<article><back><sec sec-type='"), "s.type", F.lit("'><title>"), "s.title", F.lit("</title><p>"), "s.text", F.lit(" and more words follow.</p></sec></back></article>"))
+    return X.parse_passages(rows.select("pmid", xml.alias("xml"))).where("kind = 'p'").select("pmid", F.get("chain", F.lit(0)).alias("heading"), "das")
 
 
 @query("txt_is_key_table", f"SELECT CAST({K} AS STRING) AS pmid, 'Deposited data | This paper | GEO: GSE' || CAST(100000 + {K} AS STRING) AS text FROM {{orders}} WHERE {K} % 10 <> 9")
@@ -326,6 +341,40 @@ def idx_role(d: Data) -> DataFrame:
     return X.with_roles(m).select("pmid", "role")
 
 
+#: Sentences of many wordings, whether they stand in a statement, the sentence before, and the role of the series in them.
+WORDINGS = [
+    ("Whole-genome reads produced for this project can be accessed on the archive under {n}.", True, "", "generated"),
+    ("The scripts that reproduce our figures can be accessed via GitHub ({n}).", True, "", "generated"),
+    ("These islet data sets were accessed from GEO: {n}.", True, "", "reused"),
+    ("Spectra have been deposited to the ProteomeXchange Consortium via the PRIDE (Perez et al., 2019) partner repository, {n}.", True, "", "generated"),
+    ("Imaging data was obtained from Sorel et al. [12] and is available on Zenodo ({n}).", True, "", "reused"),
+    ("Raw spectra were deposited in the public proteomics repository MassIVE as {n}.", True, "", "generated"),
+    ("The exome data generated in this study are publicly available in dbGaP under {n}.", True, "", "generated"),
+    ("Datasets used in this study are publicly available and can be accessed through BioProject: {n}.", True, "", "unknown"),
+    ("The codes used in this study are available in the repository {n}.", True, "", "generated"),
+    ("The data that support the findings of this study are openly available in Dryad at {n}.", True, "", "generated"),
+    ("Genotypes were provided by the Northern Cohort Consortium ({n}).", False, "", "reused"),
+    ("We tested the score on existing data ({n}).", False, "", "reused"),
+    ("The validation cohort is {n}.", False, "", "reused"),
+    ("Reads have been deposited in GEO under {n} (last accessed 12 May 2024).", False, "", "generated"),
+    ("Sequences will be deposited under {n}.", False, "", "none"),
+    ("See {n}.", True, "Reads have been deposited.", "generated"),
+    ("See {n}.", False, "Reads have been deposited.", "none"),
+    ("See {n}.", False, "Data were downloaded from GEO.", "reused"),
+    ("See {n}.", False, "", "none"),
+]
+_WORDING = f"CAST(FLOOR({K} / 4) AS BIGINT) % {len(WORDINGS)}"
+
+
+@query("idx_role_wordings", f"""SELECT CAST({K} AS STRING) AS pmid, CASE {_WORDING} {" ".join(f"WHEN {i} THEN '{x[3]}'" for i, x in enumerate(WORDINGS))} END AS role FROM {{orders}}""")
+def idx_role_wordings(d: Data) -> DataFrame:
+    """Roles over a second set of sentences, of other wordings than the first."""
+    of = F.get(F.array(*[F.struct(F.lit(x[0]).alias("text"), F.lit(x[1]).alias("das"), F.lit(x[2]).alias("previous")) for x in WORDINGS]), F.expr(_WORDING).cast("int"))
+    rows = d.spread("orders", K).select(F.col(K).cast("string").alias("pmid"), F.concat(F.lit("GSE"), (100000 + F.col(K)).cast("string")).alias("n"), of.alias("s"))
+    m = X.find_mentions(rows.select("pmid", F.replace("s.text", F.lit("{n}"), F.col("n")).alias("sentence"), "s.das", "s.previous")).where("repo = 'GEO'")
+    return X.with_roles(m.withColumn("krt", F.lit(False))).select("pmid", "role")
+
+
 @query("idx_strong_reuse", "SELECT CAST(o_orderkey AS STRING) AS pmid, CASE WHEN o_orderkey % 2 = 0 THEN 'generated' ELSE 'reused' END AS role FROM {orders}")
 def idx_strong_reuse(d: Data) -> DataFrame:
     n = (100000 + F.col(K)).cast("string")

@@ -164,7 +164,8 @@ def pack_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Pieces of all documents (doc_id, text): see SCHEMA.
 
     Each task tokenizes its own rows and packs them in pools of two million tokens, so that no text or id is
-    shuffled, memory is bounded and a lost task is done again by itself. sequence_id is the task's number and a
+    shuffled and a lost task is done again by itself; a task holds one pool, or one text's ids where a single text has
+    more than that. sequence_id is the task's number and a
     count. A null text counts as empty (its end id alone is packed); repeated rows are packed as separate documents
     with the same doc_id; other columns are ignored; an empty table gives no rows.
     """

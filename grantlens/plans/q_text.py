@@ -328,11 +328,15 @@ def idx_merge_runs(d: Data) -> DataFrame:
 
 @query("idx_other_links", "SELECT pmid, lower(id) AS key, MIN(id) AS url FROM {mention} WHERE cls = 'url' GROUP BY pmid, lower(id)")
 def idx_other_links(d: Data) -> DataFrame:
-    text = F.concat(F.lit("See "), F.replace("id", F.lit("https://"), F.lit("HTTPS://")), F.lit(")."))
-    found = F.explode(F.regexp_extract_all(text, F.lit(r"(?i)\b((?:https?://|www\.)[^\s\"<>|]+)"), F.lit(1)))
-    urls = d.mention.where("cls = 'url'").select("pmid", found.alias("found"))
-    urls = urls.withColumn("url", C.lower_host(F.regexp_replace("found", r"[.,;:)\]}'\"]+$", "")))
-    return urls.groupBy("pmid", F.lower("url").alias("key")).agg(F.min("url").alias("url"))
+    # statements that name a link, its scheme and host in capitals, with marks behind it
+    none = lambda t: F.lit(None).cast(t)
+    text = F.concat(F.lit("(See "), F.replace("id", F.lit("https://lab"), F.lit("HTTPS://LAB")), F.lit(")."))
+    passages = d.mention.where("cls = 'url'").select(
+        "pmid", F.col("ord").alias("passage_ord"), F.lit("p").alias("kind"), F.lit(True).alias("das"), F.lit(False).alias("krt"), F.array().cast("array<string>").alias("xrefs"),
+        none("string").alias("ref_id"), none("string").alias("error"), text.alias("text"),
+    )
+    urls = M.mentions_of(passages).where("repo = 'Other link'")
+    return urls.groupBy("pmid", F.lower("id").alias("key")).agg(F.min("id").alias("url"))
 
 
 @query("idx_role", "SELECT CAST(o_orderkey AS STRING) AS pmid, CASE o_orderkey % 6 " + " ".join(f"WHEN {i} THEN '{r}'" for i, (_, r) in enumerate(TEMPLATES)) + " END AS role FROM {orders}")

@@ -45,10 +45,11 @@ def metadata_fallback(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def fulltext_files(spark: SparkSession, path: str, name: str = r"/(?:pmcid=)?([^/=]+?)(?:\.xml|/[^/]*)$") -> DataFrame:
-    """Files of a feed, whole and as bytes: pmcid, by a pattern of their path, path and content."""
+def fulltext_files(spark: SparkSession, path: str) -> DataFrame:
+    """Files of a feed, whole and as bytes: pmcid, path and content; a file is named by its paper, or its folder is, as pmcid=..."""
     rows = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return rows.select(F.regexp_extract("path", name, 1).alias("pmcid"), "path", "content")
+    folder, own = F.regexp_extract("path", r"/pmcid=([^/]+)/[^/]*$", 1), F.regexp_extract("path", r"/([^/]+?)(?:\.xml)?$", 1)
+    return rows.select(F.when(folder != "", folder).otherwise(own).alias("pmcid"), "path", "content")
 
 
 #: Characters at a text's beginning among which an article must begin.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,10 +47,33 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_RECORD: list[list[str]] = []
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Within it, paths gets the folders of all tables that materialize writes."""
+    _RECORD.append(paths)
+    try:
+        yield
+    finally:
+        _RECORD.pop()
+
+
+def remove(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders below the shared one, those that are there."""
+    jvm = spark.sparkContext._jvm
+    for folder in paths:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared scratch folder and read again: this ends its lineage."""
     spark = df.sparkSession
     path = scratch(spark, name)
+    for paths in _RECORD:
+        paths.append(path)
     df.write.parquet(path, compression="zstd")
     return spark.read.schema(df.schema).parquet(path)
 

@@ -121,11 +121,11 @@ def prj_id_strings(d: Data) -> DataFrame:
     return j.groupBy("pmid").agg(F.array_join(F.transform(items, lambda x: x["t"]), "; ").alias("ids"))
 
 
-@query("flt_derived_series", """SELECT acc FROM (SELECT CASE WHEN CAST(acc[-1] AS VARCHAR) IN ('3', '7') THEN replace(acc, 'gse', 'gds') ELSE acc END AS acc FROM {catalog} WHERE repo = 'GEO') t WHERE acc NOT LIKE 'gds%'""")
+@query("flt_derived_series", """SELECT acc FROM (SELECT CASE WHEN CAST(acc[-1] AS VARCHAR) IN ('3', '7') THEN replace(acc, 'gse', 'gds') ELSE acc END AS acc FROM {catalog}) t WHERE acc NOT LIKE 'gds%'""")
 def flt_derived_series(d: Data) -> DataFrame:
     # some series are listed by the curated sets that were made of them
     acc = F.when(F.right("acc", F.lit(1)).isin("3", "7"), F.replace("acc", F.lit("gse"), F.lit("gds"))).otherwise(F.col("acc"))
-    return K.without_derived(d.catalog.where("repo = 'GEO'").select(acc.alias("acc")))
+    return K.without_derived(d.catalog.select(acc.alias("acc")))
 
 
 # ---------------------------------------------------------------- set operations

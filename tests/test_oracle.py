@@ -42,6 +42,17 @@ def test_query_equals_sql(spark, duck, name):
     assert got == want
 
 
+def test_series_of_all_repositories_are_kept_but_derived_ones(spark):
+    from grantlens.operators.catalog import without_derived
+
+    rows = [(r.repo, r.acc) for r in plans.base.Data(spark, SF).catalog.collect()]
+    got = sorted(r.acc for r in plans.QUERIES["flt_derived_series"](spark, SF).collect())
+    assert len({repo for repo, _ in rows}) > 2
+    assert got == sorted(acc for _, acc in rows if not (acc.startswith("gse") and acc[-1] in "37"))
+    some = spark.createDataFrame([("gse1",), ("gds9",), ("GDS8",), ("phs000001",)], "acc string")
+    assert sorted(r.acc for r in without_derived(some).collect()) == ["gse1", "phs000001"]
+
+
 def test_every_query_has_sql():
     assert set(plans.QUERIES) == set(plans.ORACLE_SQL)
 

@@ -11,21 +11,24 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import forget, in_order, materialize, numbered, table, whole_row, with_end
-
-#: Words of a seed, and the share of all seeds that is kept: by hash alone, so that equal words keep equal seeds.
-K, DENSITY = 4, 0.32
-#: Long seeds are made of two kept seeds, so many kept seeds apart; one in LONG_OF kept seeds begins one.
-LONG_STEP, LONG_OF = 8, 4
-#: Documents in which very common seeds are looked for, about, and in how many of them such a seed is at least.
-COMMON_SAMPLE, COMMON = 10_000, 10
+from .common import in_order, materialize, numbered, table, whole_row, with_end
+
+#: Words of a seed; all seeds of a text are kept.
+K = 4
+#: Long seeds are made of two seeds so many words apart. One in LONG_OF places begins one, by hash alone, and besides the
+#: place of the least hash of each LONG_WINDOW in a row: so whatever 50 words are equal have a long seed in common.
+LONG_STEP, LONG_OF, LONG_WINDOW = 25, 8, 22
+#: Seeds are dealt out by the first BUCKET_BITS bits of their hash, in packs of so many seeds of some documents at most.
+BUCKET_BITS, PACK = 12, 1 << 20
+#: Places of one seed in a text that are nearer to one another are aligned from the first of them only.
+NEAR = 16
 #: Cost of each word that a chain skips on either side, and the longest skip within a passage.
 GAP_COST, LONGEST_GAP = 0.3, 30
 #: Words of a passage at least, and share of its words that match.
 MIN_WORDS, SIMILARITY = 50, 0.8
 #: Ends of a passage of which a smaller share of words matches are left off.
 TRIM = 0.5
-#: Words of a chain of seeds at least that is aligned: two seeds, or a long one.
+#: Words of a chain of seeds at least that is aligned: two seeds, or a long one. Shorter ones are if another is near.
 SHORTEST_CHAIN = 2 * K
 #: Words round a chain that the alignment may reach into; slices of texts begin and end at multiples of this.
 GRID = 64
@@ -45,11 +48,10 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def seeds_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, position, whether it is a long one) of the kept k-word seeds, and of the long seeds made of them.
+    """(hash, position, whether it is a long one) of all k-word seeds, and of the long seeds made of two of them.
 
-    Which seeds are kept depends on their own words only. So what two texts share is kept in both, whatever differs
-    round it; and a long seed, of two kept seeds and the number of kept ones between, is in both where some 30 words
-    are equal. It tells documents that share a whole passage from such as have a shorter part of it only.
+    Of 50 words of which 40 are equal, word by word, some 4 in a row are, so that no such passage is without a seed in
+    both texts. A long seed tells documents that share a whole passage from such as have a shorter part of it only.
     """
     n = len(codes) - K + 1
     if n < 1:
@@ -59,17 +61,14 @@ def seeds_of(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     for j in range(K):
         h += wide[j : j + n] * MULTIPLIERS[j]
     h = mixed(h)
-    at = np.flatnonzero(h < np.uint64(int(DENSITY * 2**64)))
-    h = h[at]
-    begin = np.flatnonzero(h[:-LONG_STEP] % np.uint64(LONG_OF) == 0) if len(h) > LONG_STEP else np.zeros(0, np.int64)
-    long = mixed(h[begin] * MULTIPLIERS[0] + h[begin + LONG_STEP] * MULTIPLIERS[1])
-    kinds = np.repeat([False, True], [len(h), len(long)])
-    h, at = np.concatenate([h, long]).view(np.int64), np.concatenate([at, at[begin]])
-    # of a word or line that is said over and over the first seeds tell enough: alignments follow the rest
-    order = np.lexsort((at, h))
-    again = (h[order][1:] == h[order][:-1]) & (np.diff(at[order]) <= MIN_WORDS)
-    first = order[np.r_[True, ~again][: len(order)]]
-    return h[first], at[first], kinds[first]
+    long = mixed(h[:-LONG_STEP] * MULTIPLIERS[0] + h[LONG_STEP:] * MULTIPLIERS[1])
+    begin = long % np.uint64(LONG_OF) == 0
+    if len(long) >= LONG_WINDOW:
+        least = np.lib.stride_tricks.sliding_window_view(long, LONG_WINDOW).argmin(axis=1)
+        begin[least + np.arange(len(least))] = True
+    at = np.flatnonzero(begin)
+    kinds = np.repeat([False, True], [n, len(at)])
+    return np.concatenate([h, long[at]]).view(np.int64), np.concatenate([np.arange(n), at]), kinds
 
 
 class Fenwick:
@@ -302,79 +301,131 @@ def pins_of(a: np.ndarray, b: np.ndarray, a0: int, a1: int, b0: int, b1: int) ->
     return np.stack([a[new][order], b[new][order]], 1).ravel().tolist()
 
 
-def common_seeds(docs: DataFrame, n: int) -> np.ndarray:
-    """Hashes of seeds that one document in a thousand has: their rows are dealt out to many tasks.
+def planes(x: np.ndarray) -> bytes:
+    """Numbers as all their first bytes, all their second ones, and so on: those that are 0 take no room when packed."""
+    return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
 
-    There are a thousand times the seeds of a document at most. They only steer where rows go, not what is found.
+
+def seed_table(docs: DataFrame, bits: int) -> DataFrame:
+    """(bucket, base, hashes, places): seeds of all texts of docs (key, text), packed by the first bits of their hashes.
+
+    hashes are the 32 bits behind those of the bucket; base + place is (key << bits | position) << 1, plus 1 for long ones.
     """
+    edges = np.arange(1, 1 << BUCKET_BITS, dtype=np.uint64) << np.uint64(64 - BUCKET_BITS)
+
+    def packs(h: np.ndarray, at: np.ndarray) -> pd.DataFrame:
+        base = int(at.min())
+        at = at - base
+        at = at.astype("<u4" if int(at.max()) < 1 << 32 else "<u8")
+        order = np.argsort(h)
+        h, at = h[order], at[order]
+        low = (h >> np.uint64(32 - BUCKET_BITS)).astype("<u4")
+        cut = np.r_[0, np.searchsorted(h, edges), len(h)].tolist()
+        out = [(i, base, low[s:e].tobytes(), planes(at[s:e])) for i, (s, e) in enumerate(zip(cut, cut[1:], strict=False)) if s < e]
+        return pd.DataFrame(out, columns=["bucket", "base", "hashes", "places"])
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for i in range(0, len(b), 1000):
-                found = [np.unique(seeds_of(word_codes(x))[0]) for x in b["text"][i : i + 1000]]
-                yield pd.DataFrame({"h": np.concatenate(found)})
+        hashes, places, n = [], [], 0
+        for b in with_end(batches):
+            for key, text in zip(b["key"].tolist(), b["text"], strict=True) if b is not None else ():
+                h, at, long = seeds_of(word_codes(text))
+                for i in range(0, len(h), PACK):
+                    if n + len(h[i : i + PACK]) > PACK:
+                        yield packs(np.concatenate(hashes), np.concatenate(places))
+                        hashes, places, n = [], [], 0
+                    hashes.append(h[i : i + PACK].view(np.uint64))
+                    places.append((at[i : i + PACK] + (key << bits)) * 2 + long[i : i + PACK])
+                    n += len(hashes[-1])
+        if n:
+            yield packs(np.concatenate(hashes), np.concatenate(places))
 
-    step = max(1, n // COMMON_SAMPLE)
-    sample = docs.where(F.pmod(F.xxhash64("key"), F.lit(step)) == 0).select("text").mapInPandas(run, "h long")
-    rows = sample.groupBy("h").count().where(F.col("count") >= COMMON).select("h").toPandas()
-    return np.sort(rows["h"].to_numpy(np.int64))
+    return docs.select("key", "text").mapInPandas(run, "bucket int, base long, hashes binary, places binary")
 
 
-def seed_table(docs: DataFrame, bits: int, common: np.ndarray) -> DataFrame:
-    """(h, salt, at): seeds of all texts of docs (key, text); at is (key << bits | position) << 1, plus 1 for long ones.
+def matched(seeds: DataFrame, bits: int) -> DataFrame:
+    """(at, rep): each seed with the first place, of another document, that has it too.
 
-    salt is 0, but for common seeds a number of the document from 1 on.
+    Seeds of one bucket are compared at a time. They are a 4096th of all, whatever seeds are common.
     """
 
-    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for i in range(0, len(b), 1000):
-                hashes, places, salts = [], [], []
-                for key, text in zip(b["key"][i : i + 1000].tolist(), b["text"][i : i + 1000], strict=True):
-                    h, at, long = seeds_of(word_codes(text))
-                    hashes.append(h)
-                    places.append((at + (key << bits)) * 2 + long)
-                    salts.append(np.full(len(h), 1 + key % 4093, np.int32))
-                h, salt = np.concatenate(hashes), np.concatenate(salts)
-                if len(common):
-                    salt[common[np.minimum(np.searchsorted(common, h), len(common) - 1)] != h] = 0
-                else:
-                    salt[:] = 0
-                yield pd.DataFrame({"h": h, "salt": salt, "at": np.concatenate(places)})
-
-    return docs.select("key", "text").mapInPandas(run, "h long, salt int, at long")
-
-
-def matched(seeds: DataFrame, bits: int) -> tuple[DataFrame, DataFrame]:
-    """(at, rep): each seed with the first place, of another document, that has it too; and the table they are read from.
-
-    Rows in order of (h, at) go by, so that no group is held. Rows of common seeds are matched by a join with the
-    table of their first places, which is as small as the list of common seeds.
-    """
+    def first_places(packs: list[tuple]) -> pd.DataFrame:
+        n = [len(x[2]) // 4 for x in packs]
+        key = np.repeat(np.array([x[0] for x in packs], np.uint64), n) << np.uint64(32)
+        key |= np.frombuffer(b"".join(x[2] for x in packs), "<u4")
+        at = np.empty(len(key), np.int64)
+        s = 0
+        for (_, base, _, places), m in zip(packs, n, strict=True):
+            width = len(places) // m
+            at[s : s + m] = np.frombuffer(places, np.uint8).reshape(width, m).T.copy().view(f"<u{width}")[:, 0]
+            at[s : s + m] += base
+            s += m
+        order = np.argsort(key)
+        key = key[order]
+        new = np.r_[True, key[1:] != key[:-1]]
+        some = ~new | ~np.r_[new[1:], True]
+        at, new = at[order[some]], new[some]
+        if not len(at):
+            return pd.DataFrame({"at": at, "rep": at})
+        starts = np.flatnonzero(new)
+        rep = np.repeat(np.minimum.reduceat(at, starts), np.diff(np.r_[starts, len(at)]))
+        keep = at >> bits + 1 != rep >> bits + 1
+        return pd.DataFrame({"at": at[keep], "rep": rep[keep]})
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, first = None, 0
-        for b in batches:
-            if not len(b):
-                continue
-            h, salt, at = b["h"].to_numpy(), b["salt"].to_numpy(), b["at"].to_numpy()
-            begin = np.r_[h[0] != last, h[1:] != h[:-1]]
-            index = np.maximum.accumulate(np.where(begin, np.arange(len(h)), -1))
-            rep = np.where(index >= 0, at[index], first)
-            last, first = h[-1], rep[-1]
-            keep = (salt > 0) | (at >> bits + 1 != rep >> bits + 1)
-            frame = pd.DataFrame({"at": at[keep], "rep": rep[keep], "h": h[keep]})
-            yield frame.astype({"h": "Int64", "rep": "Int64"}).assign(
-                h=lambda x, s=salt[keep]: x["h"].where(s > 0), rep=lambda x, s=salt[keep]: x["rep"].where(s == 0)
-            )
-
-    dealt = seeds.repartition("h", "salt").sortWithinPartitions("h", "at")
-    met = materialize(dealt.mapInPandas(run, "at long, rep long, h long"), "matches")
-    common = met.where("h is not null").select("h", "at")
-    first = common.groupBy("h").agg(F.min("at").alias("rep"))
-    apart = F.shiftright("at", bits + 1) != F.shiftright("rep", bits + 1)
-    again = common.join(F.broadcast(first), "h").where(apart)
-    return met.where("h is null").select("at", "rep").unionByName(again.select("at", "rep")), met
+        held: list[tuple] = []
+        for b in with_end(batches):
+            rows = [] if b is None else list(b.itertuples(index=False, name=None))
+            if b is None or rows and held and held[-1][0] != rows[-1][0]:
+                # all but the last bucket are complete
+                last = rows[-1][0] if rows else None
+                ready = held + [x for x in rows if x[0] != last]
+                held = [x for x in rows if x[0] == last]
+                if ready:
+                    yield first_places(ready)
+            else:
+                held += rows
+                if held and held[0][0] != held[-1][0]:
+                    last = held[-1][0]
+                    yield first_places([x for x in held if x[0] != last])
+                    held = [x for x in held if x[0] == last]
+
+    return seeds.repartition("bucket").sortWithinPartitions("bucket").mapInPandas(run, "at long, rep long")
+
+
+def thinned(a: np.ndarray, c: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matches a, c of a pair without places in a that follow another of the same seed nearer than NEAR.
+
+    A text that says a few words over and over is aligned from the places that are left, of which each 50 words have
+    some; such a seed counts as two, as it goes on beyond its end.
+    """
+    order = np.lexsort((a, c))
+    a, c, size = a[order], c[order], size[order]
+    again = (c[1:] == c[:-1]) & (np.diff(a) < NEAR)
+    if not again.any():
+        return a, c, size
+    keep, size = np.ones(len(a), bool), size.copy()
+    for i in np.flatnonzero(again).tolist():
+        # i is the kept one, or one that follows it
+        j = i if keep[i] else kept
+        if a[i + 1] - a[j] < NEAR:
+            keep[i + 1], size[j] = False, 2 * K
+        kept = j
+    return a[keep], c[keep], size[keep]
+
+
+def hopeful_chains(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """Chains of SHORTEST_CHAIN words and more, and shorter ones that have another within a passage's length of them."""
+    found = sorted(found)
+    good = [min(x[1] - x[0], x[3] - x[2]) >= SHORTEST_CHAIN for x in found]
+    for i in range(1, len(found)):
+        if not (good[i] and good[i - 1]):
+            for j in range(i - 1, -1, -1):
+                if found[i][0] - found[j][0] > MIN_WORDS:
+                    break
+                if abs(found[i][2] - found[j][2]) <= MIN_WORDS:
+                    good[i] = good[j] = True
+                    break
+    return [x for x, y in zip(found, good, strict=True) if y]
 
 
 def chain_table(matches: DataFrame, bits: int) -> DataFrame:
@@ -382,36 +433,40 @@ def chain_table(matches: DataFrame, bits: int) -> DataFrame:
     mask = (1 << bits) - 1
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tail: pd.DataFrame | None = None
+        tail: list[np.ndarray] = []
         for b in with_end(batches):
             if b is None:
-                if tail is None or not len(tail):
+                if not tail:
                     return
-                b, tail = tail, None
+                rows, tail = np.concatenate(tail), []
             else:
-                b = b if tail is None else pd.concat([tail, b], ignore_index=True)
-                last = (b["doc"].to_numpy() == b["doc"].iloc[-1]) & (b["other"].to_numpy() == b["other"].iloc[-1])
-                b, tail = b[~last], b[last]
-                if not len(b):
+                rows = b.to_numpy()
+                if not len(rows):
                     continue
-            x, y = b["doc"].to_numpy(), b["other"].to_numpy()
-            a, c = b["at"].to_numpy(), b["rep"].to_numpy()
-            size = np.where(a & 1, 2 * K, K)
-            a, c = a >> 1 & mask, c >> 1 & mask
+                last = ((rows ^ rows[-1]) >> bits + 1 == 0).all(axis=1)
+                if last.all() and tail and ((rows[-1] ^ tail[-1][-1]) >> bits + 1 == 0).all():
+                    tail.append(rows)
+                    continue
+                rows, tail = np.concatenate([*tail, rows[~last]]), [rows[last]]
+                if not len(rows):
+                    continue
+            x, y = rows.T >> bits + 1
+            a, c = rows.T >> 1 & mask
+            size = np.where(rows[:, 0] & 1, 2 * K, K)
             starts = np.flatnonzero(np.r_[True, (x[1:] != x[:-1]) | (y[1:] != y[:-1])])
             ends = np.r_[starts[1:], len(x)]
             some = np.add.reduceat(size, starts) >= SHORTEST_CHAIN
             out = []
             for s, e in zip(starts[some].tolist(), ends[some].tolist(), strict=True):
-                for a0, a1, b0, b1 in chains(a[s:e], c[s:e], K, size[s:e]):
-                    if a1 - a0 >= SHORTEST_CHAIN and b1 - b0 >= SHORTEST_CHAIN:
-                        out.append((x[s], y[s], a0, a1, b0, b1, pins_of(a[s:e], c[s:e], a0, a1, b0, b1)))
+                p, q, words = thinned(a[s:e], c[s:e], size[s:e])
+                for a0, a1, b0, b1 in hopeful_chains(chains(p, q, K, words)):
+                    out.append((x[s], y[s], a0, a1, b0, b1, pins_of(p, q, a0, a1, b0, b1)))
             if out:
                 yield pd.DataFrame(out, columns=["doc", "other", "a0", "a1", "b0", "b1", "pins"])
 
-    rows = matches.select(F.shiftright("at", bits + 1).alias("doc"), F.shiftright("rep", bits + 1).alias("other"), "at", "rep")
+    pair = F.shiftright("at", bits + 1), F.shiftright("rep", bits + 1)
     # a document has one match for each of its seeds at most, so no pair's rows are many
-    dealt = rows.repartition("doc", "other").sortWithinPartitions("doc", "other")
+    dealt = matches.repartition(*pair).sortWithinPartitions(*pair)
     return dealt.mapInPandas(run, "doc long, other long, a0 int, a1 int, b0 int, b1 int, pins array<int>")
 
 
@@ -451,10 +506,7 @@ def keyed_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: floa
     bits = max(8, int((size[1] or 0) // 2 + 2).bit_length())
     if (size[0] or 0).bit_length() + bits > 62:
         raise ValueError("too many documents for texts of this length")
-    common = common_seeds(docs, (size[0] or 0) + 1)
-    pairs, written = matched(seed_table(docs, bits, common), bits)
-    found = materialize(chain_table(pairs, bits), "chains")
-    forget(written)
+    found = materialize(chain_table(matched(seed_table(docs, bits), bits), bits), "chains")
     return covering(aligned(docs, found, min_words, similarity))
 
 
@@ -472,7 +524,7 @@ def passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: float = SI
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = numbered(in_order(ids, "doc_id"), "passages")
-    found = materialize(keyed_passages(rows, min_words, similarity), "found")
+    found = materialize(told_once(keyed_passages(rows, min_words, similarity)), "found")
     # only the ids of documents with passages are looked up
     names = rows.select("key", "doc_id")
     named = found.join(names.select(F.col("key").alias("doc"), "doc_id"), "doc")
@@ -503,6 +555,32 @@ def covering(found: DataFrame) -> DataFrame:
     return lists.mapInPandas(run, found.schema)
 
 
+def told_once(found: DataFrame) -> DataFrame:
+    """found without equal passages that, but for under K words, an equal one of an earlier document holds already.
+
+    All three documents have these words, so that the later pair is told by the pairs of either with the earliest.
+    """
+    columns = found.columns
+    rest = [c for c in columns if c != "doc"]
+
+    def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = []
+            for doc, spans in zip(b["doc"], b["spans"], strict=True):
+                held: list[tuple[int, int]] = []
+                for x in sorted(spans, key=lambda x: (x["other"], x["start_word"])):
+                    s, e = x["start_word"], x["end_word"]
+                    if x["similarity"] == 1 and any(e - s - (min(e, v) - max(s, u)) < K for u, v in held):
+                        continue
+                    if x["similarity"] == 1:
+                        held.append((s, e))
+                    out.append({"doc": doc} | {c: x[c] for c in rest})
+            yield pd.DataFrame(out, columns=columns)
+
+    lists = found.groupBy("doc").agg(F.collect_list(F.struct(*rest)).alias("spans"))
+    return lists.mapInPandas(run, found.schema)
+
+
 def aligned(docs: DataFrame, found: DataFrame, min_words: int, similarity: float) -> DataFrame:
     """The passages, as `passages` returns them, round chains (as of chain_table)."""
     (sa, ea), (sb, eb) = on_grid("a0", "a1"), on_grid("b0", "b1")

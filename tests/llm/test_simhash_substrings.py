@@ -351,3 +351,40 @@ def test_texts_that_repeat_themselves(spark):
     got = sorted(substrings.passages(spark.createDataFrame(docs, DOCS)).collect(), key=lambda x: x.start_word)
     assert got and all(x.start_word < y.start_word and x.end_word < y.end_word for x, y in zip(got, got[1:], strict=False))
     assert all(x.end_word < y.start_word for x, y in zip(got, got[2:], strict=False))
+
+
+def test_all_seeds_are_kept():
+    codes = np.random.default_rng(23).integers(0, 2**32, 3000, dtype=np.uint32)
+    h, at, long = substrings.seeds_of(codes)
+    assert sorted(at[~long].tolist()) == list(range(2997)) and len(set(h.tolist())) == len(h)
+    # any 50 words hold the 29 of a long seed which is kept in them, whatever is round them
+    for i in range(0, 2900, 50):
+        g, _, far = substrings.seeds_of(np.r_[codes[::-1][:77], codes[i : i + 50], codes[::-1][100:150]])
+        assert set(h[long & (at >= i) & (at <= i + 21)].tolist()) & set(g[far].tolist())
+    h, at, long = substrings.seeds_of(np.tile(codes[:2], 100))
+    assert sorted(at[~long].tolist()) == list(range(197))
+
+
+def test_every_passage_of_which_each_fifth_word_differs(spark):
+    r = random.Random(24)
+    rows, want = [], set()
+    for i in range(150):
+        passage = words(r, 50)
+        changed = [x if j % 5 != 2 + i % 2 else "new" + x for j, x in enumerate(passage)]
+        rows += [(i, " ".join(words(r, r.randint(0, 40)) + passage), "x"), (1000 + i, " ".join(changed + words(r, r.randint(0, 40))), "x")]
+        want.add((1000 + i, i))
+    got = {(x.doc_id, x.other_doc_id) for x in substrings.passages(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == want
+
+
+def test_texts_of_a_few_words_over_and_over(spark):
+    texts = {0: "ho", 2: "la lo", 4: "ta te ti", 6: "ma me mi mo"}
+    rows = []
+    for i, text in texts.items():
+        rows += [(i, f"a{i} " + f"{text} " * 60, "x"), (i + 1, f"b{i} c{i} " + f"{text} " * 80, "x")]
+    got = substrings.passages(spark.createDataFrame(rows, DOCS)).collect()
+    covered = {}
+    for x in got:
+        covered.setdefault((x.doc_id, x.other_doc_id), set()).update(range(x.start_word, x.end_word))
+    assert set(covered) == {(i + 1, i) for i in texts}
+    assert all(len(v) >= 60 * len(texts[k[1]].split()) for k, v in covered.items())

@@ -6,8 +6,10 @@ import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
+from itertools import accumulate
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,11 @@ def forget(df: DataFrame) -> None:
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_table(spark: SparkSession, columns: dict[str, pa.Array]) -> DataFrame:
+    """Columns of the driver as a table, by Arrow: rows of tuples would be copied by Python workers of a kind of their own."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def whole_row(df: DataFrame) -> Column:
     """All columns of df, whatever their names, as one struct `row`."""
     return F.struct(*[F.col("`" + c.replace("`", "``") + "`") for c in df.columns]).alias("row")
@@ -107,11 +114,10 @@ def numbered(rows: DataFrame, name: str) -> DataFrame:
     """
     made = materialize(rows.withColumn("_n", F.monotonically_increasing_id()), name)
     counts = made.groupBy(F.shiftright("_n", 33).alias("_part")).count().collect()
-    first, offsets = 0, []
-    for r in sorted(counts):
-        offsets.append((r["_part"], first))
-        first += r["count"]
-    starts = F.broadcast(made.sparkSession.createDataFrame(offsets, "_part long, _first long").coalesce(1))
+    counts.sort()
+    n = [r["count"] for r in counts]
+    offsets = {"_part": pa.array([r["_part"] for r in counts], pa.int64()), "_first": pa.array(accumulate(n[:-1], initial=0) if n else [], pa.int64())}
+    starts = F.broadcast(small_table(made.sparkSession, offsets).coalesce(1))
     keyed = made.withColumn("_part", F.shiftright("_n", 33)).join(starts, "_part")
     return keyed.withColumn("key", F.col("_first") + F.col("_n").bitwiseAND(F.lit((1 << 33) - 1))).drop("_n", "_part", "_first")
 

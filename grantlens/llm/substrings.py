@@ -644,6 +644,8 @@ def without_passages(docs: DataFrame, min_words: int = MIN_WORDS, similarity: fl
             out.append(left if left.strip(" \t\n\r\x0b\x0c") else None)
         return pd.Series(out, dtype=object)
 
+    # else the optimizer copies the cut into the condition, and texts are cut twice, by two Python workers of a task
+    cut = cut.asNondeterministic()
     joined = rows.drop("text").join(spans.withColumnRenamed("doc", "key").hint("merge"), "key", "left")
     had = F.col("spans").isNotNull()
     text = F.when(had, cut("row.text", "spans")).otherwise(F.col("row.text"))

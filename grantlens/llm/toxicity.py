@@ -9,10 +9,11 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, small_table, table
 
 #: Plain insults: a voter of its own, and what is left where labels are few.
 INSULTS = ["clown", "disgusting", "idiot", "loser", "moron", "pathetic", "scum", "stupid", "trash", "worthless"]
@@ -302,8 +303,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
         if round_ == MINED - 1:
             break
         sure = np.where(post >= SURE[0], 1, np.where(post <= SURE[1], 0, -1))
-        told = pd.DataFrame({"doc_id": got["doc_id"], "sure": np.where(toxic >= 0, toxic, sure)})
-        told = F.broadcast(rows.sparkSession.createDataFrame(told[told["sure"] >= 0], "doc_id long, sure int"))
+        sure = np.where(toxic >= 0, toxic, sure)
+        known = {"doc_id": pa.array(got["doc_id"][sure >= 0], pa.int64()), "sure": pa.array(sure[sure >= 0], pa.int32())}
+        told = F.broadcast(small_table(rows.sparkSession, known))
         terms = mine_terms(rows.join(told, "doc_id").select("text", F.col("sure").alias("toxic")), prior)
     # each kind of document weighs what it is in all
     weight = np.array([sizes.get(c, 0) / max(1, (toxic == c).sum()) for c in (-1, 0, 1)])[toxic + 1]

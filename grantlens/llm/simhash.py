@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import components, in_order, materialize, numbered, table, whole_row
@@ -133,8 +133,8 @@ def with_fingerprints(docs: DataFrame, key: str = "doc_id", shingle: int = SHING
     return rows.mapInPandas(run, f"`{key}` long, fp long")
 
 
-def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs (a, b), a < b, of different values of prints (fp) that differ by `threshold` bits (even) at most."""
+def at_anchors(prints: DataFrame, threshold: int) -> DataFrame:
+    """(anchor, fp): values of prints (fp) at their anchors; such as differ by `threshold` bits (even) at most share one."""
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -144,10 +144,18 @@ def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
                     index, anchor = anchors(fp, (threshold + 1) // 2)
                     yield pd.DataFrame({"anchor": anchor, "fp": fp[index]})
 
-    at = prints.select("fp").mapInPandas(run, "anchor long, fp long")
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= threshold
+    return prints.select("fp").mapInPandas(run, "anchor long, fp long")
+
+
+def close(a: str, b: str, threshold: int) -> Column:
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= threshold
+
+
+def links(prints: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, b), a < b, of different values of prints (fp) that differ by `threshold` bits (even) at most."""
+    at = at_anchors(prints, threshold)
     left, right = at.withColumnRenamed("fp", "a"), at.withColumnRenamed("fp", "b")
-    return left.join(right.hint("merge"), "anchor").where((F.col("a") < F.col("b")) & close).select("a", "b")
+    return left.join(right.hint("merge"), "anchor").where((F.col("a") < F.col("b")) & close("a", "b", threshold)).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE, threshold: int = THRESHOLD, similarity: float | None = None) -> DataFrame:
@@ -163,10 +171,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE
     """
     found = materialize(with_fingerprints(docs, key, shingle), "fp")
     nodes = materialize(found.groupBy("fp").agg(F.min(key).alias("least")), "fp-nodes")
-    edges = links(nodes.repartition(nodes.sparkSession.sparkContext.defaultParallelism * 2, "fp"), threshold)
-    if similarity is not None:
-        edges = confirmed(edges.distinct(), nodes, docs, key, shingle, similarity)
-    parts = components(edges)
+    dealt = nodes.repartition(nodes.sparkSession.sparkContext.defaultParallelism * 2, "fp")
+    if similarity is None:
+        parts = components(links(dealt, threshold))
+    else:
+        parts = confirmed_components(dealt, threshold, lambda edges: confirmed(edges, nodes, docs, key, shingle, similarity))
     grouped = nodes.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp")
     )
@@ -175,6 +184,26 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", shingle: int = SHINGLE
     return found.join(of, "fp")
 
 
+def confirmed_components(prints: DataFrame, threshold: int, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """(node, component) by those links of prints (fp) within `threshold` bits that confirm keeps of a table (a, b).
+
+    At each anchor the links of the least fingerprint come first. Of the others only those are asked for whose ends
+    these have not joined yet, as the rest cannot change a component: so the many fingerprints of a large group of near
+    copies are not paired with one another at each anchor that they share.
+    """
+    here = Window.partitionBy("anchor")
+    at = at_anchors(prints, threshold).withColumns({"least": F.min("fp").over(here), "most": F.max("fp").over(here)})
+    shared = materialize(at.where("least < most").drop("most"), "fp-anchors")
+    stars = shared.where((F.col("least") < F.col("fp")) & close("least", "fp", threshold))
+    first = components(confirm(stars.select(F.col("least").alias("a"), F.col("fp").alias("b")).distinct()))
+    named = shared.select("anchor", "fp").join(first.withColumnRenamed("node", "fp"), "fp", "left")
+    named = named.select("anchor", "fp", F.coalesce("component", "fp").alias("of"))
+    left, right = (named.select("anchor", F.col("fp").alias(x), F.col("of").alias(f"of_{x}")) for x in "ab")
+    apart = (F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b")) & close("a", "b", threshold)
+    rest = left.join(right.hint("merge"), "anchor").where(apart).select("a", "b").distinct()
+    return components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(confirm(rest)))
+
+
 def shingles_of(text: str, shingle: int) -> set[bytes]:
     words = text.encode("utf-8", "surrogatepass").lower().split()
     return {b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))}

@@ -93,6 +93,35 @@ def test_near_duplicate_groups(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_near_copies_are_not_paired_at_each_anchor(spark, monkeypatch):
+    r = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    texts = [" ".join(words)]
+    for i in range(120):
+        changed = list(words)
+        for k in r.sample(range(400), 1 + i % 3 * 8):
+            changed[k] = f"x{r.randrange(10**6)}"
+        texts.append(" ".join(changed))
+    docs = spark.createDataFrame(list(enumerate(texts)), "key long, text string")
+    prints = [simhash.fingerprint(x, 5) for x in texts]
+    shingles = [simhash.shingles_of(x, 5) for x in texts]
+    alike = lambda i, j: len(shingles[i] & shingles[j]) >= 0.8 * len(shingles[i] | shingles[j])
+    first = {p: prints.index(p) for p in prints}
+    near = [(i, j) for i in first.values() for j in first.values() if i < j and bin(prints[i] ^ prints[j]).count("1") <= 4]
+    of = {i: i for i in first.values()}
+    for i, j in near:
+        if alike(i, j) and of[i] != of[j]:
+            low, high = sorted((of[i], of[j]))
+            of = {k: low if v == high else v for k, v in of.items()}
+    asked = []
+    real = simhash.confirmed
+    monkeypatch.setattr(simhash, "confirmed", lambda edges, *a: asked.append(edges.count()) or real(edges, *a))
+    got = simhash.near_duplicates(docs, "key", 5, 4, 0.8).collect()
+    assert {x.key: x.component_id for x in got} == {i: of[first[p]] for i, p in enumerate(prints)}
+    assert any(not alike(i, j) for i, j in near) and len(set(of.values())) < len(of)
+    assert sum(asked) < 0.8 * len(near)
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_components(spark, seed):
     r = random.Random(seed)
@@ -165,6 +194,17 @@ def test_cutting_keeps_the_first_and_the_rest(spark):
     assert substrings.without_passages(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_texts_are_cut_once_by_one_python_worker(spark):
+    passage = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, passage + f" u{i}") for i in range(3)], "doc_id long, text string")
+    out = substrings.without_passages(docs)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"ArrowEvalPython", plan)) == 1
+    # rows of the driver come by Arrow and not by Python workers of another kind
+    assert "ExistingRDD" not in plan
+    assert sorted(x.text for x in out.collect()) == [" u1", " u2", passage + " u0"]
+
+
 def test_chains():
     a = np.array([0, 4, 9, 200, 205, 212])
     assert sorted(substrings.chains(a, a + 7)) == [(0, 14, 7, 21), (200, 217, 207, 224)]

@@ -397,7 +397,9 @@ def cls_triage(d: Data) -> DataFrame:
     own = M.own_identifiers(d.ident)
     confirmed = own.join(d.record_pmid, ["repo", "id", "pmid"], "left_semi").select("repo", "id").distinct().withColumn("sure", F.lit(True))
     g = own.groupBy("repo", "id").agg(F.bool_or("in_das").alias("explicit"))
-    g = g.join(d.status, ["repo", "id"], "left").join(confirmed, ["repo", "id"], "left")
+    # an identifier that is checked several times has the first of its statuses by name
+    status = d.status.groupBy("repo", "id").agg(F.min("status").alias("status"))
+    g = g.join(status, ["repo", "id"], "left").join(confirmed, ["repo", "id"], "left")
     return g.select("repo", "id", P.triage(F.col("status"), F.coalesce("sure", F.lit(False)), F.col("explicit")).alias("tier"))
 
 

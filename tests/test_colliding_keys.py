@@ -35,7 +35,7 @@ def in_order(name, cell):
 
 
 @pytest.mark.parametrize("name", [
-    "cls_triage", "join_records", "rec_check", "xck_apply", "src_catalog", "snk_added",
+    "cls_triage", "join_records", "rec_check", "xck_apply", "src_catalog", "snk_added", "prj_id_strings",
 ])
 def test_query_equals_sql_on_shared_identifiers(spark, folder, name):
     duck = duckdb.connect()

@@ -448,7 +448,7 @@ def cited_articles(d: Data) -> DataFrame:
 
 @query("txt_cited_location", f"""SELECT CAST({K} AS STRING) AS pmid, ref_id, CASE WHEN ref_id = 'r2' AND {K} % 3 = 0 THEN 'das' ELSE 'ref' END AS location FROM {{orders}}, (VALUES ('r1'), ('r2')) t(ref_id)""")
 def txt_cited_location(d: Data) -> DataFrame:
-    return M.with_locations(X.parse_passages(cited_articles(d))).where("kind = 'ref'").select("pmid", "ref_id", "location")
+    return M.with_locations(X.parse_passages(cited_articles(d), ["pmid", "kind", "ref_id", "location"])).where("kind = 'ref'").select("pmid", "ref_id", "location")
 
 
 @query("idx_of_papers", f"""SELECT CAST({K} AS STRING) AS pmid, repo, replace(id, '#', CAST(100000 + {K} AS STRING)) AS id, CASE WHEN repo LIKE 'PRIDE%' AND {K} % 3 = 0 THEN 'unknown' ELSE role END AS role, CASE WHEN repo LIKE 'PRIDE%' THEN {K} % 3 = 0 ELSE repo = 'Other link' END AS in_das

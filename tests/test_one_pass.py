@@ -39,3 +39,8 @@ def test_identifiers_are_made_in_one_pass(spark):
     assert pythons(got) == 1
     rows = sorted(map(repr, got.collect()))
     assert len(rows) > 12 and rows == sorted(map(repr, want.collect()))
+
+
+def test_locations_come_with_the_passages(spark):
+    df = plans.QUERIES["txt_cited_location"](spark, SF)
+    assert pythons(df) == 1 and "Join" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -66,7 +66,7 @@ def txt_parse_xml(d: Data) -> DataFrame:
 
 @query("txt_flatten", f"SELECT CAST({K} AS STRING) AS pmid, 'Reads of GSE' || CAST(100000 + {K} AS STRING) || ' 41 were used-twice. See code <https://github.com/lab/tool> .' AS text FROM {{orders}} WHERE {K} % 10 <> 9")
 def txt_flatten(d: Data) -> DataFrame:
-    p = X.parse_passages(articles(d))
+    p = X.parse_passages(articles(d), ["pmid", "kind", "text"])
     return p.where((F.col("kind") == "p") & F.col("text").startswith("Reads")).select("pmid", "text")
 
 

@@ -44,3 +44,11 @@ def test_identifiers_are_made_in_one_pass(spark):
 def test_locations_come_with_the_passages(spark):
     df = plans.QUERIES["txt_cited_location"](spark, SF)
     assert pythons(df) == 1 and "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_only_columns_that_are_asked_for_are_made(spark):
+    made = X.parse_passages(papers(spark), ["pmid", "kind", "text"])
+    assert made.columns == ["pmid", "kind", "text"]
+    assert sorted(map(repr, made.collect())) == sorted(map(repr, X.parse_passages(papers(spark)).select("pmid", "kind", "text").collect()))
+    plan = plans.QUERIES["txt_flatten"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xrefs" not in plan and "chain" not in plan

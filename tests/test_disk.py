@@ -3,10 +3,12 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from grantlens import plans
 from grantlens.operators import records as R
 from grantlens.plans.base import Data
+from grantlens.sources import sinks
 
 from test_oracle import SF
 
@@ -33,3 +35,18 @@ def test_study_groups_deal_papers_out_once(spark):
     found = R.study_groups(ids, series)
     assert sorted(map(tuple, found.collect())) == [("SRA/BioProject", "PRJ1", "SRA/BioProject:PRJ1"), ("SRA/BioProject", "PRJ2", "SRA/BioProject:PRJ2"), ("SRA/BioProject", "SRR1", "SRA/BioProject:PRJ1")]
     assert plan(found).count("Join") == 1
+
+
+def test_nested_documents_are_packed(spark, tmp_path):
+    rows = spark.createDataFrame([("a", 0, '{"k":"a"}', 0), ("a", 1, '{"n":1}', 1), ("a", 1, '{"n":2}', 2), ("b", 0, '{"k":"b"}', 0)], "k string, depth int, body string, o int")
+    path = str(tmp_path / "nested")
+    sinks.write_nested(rows, path, ["k"], ["depth", "o"], ["items"])
+    files = [f for f in os.listdir(path) if f.startswith("part")]
+    assert files and all(f.endswith(".gz") for f in files)
+    back = sinks.read_nested(spark, path, "k string, items array<struct<n:int>>").where("k is not null")
+    assert sorted((r.k, [x.n for x in r["items"]]) for r in back.collect()) == [("a", [1, 2]), ("b", [])]
+
+
+def test_receipts_files_are_packed_and_read_again(spark):
+    df = plans.QUERIES["snk_receipts_json"](spark, SF)
+    assert df.where(F.col("listed") > 0).count() and all(f.endswith(".gz") for f in df.inputFiles())
